@@ -48,7 +48,7 @@ def numeric_boolean(c) -> Column:
 def nullable_date(c) -> Column:
     """P5: ``yyyyMMdd`` or ``yyyy-MM-dd`` to DATE; empty, sentinels and junk to NULL."""
     t = F.trim(col_of(c).cast("string"))
-    parsed = F.coalesce(F.try_to_date(t, F.lit("yyyyMMdd")), F.try_to_date(t, F.lit("yyyy-MM-dd")))
+    parsed = F.coalesce(F.try_to_date(t, "yyyyMMdd"), F.try_to_date(t, "yyyy-MM-dd"))
     return F.when(t.isNull() | (t == "") | t.isin(*OPEN_DATE_SENTINELS), F.lit(None).cast("date")).otherwise(parsed)
 
 
@@ -87,8 +87,8 @@ def range_literal(c) -> Column:
     lo = F.regexp_extract(t, r"^[\[(]\s*([0-9-]*)\s*,", 1)
     hi = F.regexp_extract(t, r",\s*([0-9-]*)\s*[\])]$", 1)
     return F.when(t.isNull() | (t == ""), F.lit(None)).otherwise(
-        F.struct(F.try_to_date(F.nullif(lo, F.lit("")), F.lit("yyyy-MM-dd")).alias("lower"),
-                 F.try_to_date(F.nullif(hi, F.lit("")), F.lit("yyyy-MM-dd")).alias("upper")))
+        F.struct(F.try_to_date(F.nullif(lo, F.lit("")), "yyyy-MM-dd").alias("lower"),
+                 F.try_to_date(F.nullif(hi, F.lit("")), "yyyy-MM-dd").alias("upper")))
 
 
 def point_literal(c) -> Column:
