@@ -8,6 +8,7 @@ order-insensitive multiset of values. Usage:
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 
