@@ -204,9 +204,9 @@ def conflicts(df: DataFrame, keys: Sequence[str], start: str, end: str,
             other = F.col(role) != F.lit(r)
             hit = hit | (other & ((F.col(f"_n{i}") > 0) | (F.col(f"_prev_mx{i}") >= F.col(start))
                                   | (F.col(f"_next_s{i}") <= eff_end)))
-        sel_drop = [c for c in summ.columns if c.startswith("_")]
     result = flagged.withColumn(out, F.col("_valid") & F.coalesce(hit, F.lit(False)))
-    return result.drop(*[c for c in result.columns if c.startswith("_")])
+    own = set(df.columns)
+    return result.drop(*[c for c in result.columns if c.startswith("_") and c not in own])
 
 
 def next_start(df: DataFrame, keys: Sequence[str], start: str, out: str = "next_start") -> DataFrame:
