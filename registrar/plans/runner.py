@@ -1,10 +1,12 @@
 """Dependency-ordered runner for the reconciliation jobs.
 
 Outputs of each job are added to the table mapping for the next ones (so
-``evaka_person`` from persons feeds families, and so on). With ``out_dir``
-every output is written once to a fresh run folder and read back, which
-cuts the lineage (later jobs read files, not re-planned inputs) and makes a
-rerun after a lost executor restart from written tables. The first failing
+``evaka_person`` from persons feeds families, and so on). Every output is
+written once to a fresh run folder and read back: later jobs read files
+instead of re-planning all upstream jobs (the composed plan would grow with
+every reuse of a table), and a job that loses executors recomputes only from
+the written tables. ``out_dir`` defaults to a fresh folder under the shared
+``spark.checkpoint.dir``. The first failing
 job stops the chain; outputs already written stay, as in the legacy chain.
 """
 
@@ -26,6 +28,9 @@ def run_chain(tables: Mapping[str, DataFrame], jobs: Sequence[tuple[str, Job]] |
         jobs = [(n, f) for n, f, on in CHAIN if on or include_off]
     state: dict[str, DataFrame] = dict(tables)
     run = uuid.uuid4().hex[:12]
+    if out_dir is None and state:
+        from ..session import scratch_path
+        out_dir = scratch_path(next(iter(state.values())).sparkSession, "chain")
     for name, job in jobs:
         try:
             out = job(state)
@@ -34,7 +39,7 @@ def run_chain(tables: Mapping[str, DataFrame], jobs: Sequence[tuple[str, Job]] |
         if out_dir:
             written = {}
             for table, df in out.items():
-                path = f"{out_dir.rstrip('/')}/run={run}/{table}"
+                path = f"{out_dir.rstrip('/')}/run={run}/{name}/{table}"
                 df.write.mode("errorifexists").parquet(path)
                 written[table] = df.sparkSession.read.parquet(path)
             out = written

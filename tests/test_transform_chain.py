@@ -69,6 +69,40 @@ PLACEMENTS = [
 EXTENTS = [dict(placementnbr="11", extentnbr="1", startdate="20200301", enddate="", hours="0", days="0", extentcode="100"),
            dict(placementnbr="13", extentnbr="2", startdate="20200301", enddate="", hours="0", days="15", extentcode="101"),
            dict(placementnbr="13", extentnbr="3", startdate="20200301", enddate="", hours="0", days="15", extentcode="101")]
+JOURNALS = [dict(dailyjournalid="123456", unit="123", department="1231", childminder="", period="202003"),
+            dict(dailyjournalid="123457", unit="125", department="1251", childminder="", period="202003")]
+JOURNAL_ROWS = [
+    dict(dailyjournalid="123456", personid="251118A9509", extrachild="&#x20;", reportcode03="173", reportcode09="169",
+         reportcode15="176", reportcode16="176", reportcode17="176", reportcode19="176", reportcode24="999",
+         reportcode01="0"),
+    dict(dailyjournalid="123457", personid="251118A9509", reportcode15="174", reportcode16="174", reportcode17="174",
+         reportcode19="174"),
+]
+APPLICATIONS = [dict(personid="010619A9501", applicationdate="20210801", placeneed="1.00", specialhandlingtime="0",
+                     transferapplication="0", status="999962042", careid="12345", applicationtype="999940001",
+                     guid="APP-1")]
+APPLICATION_ROWS = [dict(personid="010619A9501", priority="1", unitcode="123", childminder="&#x20;", startdate="20210901",
+                         days="0", extent="100", careid="12345")]
+DECISIONS = [dict(personid="010619A9501", decisiontype="426", decisionstatus="999420001", decisionunitcode="123",
+                  decisionchildminder="", startdate="20200401", enddate="", decisiondate="20201201", decisionnbr="1",
+                  extent="100", days="0", paydecision="1", factor="0.00", familysize="5", totalsum="10", guid="10")]
+PAY_DECISIONS = [dict(headoffamily="020967-9992", internaldecisionnumber="3843781", startdate="20200301",
+                      enddate="99991231", fee="492.00", decisionnumber="123456790", decisiondate="20200101",
+                      status="999420001", guid="paydecision3843781")]
+PAY_ROWS = [dict(internalid="3843781", rownumber="1", person="020967-9992", income="100.2", rowtype="1", guid="r1"),
+            dict(internalid="3843781", rownumber="2", person="", income="", specification="Perhekoko 2 (maksu 10.70%)",
+                 rowtype="3", guid="r2"),
+            dict(internalid="3843781", rownumber="3", person="010619A9501", income="", fee="492.00", rowtype="5",
+                 guid="r3"),
+            dict(internalid="3843781", rownumber="4", person="180476-998M", income="999999", rowtype="2", guid="r4")]
+DEVIATIONS = [dict(placementnbr="11", rownbr="1", deviationtype="5", startdate="20200301", enddate="", sum="0", procent="0"),
+              dict(placementnbr="12", rownbr="2", deviationtype="39", startdate="20200301", enddate="", sum="10",
+                   procent="0")]
+NEEDS = [dict(personid="010619A9501", specialneedcode="207", startdate="20190808", enddate="20200531")]
+MEANS = [dict(personid="010619A9501", specialneedcode="207", mean="438", startdate="20190808", enddate="20200531")]
+TS_HEADERS = [dict(rownumber="1122", childminder="010101-TP99", period="202101", rowtype="R", unit="0", department="0",
+                   personid="251118A9509", placementnumber="13")]
+TS_DETAILS = [dict(rownumber="1122", day="1", starttime1="0726", endtime1="1617", starttime2=" ", endtime2=" ")]
 CSV = {
     "unitmap": f"﻿effica_id|evaka_id\r\n123| {U1}\r\n125|{U2}\r\n",
     "childmindermap": f"﻿effica_id|evaka_id\r\n010101-TP99| {U2}\r\n",
@@ -91,7 +125,17 @@ def result(spark, tmp_path_factory):
     for table, element, rows in [("persons", "person", PERSONS), ("codes", "item", CODES),
                                  ("families", "personinfamily", FAMILIES), ("income", "income", INCOME),
                                  ("incomerows", "incomerow", INCOMEROWS), ("departments", "department", DEPARTMENTS),
-                                 ("placements", "placement", PLACEMENTS), ("placementextents", "placementextent", EXTENTS)]:
+                                 ("placements", "placement", PLACEMENTS), ("placementextents", "placementextent", EXTENTS),
+                                 ("dailyjournals", "DailyJournals", JOURNALS),
+                                 ("dailyjournalrows", "DailyJournalRows", JOURNAL_ROWS),
+                                 ("applications", "Application", APPLICATIONS),
+                                 ("applicationrows", "ApplicationRows", APPLICATION_ROWS),
+                                 ("decisions", "decision", DECISIONS), ("paydecisions", "PayDecision", PAY_DECISIONS),
+                                 ("paydecisionrows", "PayDecisionRows", PAY_ROWS),
+                                 ("feedeviations", "feedeviation", DEVIATIONS), ("specialneeds", "SpecialNeeds", NEEDS),
+                                 ("specialmeans", "SpecialMeans", MEANS),
+                                 ("timestampheaders", "TimeStampHeaders", TS_HEADERS),
+                                 ("timestampdetails", "TimeStampDetails", TS_DETAILS)]:
         with open(os.path.join(base, f"{table}.xml"), "w", encoding="utf-8") as f:
             f.write(_xml(element, rows))
     for table, text in CSV.items():
@@ -101,9 +145,7 @@ def result(spark, tmp_path_factory):
     staged["service_need_option"] = spark.createDataFrame(
         [(OPT_FULL, "full", "DAYCARE", 1.0), (OPT_PART, "part", "DAYCARE_PART_TIME", 0.6)],
         "id string, name_fi string, valid_placement_type string, fee_coefficient double")
-    jobs = ["persons", "families", "income", "departments", "placements", "service_needs", "cleanup"]
-    from registrar.plans import transform as T
-    return run_chain(staged, [(n, getattr(T, n)) for n in jobs])
+    return run_chain(staged, include_off=True)
 
 
 def test_persons(result):
@@ -164,3 +206,65 @@ def test_cleanup_drops_unused_group(result):
     removed = [r.effica_id for r in result["evaka_daycare_group_removed"].collect()]
     assert removed == [1251]
     assert [r.effica_id for r in result["evaka_daycare_group"].collect()] == [1231]
+
+
+def test_daily_journals(result):
+    ab = [(r.date, r.care_type, r.absence_type, r.effica_dailyjournalids) for r in result["evaka_absence"].collect()]
+    assert ab == [(D(2020, 3, 9), "DAYCARE", "SICKLEAVE", [123456])]
+    todo = [(r.date, r.reason) for r in result["evaka_absence_todo"].collect()]
+    assert todo == [(D(2020, 3, 24), "TYPE MISSING")]
+    bc = sorted((r.start_date, r.end_date, r.unit_id) for r in result["evaka_backup_care"].collect())
+    assert bc == [(D(2020, 3, 15), D(2020, 3, 17), U1), (D(2020, 3, 19), D(2020, 3, 19), U1)]
+
+
+def test_applications(result):
+    app = result["evaka_application"].collect()
+    assert [(r.type, r.status, r.sentdate, r.duedate, r.transferapplication) for r in app] == [
+        ("DAYCARE", "SENT", D(2021, 8, 1), D(2021, 11, 29), False)]
+    assert app[0].guardian_id is not None
+    form = result["evaka_application_form"].collect()
+    assert [(r.effica_priority, r.unit_id, r.service_need_option_id, r.preferred_start_date) for r in form] == [
+        (1, U1, OPT_FULL, D(2021, 9, 1))]
+
+
+def test_fee_deviations(result):
+    fa = [(r.type, r.notes, r.amount, r.is_absolute, r.valid_from) for r in result["evaka_fee_alteration"].collect()]
+    assert fa == [("DISCOUNT", "ALENNUS AP/IP", 10, True, D(2020, 3, 1))]
+
+
+def test_voucher_decisions(result):
+    d = result["evaka_voucher_value_decision"].collect()
+    assert len(d) == 1 and result["evaka_voucher_value_decision_todo"].count() == 0
+    r = d[0]
+    assert (r.status, r.status_group, r.voucher_value, r.final_co_payment, r.family_size) == ("SENT", "APPROVED", 1000, 100, 5)
+    assert r.placement_unit_id == U1 and r.service_need_option_id == OPT_FULL and r.valid_to is None
+    assert r.head_of_family_id is not None and r.partner_id is not None
+
+
+def test_pay_decisions(result):
+    import json
+    fd = result["evaka_fee_decision"].collect()
+    assert len(fd) == 1 and result["evaka_fee_decision_todo"].count() == 0
+    r = fd[0]
+    assert (r.status, r.status_group, r.family_size, r.decision_number, r.end_date) == ("SENT", "SENT", 2, 123456790, None)
+    head = json.loads(r.head_of_family_income)
+    assert head["effect"] == "INCOME" and head["data"] == {"MAIN_INCOME": 10020} and head["total"] == 10020
+    assert head["validFrom"] is None and head["worksAtECHA"] is False
+    partner = json.loads(r.partner_income)
+    assert partner["effect"] == "MAX_FEE_ACCEPTED" and partner["data"] == {} and partner["total"] == 0
+    kids = result["evaka_fee_decision_child"].collect()
+    assert [(k.fee, k.placement_unit_id, k.service_need_option_id, k.child_date_of_birth) for k in kids] == [
+        (49200, U1, OPT_FULL, D(2019, 6, 1))]
+
+
+def test_assistance(result):
+    need = [(r.effica_ssn, r.start_date, r.end_date, r.bases) for r in result["evaka_assistance_need"].collect()]
+    assert need == [("010619A9501", D(2019, 8, 8), D(2020, 5, 31), ["DEVELOPMENTAL_DISABILITY"])]
+    act = [(r.start_date, r.end_date, r.actions) for r in result["evaka_assistance_action"].collect()]
+    assert act == [(D(2019, 8, 8), D(2020, 5, 31), ["10"])]
+
+
+def test_timestamps(result):
+    att = result["evaka_child_attendance"].collect()
+    assert [(r.arrived, r.departed, r.unit_id) for r in att] == [
+        (dt.datetime(2021, 1, 1, 5, 26), dt.datetime(2021, 1, 1, 14, 17), U2)]
