@@ -268,3 +268,67 @@ def test_timestamps(result):
     att = result["evaka_child_attendance"].collect()
     assert [(r.arrived, r.departed, r.unit_id) for r in att] == [
         (dt.datetime(2021, 1, 1, 5, 26), dt.datetime(2021, 1, 1, 14, 17), U2)]
+
+
+@pytest.fixture(scope="module")
+def target(spark, result):
+    dims = dict(result)
+    dims["service_need_option"] = spark.createDataFrame(
+        [(OPT_FULL, "Kokopäiväinen", "Heldag", "Full", "DAYCARE", 1.0, "Kokopäiväinen", "Kokopäiväinen", 1.0,
+          "Kokopäiväinen", "Kokopäiväinen"),
+         (OPT_PART, "Osapäiväinen", "Deldag", "Part", "DAYCARE_PART_TIME", 0.6, "Osa", "Del", 0.6, "Osa", "Del")],
+        "id string, name_fi string, name_sv string, name_en string, valid_placement_type string, "
+        "fee_coefficient double, fee_description_fi string, fee_description_sv string, "
+        "voucher_value_coefficient double, voucher_value_description_fi string, voucher_value_description_sv string")
+    dims["voucher_value"] = spark.createDataFrame(
+        [("vv1", (D(2020, 3, 1), None), 82600, 1.55)],
+        "id string, validity struct<lower:date,upper:date>, base_value int, age_under_three_coefficient double")
+    return dims
+
+
+def test_transfer_voucher_and_fee_decisions(target):
+    import json
+    from registrar.plans import transfer as X
+    v = X.voucher_value_decisions(target)["voucher_value_decision"].collect()
+    assert len(v) == 1
+    r = v[0]
+    assert json.loads(r.fee_thresholds) == {"minIncomeThreshold": None, "maxIncomeThreshold": None,
+                                            "incomeMultiplier": None, "maxFee": None, "minFee": None}
+    assert (r.base_value, float(r.age_coefficient), r.placement_type) == (82600, 1.55, "DAYCARE")
+    assert r.service_need_voucher_value_description_fi == "Kokopäiväinen" and r.voucher_value == 1000
+    fd = X.fee_decisions(target)
+    row = fd["fee_decision"].collect()[0]
+    assert row.valid_during_text == "[2020-03-01,)" and row.valid_during.upper is None
+    kid = fd["fee_decision_child"].collect()[0]
+    assert kid.placement_type == "DAYCARE" and kid.fee == 49200
+
+
+def test_transfer_application_document(target):
+    import json
+    from registrar.plans import transfer as X
+    out = X.applications(target)
+    assert out["application"].collect()[0].origin == "ELECTRONIC"
+    doc = json.loads(out["application_form"].collect()[0].document)
+    assert doc["type"] == "DAYCARE" and doc["apply"]["preferredUnits"] == [U1]
+    assert doc["serviceNeedOption"]["id"] == OPT_FULL and doc["preferredStartDate"] == "2021-09-01"
+    assert doc["child"]["socialSecurityNumber"] == "010619A9501" and doc["child"]["nationality"] == "FI"
+    assert doc["guardian"]["lastName"] == "Authentic" and doc["guardian2"] is None
+
+
+def test_transfer_placements_groups(target):
+    from registrar.plans import transfer as X
+    out = X.placements(target)
+    synth = out["daycare_group"].collect()
+    assert [(g.daycare_id, g.name, g.start_date, g.end_date) for g in synth] == [(U2, "Ryhmä", D(2020, 3, 1), D(2020, 12, 31))]
+    gp = out["daycare_group_placement"].collect()
+    assert len(gp) == 3 and all(g.daycare_group_id is not None for g in gp)
+    assert out["child"].count() == 2
+
+
+def test_publish_all_is_idempotent_for_conflicting_tables(spark, target, tmp_path):
+    from registrar.plans import transfer as X
+    first = X.publish_all(target, str(tmp_path / "target"))
+    assert first["persons"]["person"] == 6 and first["placements"]["placement"] == 3
+    assert first["departments"]["daycare_caretaker"] == 1
+    again = X.persons({**target, "person": spark.read.parquet(str(tmp_path / "target" / "person"))})
+    assert again["person"].count() == 0
