@@ -122,3 +122,11 @@ def analyze(spark: SparkSession, tables: Sequence[str]) -> dict[str, str]:
         except Exception as e:  # report per table, continue with the rest
             out[t] = f"error: {type(e).__name__}"
     return out
+
+
+def read_back(df: DataFrame, order_by: Sequence[str] | None = None, return_all: bool = True,
+              table: str = "result") -> DataFrame:
+    """K8 / O1: the published rows ordered by the entity keys, or the one-row count."""
+    if not return_all:
+        return count_as(df, table)
+    return df.orderBy(*order_by) if order_by else df
