@@ -84,8 +84,13 @@ def _bins(lo: Column, hi: Column, bin_days: int) -> Column:
     return F.when(a <= b, F.sequence(a, b)).otherwise(F.array().cast("array<bigint>"))
 
 
-def _max_date_scalar(*cols: tuple[DataFrame, str]) -> Column:
-    """Scalar subquery: the largest of the given date columns (one job, one value)."""
+def max_date(*cols: tuple[DataFrame, str]) -> Column:
+    """Scalar subquery: the largest of the given date columns (one job, one value).
+
+    Used as the cap for open ends. Any value not below the true maximum of
+    the starts (resp. points) is correct, it only adds bins; callers whose
+    join inputs come out of other joins pass a cap computed on the raw
+    table column instead, so the upstream joins are not run twice."""
     parts = [df.select(F.max(F.col(c)).alias("m")) for df, c in cols]
     u = parts[0]
     for p in parts[1:]:
@@ -95,7 +100,7 @@ def _max_date_scalar(*cols: tuple[DataFrame, str]) -> Column:
 
 def overlap_join(left: DataFrame, right: DataFrame, on: Sequence[str],
                  left_interval: tuple[str, str], right_interval: tuple[str, str],
-                 bin_days: int = DEFAULT_BIN_DAYS) -> DataFrame:
+                 bin_days: int = DEFAULT_BIN_DAYS, cap: Column | None = None) -> DataFrame:
     """Pairs with equal keys whose closed intervals intersect.
 
     Output: every column of both sides (right key columns dropped) plus
@@ -104,7 +109,7 @@ def overlap_join(left: DataFrame, right: DataFrame, on: Sequence[str],
     """
     ls, le = left_interval
     rs, re_ = right_interval
-    cap = _max_date_scalar((left, ls), (right, rs))
+    cap = cap if cap is not None else max_date((left, ls), (right, rs))
     lb = left.withColumn("_bin", F.explode(_bins(F.col(ls), F.least(end_or_open(le), cap), bin_days)))
     rkeys = [f"_rk_{k}" for k in on]
     rb = right.select(*[F.col(k).alias(rk) for k, rk in zip(on, rkeys)],
@@ -124,7 +129,7 @@ def overlap_join(left: DataFrame, right: DataFrame, on: Sequence[str],
 def point_in_interval_join(points: DataFrame, intervals: DataFrame, on: Sequence[str],
                            point_col: str, interval: tuple[str, str],
                            half_open: bool = False, how: str = "inner",
-                           bin_days: int = DEFAULT_BIN_DAYS) -> DataFrame:
+                           bin_days: int = DEFAULT_BIN_DAYS, cap: Column | None = None) -> DataFrame:
     """Attach every interval (same key) that contains the point.
 
     ``how='left'`` keeps points without a covering interval (interval columns
@@ -133,7 +138,7 @@ def point_in_interval_join(points: DataFrame, intervals: DataFrame, on: Sequence
     date); the bins still spread the work.
     """
     s, e = interval
-    cap = _max_date_scalar((points, point_col))
+    cap = cap if cap is not None else max_date((points, point_col))
     last_day = (F.date_sub(F.col(e), 1) if half_open else F.col(e))
     hi = F.least(F.coalesce(last_day, open_end()), cap)
     ikeys = [f"_ik_{k}" for k in on]

@@ -86,7 +86,8 @@ def families(t: Tables) -> dict[str, DataFrame]:
         F.col("personid").alias("child_ssn"), F.col("person_id").alias("child_id"),
         F.col("familynbr").alias("family_number"), F.col("startdate").alias("c_start"),
         F.coalesce(F.col("enddate"), F.date_sub(F.add_months(F.col("dob"), 216), 1)).alias("c_end"))
-    links = iv.overlap_join(hofs, kids, ["family_number"], ("h_start", "h_end"), ("c_start", "c_end"))
+    cap = iv.max_date((f, "startdate"))
+    links = iv.overlap_join(hofs, kids, ["family_number"], ("h_start", "h_end"), ("c_start", "c_end"), cap=cap)
     child = links.select(
         ident.hash_uuid("FRIDGE_CHILD", "family_number", "hof_ssn", "child_ssn", "overlap_start",
                         "overlap_end").alias("id"),
@@ -104,7 +105,7 @@ def families(t: Tables) -> dict[str, DataFrame]:
     partners = f.filter(F.col("roleinfamily") == "S").select(
         F.col("personid").alias("partner_ssn"), F.col("familynbr").alias("family_number"),
         F.col("startdate").alias("p_start"), F.col("enddate").alias("p_end"))
-    ps = iv.overlap_join(heads, partners, ["family_number"], ("h_start", "h_end"), ("p_start", "p_end"))
+    ps = iv.overlap_join(heads, partners, ["family_number"], ("h_start", "h_end"), ("p_start", "p_end"), cap=cap)
     ps = ps.withColumn("partnership_id", ident.hash_uuid("PARTNERSHIP", "family_number", "hof_ssn", "partner_ssn",
                                                          "overlap_start", "overlap_end"))
     members = (ps.select("partnership_id", "family_number", "overlap_start", "overlap_end",

@@ -28,3 +28,12 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["o_orderkey", "o_custkey", "start_date", "end_date", "reason"]
     assert df.count() >= 0
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_output_types_are_portable(spark, con, name):
+    df = entry.queries()[name](spark, SF)
+    assert all(t in ("bigint", "double", "string", "boolean") for _, t in df.dtypes), df.dtypes
+    sql = entry.oracle_sql()[name]
+    kinds = {r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    assert kinds <= {"BIGINT", "DOUBLE", "VARCHAR", "BOOLEAN"}, kinds
