@@ -11,7 +11,8 @@ from . import intervals as iv
 
 
 def repair_branch_join(left: DataFrame, right: DataFrame, on: Sequence[str],
-                       left_interval: tuple[str, str], right_interval: tuple[str, str]) -> DataFrame:
+                       left_interval: tuple[str, str], right_interval: tuple[str, str],
+                       cap=None) -> DataFrame:
     """Pairs where either
       (repair) the right row is broken (start after end), the left row is open
                and both start on the same day; or
@@ -31,5 +32,5 @@ def repair_branch_join(left: DataFrame, right: DataFrame, on: Sequence[str],
                         [*[open_left[k] == broken[k] for k in on], open_left[ls] == F.col("_rs")], "inner")
     b1 = b1.select(*[open_left[c] for c in left.columns], *[F.col("_rs").alias(rs) if c == rs else broken[c] for c in rcols])
     normal = right.filter(F.col(re_).isNull() | (F.col(re_) > F.col(rs)))
-    b2 = iv.overlap_join(left, normal, on, left_interval, right_interval).drop("overlap_start", "overlap_end")
+    b2 = iv.overlap_join(left, normal, on, left_interval, right_interval, cap=cap).drop("overlap_start", "overlap_end")
     return b2.select(*left.columns, *rcols).unionByName(b1.select(*left.columns, *rcols))

@@ -96,11 +96,24 @@ def extent_option(df: DataFrame, t: Tables, code_col: str, days_col: str, out: s
     return j.drop("_em_k", "_em_days")
 
 
+def materialize(df: DataFrame, name: str = "intermediate") -> DataFrame:
+    """Write an intermediate that several consumers read as a parquet table in
+    a fresh folder under the shared ``spark.checkpoint.dir`` and read it back:
+    it is computed once instead of once per consumer, and a lost executor
+    recomputes from the written table, not from the whole lineage."""
+    from ...session import scratch_path
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def split(flagged: DataFrame, key: Sequence[str], unique: bool = True):
     """Clean rows (no reason) and one todo row per reason. When ``key`` may
     repeat, every row of a key with a reason leaves the clean table (the
-    legacy ``DELETE ... WHERE id IN (todo)``)."""
+    legacy ``DELETE ... WHERE id IN (todo)``). The flagged rows are
+    materialized once, so the two outputs do not recompute the job."""
     from ...operators import quality as q
+    flagged = materialize(flagged)
     todo = q.todo(flagged)
     clean = q.clean(flagged) if unique else q.remove_keys(flagged.drop(q.REASONS), todo, key)
     return clean, todo

@@ -14,8 +14,8 @@ from ...operators import identity as ident
 from ...operators import intervals as iv
 from ...operators import quality as q
 from ...sinks.publish import delete_by_keys
-from ._common import (Tables, extent_option, filtered, get, id_map_update, person_lookup, split, unique_dim,
-                      unit_lookup, with_ids)
+from ._common import (Tables, extent_option, filtered, get, id_map_update, materialize, person_lookup, split,
+                      unique_dim, unit_lookup, with_ids)
 
 SERVICE_NEED_OPTION_SCHEMA = "id string, name_fi string, valid_placement_type string, fee_coefficient decimal(10,4)"
 
@@ -61,7 +61,7 @@ def placements(t: Tables) -> dict[str, DataFrame]:
         dom.daycare_end_date("effica_ssn", "start_date"))
     rows = rows.withColumn("_was_open", F.col("end_date").isNull())
     rows = rows.withColumn("end_date", F.coalesce("end_date", default_end))
-    rows = iv.conflicts(rows, ["effica_ssn"], "start_date", "end_date",
+    rows = iv.conflicts(materialize(rows), ["effica_ssn"], "start_date", "end_date",
                         valid=iv.valid_interval("start_date", "end_date", allow_open=False))
     flagged = q.flag(rows, [
         ("PERSON MISSING", F.col("child_id").isNull()),
@@ -88,7 +88,7 @@ def service_needs(t: Tables) -> dict[str, DataFrame]:
     rows = dedupe.keep_first(rows, ["effica_placement_nbr", "start_date", "end_date", "effica_extent_code"],
                              ["effica_extent_nbr"])
     rows = rows.withColumn("id", ident.hash_uuid("SERVICE_NEED", "effica_placement_nbr", "effica_extent_nbr"))
-    rows = iv.conflicts(rows, ["effica_placement_nbr"], "start_date", "end_date",
+    rows = iv.conflicts(materialize(rows), ["effica_placement_nbr"], "start_date", "end_date",
                         valid=iv.valid_interval("start_date", "end_date", allow_open=False))
     flagged = q.flag(rows, [("OPTION MISSING", F.col("option_id").isNull()),
                             ("START AFTER END", F.col("start_date") > F.col("end_date")),

@@ -14,8 +14,8 @@ from ...operators import identity as ident
 from ...operators import intervals as iv
 from ...operators import quality as q
 from ...operators.joins import repair_branch_join
-from ._common import (Tables, extent_option, filtered, get, id_map_update, person_lookup, split, unit_lookup,
-                      with_ids)
+from ._common import (Tables, extent_option, filtered, get, id_map_update, materialize, person_lookup, split,
+                      unit_lookup, with_ids)
 
 EARLIEST = "0001-01-01"
 
@@ -26,14 +26,16 @@ def _main_income(amount: Column) -> Column:
                                  F.lit(dic.DEFAULT_INCOME_PERIOD).alias("coefficient")))
 
 
-def income(t: Tables) -> dict[str, DataFrame]:
+def income(t: Tables, date_cap: Column | None = None) -> dict[str, DataFrame]:
     """Incomes with their income rows as a typed ``data`` map.
 
     Rows attach to an income when their intervals intersect, or through the
     repair branch (a broken row starting on the same day as an open income).
     Duplicate income types collapse to the latest row. When the weighted
     total of the map differs from the declared total, the map is replaced by
-    a single MAIN_INCOME entry of the declared total."""
+    a single MAIN_INCOME entry of the declared total. ``date_cap`` (any date
+    not before every start) bounds the bins of open intervals; by default it
+    is taken from the two inputs."""
     inc = get(t, "income")
     key = ["personid", "maxincome", "incomemissing", "startdate", "enddate", "summa"]
     inc = inc.select(*key).distinct().withColumn("_iid", ident.hash_uuid("INCOME", *key))
@@ -42,16 +44,19 @@ def income(t: Tables) -> dict[str, DataFrame]:
         "incomeperiod", "incometype", F.col("summa").alias("r_summa"), F.col("guid").alias("r_guid"),
         F.lit(1).alias("_r_hit"))
     pairs = repair_branch_join(inc.select("_iid", "personid", "startdate", "enddate"), rows, ["personid"],
-                               ("startdate", "enddate"), ("r_start", "r_end"))
+                               ("startdate", "enddate"), ("r_start", "r_end"), cap=date_cap)
     typ = F.coalesce(codes.map_code("incometype", dic.INCOME_TYPE, key_type="int"), F.lit(dic.UNKNOWN_INCOME_TYPE))
     period = F.coalesce(codes.map_code("incomeperiod", dic.INCOME_PERIOD, key_type="int"),
                         F.lit(dic.UNKNOWN_INCOME_PERIOD))
     value = F.struct(dom.to_cents("r_summa").alias("amount"), period.alias("coefficient"))
     entries = pairs.withColumn("_type", typ)
-    data = agg.object_aggregate(entries, ["_iid"], "_type", value,
-                                F.struct("r_start", "r_guid", "incomeperiod", "r_summa"), out="_rows_map")
-    counts = pairs.groupBy("_iid").agg(F.count("_r_hit").alias("_n"))
-    j = inc.join(data, "_iid", "left").join(counts, "_iid", "left")
+    # one pass over the pairs: last value per (income, type) and the match count
+    per_type = entries.groupBy("_iid", "_type").agg(
+        F.max_by(value, F.struct("r_start", "r_guid", "incomeperiod", "r_summa")).alias("_v"),
+        F.count("_r_hit").alias("_c"))
+    data = per_type.groupBy("_iid").agg(
+        F.map_from_entries(F.collect_list(F.struct("_type", "_v"))).alias("_rows_map"), F.sum("_c").alias("_n"))
+    j = inc.join(data, "_iid", "left")
     empty = F.create_map().cast("map<string,struct<amount:bigint,coefficient:string>>")
     total = dom.to_cents("summa")
     shaped = (F.when(F.col("maxincome"), empty).when(F.col("incomemissing"), empty)
@@ -67,7 +72,7 @@ def income(t: Tables) -> dict[str, DataFrame]:
                    dom.income_effect("maxincome", "incomemissing").alias("effect"),
                    F.col("startdate").alias("valid_from"), F.col("enddate").alias("valid_to"), "income_total")
     # Q2: no two incomes of a person may overlap (the legacy exclusion constraint)
-    checked = iv.conflicts(out, ["person_id"], "valid_from", "valid_to")
+    checked = iv.conflicts(materialize(out), ["person_id"], "valid_from", "valid_to")
     flagged = q.flag(checked, [("OVERLAPPING INCOME", F.col("overlapping"))]).drop("overlapping")
     clean, todo = split(flagged, ["id"])
     return {"evaka_income": clean, "evaka_income_todo": todo}
@@ -150,7 +155,7 @@ def voucher_value_decisions(t: Tables) -> dict[str, DataFrame]:
     rows = closed.unionByName(rows.filter(F.col("status_group").isNull()))
     rows = rows.withColumn("_vf", F.coalesce("valid_from", F.lit(EARLIEST).cast("date")))
     valid = (F.col("valid_from") <= F.col("valid_to")) | F.col("valid_from").isNull() | F.col("valid_to").isNull()
-    rows = iv.conflicts(rows, ["effica_ssn", "status_group"], "_vf", "valid_to", valid=valid).drop("_vf")
+    rows = iv.conflicts(materialize(rows), ["effica_ssn", "status_group"], "_vf", "valid_to", valid=valid).drop("_vf")
     flagged = q.flag(rows, [
         ("STATUS MISSING", F.col("status").isNull()),
         ("HEAD OF FAMILY MISSING", F.col("head_of_family_id").isNull()),
@@ -209,7 +214,7 @@ def pay_decisions(t: Tables) -> dict[str, DataFrame]:
         _income_document(F.col("_pr.income")).alias("partner_income"), "family_size",
         F.col("decisionnumber").cast("long").alias("decision_number"))
     idmap = id_map_update(t, "PAY_DECISION", fee.select(F.col("effica_guid").alias("guid"), "id"), "guid", "id")
-    fee = iv.conflicts(fee, ["effica_ssn", "status_group"], "start_date", "end_date")
+    fee = iv.conflicts(materialize(fee), ["effica_ssn", "status_group"], "start_date", "end_date")
     flagged = q.flag(fee, [("STATUS MISSING", F.col("status").isNull()),
                            ("START AFTER END", F.col("start_date") > F.col("end_date")),
                            ("OVERLAPPING FEE DECISION", F.col("overlapping")),

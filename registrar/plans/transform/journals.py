@@ -12,7 +12,7 @@ from ...operators import identity as ident
 from ...operators import intervals as iv
 from ...operators import quality as q
 from ...operators import rows as R
-from ._common import Tables, get, person_lookup, split, unique_dim, unit_lookup
+from ._common import Tables, get, materialize, person_lookup, split, unique_dim, unit_lookup
 
 # Care types per placement type (absences are recorded per care type).
 CARE_TYPES = {
@@ -72,7 +72,7 @@ def daily_journals(t: Tables) -> dict[str, DataFrame]:
     isl = iv.islands(b, ["child_id", "unit_id", "group_id"], "date")
     bc = isl.select(ident.hash_uuid("BACKUP_CARE", "child_id", "unit_id", "group_id", "start_date").alias("id"),
                     "child_id", "unit_id", "group_id", "start_date", "end_date")
-    bc = iv.conflicts(bc, ["child_id"], "start_date", "end_date", valid=F.lit(True))
+    bc = iv.conflicts(materialize(bc), ["child_id"], "start_date", "end_date", valid=F.lit(True))
     bflag = q.flag(bc, [("CHILD MISSING", F.col("child_id").isNull()),
                         ("UNIT MISSING", F.col("unit_id").isNull()),
                         ("OVERLAPPING BACKUP CARE", F.col("overlapping"))]).drop("overlapping")

@@ -10,7 +10,7 @@ from ...operators import identity as ident
 from ...operators import intervals as iv
 from ...operators import quality as q
 from ...sinks.publish import insert_ignore_rows
-from ._common import Tables, filtered, get, id_map_update, person_lookup, split, with_ids
+from ._common import Tables, filtered, get, id_map_update, materialize, person_lookup, split, with_ids
 
 PERSON_SCHEMA = ("id string, effica_guid string, social_security_number string, last_name string, "
                  "first_name string, email string, language string, street_address string, postal_code string, "
@@ -65,7 +65,7 @@ def persons(t: Tables) -> dict[str, DataFrame]:
             "idmap": id_map_update(t, "PERSON", mapped, "guid", "id")}
 
 
-def families(t: Tables) -> dict[str, DataFrame]:
+def families(t: Tables, date_cap=None) -> dict[str, DataFrame]:
     """Family rows -> child links and partnerships, with quarantine.
 
     Child links: heads ('R') x children ('B') of the same family whose
@@ -86,14 +86,14 @@ def families(t: Tables) -> dict[str, DataFrame]:
         F.col("personid").alias("child_ssn"), F.col("person_id").alias("child_id"),
         F.col("familynbr").alias("family_number"), F.col("startdate").alias("c_start"),
         F.coalesce(F.col("enddate"), F.date_sub(F.add_months(F.col("dob"), 216), 1)).alias("c_end"))
-    cap = iv.max_date((f, "startdate"))
+    cap = date_cap if date_cap is not None else iv.max_date((f, "startdate"))
     links = iv.overlap_join(hofs, kids, ["family_number"], ("h_start", "h_end"), ("c_start", "c_end"), cap=cap)
     child = links.select(
         ident.hash_uuid("FRIDGE_CHILD", "family_number", "hof_ssn", "child_ssn", "overlap_start",
                         "overlap_end").alias("id"),
         "child_id", "child_ssn", "head_of_family", "hof_ssn", "family_number",
         F.col("overlap_start").alias("start_date"), F.col("overlap_end").alias("end_date"))
-    child = iv.conflicts(child, ["child_id"], "start_date", "end_date",
+    child = iv.conflicts(materialize(child), ["child_id"], "start_date", "end_date",
                          valid=iv.valid_interval("start_date", "end_date", allow_open=False))
     child_flag = q.flag(child, [("OVERLAPPING", F.col("overlapping")),
                                 ("START AFTER END", F.col("start_date") > F.col("end_date"))]).drop("overlapping")
@@ -116,7 +116,7 @@ def families(t: Tables) -> dict[str, DataFrame]:
     partner = members.select("partnership_id", "person_id", "effica_ssn", "indx", "family_number",
                              F.col("overlap_start").alias("start_date"),
                              F.col("overlap_end").alias("end_date")).distinct()
-    partner = iv.conflicts(partner, ["person_id"], "start_date", "end_date", role="indx", roles=[1, 2])
+    partner = iv.conflicts(materialize(partner), ["person_id"], "start_date", "end_date", role="indx", roles=[1, 2])
     partner_flag = q.flag(partner, [("OVERLAPPING", F.col("overlapping")),
                                     ("START AFTER END", F.col("start_date") > F.col("end_date"))]).drop("overlapping")
     partner_clean, partner_todo = split(partner_flag, ["partnership_id", "indx"])
