@@ -37,10 +37,20 @@ def journal_days(t: Tables) -> DataFrame:
                     period_day("period", "day_of_month").alias("date"), "reportcode")
 
 
-def daily_journals(t: Tables) -> dict[str, DataFrame]:
+def daily_journals(t: Tables, only: set[str] | None = None) -> dict[str, DataFrame]:
+    """Absences and backup care from the journal rows. ``only``
+    ({"absence"} or {"backup_care"}) builds just that branch."""
     days = journal_days(t)
     person = get(t, "evaka_person")
-    # --- absences
+    out: dict[str, DataFrame] = {}
+    if only is None or "absence" in only:
+        out.update(_absences(t, days, person))
+    if only is None or "backup_care" in only:
+        out.update(_backup_care(t, days, person))
+    return out
+
+
+def _absences(t: Tables, days: DataFrame, person: DataFrame) -> dict[str, DataFrame]:
     a = days.filter(codes.tristate_keep("reportcode", dic.REPORT_CODE_ABSENCE, key_type="int"))
     a = person_lookup(a, person, "personid", {"id": "child_id"})
     pl = get(t, "evaka_placement").select(F.col("child_id").alias("_pc"), F.col("type").alias("_ptype"),
@@ -62,7 +72,11 @@ def daily_journals(t: Tables) -> dict[str, DataFrame]:
                         ("TYPE MISSING", F.col("absence_type").isNull()),
                         ("INVALID DATE", F.col("date").isNull())])
     ab_clean, ab_todo = split(aflag, ["id"], unique=False)
-    # --- backup care: consecutive days per (child, unit, group) collapse to one period
+    return {"evaka_absence": ab_clean, "evaka_absence_todo": ab_todo}
+
+
+def _backup_care(t: Tables, days: DataFrame, person: DataFrame) -> dict[str, DataFrame]:
+    # consecutive days per (child, unit, group) collapse to one period
     b = days.filter(codes.in_list("reportcode", dic.BACKUP_CARE_CODES) & F.col("date").isNotNull())
     b = person_lookup(b, person, "personid", {"id": "child_id"})
     b = unit_lookup(b, t, "unit", "childminder", "unit_id")
@@ -77,8 +91,7 @@ def daily_journals(t: Tables) -> dict[str, DataFrame]:
                         ("UNIT MISSING", F.col("unit_id").isNull()),
                         ("OVERLAPPING BACKUP CARE", F.col("overlapping"))]).drop("overlapping")
     bc_clean, bc_todo = split(bflag, ["id"], unique=False)
-    return {"evaka_absence": ab_clean, "evaka_absence_todo": ab_todo,
-            "evaka_backup_care": bc_clean, "evaka_backup_care_todo": bc_todo}
+    return {"evaka_backup_care": bc_clean, "evaka_backup_care_todo": bc_todo}
 
 
 def timestamps(t: Tables) -> dict[str, DataFrame]:

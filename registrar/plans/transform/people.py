@@ -65,7 +65,7 @@ def persons(t: Tables) -> dict[str, DataFrame]:
             "idmap": id_map_update(t, "PERSON", mapped, "guid", "id")}
 
 
-def families(t: Tables, date_cap=None) -> dict[str, DataFrame]:
+def families(t: Tables, date_cap=None, only: set[str] | None = None) -> dict[str, DataFrame]:
     """Family rows -> child links and partnerships, with quarantine.
 
     Child links: heads ('R') x children ('B') of the same family whose
@@ -75,6 +75,16 @@ def families(t: Tables, date_cap=None) -> dict[str, DataFrame]:
     links; a person in overlapping partnerships with different indices."""
     f = filtered(t, "families")
     person = get(t, "evaka_person")
+    cap = date_cap if date_cap is not None else iv.max_date((f, "startdate"))
+    out: dict[str, DataFrame] = {}
+    if only is None or "child" in only:
+        out.update(_child_links(f, person, cap))
+    if only is None or "partner" in only:
+        out.update(_partnerships(f, person, cap))
+    return out
+
+
+def _child_links(f: DataFrame, person: DataFrame, cap) -> dict[str, DataFrame]:
     pcols = {"id": "person_id", "date_of_birth": "dob"}
     hofs = person_lookup(f.filter(F.col("roleinfamily") == "R"), person, "personid", pcols)
     hofs = hofs.filter(F.col("person_id").isNotNull()).select(
@@ -86,7 +96,6 @@ def families(t: Tables, date_cap=None) -> dict[str, DataFrame]:
         F.col("personid").alias("child_ssn"), F.col("person_id").alias("child_id"),
         F.col("familynbr").alias("family_number"), F.col("startdate").alias("c_start"),
         F.coalesce(F.col("enddate"), F.date_sub(F.add_months(F.col("dob"), 216), 1)).alias("c_end"))
-    cap = date_cap if date_cap is not None else iv.max_date((f, "startdate"))
     links = iv.overlap_join(hofs, kids, ["family_number"], ("h_start", "h_end"), ("c_start", "c_end"), cap=cap)
     child = links.select(
         ident.hash_uuid("FRIDGE_CHILD", "family_number", "hof_ssn", "child_ssn", "overlap_start",
@@ -98,7 +107,10 @@ def families(t: Tables, date_cap=None) -> dict[str, DataFrame]:
     child_flag = q.flag(child, [("OVERLAPPING", F.col("overlapping")),
                                 ("START AFTER END", F.col("start_date") > F.col("end_date"))]).drop("overlapping")
     child_clean, child_todo = split(child_flag, ["id"])
+    return {"evaka_fridge_child": child_clean, "evaka_fridge_child_todo": child_todo}
+
 
+def _partnerships(f: DataFrame, person: DataFrame, cap) -> dict[str, DataFrame]:
     heads = f.filter(F.col("roleinfamily") == "R").select(
         F.col("personid").alias("hof_ssn"), F.col("familynbr").alias("family_number"),
         F.col("startdate").alias("h_start"), F.col("enddate").alias("h_end"))
@@ -120,5 +132,4 @@ def families(t: Tables, date_cap=None) -> dict[str, DataFrame]:
     partner_flag = q.flag(partner, [("OVERLAPPING", F.col("overlapping")),
                                     ("START AFTER END", F.col("start_date") > F.col("end_date"))]).drop("overlapping")
     partner_clean, partner_todo = split(partner_flag, ["partnership_id", "indx"])
-    return {"evaka_fridge_child": child_clean, "evaka_fridge_child_todo": child_todo,
-            "evaka_fridge_partner": partner_clean, "evaka_fridge_partner_todo": partner_todo}
+    return {"evaka_fridge_partner": partner_clean, "evaka_fridge_partner_todo": partner_todo}
