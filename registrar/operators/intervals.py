@@ -217,7 +217,10 @@ def conflicts(df: DataFrame, keys: Sequence[str], start: str, end: str,
 def next_start(df: DataFrame, keys: Sequence[str], start: str, out: str = "next_start") -> DataFrame:
     """The smallest strictly later start of the same key (NULL if none)."""
     keys = list(keys)
-    d = df.select(*keys, start).filter(F.col(start).isNotNull()).distinct()
+    d = df.select(*keys, start).filter(F.col(start).isNotNull())
+    for k in keys:  # a NULL key equals nothing, so such rows get no next start
+        d = d.filter(F.col(k).isNotNull())
+    d = d.distinct()
     w = Window.partitionBy(*keys).orderBy(F.col(start))
     d = d.withColumn(out, F.lead(F.col(start)).over(w))
     return df.join(d, on=[*keys, start], how="left")

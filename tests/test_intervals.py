@@ -84,7 +84,7 @@ def test_close_open_ends(spark):
         if a[3] is not None:
             assert got[a[0]] == a[3]
             continue
-        later = [b[2] for b in data if b[1] is not None and b[1] == a[1] and b[2] > a[2]]
+        later = [b[2] for b in data if a[1] is not None and b[1] == a[1] and b[2] > a[2]]
         want = (min(later) - dt.timedelta(days=1)) if later else None
         assert got[a[0]] == want, a
 
