@@ -269,3 +269,42 @@ def _and_all(conds: Sequence[Column]) -> Column:
     for c in conds[1:]:
         out = out & c
     return out
+
+
+def value_set_periods(df: DataFrame, keys: Sequence[str], start: str, end: str, value: str,
+                      values: Sequence[str], out: str = "values",
+                      start_out: str = "start_date", end_out: str = "end_date") -> DataFrame:
+    """Maximal periods per key during which the set of active values is the
+    same and non-empty (T1 + per-day set + W1, computed without expanding days).
+
+    Equal to: expand every valid interval to its days, form per (key, day) the
+    sorted set of values, and merge runs of consecutive days with the same
+    set. Instead of one row per day, each interval contributes two boundary
+    events (+1 at its start, -1 the day after its end); running counts per
+    value over the boundary dates give the active set of each segment between
+    boundaries, and adjacent segments with equal sets are merged. Work is
+    proportional to the number of intervals, not of days; ``values`` (the
+    dictionary of possible values, bounded) fixes the pivot width.
+    """
+    keys = list(keys)
+    ok = (df.filter(F.col(start).isNotNull() & F.col(end).isNotNull() & (F.col(start) <= F.col(end))
+                    & F.col(value).isNotNull())
+          .select(*keys, start, end, value))
+    ev = (ok.select(*keys, F.col(start).alias("_d"), value, F.lit(1).alias("_delta"))
+          .unionByName(ok.select(*keys, F.date_add(F.col(end), 1).alias("_d"), value, F.lit(-1).alias("_delta"))))
+    deltas = [F.sum(F.when(F.col(value) == F.lit(v), F.col("_delta")).otherwise(0)).alias(f"_dv{i}")
+              for i, v in enumerate(values)]
+    b = ev.groupBy(*keys, "_d").agg(*deltas)
+    w = Window.partitionBy(*keys).orderBy("_d")
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    active = F.array(*[F.when(F.sum(f"_dv{i}").over(upto) > 0, F.lit(v)) for i, v in enumerate(values)])
+    seg = b.select(*keys, "_d", F.array_sort(F.filter(active, lambda x: x.isNotNull())).alias("_set"),
+                   F.date_sub(F.lead("_d").over(w), 1).alias("_e"))
+    seg = seg.filter((F.size("_set") > 0) & F.col("_e").isNotNull())
+    prev_e = F.lag("_e").over(w)
+    prev_set = F.lag("_set").over(w)
+    new_run = prev_e.isNull() | (F.date_add(prev_e, 1) != F.col("_d")) | (prev_set != F.col("_set"))
+    seg = seg.withColumn("_new", F.when(new_run, 1).otherwise(0))
+    seg = seg.withColumn("_run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return (seg.groupBy(*keys, "_run", F.col("_set").alias(out))
+            .agg(F.min("_d").alias(start_out), F.max("_e").alias(end_out)).drop("_run"))

@@ -14,20 +14,21 @@ from ._common import Tables, get, person_lookup, split
 
 
 def _periods(t: Tables, table: str, code_col: str, mapping: dict, out: str, kind: str) -> DataFrame:
-    """Each row's interval is expanded to days (open end: 31 July of the
-    birth year + 6 years, else start + 6 years - 1 day); per (child, day) the
-    sorted set of mapped values is formed; runs of consecutive days with the
-    same set collapse to one period."""
+    """Each row's interval (open end: 31 July of the birth year + 6 years,
+    else start + 6 years - 1 day) contributes its mapped value; the result is
+    the maximal periods per child with the same sorted set of values on every
+    day, as the legacy day expansion + islands gives, computed by a boundary
+    sweep (``value_set_periods``) instead of one row per day."""
     src = get(t, table)
     src = person_lookup(src, get(t, "evaka_person"), "personid", {"id": "child_id", "date_of_birth": "_dob"})
     fallback = F.coalesce(F.add_months(F.make_date(F.year("_dob"), F.lit(7), F.lit(31)), 72),
                           F.date_sub(F.add_months(F.col("startdate"), 72), 1))
     src = src.withColumn("_end", F.coalesce(F.col("enddate"), fallback))
-    src = src.withColumn("_value", codes.map_code(code_col, {k: str(v) for k, v in mapping.items()}, key_type="int"))
-    days = iv.expand_days(src.filter(F.col("_value").isNotNull()), "startdate", "_end", "date")
-    per_day = days.groupBy(F.col("personid").alias("effica_ssn"), "child_id", "date").agg(
-        F.array_sort(F.collect_set("_value")).alias(out))
-    isl = iv.islands(per_day, ["effica_ssn", "child_id", out], "date")
+    values = {k: str(v) for k, v in mapping.items()}
+    src = src.withColumn("_value", codes.map_code(code_col, values, key_type="int"))
+    src = src.withColumnRenamed("personid", "effica_ssn")
+    isl = iv.value_set_periods(src, ["effica_ssn", "child_id"], "startdate", "_end", "_value",
+                               sorted(set(values.values())), out=out)
     rows = isl.select(ident.hash_uuid(kind, "effica_ssn", "start_date", F.array_join(out, ",")).alias("id"),
                       "effica_ssn", "child_id", "start_date", "end_date", out)
     flagged = q.flag(rows, [("PERSON MISSING", F.col("child_id").isNull())])

@@ -138,3 +138,42 @@ def test_islands_and_expand(spark):
     ex = spark.createDataFrame([(1, BASE, BASE + dt.timedelta(days=2)), (2, BASE, BASE - dt.timedelta(days=1)),
                                 (3, BASE, None)], "k long, s date, e date")
     assert iv.expand_days(ex, "s", "e").count() == 3
+
+
+@pytest.mark.parametrize("seed", [21, 22, 23])
+def test_value_set_periods_match_day_expansion(spark, seed):
+    rnd = random.Random(seed)
+    vals = ["A", "B", "C"]
+    rows = []
+    for i in range(250):
+        k = 0 if rnd.random() < 0.4 else rnd.randint(1, 6)
+        s = BASE + dt.timedelta(days=rnd.randint(0, 120))
+        e = None if rnd.random() < 0.05 else s + dt.timedelta(days=rnd.randint(-2, 25))
+        v = None if rnd.random() < 0.05 else rnd.choice(vals)
+        rows.append((k, s, e, v))
+    df = spark.createDataFrame(rows, "k long, s date, e date, v string")
+    got = sorted((r.k, r.start_date, r.end_date, tuple(r.vals)) for r in
+                 iv.value_set_periods(df, ["k"], "s", "e", "v", vals, out="vals").collect())
+    per_day = {}
+    for k, s, e, v in rows:
+        if e is None or v is None or s > e:
+            continue
+        d = s
+        while d <= e:
+            per_day.setdefault((k, d), set()).add(v)
+            d += dt.timedelta(days=1)
+    want = []
+    for k in sorted({k for k, _ in per_day}):
+        days = sorted(d for kk, d in per_day if kk == k)
+        cur = None
+        for d in days:
+            st = tuple(sorted(per_day[(k, d)]))
+            if cur and cur[2] + dt.timedelta(days=1) == d and cur[3] == st:
+                cur[2] = d
+            else:
+                if cur:
+                    want.append(tuple(cur))
+                cur = [k, d, d, st]
+        if cur:
+            want.append(tuple(cur))
+    assert got == sorted(want)
