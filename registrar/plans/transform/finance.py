@@ -190,15 +190,20 @@ def pay_decisions(t: Tables) -> dict[str, DataFrame]:
     pd = with_ids(pd, t, "PAY_DECISION", "guid", "id")
     status = codes.map_code("status", dic.PAY_DECISION_STATUS, key_type="int")
     rows = get(t, "paydecisionrows")
+    # one row per decision where the legacy joins could fan out: the row with
+    # the smallest (row number, row guid, value)
     adult = rows.filter(F.col("rowtype").isin(1, 2)).select(
-        F.col("internalid").alias("_iid"), F.col("person").alias("_person"), "income", "rownumber")
+        F.col("internalid").alias("_iid"), F.col("person").alias("_person"), "income", "rownumber",
+        F.col("guid").alias("_rguid"))
     head_inc = (pd.join(adult, (pd["internaldecisionnumber"] == adult["_iid"]) & (pd["headoffamily"] == adult["_person"]))
-                .groupBy("guid").agg(F.min_by("income", "rownumber").alias("_head_income")))
+                .groupBy("guid").agg(F.min_by("income", F.struct("rownumber", "_rguid", "income")).alias("_head_income")))
     partner_row = (pd.join(adult, (pd["internaldecisionnumber"] == adult["_iid"]) & (pd["headoffamily"] != adult["_person"]))
-                   .groupBy("guid").agg(F.min_by(F.struct("_person", "income"), "rownumber").alias("_pr")))
+                   .groupBy("guid").agg(F.min_by(F.struct("_person", "income"),
+                                                 F.struct("rownumber", "_rguid", "_person", "income")).alias("_pr")))
     size = (rows.filter(F.col("rowtype") == 3)
             .withColumn("_fs", dom.family_size_from_text("specification", "Perhekoko"))
-            .groupBy(F.col("internalid").alias("_sid")).agg(F.min_by("_fs", "rownumber").alias("family_size")))
+            .groupBy(F.col("internalid").alias("_sid"))
+            .agg(F.min_by("_fs", F.struct("rownumber", "guid", "_fs")).alias("family_size")))
     j = (pd.join(head_inc, "guid", "left").join(partner_row, "guid", "left")
          .join(size, pd["internaldecisionnumber"] == size["_sid"], "left"))
     person = get(t, "evaka_person")
