@@ -183,29 +183,31 @@ def _income_document(income: Column) -> Column:
     return F.when(income.isNull(), F.lit(None).cast("string")).otherwise(doc)
 
 
-def pay_decisions(t: Tables) -> dict[str, DataFrame]:
+def pay_decisions(t: Tables, only: set[str] | None = None) -> dict[str, DataFrame]:
     """Fee decisions (head/partner income documents, family size from
-    the free text of a row) and their child rows."""
+    the free text of a row) and their child rows. ``only={"fee"}`` skips the
+    child rows."""
     pd = get(t, "paydecisions").filter(codes.tristate_keep("status", dic.PAY_DECISION_STATUS, key_type="int"))
     pd = with_ids(pd, t, "PAY_DECISION", "guid", "id")
     status = codes.map_code("status", dic.PAY_DECISION_STATUS, key_type="int")
     rows = get(t, "paydecisionrows")
-    # one row per decision where the legacy joins could fan out: the row with
-    # the smallest (row number, row guid, value)
-    adult = rows.filter(F.col("rowtype").isin(1, 2)).select(
-        F.col("internalid").alias("_iid"), F.col("person").alias("_person"), "income", "rownumber",
-        F.col("guid").alias("_rguid"))
-    head_inc = (pd.join(adult, (pd["internaldecisionnumber"] == adult["_iid"]) & (pd["headoffamily"] == adult["_person"]))
-                .groupBy("guid").agg(F.min_by("income", F.struct("rownumber", "_rguid", "income")).alias("_head_income")))
-    partner_row = (pd.join(adult, (pd["internaldecisionnumber"] == adult["_iid"]) & (pd["headoffamily"] != adult["_person"]))
-                   .groupBy("guid").agg(F.min_by(F.struct("_person", "income"),
-                                                 F.struct("rownumber", "_rguid", "_person", "income")).alias("_pr")))
-    size = (rows.filter(F.col("rowtype") == 3)
-            .withColumn("_fs", dom.family_size_from_text("specification", "Perhekoko"))
-            .groupBy(F.col("internalid").alias("_sid"))
-            .agg(F.min_by("_fs", F.struct("rownumber", "guid", "_fs")).alias("family_size")))
-    j = (pd.join(head_inc, "guid", "left").join(partner_row, "guid", "left")
-         .join(size, pd["internaldecisionnumber"] == size["_sid"], "left"))
+    # Head income, partner row and family size in one pass over the rows of
+    # each decision; where the legacy joins could fan out, the row with the
+    # smallest (row number, row guid, value) is taken. ``min_by`` skips rows
+    # whose ordering is NULL, so each ordering also selects the row kind.
+    r = rows.select(F.col("internalid").alias("_iid"), F.col("person").alias("_person"), "income", "rownumber",
+                    F.col("guid").alias("_rguid"), "rowtype",
+                    dom.family_size_from_text("specification", "Perhekoko").alias("_fs"))
+    adult = F.col("rowtype").isin(1, 2)
+    is_head = adult & (F.col("_person") == F.col("headoffamily"))
+    is_partner = adult & (F.col("_person") != F.col("headoffamily"))
+    per_pd = pd.select("guid", "internaldecisionnumber", "headoffamily").join(
+        r, pd["internaldecisionnumber"] == r["_iid"]).groupBy("guid").agg(
+        F.min_by("income", F.when(is_head, F.struct("rownumber", "_rguid", "income"))).alias("_head_income"),
+        F.min_by(F.struct("_person", "income"),
+                 F.when(is_partner, F.struct("rownumber", "_rguid", "_person", "income"))).alias("_pr"),
+        F.min_by("_fs", F.when(F.col("rowtype") == 3, F.struct("rownumber", "_rguid", "_fs"))).alias("family_size"))
+    j = pd.join(per_pd, "guid", "left")
     person = get(t, "evaka_person")
     j = person_lookup(j, person, "headoffamily", {"id": "head_of_family_id"})
     j = j.withColumn("_partner_ssn", F.col("_pr._person"))
@@ -226,6 +228,8 @@ def pay_decisions(t: Tables) -> dict[str, DataFrame]:
                            ("PERSON MISSING", F.col("head_of_family_id").isNull()),
                            ("FAMILY SIZE MISSING", F.col("family_size").isNull())]).drop("overlapping")
     fee_clean, fee_todo = split(flagged, ["id"])
+    if only is not None and "child" not in only:
+        return {"evaka_fee_decision": fee_clean, "evaka_fee_decision_todo": fee_todo, "idmap": idmap}
 
     kids = rows.filter(F.col("rowtype") == 5).select(
         F.col("guid").alias("effica_guid"), F.col("internalid").alias("_kid_iid"), "person", "fee")
