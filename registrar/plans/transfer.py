@@ -48,8 +48,29 @@ SERVICE_NEED_OPTION_SCHEMA = (
 OPTION_SCHEMA = "id string, value string"
 
 
-def audit_user_id() -> Column:
-    return ident.constant_id("EMPLOYEE", AUDIT_USER_NAME)
+AUDIT_USER_TYPE = "UNKNOWN"
+EVAKA_USER_SCHEMA = "id string, type string, name string"
+
+
+def audit_user_id(t: Tables | None = None) -> Column:
+    """The batch audit user: the existing user of that name and type if the
+    target has one (scalar subquery), else the deterministic id."""
+    fixed = ident.constant_id("EMPLOYEE", AUDIT_USER_NAME)
+    if t is None or "evaka_user" not in t:
+        return fixed
+    existing = (t["evaka_user"].filter((F.col("type") == AUDIT_USER_TYPE) & (F.col("name") == AUDIT_USER_NAME))
+                .agg(F.min("id")))
+    return F.coalesce(existing.scalar(), fixed)
+
+
+def audit_user(t: Tables) -> dict[str, DataFrame]:
+    """Create the audit user once (nothing when it already exists)."""
+    spark = spark_of(t)
+    existing = get(t, "evaka_user", EVAKA_USER_SCHEMA)
+    row = spark.range(1).select(audit_user_id().alias("id"), F.lit(AUDIT_USER_TYPE).alias("type"),
+                                F.lit(AUDIT_USER_NAME).alias("name"))
+    have = existing.filter((F.col("type") == AUDIT_USER_TYPE) & (F.col("name") == AUDIT_USER_NAME)).select("type", "name")
+    return {"evaka_user": row.join(have, ["type", "name"], "left_anti").select("id", "type", "name")}
 
 
 def _batch_time(t: Tables) -> Column:
@@ -92,7 +113,7 @@ def families(t: Tables) -> dict[str, DataFrame]:
 def _assistance(t: Tables, source: str, values_col: str, target: str, option_table: str, ref_table: str,
                 ref_key: str) -> dict[str, DataFrame]:
     src = get(t, source)
-    rows = src.select("id", audit_user_id().alias("updated_by"), "child_id", "start_date", "end_date")
+    rows = src.select("id", audit_user_id(t).alias("updated_by"), "child_id", "start_date", "end_date")
     opts = get(t, option_table, OPTION_SCHEMA).select(F.col("id").alias("option_id"), F.col("value").alias("_v"))
     refs = (src.select(F.col("id").alias(ref_key), F.explode(values_col).alias("_v"))
             .join(opts, "_v").select(ref_key, "option_id"))
@@ -115,7 +136,7 @@ def income(t: Tables) -> dict[str, DataFrame]:
     """Incomes with batch time and audit user."""
     i = get(t, "evaka_income")
     return {"income": i.select("id", "person_id", F.to_json("data").alias("data"), "effect", "valid_from", "valid_to",
-                               _batch_time(t).alias("updated_at"), audit_user_id().alias("updated_by"),
+                               _batch_time(t).alias("updated_at"), audit_user_id(t).alias("updated_by"),
                                F.lit("").alias("notes"), F.lit(False).alias("is_entrepreneur"),
                                F.lit(None).cast("string").alias("application_id"))}
 
@@ -186,7 +207,7 @@ def fee_alterations(t: Tables) -> dict[str, DataFrame]:
     fa = get(t, "evaka_fee_alteration")
     return {"fee_alteration": fa.select("id", "person_id", "type", "amount", "is_absolute", "valid_from", "valid_to",
                                         "notes", _batch_time(t).alias("updated_at"),
-                                        audit_user_id().alias("updated_by"))}
+                                        audit_user_id(t).alias("updated_by"))}
 
 
 def threshold_document(size: Column) -> Column:
@@ -349,7 +370,7 @@ def absences(t: Tables) -> dict[str, DataFrame]:
     a = get(t, "evaka_absence")
     return {"child": _child_register(t, a),
             "absence": a.select("id", "child_id", "date", "care_type", "absence_type",
-                                audit_user_id().alias("modified_by"))}
+                                audit_user_id(t).alias("modified_by"))}
 
 
 def backup_cares(t: Tables) -> dict[str, DataFrame]:
@@ -383,6 +404,7 @@ def unit_external_ids(t: Tables) -> dict[str, DataFrame]:
 
 # Transfer chain order; False = switched off in the legacy chain.
 CHAIN = [
+    ("audit_user", audit_user, True),
     ("persons", persons, True), ("families", families, True), ("assistance_needs", assistance_needs, False),
     ("assistance_actions", assistance_actions, False), ("income", income, True),
     ("unit_managers", unit_managers, True), ("daycares", daycares, True), ("departments", departments, True),

@@ -332,3 +332,14 @@ def test_publish_all_is_idempotent_for_conflicting_tables(spark, target, tmp_pat
     assert first["departments"]["daycare_caretaker"] == 1
     again = X.persons({**target, "person": spark.read.parquet(str(tmp_path / "target" / "person"))})
     assert again["person"].count() == 0
+
+
+def test_audit_user_created_once_and_reused(spark, target):
+    from registrar.plans import transfer as X
+    made = X.audit_user(target)["evaka_user"].collect()
+    assert len(made) == 1 and made[0].name == "Effica"
+    existing = spark.createDataFrame([("u-1", "UNKNOWN", "Effica")], X.EVAKA_USER_SCHEMA)
+    t2 = {**target, "evaka_user": existing}
+    assert X.audit_user(t2)["evaka_user"].count() == 0
+    rows = X.income(t2)["income"].select("updated_by").distinct().collect()
+    assert [r.updated_by for r in rows] == ["u-1"]
