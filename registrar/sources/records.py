@@ -54,13 +54,15 @@ def _is_data_file(p: str) -> bool:
     return not n.endswith(".license") and not n.startswith(".") and not n.startswith("_")
 
 
-def discover_element(spark: SparkSession, files: Sequence[str], max_lines: int = 200) -> str | None:
+def discover_element(spark: SparkSession, files: Sequence[str], max_chunks: int = 400) -> str | None:
     """First element name of a dump (comments and declarations skipped).
 
-    Reads only the first lines of the first file that has any element."""
+    Reads only the beginning of the first file that has any element, split
+    at every ``>`` so that each piece is one tag's worth of text even when
+    the dump has no line breaks at all (nothing big reaches the driver)."""
     for f in files:
-        head = spark.read.text(f).limit(max_lines).collect()
-        text = "\n".join(r.value for r in head)
+        head = spark.read.option("lineSep", ">").text(f).limit(max_chunks).collect()
+        text = ">".join(r.value for r in head)
         import re
         text = re.sub(r"(?s)<!--.*?-->", "", text)
         text = re.sub(r"<\?.*?\?>", "", text)

@@ -98,3 +98,10 @@ def test_large_file_split_keeps_every_record(spark, tmp_path):
         assert df.select("code").distinct().count() == 20000
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_single_line_dump(spark, tmp_path):
+    body = "<!-- x -->" + "".join(f"<item><code>{i}</code><active>A</active></item>" for i in range(1, 501))
+    p = _write(str(tmp_path), "one/codes.xml", body)
+    out = records.ingest_dir(spark, os.path.dirname(p))
+    assert out["codes"].count() == 500 and out["codes"].filter("active").count() == 500
