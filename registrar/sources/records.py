@@ -108,20 +108,27 @@ def fragments(spark: SparkSession, files: Sequence[str], element: str) -> DataFr
 
 
 def census(frags: DataFrame, element: str) -> dict:
-    """Tag names and structural counters, aggregated on the executors."""
+    """Tag names and structural counters, aggregated on the executors.
+
+    Tags are exploded before they are collected, so what reaches the driver
+    is bounded by the number of distinct tag names, not by the records."""
     inner = F.regexp_replace(F.col("fragment"), "^<" + element + r"(\s[^>]*)?>", "")
     inner = F.regexp_replace(inner, "</" + element + ">$", "")
     leftover = F.regexp_replace(F.regexp_replace(inner, FLAT_CHILD, ""), EMPTY_CHILD, "")
-    tags = F.regexp_extract_all(inner, F.lit("<(" + NAME + ")"), 1)
-    row = frags.agg(
-        F.count(F.col("fragment")).alias("n"),
-        F.sum(F.when(F.col("fragment").isNotNull() & F.col("fragment").contains("<")
-                     & leftover.contains("<"), 1).otherwise(0)).alias("nested"),
-        F.sum(F.when(F.col("stray").rlike("<" + NAME), 1).otherwise(0)).alias("stray"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.transform(tags, lambda t: F.lower(t))))))
-         .alias("tags"),
+    per = frags.select(
+        F.col("fragment").isNotNull().alias("_has"),
+        (F.col("fragment").isNotNull() & leftover.contains("<")).alias("_nested"),
+        F.coalesce(F.col("stray").rlike("<" + NAME), F.lit(False)).alias("_stray"),
+        F.posexplode_outer(F.regexp_extract_all(inner, F.lit("<(" + NAME + ")"), 1)).alias("_pos", "_tag"))
+    first = F.col("_pos").isNull() | (F.col("_pos") == 0)
+    row = per.agg(
+        F.sum(F.when(first & F.col("_has"), 1).otherwise(0)).alias("n"),
+        F.sum(F.when(first & F.col("_nested"), 1).otherwise(0)).alias("nested"),
+        F.sum(F.when(first & F.col("_stray"), 1).otherwise(0)).alias("stray"),
+        F.array_sort(F.collect_set(F.lower("_tag"))).alias("tags"),
     ).first()
-    return {"n": row["n"], "nested": row["nested"], "stray": row["stray"], "tags": list(row["tags"] or [])}
+    return {"n": row["n"] or 0, "nested": row["nested"] or 0, "stray": row["stray"] or 0,
+            "tags": list(row["tags"] or [])}
 
 
 def validate(c: dict, spec: TableSpec) -> None:
