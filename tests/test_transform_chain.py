@@ -343,3 +343,33 @@ def test_audit_user_created_once_and_reused(spark, target):
     assert X.audit_user(t2)["evaka_user"].count() == 0
     rows = X.income(t2)["income"].select("updated_by").distinct().collect()
     assert [r.updated_by for r in rows] == ["u-1"]
+
+
+def test_transfer_assistance_registers_and_external_ids(spark, target):
+    from registrar.plans import transfer as X
+    opts = spark.createDataFrame([("b1", "DEVELOPMENTAL_DISABILITY"), ("b2", "OTHER")], X.OPTION_SCHEMA)
+    acts = spark.createDataFrame([("a1", "10")], X.OPTION_SCHEMA)
+    t = {**target, "assistance_basis_option": opts, "assistance_action_option": acts,
+         "child": spark.createDataFrame([], "id string")}
+    need = X.assistance_needs(t)
+    assert need["assistance_need"].count() == 1 and need["child"].count() == 1
+    assert [r.option_id for r in need["assistance_basis_option_ref"].collect()] == ["b1"]
+    act = X.assistance_actions(t)
+    assert [r.option_id for r in act["assistance_action_option_ref"].collect()] == ["a1"]
+    ab = X.absences(t)
+    assert ab["absence"].count() == 1 and ab["child"].count() == 1
+    existing_child = ab["child"]
+    again = X.absences({**t, "child": existing_child})
+    assert again["child"].count() == 0
+    assert X.backup_cares(t)["backup_care"].count() == 2
+    assert X.attendances(t)["child_attendance"].count() == 1
+    daycare = spark.createDataFrame([(U1, None, None), (U2, None, None)],
+                                    "id string, oph_unit_oid string, oph_organizer_oid string")
+    oid = spark.createDataFrame([(U1, "1.2.3", "9.9", 77, None), (U2, "4.5.6", "9.9", None, None)],
+                                "evaka_id string, unit_oid string, organizer_oid string, varda_unit_id int, name string")
+    ext = X.unit_external_ids({**t, "daycare": daycare, "daycare_oid_map": oid})
+    assert sorted((r.id, r.oph_unit_oid) for r in ext["daycare"].collect()) == [(U1, "1.2.3"), (U2, "4.5.6")]
+    v = ext["varda_unit"].collect()
+    assert [(r.evaka_daycare_id, r.varda_unit_id) for r in v] == [(U1, 77)]
+    import datetime as _dt
+    assert v[0].uploaded_at.year <= _dt.datetime.now().year - 19
