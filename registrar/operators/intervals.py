@@ -74,11 +74,26 @@ def valid_interval(start, end, allow_open: bool = True) -> Column:
     return ok if allow_open else (ok & e.isNotNull())
 
 
-def _bin(d: Column, bin_days: int) -> Column:
-    return F.floor(F.unix_date(d) / F.lit(bin_days)).cast("long")
+def _bin(d: Column, bin_days) -> Column:
+    width = bin_days if isinstance(bin_days, Column) else F.lit(bin_days)
+    return F.floor(F.unix_date(d) / width).cast("long")
+
+
+def auto_bin_days(*sides: tuple[DataFrame, str, str], cap_days: int = 3650) -> Column:
+    """Scalar subquery: a bin width near the median length of the closed
+    intervals of the given sides (1 .. ``cap_days``). Bins as long as a
+    typical interval keep both the copies per interval and the non-matching
+    candidates per bin small."""
+    parts = [df.select((F.datediff(F.col(e), F.col(s)) + 1).alias("n"))
+             .filter(F.col("n").isNotNull() & (F.col("n") > 0)) for df, s, e in sides]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    med = u.agg(F.percentile_approx("n", 0.5).alias("m")).scalar()
+    return F.greatest(F.lit(1), F.least(F.lit(cap_days), F.coalesce(med, F.lit(DEFAULT_BIN_DAYS))))
 
 
-def _bins(lo: Column, hi: Column, bin_days: int) -> Column:
+def _bins(lo: Column, hi: Column, bin_days) -> Column:
     """Array of bin ids covering [lo, hi]; empty when lo > hi."""
     a, b = _bin(lo, bin_days), _bin(hi, bin_days)
     return F.when(a <= b, F.sequence(a, b)).otherwise(F.array().cast("array<bigint>"))
@@ -103,6 +118,11 @@ def overlap_join(left: DataFrame, right: DataFrame, on: Sequence[str],
                  bin_days: int = DEFAULT_BIN_DAYS, cap: Column | None = None) -> DataFrame:
     """Pairs with equal keys whose closed intervals intersect.
 
+    ``bin_days``: the bin width (an int, a Column, or ``"auto"`` for about
+    the median interval length). Callers that know their intervals pass a
+    fitting width: long validity periods (years) want wide bins, short ones
+    narrow bins.
+
     Output: every column of both sides (right key columns dropped) plus
     ``overlap_start`` / ``overlap_end`` (the intersection; NULL end = open).
     Column names of the two sides must not clash except for ``on``.
@@ -110,6 +130,8 @@ def overlap_join(left: DataFrame, right: DataFrame, on: Sequence[str],
     ls, le = left_interval
     rs, re_ = right_interval
     cap = cap if cap is not None else max_date((left, ls), (right, rs))
+    if bin_days == "auto":
+        bin_days = auto_bin_days((left, ls, le), (right, rs, re_))
     lb = left.withColumn("_bin", F.explode(_bins(F.col(ls), F.least(end_or_open(le), cap), bin_days)))
     rkeys = [f"_rk_{k}" for k in on]
     rb = right.select(*[F.col(k).alias(rk) for k, rk in zip(on, rkeys)],
@@ -139,6 +161,8 @@ def point_in_interval_join(points: DataFrame, intervals: DataFrame, on: Sequence
     """
     s, e = interval
     cap = cap if cap is not None else max_date((points, point_col))
+    if bin_days == "auto":
+        bin_days = auto_bin_days((intervals, s, e))
     last_day = (F.date_sub(F.col(e), 1) if half_open else F.col(e))
     hi = F.least(F.coalesce(last_day, open_end()), cap)
     ikeys = [f"_ik_{k}" for k in on]

@@ -109,7 +109,7 @@ def applications(t: Tables) -> dict[str, DataFrame]:
     links = get(t, "evaka_fridge_child").select(F.col("child_id").alias("_cid"), "head_of_family",
                                                 F.col("start_date").alias("_fs"), F.col("end_date").alias("_fe"))
     a = a.withColumn("_cid", F.col("child_id"))
-    a = iv.point_in_interval_join(a, links, ["_cid"], "applicationdate", ("_fs", "_fe"), how="left")
+    a = iv.point_in_interval_join(a, links, ["_cid"], "applicationdate", ("_fs", "_fe"), how="left", bin_days=365)
     a = a.withColumnRenamed("head_of_family", "guardian_id")
     prev = get(t, "idmap", "type string, source_id string, target_id string, updated timestamp")
     prev = prev.filter(F.col("type") == "APPLICATION").select(F.col("source_id").alias("_src"),

@@ -113,12 +113,12 @@ def _family_at(points: DataFrame, t: Tables, ssn_col: str, date_col: str, key: s
         F.col("child_ssn").alias("_ssn"), "head_of_family",
         F.col("start_date").alias("_fs"), F.col("end_date").alias("_fe"))
     p = points.select(key, F.col(ssn_col).alias("_ssn"), F.col(date_col).alias("_d")).filter(F.col("_d").isNotNull())
-    heads = iv.point_in_interval_join(p, links, ["_ssn"], "_d", ("_fs", "_fe"))
+    heads = iv.point_in_interval_join(p, links, ["_ssn"], "_d", ("_fs", "_fe"), bin_days=365)
     heads = heads.groupBy(key, "_d").agg(F.min("head_of_family").alias("head_of_family_id"))
     part = get(t, "evaka_fridge_partner")
     p1 = part.select(F.col("person_id").alias("head_of_family_id"), F.col("partnership_id").alias("_pid"),
                      F.col("indx").alias("_ix"), F.col("start_date").alias("_ps"), F.col("end_date").alias("_pe"))
-    hp = iv.point_in_interval_join(heads, p1, ["head_of_family_id"], "_d", ("_ps", "_pe"))
+    hp = iv.point_in_interval_join(heads, p1, ["head_of_family_id"], "_d", ("_ps", "_pe"), bin_days=365)
     p2 = part.select(F.col("partnership_id").alias("_pid2"), F.col("indx").alias("_ix2"),
                      F.col("person_id").alias("_partner"))
     hp = hp.join(p2, (hp["_pid"] == p2["_pid2"]) & (hp["_ix"] != p2["_ix2"]))
@@ -242,12 +242,13 @@ def pay_decisions(t: Tables, only: set[str] | None = None) -> dict[str, DataFram
                                           F.col("unit_id").alias("placement_unit_id"),
                                           F.col("start_date").alias("_ps"), F.col("end_date").alias("_pe"))
     kids = kids.withColumn("_pc", F.col("child_id"))
-    kids = iv.point_in_interval_join(kids, pl, ["_pc"], "_fd_start", ("_ps", "_pe"), half_open=True, how="left")
+    kids = iv.point_in_interval_join(kids, pl, ["_pc"], "_fd_start", ("_ps", "_pe"), half_open=True, how="left",
+                                     bin_days=90)
     sn = get(t, "evaka_service_need").select(F.col("placement_id").alias("_placement_id"),
                                              F.col("option_id").alias("service_need_option_id"),
                                              F.col("start_date").alias("_ss"), F.col("end_date").alias("_se"))
     kids = iv.point_in_interval_join(kids, sn, ["_placement_id"], "_fd_start", ("_ss", "_se"),
-                                     half_open=True, how="left")
+                                     half_open=True, how="left", bin_days=90)
     cents = dom.to_cents("fee").cast("int")
     child = kids.select(
         ident.hash_uuid("FEE_DECISION_CHILD", "effica_guid", "_placement_id", "service_need_option_id").alias("id"),

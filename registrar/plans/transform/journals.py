@@ -57,7 +57,7 @@ def _absences(t: Tables, days: DataFrame, person: DataFrame) -> dict[str, DataFr
                                           F.col("start_date").alias("_ps"), F.col("end_date").alias("_pe"))
     a = a.withColumn("_pc", F.col("child_id"))
     a = iv.point_in_interval_join(a.filter(F.col("date").isNotNull()), pl, ["_pc"], "date", ("_ps", "_pe"),
-                                  how="left").unionByName(
+                                  how="left", bin_days=90).unionByName(
         a.filter(F.col("date").isNull()).withColumn("_ptype", F.lit(None).cast("string"))
          .withColumn("_ps", F.lit(None).cast("date")).withColumn("_pe", F.lit(None).cast("date")))
     a = R.explode_case(a, "_ptype", CARE_TYPES, "care_type", default=[UNKNOWN_CARE_TYPE])

@@ -12,6 +12,10 @@ from ...operators import quality as q
 from ...sinks.publish import insert_ignore_rows
 from ._common import Tables, filtered, get, id_map_update, materialize, person_lookup, split, with_ids
 
+# Family validity periods run for months to years (a child link to the 18th
+# birthday): year-wide bins keep the copies per period few.
+LONG_PERIOD_BIN_DAYS = 365
+
 PERSON_SCHEMA = ("id string, effica_guid string, social_security_number string, last_name string, "
                  "first_name string, email string, language string, street_address string, postal_code string, "
                  "post_office string, nationalities array<string>, restricted_details_enabled boolean, "
@@ -96,7 +100,8 @@ def _child_links(f: DataFrame, person: DataFrame, cap) -> dict[str, DataFrame]:
         F.col("personid").alias("child_ssn"), F.col("person_id").alias("child_id"),
         F.col("familynbr").alias("family_number"), F.col("startdate").alias("c_start"),
         F.coalesce(F.col("enddate"), F.date_sub(F.add_months(F.col("dob"), 216), 1)).alias("c_end"))
-    links = iv.overlap_join(hofs, kids, ["family_number"], ("h_start", "h_end"), ("c_start", "c_end"), cap=cap)
+    links = iv.overlap_join(hofs, kids, ["family_number"], ("h_start", "h_end"), ("c_start", "c_end"), cap=cap,
+                            bin_days=LONG_PERIOD_BIN_DAYS)
     child = links.select(
         ident.hash_uuid("FRIDGE_CHILD", "family_number", "hof_ssn", "child_ssn", "overlap_start",
                         "overlap_end").alias("id"),
@@ -117,7 +122,8 @@ def _partnerships(f: DataFrame, person: DataFrame, cap) -> dict[str, DataFrame]:
     partners = f.filter(F.col("roleinfamily") == "S").select(
         F.col("personid").alias("partner_ssn"), F.col("familynbr").alias("family_number"),
         F.col("startdate").alias("p_start"), F.col("enddate").alias("p_end"))
-    ps = iv.overlap_join(heads, partners, ["family_number"], ("h_start", "h_end"), ("p_start", "p_end"), cap=cap)
+    ps = iv.overlap_join(heads, partners, ["family_number"], ("h_start", "h_end"), ("p_start", "p_end"), cap=cap,
+                         bin_days=LONG_PERIOD_BIN_DAYS)
     ps = ps.withColumn("partnership_id", ident.hash_uuid("PARTNERSHIP", "family_number", "hof_ssn", "partner_ssn",
                                                          "overlap_start", "overlap_end"))
     members = (ps.select("partnership_id", "family_number", "overlap_start", "overlap_end",

@@ -177,3 +177,16 @@ def test_value_set_periods_match_day_expansion(spark, seed):
         if cur:
             want.append(tuple(cur))
     assert got == sorted(want)
+
+
+def test_overlap_join_auto_bins(spark):
+    data = _rows(31, n=200)
+    left = spark.createDataFrame([r for r in data if r[4] == 1], SCHEMA).select(
+        F.col("id").alias("lid"), "k", F.col("s").alias("ls"), F.col("e").alias("le"))
+    right = spark.createDataFrame([r for r in data if r[4] == 2], SCHEMA).select(
+        F.col("id").alias("rid"), "k", F.col("s").alias("rs"), F.col("e").alias("re"))
+    auto = sorted((r.lid, r.rid) for r in iv.overlap_join(left, right, ["k"], ("ls", "le"), ("rs", "re"),
+                                                          bin_days="auto").collect())
+    fixed = sorted((r.lid, r.rid) for r in iv.overlap_join(left, right, ["k"], ("ls", "le"), ("rs", "re"),
+                                                           bin_days=1).collect())
+    assert auto == fixed
