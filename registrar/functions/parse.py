@@ -108,10 +108,6 @@ def try_int(c) -> Column:
     return F.trim(col_of(c).cast("string")).try_cast("int")
 
 
-def _sql_ref(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 # Parser names as used by table specs (sources/specs.py).
 PARSERS = {
     "null_forcing_text": null_forcing_text,

@@ -373,3 +373,22 @@ def test_transfer_assistance_registers_and_external_ids(spark, target):
     assert [(r.evaka_daycare_id, r.varda_unit_id) for r in v] == [(U1, 77)]
     import datetime as _dt
     assert v[0].uploaded_at.year <= _dt.datetime.now().year - 19
+
+
+def test_cli_end_to_end(spark, tmp_path):
+    import os
+    from registrar import cli
+    base = tmp_path / "in"
+    base.mkdir()
+    with open(base / "persons.xml", "w", encoding="utf-8") as f:
+        f.write(_xml("person", PERSONS))
+    with open(base / "codes.xml", "w", encoding="utf-8") as f:
+        f.write(_xml("item", CODES))
+    rc = cli.main(["--input", str(base), "--target", str(tmp_path / "target"), "--work", str(tmp_path / "work")])
+    assert rc == 0
+    assert spark.read.parquet(str(tmp_path / "target" / "person")).count() == 6
+    bad = tmp_path / "bad"
+    bad.mkdir()
+    with open(bad / "notatable.xml", "w", encoding="utf-8") as f:
+        f.write("<x><a>1</a></x>\n")
+    assert cli.main(["--input", str(bad), "--target", str(tmp_path / "t2")]) == 2
