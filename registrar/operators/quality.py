@@ -84,3 +84,12 @@ def row_check(df: DataFrame, name: str, cond: Column, keys: Sequence[str]) -> Da
 
 def value_list(df: DataFrame, col: str, allowed: Sequence, keys: Sequence[str]) -> DataFrame:
     return row_check(df, f"values:{col}", F.col(col).isin(*allowed), keys)
+
+
+def consistent(df: DataFrame, keys: Sequence[str], cols: Sequence[str], name: str) -> DataFrame:
+    """Rows of a group must agree on ``cols`` (e.g. both members of a
+    partnership share start and end): groups with more than one distinct
+    value tuple (NULL counted as a value) are violations."""
+    tup = F.struct(*[F.col(c) for c in cols])
+    bad = df.groupBy(*keys).agg(F.count_distinct(F.to_json(tup)).alias("_n")).filter(F.col("_n") > 1)
+    return _viol(bad, f"consistent:{name}", keys)

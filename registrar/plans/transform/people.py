@@ -138,4 +138,7 @@ def _partnerships(f: DataFrame, person: DataFrame, cap) -> dict[str, DataFrame]:
     partner_flag = q.flag(partner, [("OVERLAPPING", F.col("overlapping")),
                                     ("START AFTER END", F.col("start_date") > F.col("end_date"))]).drop("overlapping")
     partner_clean, partner_todo = split(partner_flag, ["partnership_id", "indx"])
-    return {"evaka_fridge_partner": partner_clean, "evaka_fridge_partner_todo": partner_todo}
+    # Q2: both members of a partnership share its dates (a constraint of the target)
+    violations = q.consistent(partner_clean, ["partnership_id"], ["start_date", "end_date"], "partnership_dates")
+    return {"evaka_fridge_partner": partner_clean, "evaka_fridge_partner_todo": partner_todo,
+            "evaka_fridge_partner_violations": violations}

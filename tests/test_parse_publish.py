@@ -91,3 +91,10 @@ def test_read_back_reset_and_analyze(spark, tmp_path):
     assert out["no_such_table_here"].startswith("error")
     target = pub.rebuild(df, str(tmp_path / "rebuilt"))
     assert spark.read.parquet(target).count() == 2 and "/run=" in target
+
+
+def test_consistency_check(spark):
+    from registrar.operators import quality as q
+    df = spark.createDataFrame([("p1", 1, "a"), ("p1", 2, "a"), ("p2", 1, "a"), ("p2", 2, "b"), ("p3", 1, None),
+                                ("p3", 2, None)], "k string, i int, d string")
+    assert [r.key_text for r in q.consistent(df, ["k"], ["d"], "d").collect()] == ["p2"]
