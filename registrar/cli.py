@@ -5,7 +5,7 @@
 
 ``--dims`` holds parquet folders of target dimensions the jobs read
 (person, service_need_option, fee_thresholds, voucher_value, daycare, child,
-evaka_user, assistance_*_option, idmap), each named by its table.
+the users table, assistance_*_option, idmap), each named by its table.
 Intermediate and job outputs go to ``--work`` (default: a fresh folder under
 ``spark.checkpoint.dir``). Exit code 2 on a structural ingest error.
 """
@@ -16,8 +16,10 @@ import argparse
 import json
 import sys
 
-DIMENSIONS = ["person", "service_need_option", "fee_thresholds", "voucher_value", "daycare", "child", "evaka_user",
-              "assistance_basis_option", "assistance_action_option", "idmap"]
+def _dimensions() -> list[str]:
+    from .plans.transfer import USER_TABLE
+    return ["person", "service_need_option", "fee_thresholds", "voucher_value", "daycare", "child", USER_TABLE,
+            "assistance_basis_option", "assistance_action_option", "idmap"]
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -45,7 +47,7 @@ def main(argv: list[str] | None = None) -> int:
     if args.dims:
         from .sources.records import list_files
         present = {p.rstrip("/").split("/")[-2] for p in list_files(spark, args.dims)}
-        for name in DIMENSIONS:
+        for name in _dimensions():
             if name in present:
                 staged[name] = spark.read.parquet(f"{args.dims.rstrip('/')}/{name}")
     state = run_chain(staged, include_off=args.include_off, out_dir=args.work)

@@ -1,7 +1,7 @@
 """Dependency-ordered runner for the reconciliation jobs.
 
 Outputs of each job are added to the table mapping for the next ones (so
-``evaka_person`` from persons feeds families, and so on). Every output is
+``mig_person`` from persons feeds families, and so on). Every output is
 written once to a fresh run folder and read back: later jobs read files
 instead of re-planning all upstream jobs (the composed plan would grow with
 every reuse of a table), and a job that loses executors recomputes only from

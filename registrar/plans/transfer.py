@@ -24,6 +24,9 @@ from .transform._common import Tables, get, spark_of
 # Fixed values of the target system.
 REGISTRY_UPDATED_AT = "2021-05-01 00:00:00"      # identity registry refresh marker
 AUDIT_USER_NAME = "Effica"                         # batch audit user (I3)
+USER_TABLE = "evaka_user"                          # target table of users
+UNIT_MANAGER_FILE = "evaka_unit_manager"           # mapping file of unit managers
+DAYCARE_FILE = "evaka_daycare"                     # mapping file of units
 CARETAKERS_PER_GROUP = 3
 SYNTHESISED_GROUP_NAME = "Ryhmä"
 APPLICATION_ORIGIN = "ELECTRONIC"
@@ -49,16 +52,16 @@ OPTION_SCHEMA = "id string, value string"
 
 
 AUDIT_USER_TYPE = "UNKNOWN"
-EVAKA_USER_SCHEMA = "id string, type string, name string"
+USER_SCHEMA = "id string, type string, name string"
 
 
 def audit_user_id(t: Tables | None = None) -> Column:
     """The batch audit user: the existing user of that name and type if the
     target has one (scalar subquery), else the deterministic id."""
     fixed = ident.constant_id("EMPLOYEE", AUDIT_USER_NAME)
-    if t is None or "evaka_user" not in t:
+    if t is None or USER_TABLE not in t:
         return fixed
-    existing = (t["evaka_user"].filter((F.col("type") == AUDIT_USER_TYPE) & (F.col("name") == AUDIT_USER_NAME))
+    existing = (t[USER_TABLE].filter((F.col("type") == AUDIT_USER_TYPE) & (F.col("name") == AUDIT_USER_NAME))
                 .agg(F.min("id")))
     return F.coalesce(existing.scalar(), fixed)
 
@@ -66,11 +69,11 @@ def audit_user_id(t: Tables | None = None) -> Column:
 def audit_user(t: Tables) -> dict[str, DataFrame]:
     """Create the audit user once (nothing when it already exists)."""
     spark = spark_of(t)
-    existing = get(t, "evaka_user", EVAKA_USER_SCHEMA)
+    existing = get(t, USER_TABLE, USER_SCHEMA)
     row = spark.range(1).select(audit_user_id().alias("id"), F.lit(AUDIT_USER_TYPE).alias("type"),
                                 F.lit(AUDIT_USER_NAME).alias("name"))
     have = existing.filter((F.col("type") == AUDIT_USER_TYPE) & (F.col("name") == AUDIT_USER_NAME)).select("type", "name")
-    return {"evaka_user": row.join(have, ["type", "name"], "left_anti").select("id", "type", "name")}
+    return {USER_TABLE: row.join(have, ["type", "name"], "left_anti").select("id", "type", "name")}
 
 
 def _batch_time(t: Tables) -> Column:
@@ -88,7 +91,7 @@ def _child_register(t: Tables, ids: DataFrame) -> DataFrame:
 
 def persons(t: Tables, mock_registry: bool = False) -> dict[str, DataFrame]:
     """Insert-ignore on the identity number (and on the id)."""
-    p = get(t, "evaka_person")
+    p = get(t, "mig_person")
     existing = get(t, "person", "id string, social_security_number string")
     stamp = F.lit(REGISTRY_UPDATED_AT).cast("timestamp")
     rows = p.select("id", "social_security_number", "last_name", "first_name", "email", "language", "street_address",
@@ -103,9 +106,9 @@ def persons(t: Tables, mock_registry: bool = False) -> dict[str, DataFrame]:
 
 def families(t: Tables) -> dict[str, DataFrame]:
     """Child links and partnerships, never in conflict."""
-    c = get(t, "evaka_fridge_child").select("child_id", F.col("head_of_family").alias("head_of_child"),
+    c = get(t, "mig_fridge_child").select("child_id", F.col("head_of_family").alias("head_of_child"),
                                             "start_date", "end_date", F.lit(False).alias("conflict"))
-    p = get(t, "evaka_fridge_partner").select("partnership_id", "indx", "person_id", "start_date", "end_date",
+    p = get(t, "mig_fridge_partner").select("partnership_id", "indx", "person_id", "start_date", "end_date",
                                               F.lit(False).alias("conflict"))
     return {"fridge_child": c, "fridge_partner": p}
 
@@ -122,19 +125,19 @@ def _assistance(t: Tables, source: str, values_col: str, target: str, option_tab
 
 def assistance_needs(t: Tables) -> dict[str, DataFrame]:
     """Child register, needs, one basis reference per listed basis (T5)."""
-    return _assistance(t, "evaka_assistance_need", "bases", "assistance_need", "assistance_basis_option",
+    return _assistance(t, "mig_assistance_need", "bases", "assistance_need", "assistance_basis_option",
                        "assistance_basis_option_ref", "need_id")
 
 
 def assistance_actions(t: Tables) -> dict[str, DataFrame]:
     """Child register, actions, one option reference per listed action (T5)."""
-    return _assistance(t, "evaka_assistance_action", "actions", "assistance_action", "assistance_action_option",
+    return _assistance(t, "mig_assistance_action", "actions", "assistance_action", "assistance_action_option",
                        "assistance_action_option_ref", "action_id")
 
 
 def income(t: Tables) -> dict[str, DataFrame]:
     """Incomes with batch time and audit user."""
-    i = get(t, "evaka_income")
+    i = get(t, "mig_income")
     return {"income": i.select("id", "person_id", F.to_json("data").alias("data"), "effect", "valid_from", "valid_to",
                                _batch_time(t).alias("updated_at"), audit_user_id(t).alias("updated_by"),
                                F.lit("").alias("notes"), F.lit(False).alias("is_entrepreneur"),
@@ -143,12 +146,12 @@ def income(t: Tables) -> dict[str, DataFrame]:
 
 def unit_managers(t: Tables) -> dict[str, DataFrame]:
     """X6."""
-    return {"unit_manager": get(t, "evaka_unit_manager").select("id", "name", "email", "phone")}
+    return {"unit_manager": get(t, UNIT_MANAGER_FILE).select("id", "name", "email", "phone")}
 
 
 def daycares(t: Tables) -> dict[str, DataFrame]:
     """Units with fixed defaults; enum columns checked against allowed values."""
-    d = get(t, "evaka_daycare")
+    d = get(t, DAYCARE_FILE)
     none_s = F.lit(None).cast("string")
     rows = d.select(
         "id", "name", "type", "care_area_id", "phone", "url", "backup_location",
@@ -173,7 +176,7 @@ def daycares(t: Tables) -> dict[str, DataFrame]:
 
 def departments(t: Tables) -> dict[str, DataFrame]:
     """Groups and their caretaker rows (fixed amount per group)."""
-    g = get(t, "evaka_daycare_group").select("id", "daycare_id", "name", "start_date", "end_date")
+    g = get(t, "mig_daycare_group").select("id", "daycare_id", "name", "start_date", "end_date")
     care = g.select(F.col("id").alias("group_id"), F.lit(CARETAKERS_PER_GROUP).alias("amount"), "start_date", "end_date")
     return {"daycare_group": g, "daycare_caretaker": care}
 
@@ -184,9 +187,9 @@ def placements(t: Tables) -> dict[str, DataFrame]:
     """Child register, placements, service needs; a group is synthesised
     per distinct (unit, start, end) of placements without one, and every
     placement gets a group placement."""
-    ep = get(t, "evaka_placement")
+    ep = get(t, "mig_placement")
     pl = ep.select("id", "type", "child_id", "unit_id", "start_date", "end_date")
-    sn = get(t, "evaka_service_need").select("id", "option_id", "placement_id", "start_date", "end_date",
+    sn = get(t, "mig_service_need").select("id", "option_id", "placement_id", "start_date", "end_date",
                                              F.lit(False).alias("shift_care"))
     synth = (ep.filter(F.col("daycare_group_id").isNull())
              .select(F.col("unit_id").alias("daycare_id"), "start_date", "end_date").distinct()
@@ -204,7 +207,7 @@ def placements(t: Tables) -> dict[str, DataFrame]:
 
 def fee_alterations(t: Tables) -> dict[str, DataFrame]:
     """X10."""
-    fa = get(t, "evaka_fee_alteration")
+    fa = get(t, "mig_fee_alteration")
     return {"fee_alteration": fa.select("id", "person_id", "type", "amount", "is_absolute", "valid_from", "valid_to",
                                         "notes", _batch_time(t).alias("updated_at"),
                                         audit_user_id(t).alias("updated_by"))}
@@ -239,8 +242,8 @@ def _thresholds_at(df: DataFrame, t: Tables, date_col: str) -> DataFrame:
 def voucher_value_decisions(t: Tables) -> dict[str, DataFrame]:
     """X11: thresholds by family size on the decision date, service need
     option and voucher value lookups; one row per decision (A9)."""
-    v = get(t, "evaka_voucher_value_decision")
-    v = _thresholds_at(v, t, "effica_decision_date")
+    v = get(t, "mig_voucher_value_decision")
+    v = _thresholds_at(v, t, "legacy_decision_date")
     sno = get(t, "service_need_option", SERVICE_NEED_OPTION_SCHEMA).select(
         F.col("id").alias("_sno_id"), "valid_placement_type", "fee_coefficient", "voucher_value_coefficient",
         "fee_description_fi", "fee_description_sv", "voucher_value_description_fi", "voucher_value_description_sv")
@@ -248,7 +251,7 @@ def voucher_value_decisions(t: Tables) -> dict[str, DataFrame]:
     vv = get(t, "voucher_value", VOUCHER_VALUE_SCHEMA).select(
         F.col("id").alias("_vv_id"), F.col("validity.lower").alias("_vv_from"), F.col("validity.upper").alias("_vv_to"),
         "base_value", "age_under_three_coefficient")
-    v = iv.point_in_interval_join(v, vv, [], "effica_decision_date", ("_vv_from", "_vv_to"), half_open=True, how="left")
+    v = iv.point_in_interval_join(v, vv, [], "legacy_decision_date", ("_vv_from", "_vv_to"), half_open=True, how="left")
     v = v.dropDuplicates(["id", "_ft_id", "_sno_id", "_vv_id"])
     rows = v.select(
         "id", "status", "valid_from", "valid_to", "decision_number", "head_of_family_id", "partner_id", "family_size",
@@ -269,7 +272,7 @@ def voucher_value_decisions(t: Tables) -> dict[str, DataFrame]:
 def fee_decisions(t: Tables) -> dict[str, DataFrame]:
     """Fee decisions with validity range and thresholds; child rows with
     their service need option."""
-    fd = _thresholds_at(get(t, "evaka_fee_decision"), t, "start_date")
+    fd = _thresholds_at(get(t, "mig_fee_decision"), t, "start_date")
     valid = F.struct(F.col("start_date").alias("lower"), F.date_add("end_date", 1).alias("upper"))
     rows = fd.select("id", "status", valid.alias("valid_during"),
                      F.concat(F.lit("["), F.date_format("start_date", "yyyy-MM-dd"), F.lit(","),
@@ -278,7 +281,7 @@ def fee_decisions(t: Tables) -> dict[str, DataFrame]:
                      "decision_type", "head_of_family_id", "head_of_family_income", "partner_id", "partner_income",
                      "family_size", threshold_document(F.col("family_size")).alias("fee_thresholds"),
                      "decision_number")
-    kids = get(t, "evaka_fee_decision_child")
+    kids = get(t, "mig_fee_decision_child")
     sno = get(t, "service_need_option", SERVICE_NEED_OPTION_SCHEMA).select(
         F.col("id").alias("_sno_id"), "valid_placement_type", "fee_coefficient", "fee_description_fi", "fee_description_sv")
     k = kids.join(sno, kids["service_need_option_id"] == sno["_sno_id"], "inner")
@@ -302,10 +305,10 @@ def _address(prefix: str, editable: bool) -> Column:
 def applications(t: Tables) -> dict[str, DataFrame]:
     """Applications and their form documents (daycare/preschool shape or
     club shape), with preferences ordered by priority."""
-    ea = get(t, "evaka_application")
+    ea = get(t, "mig_application")
     app = ea.select("id", "sentdate", "duedate", "guardian_id", "child_id", "transferapplication", "status",
                     F.lit(APPLICATION_ORIGIN).alias("origin"))
-    form = get(t, "evaka_application_form")
+    form = get(t, "mig_application_form")
     sno = get(t, "service_need_option", SERVICE_NEED_OPTION_SCHEMA).select(
         F.col("id").alias("_sno_id"), "name_fi", "name_sv", "name_en")
     f = form.join(sno, form["service_need_option_id"] == sno["_sno_id"], "left")
@@ -313,11 +316,11 @@ def applications(t: Tables) -> dict[str, DataFrame]:
                                                          F.col("name_sv").alias("nameSv"), F.col("name_en").alias("nameEn")))
     # one entry per (application, priority): the list is bounded by the priorities of one application
     prefs = f.groupBy("application_id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("effica_priority", "unit_id"))), lambda x: x["unit_id"])
+        F.transform(F.array_sort(F.collect_list(F.struct("legacy_priority", "unit_id"))), lambda x: x["unit_id"])
          .alias("unit_ids"),
-        F.min_by(opt, F.when(opt.isNotNull(), F.col("effica_priority"))).alias("service_need_option"),
-        F.min_by("preferred_start_date", "effica_priority").alias("preferred_start_date"))
-    person = get(t, "evaka_person")
+        F.min_by(opt, F.when(opt.isNotNull(), F.col("legacy_priority"))).alias("service_need_option"),
+        F.min_by("preferred_start_date", "legacy_priority").alias("preferred_start_date"))
+    person = get(t, "mig_person")
     c = person.select(*[F.col(x).alias(f"c_{x}") for x in person.columns])
     g = person.select(*[F.col(x).alias(f"g_{x}") for x in person.columns])
     j = (ea.join(prefs, ea["id"] == prefs["application_id"]).join(c, ea["child_id"] == c["c_id"])
@@ -367,7 +370,7 @@ def applications(t: Tables) -> dict[str, DataFrame]:
 
 def absences(t: Tables) -> dict[str, DataFrame]:
     """X14."""
-    a = get(t, "evaka_absence")
+    a = get(t, "mig_absence")
     return {"child": _child_register(t, a),
             "absence": a.select("id", "child_id", "date", "care_type", "absence_type",
                                 audit_user_id(t).alias("modified_by"))}
@@ -375,14 +378,14 @@ def absences(t: Tables) -> dict[str, DataFrame]:
 
 def backup_cares(t: Tables) -> dict[str, DataFrame]:
     """X15."""
-    b = get(t, "evaka_backup_care")
+    b = get(t, "mig_backup_care")
     return {"child": _child_register(t, b),
             "backup_care": b.select("id", "child_id", "unit_id", "group_id", "start_date", "end_date")}
 
 
 def attendances(t: Tables) -> dict[str, DataFrame]:
     """X16."""
-    a = get(t, "evaka_child_attendance")
+    a = get(t, "mig_child_attendance")
     return {"child": _child_register(t, a),
             "child_attendance": a.select("id", "child_id", "arrived", "departed", "unit_id")}
 

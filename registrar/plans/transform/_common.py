@@ -82,7 +82,7 @@ def unit_lookup(df: DataFrame, t: Tables, unit_col: str | None, minder_col: str
 
 def person_lookup(df: DataFrame, person: DataFrame, ssn_col: str, take: Mapping[str, str]) -> DataFrame:
     """Target person by legacy identity code (unique per code)."""
-    p = (person.filter(F.col("effica_ssn").isNotNull()).groupBy(F.col("effica_ssn").alias("_p_ssn"))
+    p = (person.filter(F.col("legacy_ssn").isNotNull()).groupBy(F.col("legacy_ssn").alias("_p_ssn"))
          .agg(*[F.min(c).alias(o) for c, o in take.items()]))
     return df.join(p, df[ssn_col] == p["_p_ssn"], "left").drop("_p_ssn")
 

@@ -20,26 +20,26 @@ def _periods(t: Tables, table: str, code_col: str, mapping: dict, out: str, kind
     day, as the legacy day expansion + islands gives, computed by a boundary
     sweep (``value_set_periods``) instead of one row per day."""
     src = get(t, table)
-    src = person_lookup(src, get(t, "evaka_person"), "personid", {"id": "child_id", "date_of_birth": "_dob"})
+    src = person_lookup(src, get(t, "mig_person"), "personid", {"id": "child_id", "date_of_birth": "_dob"})
     fallback = F.coalesce(F.add_months(F.make_date(F.year("_dob"), F.lit(7), F.lit(31)), 72),
                           F.date_sub(F.add_months(F.col("startdate"), 72), 1))
     src = src.withColumn("_end", F.coalesce(F.col("enddate"), fallback))
     values = {k: str(v) for k, v in mapping.items()}
     src = src.withColumn("_value", codes.map_code(code_col, values, key_type="int"))
-    src = src.withColumnRenamed("personid", "effica_ssn")
-    isl = iv.value_set_periods(src, ["effica_ssn", "child_id"], "startdate", "_end", "_value",
+    src = src.withColumnRenamed("personid", "legacy_ssn")
+    isl = iv.value_set_periods(src, ["legacy_ssn", "child_id"], "startdate", "_end", "_value",
                                sorted(set(values.values())), out=out)
-    rows = isl.select(ident.hash_uuid(kind, "effica_ssn", "start_date", F.array_join(out, ",")).alias("id"),
-                      "effica_ssn", "child_id", "start_date", "end_date", out)
+    rows = isl.select(ident.hash_uuid(kind, "legacy_ssn", "start_date", F.array_join(out, ",")).alias("id"),
+                      "legacy_ssn", "child_id", "start_date", "end_date", out)
     flagged = q.flag(rows, [("PERSON MISSING", F.col("child_id").isNull())])
     return split(flagged, ["id"])
 
 
 def special_needs(t: Tables) -> dict[str, DataFrame]:
     clean, todo = _periods(t, "specialneeds", "specialneedcode", dic.SPECIAL_NEED, "bases", "ASSISTANCE_NEED")
-    return {"evaka_assistance_need": clean, "evaka_assistance_need_todo": todo}
+    return {"mig_assistance_need": clean, "mig_assistance_need_todo": todo}
 
 
 def special_means(t: Tables) -> dict[str, DataFrame]:
     clean, todo = _periods(t, "specialmeans", "mean", dic.SPECIAL_MEAN, "actions", "ASSISTANCE_ACTION")
-    return {"evaka_assistance_action": clean, "evaka_assistance_action_todo": todo}
+    return {"mig_assistance_action": clean, "mig_assistance_action_todo": todo}

@@ -67,7 +67,7 @@ def income(t: Tables, date_cap: Column | None = None) -> dict[str, DataFrame]:
     weighted = agg.weighted_total("_data", dic.INCOME_SIGNS, dic.INCOME_COEFFICIENTS)
     j = j.withColumn("data", F.when((F.col("income_total") - weighted) == 0, F.col("_data"))
                      .otherwise(_main_income(F.col("income_total"))))
-    j = person_lookup(j, get(t, "evaka_person"), "personid", {"id": "person_id"}).filter(F.col("person_id").isNotNull())
+    j = person_lookup(j, get(t, "mig_person"), "personid", {"id": "person_id"}).filter(F.col("person_id").isNotNull())
     out = j.select(F.col("_iid").alias("id"), "person_id", F.col("personid").alias("person_ssn"), "data",
                    dom.income_effect("maxincome", "incomemissing").alias("effect"),
                    F.col("startdate").alias("valid_from"), F.col("enddate").alias("valid_to"), "income_total")
@@ -75,13 +75,13 @@ def income(t: Tables, date_cap: Column | None = None) -> dict[str, DataFrame]:
     checked = iv.conflicts(materialize(out), ["person_id"], "valid_from", "valid_to")
     flagged = q.flag(checked, [("OVERLAPPING INCOME", F.col("overlapping"))]).drop("overlapping")
     clean, todo = split(flagged, ["id"])
-    return {"evaka_income": clean, "evaka_income_todo": todo}
+    return {"mig_income": clean, "mig_income_todo": todo}
 
 
 def fee_deviations(t: Tables) -> dict[str, DataFrame]:
     """Fee deviations of migrated placements -> fee alterations."""
     fd = get(t, "feedeviations")
-    pl = get(t, "evaka_placement").select(F.col("effica_placement_nbr").alias("_pnbr"), "child_id")
+    pl = get(t, "mig_placement").select(F.col("legacy_placement_nbr").alias("_pnbr"), "child_id")
     j = fd.join(pl, fd["placementnbr"] == pl["_pnbr"], "inner")
     j = j.filter(F.col("deviationtype").isNotNull() & ((F.col("sum") != 0) | (F.col("procent") != 0)))
     types = {k: v[0] for k, v in dic.DEVIATION_TYPE.items()}
@@ -98,7 +98,7 @@ def fee_deviations(t: Tables) -> dict[str, DataFrame]:
     flagged = q.flag(out, [("TYPE MISSING", F.col("type").isNull()),
                            ("PERSON MISSING", F.col("person_id").isNull())])
     clean, todo = split(flagged, ["id"])
-    return {"evaka_fee_alteration": clean, "evaka_fee_alteration_todo": todo}
+    return {"mig_fee_alteration": clean, "mig_fee_alteration_todo": todo}
 
 
 def _status_group(status: Column, sent_group: str) -> Column:
@@ -109,13 +109,13 @@ def _status_group(status: Column, sent_group: str) -> Column:
 def _family_at(points: DataFrame, t: Tables, ssn_col: str, date_col: str, key: str) -> DataFrame:
     """Head of family of a child on a date (child link containing the date),
     and the head's partner on that date. One deterministic pick per ``key``."""
-    links = get(t, "evaka_fridge_child").select(
+    links = get(t, "mig_fridge_child").select(
         F.col("child_ssn").alias("_ssn"), "head_of_family",
         F.col("start_date").alias("_fs"), F.col("end_date").alias("_fe"))
     p = points.select(key, F.col(ssn_col).alias("_ssn"), F.col(date_col).alias("_d")).filter(F.col("_d").isNotNull())
     heads = iv.point_in_interval_join(p, links, ["_ssn"], "_d", ("_fs", "_fe"), bin_days=365)
     heads = heads.groupBy(key, "_d").agg(F.min("head_of_family").alias("head_of_family_id"))
-    part = get(t, "evaka_fridge_partner")
+    part = get(t, "mig_fridge_partner")
     p1 = part.select(F.col("person_id").alias("head_of_family_id"), F.col("partnership_id").alias("_pid"),
                      F.col("indx").alias("_ix"), F.col("start_date").alias("_ps"), F.col("end_date").alias("_pe"))
     hp = iv.point_in_interval_join(heads, p1, ["head_of_family_id"], "_d", ("_ps", "_pe"), bin_days=365)
@@ -135,12 +135,12 @@ def voucher_value_decisions(t: Tables) -> dict[str, DataFrame]:
     d = d.withColumn("status", status).withColumn("status_group", _status_group(F.col("status"), "APPROVED"))
     fam = _family_at(d, t, "personid", "decisiondate", "guid")
     d = d.join(fam, "guid", "left")
-    d = person_lookup(d, get(t, "evaka_person"), "personid", {"id": "child_id", "date_of_birth": "child_date_of_birth"})
+    d = person_lookup(d, get(t, "mig_person"), "personid", {"id": "child_id", "date_of_birth": "child_date_of_birth"})
     d = unit_lookup(d, t, "decisionunitcode", "decisionchildminder", "placement_unit_id")
     d = extent_option(d, t, "extent", "days", "service_need_option_id")
     rows = d.select(
-        "id", F.col("guid").alias("effica_guid"), F.col("personid").alias("effica_ssn"),
-        F.col("decisiondate").alias("effica_decision_date"), "status", "status_group",
+        "id", F.col("guid").alias("legacy_guid"), F.col("personid").alias("legacy_ssn"),
+        F.col("decisiondate").alias("legacy_decision_date"), "status", "status_group",
         F.col("startdate").alias("valid_from"), F.col("enddate").alias("valid_to"),
         F.col("decisionnbr").cast("long").alias("decision_number"), "head_of_family_id", "partner_id",
         F.col("familysize").alias("family_size"), "child_id", "child_date_of_birth",
@@ -149,13 +149,13 @@ def voucher_value_decisions(t: Tables) -> dict[str, DataFrame]:
         dom.to_cents("totalsum").cast("int").alias("voucher_value"),
         dom.to_cents("paydecision").cast("int").alias("final_co_payment"),
         F.col("factor").cast("decimal(4,2)").alias("capacity_factor"))
-    idmap = id_map_update(t, "DECISION", rows.select(F.col("effica_guid").alias("guid"), "id"), "guid", "id")
+    idmap = id_map_update(t, "DECISION", rows.select(F.col("legacy_guid").alias("guid"), "id"), "guid", "id")
     has_group = rows.filter(F.col("status_group").isNotNull())
-    closed = iv.close_open_ends(has_group, ["effica_ssn", "status_group"], "valid_from", "valid_to")
+    closed = iv.close_open_ends(has_group, ["legacy_ssn", "status_group"], "valid_from", "valid_to")
     rows = closed.unionByName(rows.filter(F.col("status_group").isNull()))
     rows = rows.withColumn("_vf", F.coalesce("valid_from", F.lit(EARLIEST).cast("date")))
     valid = (F.col("valid_from") <= F.col("valid_to")) | F.col("valid_from").isNull() | F.col("valid_to").isNull()
-    rows = iv.conflicts(materialize(rows), ["effica_ssn", "status_group"], "_vf", "valid_to", valid=valid).drop("_vf")
+    rows = iv.conflicts(materialize(rows), ["legacy_ssn", "status_group"], "_vf", "valid_to", valid=valid).drop("_vf")
     flagged = q.flag(rows, [
         ("STATUS MISSING", F.col("status").isNull()),
         ("HEAD OF FAMILY MISSING", F.col("head_of_family_id").isNull()),
@@ -166,7 +166,7 @@ def voucher_value_decisions(t: Tables) -> dict[str, DataFrame]:
         ("INVALID FAMILY SIZE", F.col("family_size") <= 1),
         ("OVERLAPPING DECISION", F.col("overlapping"))]).drop("overlapping")
     clean, todo = split(flagged, ["id"])
-    return {"evaka_voucher_value_decision": clean, "evaka_voucher_value_decision_todo": todo, "idmap": idmap}
+    return {"mig_voucher_value_decision": clean, "mig_voucher_value_decision_todo": todo, "idmap": idmap}
 
 
 def _income_document(income: Column) -> Column:
@@ -208,20 +208,20 @@ def pay_decisions(t: Tables, only: set[str] | None = None) -> dict[str, DataFram
                  F.when(is_partner, F.struct("rownumber", "_rguid", "_person", "income"))).alias("_pr"),
         F.min_by("_fs", F.when(F.col("rowtype") == 3, F.struct("rownumber", "_rguid", "_fs"))).alias("family_size"))
     j = pd.join(per_pd, "guid", "left")
-    person = get(t, "evaka_person")
+    person = get(t, "mig_person")
     j = person_lookup(j, person, "headoffamily", {"id": "head_of_family_id"})
     j = j.withColumn("_partner_ssn", F.col("_pr._person"))
     j = person_lookup(j, person, "_partner_ssn", {"id": "partner_id"})
     fee = j.select(
-        "id", F.col("guid").alias("effica_guid"), F.col("headoffamily").alias("effica_ssn"),
+        "id", F.col("guid").alias("legacy_guid"), F.col("headoffamily").alias("legacy_ssn"),
         status.alias("status"), _status_group(status, "SENT").alias("status_group"),
         F.col("startdate").alias("start_date"), F.col("enddate").alias("end_date"),
         F.lit("NORMAL").alias("decision_type"), "head_of_family_id",
         _income_document(F.col("_head_income")).alias("head_of_family_income"), "partner_id",
         _income_document(F.col("_pr.income")).alias("partner_income"), "family_size",
         F.col("decisionnumber").cast("long").alias("decision_number"))
-    idmap = id_map_update(t, "PAY_DECISION", fee.select(F.col("effica_guid").alias("guid"), "id"), "guid", "id")
-    fee = iv.conflicts(materialize(fee), ["effica_ssn", "status_group"], "start_date", "end_date")
+    idmap = id_map_update(t, "PAY_DECISION", fee.select(F.col("legacy_guid").alias("guid"), "id"), "guid", "id")
+    fee = iv.conflicts(materialize(fee), ["legacy_ssn", "status_group"], "start_date", "end_date")
     flagged = q.flag(fee, [("STATUS MISSING", F.col("status").isNull()),
                            ("START AFTER END", F.col("start_date") > F.col("end_date")),
                            ("OVERLAPPING FEE DECISION", F.col("overlapping")),
@@ -229,35 +229,35 @@ def pay_decisions(t: Tables, only: set[str] | None = None) -> dict[str, DataFram
                            ("FAMILY SIZE MISSING", F.col("family_size").isNull())]).drop("overlapping")
     fee_clean, fee_todo = split(flagged, ["id"])
     if only is not None and "child" not in only:
-        return {"evaka_fee_decision": fee_clean, "evaka_fee_decision_todo": fee_todo, "idmap": idmap}
+        return {"mig_fee_decision": fee_clean, "mig_fee_decision_todo": fee_todo, "idmap": idmap}
 
     kids = rows.filter(F.col("rowtype") == 5).select(
-        F.col("guid").alias("effica_guid"), F.col("internalid").alias("_kid_iid"), "person", "fee")
+        F.col("guid").alias("legacy_guid"), F.col("internalid").alias("_kid_iid"), "person", "fee")
     kids = kids.join(get(t, "paydecisions").select(F.col("internaldecisionnumber").alias("_kid_iid"),
                                                    F.col("guid").alias("_pd_guid")), "_kid_iid")
-    kids = kids.join(fee_clean.select(F.col("effica_guid").alias("_pd_guid"), F.col("id").alias("fee_decision_id"),
+    kids = kids.join(fee_clean.select(F.col("legacy_guid").alias("_pd_guid"), F.col("id").alias("fee_decision_id"),
                                       F.col("start_date").alias("_fd_start")), "_pd_guid", "left")
     kids = person_lookup(kids, person, "person", {"id": "child_id", "date_of_birth": "child_date_of_birth"})
-    pl = get(t, "evaka_placement").select(F.col("child_id").alias("_pc"), F.col("id").alias("_placement_id"),
+    pl = get(t, "mig_placement").select(F.col("child_id").alias("_pc"), F.col("id").alias("_placement_id"),
                                           F.col("unit_id").alias("placement_unit_id"),
                                           F.col("start_date").alias("_ps"), F.col("end_date").alias("_pe"))
     kids = kids.withColumn("_pc", F.col("child_id"))
     kids = iv.point_in_interval_join(kids, pl, ["_pc"], "_fd_start", ("_ps", "_pe"), half_open=True, how="left",
                                      bin_days=90)
-    sn = get(t, "evaka_service_need").select(F.col("placement_id").alias("_placement_id"),
+    sn = get(t, "mig_service_need").select(F.col("placement_id").alias("_placement_id"),
                                              F.col("option_id").alias("service_need_option_id"),
                                              F.col("start_date").alias("_ss"), F.col("end_date").alias("_se"))
     kids = iv.point_in_interval_join(kids, sn, ["_placement_id"], "_fd_start", ("_ss", "_se"),
                                      half_open=True, how="left", bin_days=90)
     cents = dom.to_cents("fee").cast("int")
     child = kids.select(
-        ident.hash_uuid("FEE_DECISION_CHILD", "effica_guid", "_placement_id", "service_need_option_id").alias("id"),
-        "effica_guid", "fee_decision_id", "child_id", "child_date_of_birth", F.lit(0).alias("sibling_discount"),
+        ident.hash_uuid("FEE_DECISION_CHILD", "legacy_guid", "_placement_id", "service_need_option_id").alias("id"),
+        "legacy_guid", "fee_decision_id", "child_id", "child_date_of_birth", F.lit(0).alias("sibling_discount"),
         "placement_unit_id", "service_need_option_id", cents.alias("base_fee"), cents.alias("fee"),
         cents.alias("final_fee"))
     cflag = q.flag(child, [("PERSON MISSING", F.col("child_id").isNull()),
                            ("PLACEMENT MISSING", F.col("placement_unit_id").isNull()),
                            ("SERVICE NEED OPTION MISSING", F.col("service_need_option_id").isNull())])
     child_clean, child_todo = split(cflag, ["id"])
-    return {"evaka_fee_decision": fee_clean, "evaka_fee_decision_todo": fee_todo,
-            "evaka_fee_decision_child": child_clean, "evaka_fee_decision_child_todo": child_todo, "idmap": idmap}
+    return {"mig_fee_decision": fee_clean, "mig_fee_decision_todo": fee_todo,
+            "mig_fee_decision_child": child_clean, "mig_fee_decision_child_todo": child_todo, "idmap": idmap}

@@ -41,7 +41,7 @@ def daily_journals(t: Tables, only: set[str] | None = None) -> dict[str, DataFra
     """Absences and backup care from the journal rows. ``only``
     ({"absence"} or {"backup_care"}) builds just that branch."""
     days = journal_days(t)
-    person = get(t, "evaka_person")
+    person = get(t, "mig_person")
     out: dict[str, DataFrame] = {}
     if only is None or "absence" in only:
         out.update(_absences(t, days, person))
@@ -53,7 +53,7 @@ def daily_journals(t: Tables, only: set[str] | None = None) -> dict[str, DataFra
 def _absences(t: Tables, days: DataFrame, person: DataFrame) -> dict[str, DataFrame]:
     a = days.filter(codes.tristate_keep("reportcode", dic.REPORT_CODE_ABSENCE, key_type="int"))
     a = person_lookup(a, person, "personid", {"id": "child_id"})
-    pl = get(t, "evaka_placement").select(F.col("child_id").alias("_pc"), F.col("type").alias("_ptype"),
+    pl = get(t, "mig_placement").select(F.col("child_id").alias("_pc"), F.col("type").alias("_ptype"),
                                           F.col("start_date").alias("_ps"), F.col("end_date").alias("_pe"))
     a = a.withColumn("_pc", F.col("child_id"))
     a = iv.point_in_interval_join(a.filter(F.col("date").isNotNull()), pl, ["_pc"], "date", ("_ps", "_pe"),
@@ -63,16 +63,16 @@ def _absences(t: Tables, days: DataFrame, person: DataFrame) -> dict[str, DataFr
     a = R.explode_case(a, "_ptype", CARE_TYPES, "care_type", default=[UNKNOWN_CARE_TYPE])
     a = a.withColumn("absence_type", codes.map_code("reportcode", dic.REPORT_CODE_ABSENCE, key_type="int"))
     g = a.groupBy("child_id", "date", "care_type").agg(
-        F.array_sort(F.collect_set("dailyjournalid")).alias("effica_dailyjournalids"),
+        F.array_sort(F.collect_set("dailyjournalid")).alias("legacy_dailyjournalids"),
         F.min_by("absence_type", F.struct("dailyjournalid", "reportcode")).alias("absence_type"))
     ab = g.select(ident.hash_uuid("ABSENCE", "child_id", "date", "care_type").alias("id"),
-                  "effica_dailyjournalids", "child_id", "date", "care_type", "absence_type")
+                  "legacy_dailyjournalids", "child_id", "date", "care_type", "absence_type")
     aflag = q.flag(ab, [("CHILD MISSING", F.col("child_id").isNull()),
                         ("PLACEMENT MISSING", F.col("care_type") == UNKNOWN_CARE_TYPE),
                         ("TYPE MISSING", F.col("absence_type").isNull()),
                         ("INVALID DATE", F.col("date").isNull())])
     ab_clean, ab_todo = split(aflag, ["id"], unique=False)
-    return {"evaka_absence": ab_clean, "evaka_absence_todo": ab_todo}
+    return {"mig_absence": ab_clean, "mig_absence_todo": ab_todo}
 
 
 def _backup_care(t: Tables, days: DataFrame, person: DataFrame) -> dict[str, DataFrame]:
@@ -80,8 +80,8 @@ def _backup_care(t: Tables, days: DataFrame, person: DataFrame) -> dict[str, Dat
     b = days.filter(codes.in_list("reportcode", dic.BACKUP_CARE_CODES) & F.col("date").isNotNull())
     b = person_lookup(b, person, "personid", {"id": "child_id"})
     b = unit_lookup(b, t, "unit", "childminder", "unit_id")
-    groups = unique_dim(get(t, "evaka_daycare_group", "id string, effica_id int"), "effica_id", "id",
-                        "group_id").withColumnRenamed("effica_id", "_gk")
+    groups = unique_dim(get(t, "mig_daycare_group", "id string, legacy_id int"), "legacy_id", "id",
+                        "group_id").withColumnRenamed("legacy_id", "_gk")
     b = b.join(groups, b["department"] == groups["_gk"], "left")
     isl = iv.islands(b, ["child_id", "unit_id", "group_id"], "date")
     bc = isl.select(ident.hash_uuid("BACKUP_CARE", "child_id", "unit_id", "group_id", "start_date").alias("id"),
@@ -91,7 +91,7 @@ def _backup_care(t: Tables, days: DataFrame, person: DataFrame) -> dict[str, Dat
                         ("UNIT MISSING", F.col("unit_id").isNull()),
                         ("OVERLAPPING BACKUP CARE", F.col("overlapping"))]).drop("overlapping")
     bc_clean, bc_todo = split(bflag, ["id"], unique=False)
-    return {"evaka_backup_care": bc_clean, "evaka_backup_care_todo": bc_todo}
+    return {"mig_backup_care": bc_clean, "mig_backup_care_todo": bc_todo}
 
 
 def timestamps(t: Tables) -> dict[str, DataFrame]:
@@ -104,14 +104,14 @@ def timestamps(t: Tables) -> dict[str, DataFrame]:
         F.col("rownumber").alias("_hr"), "unit", "childminder", "personid", "period")
     v = z.join(h, z["rownumber"] == h["_hr"])
     v = v.withColumn("date", period_day("period", "day"))
-    v = person_lookup(v, get(t, "evaka_person"), "personid", {"id": "child_id"})
+    v = person_lookup(v, get(t, "mig_person"), "personid", {"id": "child_id"})
     v = unit_lookup(v, t, "unit", "childminder", "unit_id")
     att = v.select(ident.hash_uuid("ATTENDANCE", "rownumber", "day", "slot").alias("id"),
-                   F.col("rownumber").alias("effica_rownumber"), "child_id",
+                   F.col("rownumber").alias("legacy_rownumber"), "child_id",
                    local_to_utc(at_time("date", "starttime")).alias("arrived"),
                    local_to_utc(at_time("date", "endtime")).alias("departed"), "unit_id")
     flagged = q.flag(att, [("PERSON MISSING", F.col("child_id").isNull()),
                            ("TIME MISSING", F.col("arrived").isNull() | F.col("departed").isNull()),
                            ("UNIT MISSING", F.col("unit_id").isNull())])
     clean, todo = split(flagged, ["id"])
-    return {"evaka_child_attendance": clean, "evaka_child_attendance_todo": todo}
+    return {"mig_child_attendance": clean, "mig_child_attendance_todo": todo}

@@ -12,14 +12,21 @@ from ...operators import quality as q
 from ...sinks.publish import insert_ignore_rows
 from ._common import Tables, filtered, get, id_map_update, materialize, person_lookup, split, with_ids
 
+# Fixed values of the target schema: the source-system marker of a person
+# row (a CHECK constraint of the target) and the guid prefix given to
+# persons that already exist in the target.
+SOURCE_LEGACY = "effica"
+SOURCE_TARGET = "evaka"
+TARGET_GUID_PREFIX = "evaka-"
+
 # Family validity periods run for months to years (a child link to the 18th
 # birthday): year-wide bins keep the copies per period few.
 LONG_PERIOD_BIN_DAYS = 365
 
-PERSON_SCHEMA = ("id string, effica_guid string, social_security_number string, last_name string, "
+PERSON_SCHEMA = ("id string, legacy_guid string, social_security_number string, last_name string, "
                  "first_name string, email string, language string, street_address string, postal_code string, "
                  "post_office string, nationalities array<string>, restricted_details_enabled boolean, "
-                 "phone string, backup_phone string, effica_ssn string, date_of_birth date, source_system string")
+                 "phone string, backup_phone string, legacy_ssn string, date_of_birth date, source_system string")
 
 EXISTING_PERSON_SCHEMA = ("id string, social_security_number string, last_name string, first_name string, "
                           "email string, language string, street_address string, postal_code string, "
@@ -28,8 +35,8 @@ EXISTING_PERSON_SCHEMA = ("id string, social_security_number string, last_name s
 
 
 def persons(t: Tables) -> dict[str, DataFrame]:
-    """Staged persons -> ``evaka_person`` (+ existing target persons, which
-    win on the identity number), ``evaka_person_todo``, updated ``idmap``."""
+    """Staged persons -> ``mig_person`` (+ existing target persons, which
+    win on the identity number), ``mig_person_todo``, updated ``idmap``."""
     p = get(t, "persons")
     codes = get(t, "codes")
     lang = (codes.filter(F.col("codetype") == "SPRAK").filter(F.col("code").isNotNull())
@@ -39,7 +46,7 @@ def persons(t: Tables) -> dict[str, DataFrame]:
     phone, backup = dom.contact_choice("personmobilephone", "phonework", "phonehome")
     secret = F.col("secretaddress")
     rows = src.select(
-        "id", F.col("guid").alias("effica_guid"),
+        "id", F.col("guid").alias("legacy_guid"),
         dom.official_id("personid").alias("social_security_number"),
         dom.name_part("personname", 1).alias("last_name"),
         dom.name_part("personname", 2).alias("first_name"),
@@ -50,22 +57,22 @@ def persons(t: Tables) -> dict[str, DataFrame]:
         F.array().cast("array<string>").alias("nationalities"),
         secret.alias("restricted_details_enabled"),
         phone.alias("phone"), backup.alias("backup_phone"),
-        F.col("personid").alias("effica_ssn"),
+        F.col("personid").alias("legacy_ssn"),
         dom.birth_date_from_code("personid").alias("date_of_birth"),
-        F.lit("effica").alias("source_system"))
+        F.lit(SOURCE_LEGACY).alias("source_system"))
     flagged = q.flag(rows, [("INVALID BIRTH DATE", F.col("date_of_birth").isNull())])
     ok, todo = split(flagged, ["id"])
 
     existing = get(t, "person", EXISTING_PERSON_SCHEMA)
     from_target = existing.select(
-        "id", F.concat(F.lit("evaka-"), F.col("id")).alias("effica_guid"), "social_security_number",
+        "id", F.concat(F.lit(TARGET_GUID_PREFIX), F.col("id")).alias("legacy_guid"), "social_security_number",
         "last_name", "first_name", "email", "language", "street_address", "postal_code", "post_office",
         "nationalities", "restricted_details_enabled", "phone", "backup_phone",
-        F.col("social_security_number").alias("effica_ssn"), "date_of_birth", F.lit("evaka").alias("source_system"))
-    inserted = insert_ignore_rows(from_target, ok, ["social_security_number"], ["effica_guid"])
+        F.col("social_security_number").alias("legacy_ssn"), "date_of_birth", F.lit(SOURCE_TARGET).alias("source_system"))
+    inserted = insert_ignore_rows(from_target, ok, ["social_security_number"], ["legacy_guid"])
     person = from_target.unionByName(inserted.select(*from_target.columns))
-    mapped = p.select("guid").join(person.select(F.col("effica_guid").alias("guid"), "id"), "guid")
-    return {"evaka_person": person, "evaka_person_todo": todo,
+    mapped = p.select("guid").join(person.select(F.col("legacy_guid").alias("guid"), "id"), "guid")
+    return {"mig_person": person, "mig_person_todo": todo,
             "idmap": id_map_update(t, "PERSON", mapped, "guid", "id")}
 
 
@@ -78,7 +85,7 @@ def families(t: Tables, date_cap=None, only: set[str] | None = None) -> dict[str
     index 1 (head) and 2 (partner). Conflicts: a child in two overlapping
     links; a person in overlapping partnerships with different indices."""
     f = filtered(t, "families")
-    person = get(t, "evaka_person")
+    person = get(t, "mig_person")
     cap = date_cap if date_cap is not None else iv.max_date((f, "startdate"))
     out: dict[str, DataFrame] = {}
     if only is None or "child" in only:
@@ -112,7 +119,7 @@ def _child_links(f: DataFrame, person: DataFrame, cap) -> dict[str, DataFrame]:
     child_flag = q.flag(child, [("OVERLAPPING", F.col("overlapping")),
                                 ("START AFTER END", F.col("start_date") > F.col("end_date"))]).drop("overlapping")
     child_clean, child_todo = split(child_flag, ["id"])
-    return {"evaka_fridge_child": child_clean, "evaka_fridge_child_todo": child_todo}
+    return {"mig_fridge_child": child_clean, "mig_fridge_child_todo": child_todo}
 
 
 def _partnerships(f: DataFrame, person: DataFrame, cap) -> dict[str, DataFrame]:
@@ -127,11 +134,11 @@ def _partnerships(f: DataFrame, person: DataFrame, cap) -> dict[str, DataFrame]:
     ps = ps.withColumn("partnership_id", ident.hash_uuid("PARTNERSHIP", "family_number", "hof_ssn", "partner_ssn",
                                                          "overlap_start", "overlap_end"))
     members = (ps.select("partnership_id", "family_number", "overlap_start", "overlap_end",
-                         F.col("hof_ssn").alias("effica_ssn"), F.lit(1).alias("indx"))
+                         F.col("hof_ssn").alias("legacy_ssn"), F.lit(1).alias("indx"))
                .unionByName(ps.select("partnership_id", "family_number", "overlap_start", "overlap_end",
-                                      F.col("partner_ssn").alias("effica_ssn"), F.lit(2).alias("indx"))))
-    members = person_lookup(members, person, "effica_ssn", {"id": "person_id"}).filter(F.col("person_id").isNotNull())
-    partner = members.select("partnership_id", "person_id", "effica_ssn", "indx", "family_number",
+                                      F.col("partner_ssn").alias("legacy_ssn"), F.lit(2).alias("indx"))))
+    members = person_lookup(members, person, "legacy_ssn", {"id": "person_id"}).filter(F.col("person_id").isNotNull())
+    partner = members.select("partnership_id", "person_id", "legacy_ssn", "indx", "family_number",
                              F.col("overlap_start").alias("start_date"),
                              F.col("overlap_end").alias("end_date")).distinct()
     partner = iv.conflicts(materialize(partner), ["person_id"], "start_date", "end_date", role="indx", roles=[1, 2])
@@ -140,5 +147,5 @@ def _partnerships(f: DataFrame, person: DataFrame, cap) -> dict[str, DataFrame]:
     partner_clean, partner_todo = split(partner_flag, ["partnership_id", "indx"])
     # Q2: both members of a partnership share its dates (a constraint of the target)
     violations = q.consistent(partner_clean, ["partnership_id"], ["start_date", "end_date"], "partnership_dates")
-    return {"evaka_fridge_partner": partner_clean, "evaka_fridge_partner_todo": partner_todo,
-            "evaka_fridge_partner_violations": violations}
+    return {"mig_fridge_partner": partner_clean, "mig_fridge_partner_todo": partner_todo,
+            "mig_fridge_partner_violations": violations}

@@ -149,7 +149,7 @@ def result(spark, tmp_path_factory):
 
 
 def test_persons(result):
-    rows = {r.effica_ssn: r for r in result["evaka_person"].collect()}
+    rows = {r.legacy_ssn: r for r in result["mig_person"].collect()}
     assert len(rows) == 6
     assert rows["020288-TP01"].social_security_number is None
     hidden = rows["180476-998M"]
@@ -162,21 +162,21 @@ def test_persons(result):
 
 
 def test_child_links(result):
-    kids = sorted((r.child_ssn, r.start_date, r.end_date) for r in result["evaka_fridge_child"].collect())
+    kids = sorted((r.child_ssn, r.start_date, r.end_date) for r in result["mig_fridge_child"].collect())
     assert kids == [("010619A9501", D(2020, 12, 1), D(2037, 5, 31)),
                     ("251118A9509", D(2019, 11, 25), D(2020, 11, 30)),
                     ("251118A9509", D(2020, 12, 1), D(2036, 11, 24))]
-    assert result["evaka_fridge_child_todo"].count() == 0
+    assert result["mig_fridge_child_todo"].count() == 0
 
 
 def test_partnerships(result):
-    p = sorted((r.effica_ssn, r.indx, r.start_date, r.end_date) for r in result["evaka_fridge_partner"].collect())
+    p = sorted((r.legacy_ssn, r.indx, r.start_date, r.end_date) for r in result["mig_fridge_partner"].collect())
     assert p == [("020967-9992", 1, D(2019, 11, 25), D(2020, 11, 30)), ("020967-9992", 1, D(2020, 12, 1), None),
                  ("180476-998M", 2, D(2019, 11, 25), D(2020, 11, 30)), ("180476-998M", 2, D(2020, 12, 1), None)]
 
 
 def test_income(result):
-    inc = {r.person_ssn: r for r in result["evaka_income"].collect()}
+    inc = {r.person_ssn: r for r in result["mig_income"].collect()}
     aimo = inc["020967-9992"]
     assert aimo.income_total == 506060 and aimo.effect == "INCOME"
     data = {k: (v.amount, v.coefficient) for k, v in aimo.data.items()}
@@ -189,52 +189,52 @@ def test_income(result):
 
 
 def test_placements_and_service_needs(result):
-    pl = {r.effica_placement_nbr: r for r in result["evaka_placement"].collect()}
+    pl = {r.legacy_placement_nbr: r for r in result["mig_placement"].collect()}
     assert sorted(pl) == [11, 12, 13]
     assert pl[11].end_date == D(2021, 2, 28) and pl[12].end_date == D(2025, 7, 31) and pl[13].end_date == D(2020, 12, 31)
     assert pl[13].type == "DAYCARE_PART_TIME" and pl[11].type == "DAYCARE"
     assert pl[11].unit_id == U1 and pl[13].unit_id == U2
     assert pl[11].daycare_group_id is not None and pl[13].daycare_group_id is None
-    todo = sorted((r.effica_placement_nbr, r.reason, r.end_date) for r in result["evaka_placement_todo"].collect())
+    todo = sorted((r.legacy_placement_nbr, r.reason, r.end_date) for r in result["mig_placement_todo"].collect())
     assert todo == [(14, "OVERLAPPING PLACEMENT", D(2021, 12, 31)), (15, "OVERLAPPING PLACEMENT", D(2024, 7, 31))]
-    sn = sorted((r.effica_placement_nbr, r.effica_extent_nbr, r.option_id, r.end_date)
-                for r in result["evaka_service_need"].collect())
+    sn = sorted((r.legacy_placement_nbr, r.legacy_extent_nbr, r.option_id, r.end_date)
+                for r in result["mig_service_need"].collect())
     assert sn == [(11, 1, OPT_FULL, D(2021, 2, 28)), (13, 2, OPT_PART, D(2020, 12, 31))]
 
 
 def test_cleanup_drops_unused_group(result):
-    removed = [r.effica_id for r in result["evaka_daycare_group_removed"].collect()]
+    removed = [r.legacy_id for r in result["mig_daycare_group_removed"].collect()]
     assert removed == [1251]
-    assert [r.effica_id for r in result["evaka_daycare_group"].collect()] == [1231]
+    assert [r.legacy_id for r in result["mig_daycare_group"].collect()] == [1231]
 
 
 def test_daily_journals(result):
-    ab = [(r.date, r.care_type, r.absence_type, r.effica_dailyjournalids) for r in result["evaka_absence"].collect()]
+    ab = [(r.date, r.care_type, r.absence_type, r.legacy_dailyjournalids) for r in result["mig_absence"].collect()]
     assert ab == [(D(2020, 3, 9), "DAYCARE", "SICKLEAVE", [123456])]
-    todo = [(r.date, r.reason) for r in result["evaka_absence_todo"].collect()]
+    todo = [(r.date, r.reason) for r in result["mig_absence_todo"].collect()]
     assert todo == [(D(2020, 3, 24), "TYPE MISSING")]
-    bc = sorted((r.start_date, r.end_date, r.unit_id) for r in result["evaka_backup_care"].collect())
+    bc = sorted((r.start_date, r.end_date, r.unit_id) for r in result["mig_backup_care"].collect())
     assert bc == [(D(2020, 3, 15), D(2020, 3, 17), U1), (D(2020, 3, 19), D(2020, 3, 19), U1)]
 
 
 def test_applications(result):
-    app = result["evaka_application"].collect()
+    app = result["mig_application"].collect()
     assert [(r.type, r.status, r.sentdate, r.duedate, r.transferapplication) for r in app] == [
         ("DAYCARE", "SENT", D(2021, 8, 1), D(2021, 11, 29), False)]
     assert app[0].guardian_id is not None
-    form = result["evaka_application_form"].collect()
-    assert [(r.effica_priority, r.unit_id, r.service_need_option_id, r.preferred_start_date) for r in form] == [
+    form = result["mig_application_form"].collect()
+    assert [(r.legacy_priority, r.unit_id, r.service_need_option_id, r.preferred_start_date) for r in form] == [
         (1, U1, OPT_FULL, D(2021, 9, 1))]
 
 
 def test_fee_deviations(result):
-    fa = [(r.type, r.notes, r.amount, r.is_absolute, r.valid_from) for r in result["evaka_fee_alteration"].collect()]
+    fa = [(r.type, r.notes, r.amount, r.is_absolute, r.valid_from) for r in result["mig_fee_alteration"].collect()]
     assert fa == [("DISCOUNT", "ALENNUS AP/IP", 10, True, D(2020, 3, 1))]
 
 
 def test_voucher_decisions(result):
-    d = result["evaka_voucher_value_decision"].collect()
-    assert len(d) == 1 and result["evaka_voucher_value_decision_todo"].count() == 0
+    d = result["mig_voucher_value_decision"].collect()
+    assert len(d) == 1 and result["mig_voucher_value_decision_todo"].count() == 0
     r = d[0]
     assert (r.status, r.status_group, r.voucher_value, r.final_co_payment, r.family_size) == ("SENT", "APPROVED", 1000, 100, 5)
     assert r.placement_unit_id == U1 and r.service_need_option_id == OPT_FULL and r.valid_to is None
@@ -243,8 +243,8 @@ def test_voucher_decisions(result):
 
 def test_pay_decisions(result):
     import json
-    fd = result["evaka_fee_decision"].collect()
-    assert len(fd) == 1 and result["evaka_fee_decision_todo"].count() == 0
+    fd = result["mig_fee_decision"].collect()
+    assert len(fd) == 1 and result["mig_fee_decision_todo"].count() == 0
     r = fd[0]
     assert (r.status, r.status_group, r.family_size, r.decision_number, r.end_date) == ("SENT", "SENT", 2, 123456790, None)
     head = json.loads(r.head_of_family_income)
@@ -252,20 +252,20 @@ def test_pay_decisions(result):
     assert head["validFrom"] is None and head["worksAtECHA"] is False
     partner = json.loads(r.partner_income)
     assert partner["effect"] == "MAX_FEE_ACCEPTED" and partner["data"] == {} and partner["total"] == 0
-    kids = result["evaka_fee_decision_child"].collect()
+    kids = result["mig_fee_decision_child"].collect()
     assert [(k.fee, k.placement_unit_id, k.service_need_option_id, k.child_date_of_birth) for k in kids] == [
         (49200, U1, OPT_FULL, D(2019, 6, 1))]
 
 
 def test_assistance(result):
-    need = [(r.effica_ssn, r.start_date, r.end_date, r.bases) for r in result["evaka_assistance_need"].collect()]
+    need = [(r.legacy_ssn, r.start_date, r.end_date, r.bases) for r in result["mig_assistance_need"].collect()]
     assert need == [("010619A9501", D(2019, 8, 8), D(2020, 5, 31), ["DEVELOPMENTAL_DISABILITY"])]
-    act = [(r.start_date, r.end_date, r.actions) for r in result["evaka_assistance_action"].collect()]
+    act = [(r.start_date, r.end_date, r.actions) for r in result["mig_assistance_action"].collect()]
     assert act == [(D(2019, 8, 8), D(2020, 5, 31), ["10"])]
 
 
 def test_timestamps(result):
-    att = result["evaka_child_attendance"].collect()
+    att = result["mig_child_attendance"].collect()
     assert [(r.arrived, r.departed, r.unit_id) for r in att] == [
         (dt.datetime(2021, 1, 1, 5, 26), dt.datetime(2021, 1, 1, 14, 17), U2)]
 
@@ -336,11 +336,11 @@ def test_publish_all_is_idempotent_for_conflicting_tables(spark, target, tmp_pat
 
 def test_audit_user_created_once_and_reused(spark, target):
     from registrar.plans import transfer as X
-    made = X.audit_user(target)["evaka_user"].collect()
+    made = X.audit_user(target)[X.USER_TABLE].collect()
     assert len(made) == 1 and made[0].name == "Effica"
-    existing = spark.createDataFrame([("u-1", "UNKNOWN", "Effica")], X.EVAKA_USER_SCHEMA)
-    t2 = {**target, "evaka_user": existing}
-    assert X.audit_user(t2)["evaka_user"].count() == 0
+    existing = spark.createDataFrame([("u-1", "UNKNOWN", "Effica")], X.USER_SCHEMA)
+    t2 = {**target, X.USER_TABLE: existing}
+    assert X.audit_user(t2)[X.USER_TABLE].count() == 0
     rows = X.income(t2)["income"].select("updated_by").distinct().collect()
     assert [r.updated_by for r in rows] == ["u-1"]
 
