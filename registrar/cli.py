@@ -1,7 +1,8 @@
-"""spark-submit entry point: ingest a dump folder, reconcile, publish.
+"""Entry point: ingest a dump folder, reconcile, publish.
 
-    spark-submit -m registrar.cli --input /shared/dumps/2021-06 \\
+    spark-submit --py-files registrar.zip run_migration.py --input /shared/dumps/2021-06 \\
         --dims /shared/target-dims --work /shared/work --target /shared/target
+    python -m registrar.cli ...            (local runs)
 
 ``--dims`` holds parquet folders of target dimensions the jobs read
 (person, service_need_option, fee_thresholds, voucher_value, daycare, child,
