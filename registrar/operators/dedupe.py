@@ -17,11 +17,13 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
     """One row per key tuple: the row with the smallest ``order`` tuple.
 
     NULL keys group together (NULL-safe, as ``IS NOT DISTINCT FROM``).
+    Columns must be orderable (no maps).
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
-    payload = F.struct(*[F.col(c) for c in rest]).alias("_row")
-    ordk = F.struct(*[F.col(c) for c in order])
+    # ties on ``order`` are broken by the remaining columns, so the kept row
+    # is the same on every run (and on every recomputation of a lost task)
+    ordk = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest if c not in order])
     g = df.groupBy(*keys).agg(F.min_by(F.struct(*[F.col(c) for c in rest]), ordk).alias("_row"))
     return g.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*df.columns)
 
