@@ -189,7 +189,8 @@ def placements(t: Tables) -> dict[str, DataFrame]:
     placement gets a group placement."""
     ep = get(t, "mig_placement")
     pl = ep.select("id", "type", "child_id", "unit_id", "start_date", "end_date")
-    sn = get(t, "mig_service_need").select("id", "option_id", "placement_id", "start_date", "end_date",
+    sn = get(t, "mig_service_need", "id string, option_id string, placement_id string, start_date date, end_date date"
+             ).select("id", "option_id", "placement_id", "start_date", "end_date",
                                              F.lit(False).alias("shift_care"))
     synth = (ep.filter(F.col("daycare_group_id").isNull())
              .select(F.col("unit_id").alias("daycare_id"), "start_date", "end_date").distinct()

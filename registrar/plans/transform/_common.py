@@ -28,6 +28,8 @@ def get(t: Tables, name: str, schema: str | None = None) -> DataFrame:
         return t[name]
     spark = spark_of(t)
     if schema is None:
+        if name not in REGISTRY:
+            raise KeyError(f"input table '{name}' is missing and has no declared schema")
         schema = REGISTRY[name].ddl()
     return spark.createDataFrame([], schema)
 
