@@ -190,3 +190,36 @@ def test_overlap_join_auto_bins(spark):
     fixed = sorted((r.lid, r.rid) for r in iv.overlap_join(left, right, ["k"], ("ls", "le"), ("rs", "re"),
                                                            bin_days=1).collect())
     assert auto == fixed
+
+
+@pytest.mark.parametrize("seed", [41, 42])
+def test_repair_branch_join_matches_definition(spark, seed):
+    from registrar.operators.joins import repair_branch_join
+    rnd = random.Random(seed)
+    left = []
+    right = []
+    for i in range(120):
+        k = rnd.choice([0, 0, 1, 2])
+        s = BASE + dt.timedelta(days=rnd.randint(0, 60))
+        e = None if rnd.random() < 0.3 else s + dt.timedelta(days=rnd.randint(-3, 20))
+        left.append((i, k, s, e))
+    for j in range(150):
+        k = rnd.choice([0, 1, 2, 3])
+        s = BASE + dt.timedelta(days=rnd.randint(0, 60))
+        r = rnd.random()
+        e = None if r < 0.2 else (s - dt.timedelta(days=rnd.randint(1, 4)) if r < 0.4 else s + dt.timedelta(days=rnd.randint(0, 20)))
+        right.append((j, k, s, e))
+    L = spark.createDataFrame(left, "lid long, k long, ls date, le date")
+    R = spark.createDataFrame(right, "rid long, k long, rs date, re date")
+    got = sorted((r.lid, r.rid) for r in repair_branch_join(L, R, ["k"], ("ls", "le"), ("rs", "re")).collect())
+    want = []
+    for a in left:
+        for b in right:
+            if a[1] != b[1]:
+                continue
+            broken = b[3] is not None and b[2] > b[3] and a[2] == b[2] and a[3] is None
+            normal = ((b[3] is None or b[3] > b[2])
+                      and max(a[2], b[2]) <= min(a[3] or OPEN, b[3] or OPEN))
+            if broken or normal:
+                want.append((a[0], b[0]))
+    assert got == sorted(want)

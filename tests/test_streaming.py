@@ -29,3 +29,16 @@ def test_incremental_runs_load_each_file_once(spark, tmp_path):
     df = spark.read.parquet(target)
     assert df.count() == 250 and df.select("code").distinct().count() == 250
     assert df.filter("active").count() == 250
+
+
+def test_incremental_rejects_a_bad_batch(spark, tmp_path):
+    import pytest
+    from registrar.sources.errors import IngestError
+    src = tmp_path / "in"
+    src.mkdir()
+    with open(src / "codes_1.xml", "w", encoding="utf-8") as f:
+        f.write("<item><code>1</code><surprise>x</surprise></item>\n")
+    with pytest.raises(Exception) as ei:
+        incremental_ingest(spark, str(src), REGISTRY["codes"], "item", str(tmp_path / "t"), str(tmp_path / "ck"))
+    assert "E-TREP-10003" in str(ei.value) or isinstance(ei.value, IngestError)
+    assert not (tmp_path / "t").exists() or spark.read.parquet(str(tmp_path / "t")).count() == 0
