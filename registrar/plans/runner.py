@@ -41,7 +41,7 @@ def run_chain(tables: Mapping[str, DataFrame], jobs: Sequence[tuple[str, Job]] |
             for table, df in out.items():
                 path = f"{out_dir.rstrip('/')}/run={run}/{name}/{table}"
                 df.write.mode("errorifexists").parquet(path)
-                written[table] = df.sparkSession.read.parquet(path)
+                written[table] = df.sparkSession.read.schema(df.schema).parquet(path)
             out = written
         state.update(out)
     return state

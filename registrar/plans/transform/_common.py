@@ -106,7 +106,7 @@ def materialize(df: DataFrame, name: str = "intermediate") -> DataFrame:
     from ...session import scratch_path
     path = scratch_path(df.sparkSession, name)
     df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def split(flagged: DataFrame, key: Sequence[str], unique: bool = True):
