@@ -71,7 +71,8 @@ def placements(t: Tables) -> dict[str, DataFrame]:
         ("INVALID IDENTITY CODE", F.col("_was_open") & ~preschool & ~dom.birth_code_sign_valid("legacy_ssn")),
     ]).drop("overlapping", "_was_open")
     clean, todo = split(flagged, ["id"])
-    return {"mig_placement": clean, "mig_placement_todo": todo}
+    violations = q.unique(clean, ["legacy_placement_nbr"])  # Q2: one placement per legacy number
+    return {"mig_placement": clean, "mig_placement_todo": todo, "mig_placement_violations": violations}
 
 
 def service_needs(t: Tables) -> dict[str, DataFrame]:
@@ -147,7 +148,9 @@ def applications(t: Tables) -> dict[str, DataFrame]:
         "duedate", F.when(F.col("duedate").isNull() & F.col("_pref").isNotNull(),
                           F.greatest(F.date_add("sentdate", 120), F.col("_pref"))).otherwise(F.col("duedate"))
     ).drop("_aid", "_pref")
-    return {"mig_application": app_clean, "mig_application_todo": app_todo,
+    # Q2: allowed application types of the target
+    violations = q.value_list(app_clean, "type", ["CLUB", "DAYCARE", "PRESCHOOL"], ["id"])
+    return {"mig_application": app_clean, "mig_application_todo": app_todo, "mig_application_violations": violations,
             "mig_application_form": form_clean, "mig_application_form_todo": form_todo, "idmap": idmap}
 
 

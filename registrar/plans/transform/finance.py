@@ -166,7 +166,9 @@ def voucher_value_decisions(t: Tables) -> dict[str, DataFrame]:
         ("INVALID FAMILY SIZE", F.col("family_size") <= 1),
         ("OVERLAPPING DECISION", F.col("overlapping"))]).drop("overlapping")
     clean, todo = split(flagged, ["id"])
-    return {"mig_voucher_value_decision": clean, "mig_voucher_value_decision_todo": todo, "idmap": idmap}
+    violations = q.row_check(clean, "head_is_not_partner", F.col("head_of_family_id") != F.col("partner_id"), ["id"])
+    return {"mig_voucher_value_decision": clean, "mig_voucher_value_decision_todo": todo,
+            "mig_voucher_value_decision_violations": violations, "idmap": idmap}
 
 
 def _income_document(income: Column) -> Column:
@@ -228,8 +230,10 @@ def pay_decisions(t: Tables, only: set[str] | None = None) -> dict[str, DataFram
                            ("PERSON MISSING", F.col("head_of_family_id").isNull()),
                            ("FAMILY SIZE MISSING", F.col("family_size").isNull())]).drop("overlapping")
     fee_clean, fee_todo = split(flagged, ["id"])
+    fee_viol = q.row_check(fee_clean, "head_is_not_partner", F.col("head_of_family_id") != F.col("partner_id"), ["id"])
     if only is not None and "child" not in only:
-        return {"mig_fee_decision": fee_clean, "mig_fee_decision_todo": fee_todo, "idmap": idmap}
+        return {"mig_fee_decision": fee_clean, "mig_fee_decision_todo": fee_todo,
+                "mig_fee_decision_violations": fee_viol, "idmap": idmap}
 
     kids = rows.filter(F.col("rowtype") == 5).select(
         F.col("guid").alias("legacy_guid"), F.col("internalid").alias("_kid_iid"), "person", "fee")
@@ -259,5 +263,5 @@ def pay_decisions(t: Tables, only: set[str] | None = None) -> dict[str, DataFram
                            ("PLACEMENT MISSING", F.col("placement_unit_id").isNull()),
                            ("SERVICE NEED OPTION MISSING", F.col("service_need_option_id").isNull())])
     child_clean, child_todo = split(cflag, ["id"])
-    return {"mig_fee_decision": fee_clean, "mig_fee_decision_todo": fee_todo,
+    return {"mig_fee_decision": fee_clean, "mig_fee_decision_todo": fee_todo, "mig_fee_decision_violations": fee_viol,
             "mig_fee_decision_child": child_clean, "mig_fee_decision_child_todo": child_todo, "idmap": idmap}

@@ -72,7 +72,11 @@ def persons(t: Tables) -> dict[str, DataFrame]:
     inserted = insert_ignore_rows(from_target, ok, ["social_security_number"], ["legacy_guid"])
     person = from_target.unionByName(inserted.select(*from_target.columns))
     mapped = p.select("guid").join(person.select(F.col("legacy_guid").alias("guid"), "id"), "guid")
-    return {"mig_person": person, "mig_person_todo": todo,
+    # Q2: constraints of the target table as explicit checks
+    violations = (q.unique(person, ["social_security_number"])
+                  .unionByName(q.unique(person, ["id"]))
+                  .unionByName(q.value_list(person, "source_system", [SOURCE_LEGACY, SOURCE_TARGET], ["id"])))
+    return {"mig_person": person, "mig_person_todo": todo, "mig_person_violations": violations,
             "idmap": id_map_update(t, "PERSON", mapped, "guid", "id")}
 
 

@@ -392,3 +392,10 @@ def test_cli_end_to_end(spark, tmp_path):
     with open(bad / "notatable.xml", "w", encoding="utf-8") as f:
         f.write("<x><a>1</a></x>\n")
     assert cli.main(["--input", str(bad), "--target", str(tmp_path / "t2")]) == 2
+
+
+def test_constraint_checks_are_empty_on_clean_fixtures(result):
+    for name in ["mig_person_violations", "mig_placement_violations", "mig_application_violations",
+                 "mig_voucher_value_decision_violations", "mig_fee_decision_violations",
+                 "mig_fridge_partner_violations"]:
+        assert result[name].count() == 0, name
