@@ -8,8 +8,6 @@ target_id, updated)`` carries ids between runs; existing entries win.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 

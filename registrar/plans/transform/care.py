@@ -15,7 +15,7 @@ from ...operators import intervals as iv
 from ...operators import quality as q
 from ...sinks.publish import delete_by_keys
 from ._common import (Tables, extent_option, filtered, get, id_map_update, materialize, person_lookup, split,
-                      unique_dim, unit_lookup, with_ids)
+                      unique_dim, unit_lookup)
 
 SERVICE_NEED_OPTION_SCHEMA = "id string, name_fi string, valid_placement_type string, fee_coefficient decimal(10,4)"
 
