@@ -20,6 +20,9 @@ a user) ever has to be processed whole by one task:
   first day), so there is no dedup step and candidates stay close to output.
   Open ends are capped at the largest start (resp. point) present, found by
   a scalar subquery, so an open interval expands to a bounded number of bins.
+  Every start, end and point is clamped to the cap before binning, which
+  keeps containment monotone: results are exact for any cap, a cap that is
+  too small only puts more rows into its last bin.
 """
 
 from __future__ import annotations
@@ -132,15 +135,15 @@ def overlap_join(left: DataFrame, right: DataFrame, on: Sequence[str],
     cap = cap if cap is not None else max_date((left, ls), (right, rs))
     if bin_days == "auto":
         bin_days = auto_bin_days((left, ls, le), (right, rs, re_))
-    lb = left.withColumn("_bin", F.explode(_bins(F.col(ls), F.least(end_or_open(le), cap), bin_days)))
+    lb = left.withColumn("_bin", F.explode(_bins(F.least(F.col(ls), cap), F.least(end_or_open(le), cap), bin_days)))
     rkeys = [f"_rk_{k}" for k in on]
     rb = right.select(*[F.col(k).alias(rk) for k, rk in zip(on, rkeys)],
                       *[F.col(c) for c in right.columns if c not in on])
-    rb = rb.withColumn("_rbin", F.explode(_bins(F.col(rs), F.least(end_or_open(re_), cap), bin_days)))
+    rb = rb.withColumn("_rbin", F.explode(_bins(F.least(F.col(rs), cap), F.least(end_or_open(re_), cap), bin_days)))
     cond = [F.col(k) == F.col(rk) for k, rk in zip(on, rkeys)]
     cond.append(F.col("_bin") == F.col("_rbin"))
     cond.append(intersection_nonempty(F.col(ls), F.col(le), F.col(rs), F.col(re_)))
-    cond.append(_bin(F.greatest(F.col(ls), F.col(rs)), bin_days) == F.col("_bin"))
+    cond.append(_bin(F.least(F.greatest(F.col(ls), F.col(rs)), cap), bin_days) == F.col("_bin"))
     joined = lb.join(rb, on=_and_all(cond), how="inner")
     os_, oe = intersection(F.col(ls), F.col(le), F.col(rs), F.col(re_))
     return (joined.drop("_bin", "_rbin", *rkeys)
@@ -168,8 +171,8 @@ def point_in_interval_join(points: DataFrame, intervals: DataFrame, on: Sequence
     ikeys = [f"_ik_{k}" for k in on]
     ib = intervals.select(*[F.col(k).alias(ik) for k, ik in zip(on, ikeys)],
                           *[F.col(c) for c in intervals.columns if c not in on])
-    ib = ib.withColumn("_ibin", F.explode(_bins(F.col(s), hi, bin_days)))
-    pb = points.withColumn("_pbin", _bin(F.col(point_col), bin_days))
+    ib = ib.withColumn("_ibin", F.explode(_bins(F.least(F.col(s), cap), hi, bin_days)))
+    pb = points.withColumn("_pbin", _bin(F.least(F.col(point_col), cap), bin_days))
     cond = [F.col(k) == F.col(ik) for k, ik in zip(on, ikeys)]
     cond.append(F.col("_pbin") == F.col("_ibin"))
     cond.append(contains(F.col(s), F.col(e), F.col(point_col), half_open))

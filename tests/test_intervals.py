@@ -223,3 +223,21 @@ def test_repair_branch_join_matches_definition(spark, seed):
             if broken or normal:
                 want.append((a[0], b[0]))
     assert got == sorted(want)
+
+
+def test_joins_exact_for_any_cap(spark):
+    data = _rows(51, n=200)
+    left = spark.createDataFrame([r for r in data if r[4] == 1], SCHEMA).select(
+        F.col("id").alias("lid"), "k", F.col("s").alias("ls"), F.col("e").alias("le"))
+    right = spark.createDataFrame([r for r in data if r[4] == 2], SCHEMA).select(
+        F.col("id").alias("rid"), "k", F.col("s").alias("rs"), F.col("e").alias("re"))
+    base = sorted((r.lid, r.rid) for r in iv.overlap_join(left, right, ["k"], ("ls", "le"), ("rs", "re")).collect())
+    low = F.lit(BASE + dt.timedelta(days=20)).cast("date")   # far below the largest start
+    capped = sorted((r.lid, r.rid) for r in iv.overlap_join(left, right, ["k"], ("ls", "le"), ("rs", "re"),
+                                                            cap=low, bin_days=7).collect())
+    assert capped == base
+    pts = spark.createDataFrame([(i, i % 3, BASE + dt.timedelta(days=i)) for i in range(120)], "pid long, k long, d date")
+    ivs = spark.createDataFrame(data, SCHEMA)
+    a = sorted((r.pid, r.id) for r in iv.point_in_interval_join(pts, ivs, ["k"], "d", ("s", "e")).collect())
+    b = sorted((r.pid, r.id) for r in iv.point_in_interval_join(pts, ivs, ["k"], "d", ("s", "e"), cap=low, bin_days=5).collect())
+    assert a == b
