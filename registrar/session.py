@@ -52,21 +52,27 @@ def apply_defaults(spark: SparkSession) -> None:
             pass
 
 
+_LOCAL_ROOTS: dict[int, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir`` (the cluster's shared storage). Only
-    when unset (local tests) a private folder is created and registered.
+    Read from ``spark.checkpoint.dir`` (the cluster's shared storage) or the
+    context's checkpoint directory. Only when neither is set and the master
+    is local (tests) a private folder is created and registered; on a
+    cluster that is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        root = tempfile.mkdtemp(prefix="registrar-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    spark.sparkContext.setCheckpointDir(root)
+        key = id(spark.sparkContext)
+        root = _LOCAL_ROOTS.get(key)
+        if root is None:
+            if not spark.sparkContext.master.startswith("local"):
+                raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+            root = tempfile.mkdtemp(prefix="registrar-ckpt-")
+            _LOCAL_ROOTS[key] = root
+        spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
