@@ -23,9 +23,10 @@ def spark_of(t: Tables) -> SparkSession:
 
 
 def get(t: Tables, name: str, schema: str | None = None) -> DataFrame:
-    """A named input; an empty frame of the spec/schema when absent."""
+    """A named input; an empty frame of the spec/schema when absent. A present
+    input lacking some declared columns gets them as typed NULLs."""
     if name in t and t[name] is not None:
-        return t[name]
+        return conform(t[name], schema) if schema else t[name]
     spark = spark_of(t)
     if schema is None:
         if name not in REGISTRY:
@@ -34,6 +35,17 @@ def get(t: Tables, name: str, schema: str | None = None) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def conform(df: DataFrame, schema: str) -> DataFrame:
+    """Add the declared columns the frame lacks, as typed NULLs."""
+    spark = df.sparkSession
+    declared = spark.createDataFrame([], schema).schema
+    have = set(df.columns)
+    for f in declared.fields:
+        if f.name not in have:
+            df = df.withColumn(f.name, F.lit(None).cast(f.dataType))
+    return df
+
+
 def filtered(t: Tables, table: str) -> DataFrame:
     """The staged table minus its exclusion list (S7), when one is given."""
     df = get(t, table)

@@ -399,3 +399,25 @@ def test_constraint_checks_are_empty_on_clean_fixtures(result):
                  "mig_voucher_value_decision_violations", "mig_fee_decision_violations",
                  "mig_fridge_partner_violations"]:
         assert result[name].count() == 0, name
+
+
+def test_cli_loads_dimensions(spark, tmp_path):
+    from registrar import cli
+    base = tmp_path / "in"
+    base.mkdir()
+    for table, element, rows in [("persons", "person", PERSONS), ("placements", "placement", PLACEMENTS),
+                                 ("placementextents", "placementextent", EXTENTS)]:
+        with open(base / f"{table}.xml", "w", encoding="utf-8") as f:
+            f.write(_xml(element, rows))
+    for table in ("unitmap", "childmindermap", "extentmap"):
+        with open(base / f"{table}.csv", "w", encoding="utf-8") as f:
+            f.write(CSV[table])
+    dims = tmp_path / "dims"
+    spark.createDataFrame([(OPT_FULL, "full", "DAYCARE", 1.0), (OPT_PART, "part", "DAYCARE_PART_TIME", 0.6)],
+                          "id string, name_fi string, valid_placement_type string, fee_coefficient double"
+                          ).write.parquet(str(dims / "service_need_option"))
+    rc = cli.main(["--input", str(base), "--dims", str(dims), "--target", str(tmp_path / "target"),
+                   "--work", str(tmp_path / "work")])
+    assert rc == 0
+    types = {r.type for r in spark.read.parquet(str(tmp_path / "target" / "placement")).collect()}
+    assert "DAYCARE_PART_TIME" in types
