@@ -15,9 +15,9 @@ bucket's pairs:
   pair's similarity from above and removes most false candidates exactly;
 * each bucket's members are compared with its hub (the member with the
   smallest share of such shingles), and linked ones become one component;
-* what is left are members of different components that the bound admits:
-  only those pairs of a bucket are compared, so no link between components
-  is lost.
+* what is left are members of one bucket in different components: an exact
+  set join with prefix and position filters finds their links, so no link
+  between components is lost and no bucket's pairs are listed.
 """
 
 from __future__ import annotations
@@ -160,14 +160,35 @@ def _links(docs: DataFrame, nodes: DataFrame, plan: Banding) -> DataFrame:
                   .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct(), "hub-pairs")
     links = saved(_confirmed(tried, sets, plan.percent), "hub-links")
 
-    roots = components(links)
-    placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    x = placed.select("bucket", F.col("node").alias("a"), F.col("n").alias("an"), F.col("u").alias("au"), F.col("root").alias("ar"))
-    y = placed.select("bucket", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("u").alias("bu"), F.col("root").alias("br"))
-    rest = (x.join(y, "bucket").where("a < b and ar <> br")
-            .where(_possible(F.col("an"), F.col("au"), F.col("bn"), F.col("bu"), plan.percent))
-            .select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
-    return links.union(_confirmed(rest, sets, plan.percent))
+    placed = members.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = placed.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("bucket")
+    rest = placed.join(mixed, "bucket").select("node", "n", "root").distinct()
+    pairs = saved(_prefix_pairs(sets.join(rest, "node"), plan.percent), "rest-pairs")
+    return links.union(_confirmed(pairs, sets, plan.percent))
+
+
+def _prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs (a, b) of different roots among ``sets`` (node, n,
+    root, shingles); every pair that reaches the threshold is one.
+
+    With shingles in one order for all sets, rarest first, such a pair shares
+    a shingle among the first n - ceil(t * n) + 1 of each; and where its
+    first common shingle stands, what follows must still hold the overlap
+    that the threshold asks for (prefix and position filters). A shingle that
+    many sets have comes late in the order, so few are compared through it.
+    """
+    single = sets.select("node", "n", "root", F.explode("shingles").alias("shingle"))
+    often = single.groupBy("shingle").agg(F.count("*").alias("df"))
+    ordered = (single.join(often, "shingle").groupBy("node", "n", "root")
+               .agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("order")))  # one document's set
+    length = F.col("n") - F.floor((F.lit(percent) * F.col("n") + F.lit(99)) / F.lit(100)) + F.lit(1)
+    prefix = (ordered.select("node", "n", "root", F.posexplode(F.slice("order", F.lit(1), length.cast("int"))).alias("place", "entry"))
+              .where("entry.df > 1").select("node", "n", "root", F.col("entry.shingle").alias("shingle"), (F.col("n") - F.col("place")).alias("left")))
+    x = prefix.select("shingle", *(F.col(c).alias(f"x_{c}") for c in ("node", "n", "root", "left")))
+    y = prefix.select("shingle", *(F.col(c).alias(f"y_{c}") for c in ("node", "n", "root", "left")))
+    enough = F.lit(100 + percent) * F.least("x_left", "y_left") >= F.lit(percent) * (F.col("x_n") + F.col("y_n"))
+    return (x.join(y, "shingle").where("x_node < y_node and x_root <> y_root").where(enough)
+            .select(F.col("x_node").alias("a"), F.col("y_node").alias("b")).distinct())
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
