@@ -26,13 +26,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from registrar.llm.common import batches, mapped, texts
+from registrar.llm.common import Remembered, batches, mapped, texts
 
 #: Encoded chunks and words that a worker keeps in each of two generations (about 150 bytes each).
 CHUNKS_KEPT = 200_000
 WORDS_KEPT = 500_000
-#: Longer ones are encoded anew each time, so the caches' size is bounded.
-CACHED_LENGTH = 64
 
 # Fixed values of the tokenizer's file format: white space and the word pattern.
 _WHITE = "\u0009-\u000d \u0085   -     　"
@@ -71,8 +69,8 @@ class Codec:
         self.strings = [""] * size
         for token, i in (*vocab.items(), *self.added.items()):
             self.strings[i] = token
-        self.words = _Remembered(self._word, WORDS_KEPT)
-        self.chunks = _Remembered(self.encode_chunk, CHUNKS_KEPT)
+        self.words = Remembered(self._word, WORDS_KEPT)
+        self.chunks = Remembered(self.encode_chunk, CHUNKS_KEPT)
 
     def merge(self, symbols: list[int]) -> list[int]:
         """Merged symbols of one word."""
@@ -155,26 +153,6 @@ class Codec:
         return " ".join(map(self.strings.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
 
 
-class _Remembered(dict):
-    """What ``find`` gave for short keys, in two generations: when the young
-    one is full it becomes the old one, and what is used again moves up."""
-
-    def __init__(self, find, most: int):
-        super().__init__()
-        self.find, self.most, self.old = find, most, {}
-
-    def __missing__(self, key):
-        value = self.old.get(key)
-        if value is None:
-            value = self.find(key)
-        if len(key) <= CACHED_LENGTH:
-            if len(self) >= self.most:
-                self.old = dict(self)
-                self.clear()
-            self[key] = value
-        return value
-
-
 @lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
     return Codec(path)

@@ -16,6 +16,8 @@ from registrar.session import scratch_path
 
 #: Bytes of result values after which a worker hands a batch on.
 BATCH_BYTES = 8 << 20
+#: Longer keys are not remembered, so a worker's memory is bounded.
+CACHED_LENGTH = 64
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,3 +81,23 @@ def texts(stream: Iterable[pa.RecordBatch], key: str = "doc_id", text: str = "te
     for b in stream:
         for k, t in zip(b.column(key), b.column(text)):
             yield k.as_py(), t.as_py()
+
+
+class Remembered(dict):
+    """What ``find`` gave for short keys, in two generations: when the young
+    one is full it becomes the old one, and what is used again moves up."""
+
+    def __init__(self, find, most: int):
+        super().__init__()
+        self.find, self.most, self.old = find, most, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.find(key)
+        if len(key) <= CACHED_LENGTH:
+            if len(self) >= self.most:
+                self.old = dict(self)
+                self.clear()
+            self[key] = value
+        return value

@@ -18,7 +18,9 @@ numbers are little-endian. The index makes any id reachable by one seek.
 from __future__ import annotations
 
 import os
+import unicodedata
 import uuid
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -29,18 +31,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from registrar.llm.common import batches, mapped, saved
+from registrar.llm.common import Remembered, batches, mapped, saved, texts
 from registrar.session import scratch_path
 
 BLOCK = 4096
 PERCENTILE = 95
 #: Ids after which a file is closed; a longer document makes a longer file.
 FILE_IDS = 4_000_000
-#: Encoded chunks kept in each of two generations by a worker.
-CHUNKS_KEPT = 400_000
-CACHED_LENGTH = 64
-#: Text encoded at a time.
-PIECE_BYTES = 4 << 20
+#: Encoded chunks and words that a worker keeps in each of two generations.
+CHUNKS_KEPT = 200_000
+WORDS_KEPT = 500_000
 
 _MAGIC = b"PFOR1\0\0\0"
 _HEAD = np.dtype([("min", "<u4"), ("width", "u1"), ("spare", "u1"), ("exceptions", "<u2")])
@@ -49,9 +49,10 @@ _HEAD = np.dtype([("min", "<u4"), ("width", "u1"), ("spare", "u1"), ("exceptions
 # ---- encoding by the tokenizers library ----
 
 class _Encoder:
-    """The library's encoder with remembered chunks: no word, added token or
-    composed character spans ASCII white space, so chunks between it can be
-    encoded apart."""
+    """The library's encoder with remembered chunks and words: no word, added
+    token or composed character spans ASCII white space, so chunks between it
+    can be encoded apart; a chunk of letters is one word of the tokenizer,
+    and punctuation after letters is another."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
@@ -59,29 +60,26 @@ class _Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-
-    def _bytes(self, chunks: list[bytes]) -> Iterator[bytes]:
-        found = self.tokenizer.encode_batch_fast([c.decode("utf-8") for c in chunks], add_special_tokens=False)
-        return (np.array(f.ids, dtype="<u4").tobytes() for f in found)
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [(t or "").encode("utf-8").split() for t in texts]
-        here: dict[bytes, bytes] = {}
-        wanted = set().union(*split).difference(self.young)
-        for c in [c for c in wanted if c in self.old]:
-            here[c] = self.old[c]
-        new = [c for c in wanted if c not in here]
-        here.update(zip(new, self._bytes(new)))
-        if len(self.young) + len(here) > CHUNKS_KEPT:
-            self.old, self.young = self.young, {}
-            known = {**self.old, **here}
-        else:
-            known = None
-        self.young.update((c, ids) for c, ids in here.items() if len(c) <= CACHED_LENGTH)
-        look = known or (self.young if all(len(c) <= CACHED_LENGTH for c in here) else {**self.young, **here})
-        return [b"".join(map(look.__getitem__, s)) for s in split]
+        self.model = self.tokenizer.model
+        self.words = Remembered(self._word, WORDS_KEPT)
+        self.chunks = Remembered(self._chunk, CHUNKS_KEPT)
+
+    def _word(self, word: str) -> bytes:
+        if word.isascii():  # its normal form and byte alphabet are itself
+            return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+
+    def _chunk(self, chunk: bytes) -> bytes:
+        text = chunk.decode("utf-8")
+        head, last = (text[:-1], text[-1]) if text[-1] in ".,;:!?|" else (text, "")
+        plain = head if head.isascii() else unicodedata.normalize("NFC", head)
+        plain = plain.lower()
+        if not plain.isalpha() or "\u03c2" in plain:  # a final sigma: the library lowers it otherwise
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        return self.words[plain] + self.words[last] if last else self.words[plain]
+
+    def encode(self, text: str | None) -> bytes:
+        return b"".join(map(self.chunks.__getitem__, text.encode("utf-8").split())) if text else b""
 
 
 @lru_cache(maxsize=2)
@@ -158,10 +156,18 @@ class TokenFile:
         return np.concatenate(parts)[start - first * BLOCK:][:n]
 
     def documents(self) -> Iterator[tuple[int | None, int, bytes]]:
-        """(doc_id, place of its first id in the file, ids) of every document."""
-        at = 0
+        """(doc_id, place of its first id in the file, ids) of every document;
+        every block is unpacked once."""
+        blocks = (self.read(k * BLOCK, min(BLOCK, self.ids - k * BLOCK)).astype("<u4").tobytes() for k in range(len(self.starts)))
+        at, held = 0, b""
         for doc, n, known in zip(self.doc_ids.tolist(), self.counts.tolist(), self.known.tolist()):
-            yield doc if known else None, at, self.read(at, n).astype("<u4").tobytes()
+            parts, missing = [held[:4 * n]], 4 * n - len(held)
+            held = held[4 * n:]
+            while missing > 0:
+                block = next(blocks)
+                parts.append(block[:missing])
+                held, missing = block[missing:], missing - len(block)
+            yield doc if known else None, at, b"".join(parts)
             at += n
 
 
@@ -199,7 +205,8 @@ def write_token_files(docs: DataFrame, path: str, folder: str, end_id: int) -> D
 
         def rows():
             held, size = [], 0
-            for doc, ids in encoded():
+            for doc, text in texts(stream):
+                ids = encoder.encode(text)
                 held.append((doc, ids + end))
                 size += len(ids) // 4 + 1
                 if size >= FILE_IDS:
@@ -208,18 +215,6 @@ def write_token_files(docs: DataFrame, path: str, folder: str, end_id: int) -> D
             if held:
                 yield write(held), 100
 
-        def encoded():
-            piece, size = [], 0
-            for b in stream:
-                for doc, text in zip(b.column("doc_id"), b.column("text")):
-                    piece.append((doc.as_py(), text.as_py()))
-                    size += len(piece[-1][1] or "")
-                    if size >= PIECE_BYTES:
-                        yield from zip([d for d, _ in piece], encoder.encode([t for _, t in piece]))
-                        piece, size = [], 0
-            if piece:
-                yield from zip([d for d, _ in piece], encoder.encode([t for _, t in piece]))
-
         return batches(rows(), schema)
 
     order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text").asc()]

@@ -30,6 +30,7 @@ def test_codec_equals_the_library(text):
     library = Tokenizer.from_file(PATH) if not hasattr(test_codec_equals_the_library, "lib") else test_codec_equals_the_library.lib
     test_codec_equals_the_library.lib = library
     ids = bpe.codec(PATH).encode(text)
+    assert token_io._encoder(PATH).encode(text) == ids
     assert np.frombuffer(ids, "<u4").tolist() == library_ids(library, text)
     assert bpe.codec(PATH).decode(ids) == library.decode(library_ids(library, text), skip_special_tokens=False)
 
