@@ -29,8 +29,8 @@ from pyspark.sql import DataFrame
 from registrar.llm.common import Remembered, batches, mapped, texts
 
 #: Encoded chunks and words that a worker keeps in each of two generations (about 150 bytes each).
-CHUNKS_KEPT = 200_000
-WORDS_KEPT = 500_000
+CHUNKS_KEPT = 150_000
+WORDS_KEPT = 300_000
 
 # Fixed values of the tokenizer's file format: white space and the word pattern.
 _WHITE = "\u0009-\u000d \u0085   -     　"
@@ -38,7 +38,7 @@ _WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^" + _WHITE +
 _ASCII_SPACE = re.compile(rb"[^\x20\x09-\x0d]+")
 
 
-def _byte_alphabet() -> list[str]:
+def byte_alphabet() -> list[str]:
     """Printable stand-ins of the 256 bytes: themselves where printable, else
     the next code point from 256 on."""
     printable = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -55,7 +55,7 @@ class Codec:
         model = spec["model"]
         vocab: dict[str, int] = model["vocab"]
         end = model["end_of_word_suffix"] or ""
-        alphabet = _byte_alphabet()
+        alphabet = byte_alphabet()
         self.inner = [vocab.get(c) for c in alphabet]
         self.last = [vocab.get(c + end) for c in alphabet]
         self.gaps = None in self.inner or None in self.last

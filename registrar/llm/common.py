@@ -16,6 +16,8 @@ from registrar.session import scratch_path
 
 #: Bytes of result values after which a worker hands a batch on.
 BATCH_BYTES = 8 << 20
+#: Rows in a batch handed to a worker; texts are long, so fewer than Spark's 10,000.
+BATCH_ROWS = 2000
 #: Longer keys are not remembered, so a worker's memory is bounded.
 CACHED_LENGTH = 64
 
@@ -47,6 +49,7 @@ def _ship(spark: SparkSession) -> None:
 def mapped(df: DataFrame, run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """``df.mapInArrow`` whose workers can import this package."""
     _ship(df.sparkSession)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return df.mapInArrow(run, schema)
 
 

@@ -31,6 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from registrar.llm.bpe import byte_alphabet
 from registrar.llm.common import Remembered, batches, mapped, saved, texts
 from registrar.session import scratch_path
 
@@ -39,8 +40,10 @@ PERCENTILE = 95
 #: Ids after which a file is closed; a longer document makes a longer file.
 FILE_IDS = 4_000_000
 #: Encoded chunks and words that a worker keeps in each of two generations.
-CHUNKS_KEPT = 200_000
-WORDS_KEPT = 500_000
+CHUNKS_KEPT = 150_000
+WORDS_KEPT = 300_000
+#: Marks that a chunk of letters may end in and still be split here.
+PUNCTUATION = frozenset(b"%c" % c for c in b".,;:!?|")
 
 _MAGIC = b"PFOR1\0\0\0"
 _HEAD = np.dtype([("min", "<u4"), ("width", "u1"), ("spare", "u1"), ("exceptions", "<u2")])
@@ -61,22 +64,25 @@ class _Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model
+        self.alphabet = dict(enumerate(byte_alphabet()))
         self.words = Remembered(self._word, WORDS_KEPT)
         self.chunks = Remembered(self._chunk, CHUNKS_KEPT)
 
     def _word(self, word: str) -> bytes:
-        if word.isascii():  # its normal form and byte alphabet are itself
-            return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
-        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        """Ids of one lower-case word of Latin letters or of one punctuation mark."""
+        stand_ins = word if word.isascii() else word.encode("utf-8").decode("latin-1").translate(self.alphabet)
+        return array("I", [t.id for t in self.model.tokenize(stand_ins)]).tobytes()
 
     def _chunk(self, chunk: bytes) -> bytes:
-        text = chunk.decode("utf-8")
-        head, last = (text[:-1], text[-1]) if text[-1] in ".,;:!?|" else (text, "")
-        plain = head if head.isascii() else unicodedata.normalize("NFC", head)
-        plain = plain.lower()
-        if not plain.isalpha() or "\u03c2" in plain:  # a final sigma: the library lowers it otherwise
-            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        return self.words[plain] + self.words[last] if last else self.words[plain]
+        last = chunk[-1:] if chunk[-1:] in PUNCTUATION else b""
+        head = chunk[:-1] if last else chunk
+        if head.isalpha():  # ASCII letters
+            plain = head.lower().decode("ascii")
+        else:
+            plain = unicodedata.normalize("NFC", head.decode("utf-8")).lower()
+            if not plain.isalpha() or max(plain) > "\u024f":  # more than one word, or not Latin
+                return array("I", self.tokenizer.encode(chunk.decode("utf-8"), add_special_tokens=False).ids).tobytes()
+        return self.words[plain] + self.words[last.decode("ascii")] if last else self.words[plain]
 
     def encode(self, text: str | None) -> bytes:
         return b"".join(map(self.chunks.__getitem__, text.encode("utf-8").split())) if text else b""
