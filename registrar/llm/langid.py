@@ -56,10 +56,12 @@ def grams(text: str) -> np.ndarray:
 def codewords(n: int) -> np.ndarray:
     """n codewords: all splits of the languages for up to five, else random
     splits of a fixed seed, ten bits per doubling, no bit or word twice."""
+    if n < 2:
+        return np.zeros((n, 0), dtype=np.int8)
     if n <= 5:
-        splits = range(1, 1 << max(0, n - 1))
+        splits = range(1, 1 << (n - 1))
         bits = np.array([[1 if s >> i & 1 else -1 for s in splits] for i in range(n)], dtype=np.int8)
-        return bits.reshape(n, -1)
+        return bits
     rng = np.random.default_rng(n)
     while True:
         bits = rng.choice(np.array([-1, 1], dtype=np.int8), size=(n, 10 * (n - 1).bit_length()))
