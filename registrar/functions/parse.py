@@ -46,8 +46,10 @@ def numeric_boolean(c) -> Column:
 
 
 def nullable_date(c) -> Column:
-    """P5: ``yyyyMMdd`` or ``yyyy-MM-dd`` to DATE; empty, sentinels and junk to NULL."""
+    """P5: ``yyyyMMdd``, ``yyyy-MM-dd`` or the date of an ISO date-time to DATE;
+    empty, sentinels and junk to NULL."""
     t = F.trim(col_of(c).cast("string"))
+    t = F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}"), F.substring(t, 1, 10)).otherwise(t)
     parsed = F.coalesce(F.try_to_date(t, "yyyyMMdd"), F.try_to_date(t, "yyyy-MM-dd"))
     return F.when(t.isNull() | (t == "") | t.isin(*OPEN_DATE_SENTINELS), F.lit(None).cast("date")).otherwise(parsed)
 

@@ -54,7 +54,8 @@ def overlaps(a_start, a_end, b_start, b_end) -> Column:
 
 def intersection_nonempty(a_start, a_end, b_start, b_end) -> Column:
     """GREATEST(starts) <= LEAST(ends): false for inverted intervals."""
-    return F.greatest(col_of(a_start), col_of(b_start)) <= F.least(end_or_open(a_end), end_or_open(b_end))
+    start = F.greatest(col_of(a_start), col_of(b_start))  # skips NULLs: a NULL start is unbounded
+    return start.isNull() | (start <= F.least(end_or_open(a_end), end_or_open(b_end)))
 
 
 def intersection(a_start, a_end, b_start, b_end) -> tuple[Column, Column]:
@@ -116,10 +117,20 @@ def max_date(*cols: tuple[DataFrame, str]) -> Column:
     return u.agg(F.max("m")).scalar()
 
 
+def min_date(*cols: tuple[DataFrame, str]) -> Column:
+    """Scalar subquery: the smallest of the given date columns."""
+    parts = [df.select(F.min(F.col(c)).alias("m")) for df, c in cols]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    return u.agg(F.min("m")).scalar()
+
+
 def overlap_join(left: DataFrame, right: DataFrame, on: Sequence[str],
                  left_interval: tuple[str, str], right_interval: tuple[str, str],
                  bin_days: int = DEFAULT_BIN_DAYS, cap: Column | None = None) -> DataFrame:
-    """Pairs with equal keys whose closed intervals intersect.
+    """Pairs with equal keys whose closed intervals intersect. A NULL
+    start is unbounded below, a NULL end unbounded above.
 
     ``bin_days``: the bin width (an int, a Column, or ``"auto"`` for about
     the median interval length). Callers that know their intervals pass a
@@ -135,15 +146,20 @@ def overlap_join(left: DataFrame, right: DataFrame, on: Sequence[str],
     cap = cap if cap is not None else max_date((left, ls), (right, rs))
     if bin_days == "auto":
         bin_days = auto_bin_days((left, ls, le), (right, rs, re_))
-    lb = left.withColumn("_bin", F.explode(_bins(F.least(F.col(ls), cap), F.least(end_or_open(le), cap), bin_days)))
+    first = F.least(min_date((left, ls), (right, rs), (left, le), (right, re_)), cap)  # NULL starts begin in the first bin
+
+    def low(c: str) -> Column:
+        return F.least(F.coalesce(F.col(c), first), cap)
+
+    lb = left.withColumn("_bin", F.explode(_bins(low(ls), F.least(end_or_open(le), cap), bin_days)))
     rkeys = [f"_rk_{k}" for k in on]
     rb = right.select(*[F.col(k).alias(rk) for k, rk in zip(on, rkeys)],
                       *[F.col(c) for c in right.columns if c not in on])
-    rb = rb.withColumn("_rbin", F.explode(_bins(F.least(F.col(rs), cap), F.least(end_or_open(re_), cap), bin_days)))
+    rb = rb.withColumn("_rbin", F.explode(_bins(low(rs), F.least(end_or_open(re_), cap), bin_days)))
     cond = [F.col(k) == F.col(rk) for k, rk in zip(on, rkeys)]
     cond.append(F.col("_bin") == F.col("_rbin"))
     cond.append(intersection_nonempty(F.col(ls), F.col(le), F.col(rs), F.col(re_)))
-    cond.append(_bin(F.least(F.greatest(F.col(ls), F.col(rs)), cap), bin_days) == F.col("_bin"))
+    cond.append(_bin(F.greatest(low(ls), low(rs)), bin_days) == F.col("_bin"))
     joined = lb.join(rb, on=_and_all(cond), how="inner")
     os_, oe = intersection(F.col(ls), F.col(le), F.col(rs), F.col(re_))
     return (joined.drop("_bin", "_rbin", *rkeys)

@@ -14,16 +14,15 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A literal dimension above this many rows is refused: it would not be a
-# dictionary any more and must come from a table instead.
-MAX_LITERAL_ROWS = 10_000
+# Rows up to which a literal dimension is marked for broadcast; a larger one
+# is an ordinary join side.
+MAX_BROADCAST_ROWS = 10_000
 
 
 def literal_dimension(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A small fixed dimension from Python literals, marked for broadcast."""
-    if len(rows) > MAX_LITERAL_ROWS:
-        raise ValueError(f"literal dimension of {len(rows)} rows; load it as a table")
-    return F.broadcast(spark.createDataFrame(list(rows), schema))
+    """A fixed dimension from Python literals, marked for broadcast while small."""
+    dim = spark.createDataFrame(list(rows), schema)
+    return F.broadcast(dim) if len(rows) <= MAX_BROADCAST_ROWS else dim
 
 
 def lookup(df: DataFrame, dim: DataFrame, left_on: Sequence[str], right_on: Sequence[str],

@@ -11,13 +11,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.documents import json_of
 from ..operators import identity as ident
 from ..operators import intervals as iv
 from ..operators import quality as q
+from ..session import scratch_path
 from ..sinks.publish import insert_ignore_rows, update_from
 from .transform._common import Tables, get, spark_of
 
@@ -419,32 +421,60 @@ CHAIN = [
 ]
 
 
+# Columns that a second run of the same rows fills anew.
+_STAMPS = {"created", "updated", "created_at", "updated_at", "modified_at", "sent_at"}
+
+
+def _not_present(existing: DataFrame, incoming: DataFrame) -> DataFrame:
+    """Rows of ``incoming`` that the target does not have: by ``id`` where the
+    table has one, else by all columns but the time stamps."""
+    keys = ["id"] if "id" in incoming.columns else [c for c in incoming.columns if c not in _STAMPS]
+    keys = [c for c in keys if c in existing.columns]
+    if not keys:
+        return incoming
+    have = existing.select(*[F.col(c).alias(f"_have_{c}") for c in keys]).distinct()
+    return incoming.join(have, [F.col(c).eqNullSafe(F.col(f"_have_{c}")) for c in keys], "left_anti")
+
+
+def _target(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:  # no such table yet
+        return None
+
+
 def publish_all(t: Mapping[str, DataFrame], target_dir: str, include_off: bool = False) -> dict[str, dict[str, int]]:
-    """Run the transfer chain and append every job's rows to ``target_dir/<table>``.
+    """Run the transfer chain and add every job's new rows to ``target_dir/<table>``.
 
-    Target tables written by earlier jobs are read back for later ones (the
-    child register, daycare groups), so conflict rules see earlier inserts.
-    Returns per job the row counts appended (K8 read-back)."""
+    Rows that a target has already, whether given in ``t`` or published by an
+    earlier run, are not inserted again, so publishing twice equals publishing
+    once. Later jobs see existing and new rows together (the child register,
+    the audit user, daycare groups). Returns per job the rows added (K8)."""
     spark = spark_of(t)
+    root = target_dir.rstrip("/")
     state = dict(t)
     report: dict[str, dict[str, int]] = {}
     for name, job, on in CHAIN:
         if not (on or include_off):
             continue
-        out = job(state)
         counts = {}
-        for table, df in out.items():
-            path = f"{target_dir.rstrip('/')}/{table}"
-            if table.endswith("_violations"):
-                path = f"{target_dir.rstrip('/')}/_checks/{table}"
-            mode = "overwrite" if (name, table) == ("unit_external_ids", "daycare") else "append"
-            if mode == "overwrite":
-                # the update reads the table it replaces: stage it, then swap in
-                tmp = f"{path}__next"
-                df.write.mode("overwrite").parquet(tmp)
-                df = spark.read.parquet(tmp)
-            df.write.mode(mode).parquet(path)
-            counts[table] = spark.read.parquet(path).count()
+        for table, df in job(state).items():
+            checks = table.endswith("_violations")
+            path = f"{root}/_checks/{table}" if checks else f"{root}/{table}"
+            update = (name, table) == ("unit_external_ids", "daycare")
+            published = _target(spark, path)
+            given = t.get(table)
+            if not update:
+                for existing in (published, given):
+                    if existing is not None and existing.columns:
+                        df = _not_present(existing, df)
+            staged = scratch_path(spark, f"publish-{table}")  # computed once; an update reads the table it replaces
+            df.write.parquet(staged)
+            df = spark.read.schema(df.schema).parquet(staged)
+            df.write.mode("overwrite" if update else "append").parquet(path)
+            counts[table] = df.count()
             state[table] = spark.read.parquet(path)
+            if given is not None and not update:
+                state[table] = state[table].unionByName(_not_present(state[table], given), allowMissingColumns=True)
         report[name] = counts
     return report

@@ -95,10 +95,12 @@ def unit_lookup(df: DataFrame, t: Tables, unit_col: str | None, minder_col: str
 
 
 def person_lookup(df: DataFrame, person: DataFrame, ssn_col: str, take: Mapping[str, str]) -> DataFrame:
-    """Target person by legacy identity code (unique per code)."""
+    """Target person by legacy identity code: all columns of one person,
+    the one with the smallest id if several share the code."""
     p = (person.filter(F.col("legacy_ssn").isNotNull()).groupBy(F.col("legacy_ssn").alias("_p_ssn"))
-         .agg(*[F.min(c).alias(o) for c, o in take.items()]))
-    return df.join(p, df[ssn_col] == p["_p_ssn"], "left").drop("_p_ssn")
+         .agg(F.min_by(F.struct(*[F.col(c).alias(o) for c, o in take.items()]), "id").alias("_p")))
+    found = df.join(p, df[ssn_col] == p["_p_ssn"], "left")
+    return found.select(*df.columns, *[F.col(f"_p.{o}").alias(o) for o in take.values()])
 
 
 def extent_option(df: DataFrame, t: Tables, code_col: str, days_col: str, out: str = "option_id") -> DataFrame:

@@ -16,6 +16,7 @@ more than one element type.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -27,6 +28,7 @@ from .specs import REGISTRY, TableSpec
 
 NAME = r"[A-Za-z_][A-Za-z0-9_.-]*"
 COMMENT = r"(?s)<!--.*?-->"
+CORRUPT = "_corrupt_record"
 FLAT_CHILD = r"<(" + NAME + r")(\s[^>]*)?>[^<]*</\1\s*>"
 EMPTY_CHILD = r"<" + NAME + r"(\s[^>]*)?/>"
 
@@ -39,9 +41,12 @@ class RecordSource:
 
 
 def list_files(spark: SparkSession, path: str) -> list[str]:
-    """Regular files under ``path`` (metadata only: the content column is pruned)."""
-    df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return sorted(r.path for r in df.select("path").collect())
+    """Regular files directly in ``path`` (sub-folders are not entered), or the
+    file ``path`` itself. Names that Spark's readers would skip are listed too."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    where = jvm.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().toString() for s in fs.listStatus(where) if s.isFile())
 
 
 def _stem(p: str) -> str:
@@ -51,24 +56,32 @@ def _stem(p: str) -> str:
 
 def _is_data_file(p: str) -> bool:
     n = p.rsplit("/", 1)[-1].lower()
-    return not n.endswith(".license") and not n.startswith(".") and not n.startswith("_")
+    if n.endswith(".license") or n == "_success":
+        return False
+    if n.startswith((".", "_")):
+        raise E.IngestError(E.NON_MAPPED_TABLE, f"File '{n}' has a name that Spark does not read; rename it")
+    return True
 
 
-def discover_element(spark: SparkSession, files: Sequence[str], max_chunks: int = 400) -> str | None:
+def discover_element(spark: SparkSession, files: Sequence[str]) -> str | None:
     """First element name of a dump (comments and declarations skipped).
 
-    Reads only the beginning of the first file that has any element, split
-    at every ``>`` so that each piece is one tag's worth of text even when
-    the dump has no line breaks at all (nothing big reaches the driver)."""
+    Reads a file's beginning, split at every ``>`` so that each piece is one
+    tag's worth of text even when the dump has no line breaks at all, and
+    reads on while it holds nothing but comments and declarations."""
     for f in files:
-        head = spark.read.option("lineSep", ">").text(f).limit(max_chunks).collect()
-        text = ">".join(r.value for r in head)
-        import re
-        text = re.sub(r"(?s)<!--.*?-->", "", text)
-        text = re.sub(r"<\?.*?\?>", "", text)
-        m = re.search(r"<(" + NAME + r")[\s>/]", text)
-        if m:
-            return m.group(1)
+        chunks = 400
+        while True:
+            head = spark.read.option("lineSep", ">").text(f).limit(chunks).collect()
+            text = ">".join(r.value for r in head)
+            text = re.sub(r"(?s)<!--.*?(-->|\Z)", "", text)
+            text = re.sub(r"(?s)<\?.*?(\?>|\Z)", "", text)
+            m = re.search(r"<(" + NAME + r")([\s>/]|\Z)", text)
+            if m:
+                return m.group(1)
+            if len(head) < chunks:
+                break
+            chunks *= 8
     return None
 
 
@@ -95,15 +108,19 @@ def route(spark: SparkSession, path: str, target: str | None = None,
 def fragments(spark: SparkSession, files: Sequence[str], element: str) -> DataFrame:
     """One row per top-level element: ``fragment`` (the element's XML text) and
     ``stray`` (any other element markup found between elements)."""
+    return fragments_of(spark.read.option("lineSep", f"</{element}>").text(list(files)), element)
+
+
+def fragments_of(raw: DataFrame, element: str) -> DataFrame:
+    """``fragments`` of pieces (``value``) that end at the element's closing tag."""
     close = f"</{element}>"
-    raw = spark.read.option("lineSep", close).option("wholetext", "false").text(list(files))
     v = F.regexp_replace(F.col("value"), COMMENT, "")
     v = F.regexp_replace(v, r"<\?[^>]*\?>", "")
     open_re = "<" + element + r"(\s[^>]*)?>"
     pos = F.regexp_instr(v, F.lit(open_re))
     has_open = pos > 0
     before = F.when(has_open, F.substring(v, F.lit(1), pos - 1)).otherwise(v)
-    body = F.when(has_open, F.concat(F.substring(v, pos, F.lit(1 << 30)), F.lit(close)))
+    body = F.when(has_open, F.concat(F.substring(v, pos, F.length(v)), F.lit(close)))
     return raw.select(body.alias("fragment"), F.trim(before).alias("stray"))
 
 
@@ -149,9 +166,12 @@ def validate(c: dict, spec: TableSpec) -> None:
 def parse_fragments(frags: DataFrame, spec: TableSpec) -> DataFrame:
     """``from_xml`` into text fields (tags bind case-insensitively), then the
     spec's parsers type every column; absent columns come out NULL-parsed."""
-    schema = ", ".join(f"`{c}` string" for c in spec.column_names)
+    schema = ", ".join(f"`{c}` string" for c in spec.column_names) + f", `{CORRUPT}` string"
     rec = frags.filter(F.col("fragment").isNotNull()).select(
-        F.from_xml("fragment", schema, {"mode": "PERMISSIVE"}).alias("r"))
+        F.from_xml("fragment", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("r"))
+    broken = F.col(f"r.{CORRUPT}")  # a record that is no XML stops the load, with its text
+    rec = rec.filter(F.when(broken.isNotNull(), F.raise_error(F.concat(F.lit(f"Malformed record in '{spec.name}': "), broken)).cast("boolean"))
+                     .otherwise(F.lit(True)))
     return rec.select(*[c.expr(F.col(f"r.`{c.name}`")).alias(c.name) for c in spec.columns])
 
 

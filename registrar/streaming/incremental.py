@@ -16,22 +16,16 @@ batch is appended.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+import hashlib
 
 from ..session import checkpoint_root
 from ..sources import records
 from ..sources.specs import TableSpec
 
 
-def _fragments_of(raw: DataFrame, element: str) -> DataFrame:
-    close = f"</{element}>"
-    v = F.regexp_replace(F.col("value"), records.COMMENT, "")
-    v = F.regexp_replace(v, r"<\?[^>]*\?>", "")
-    pos = F.regexp_instr(v, F.lit("<" + element + r"(\s[^>]*)?>"))
-    has_open = pos > 0
-    before = F.when(has_open, F.substring(v, F.lit(1), pos - 1)).otherwise(v)
-    body = F.when(has_open, F.concat(F.substring(v, pos, F.lit(1 << 30)), F.lit(close)))
-    return raw.select(body.alias("fragment"), F.trim(before).alias("stray"))
+def _key(*parts: str) -> str:
+    return hashlib.md5("\n".join(parts).encode()).hexdigest()[:12]
 
 
 def incremental_ingest(spark: SparkSession, source_dir: str, spec: TableSpec, element: str, target_path: str,
@@ -41,12 +35,14 @@ def incremental_ingest(spark: SparkSession, source_dir: str, spec: TableSpec, el
 
     The table is partitioned by ``ingest_batch``. Returns the number of
     micro-batches run."""
-    ckpt = checkpoint_location or f"{checkpoint_root(spark)}/stream-{spec.name}"
+    target = target_path.rstrip("/")
+    ckpt = checkpoint_location or f"{checkpoint_root(spark)}/stream-{spec.name}-{_key(source_dir, target)}"
+    run = _key(source_dir, ckpt)  # batch ids count per checkpoint, so they are unique only within one
     reader = spark.readStream.format("text").option("lineSep", f"</{element}>")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = reader.load(source_dir)
-    frags = _fragments_of(raw, element)
+    frags = records.fragments_of(raw, element)
     stats = {"batches": 0}
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
@@ -55,7 +51,7 @@ def incremental_ingest(spark: SparkSession, source_dir: str, spec: TableSpec, el
         # one folder per batch id, overwritten on replay: a batch re-run after a
         # failure between write and commit replaces its own output (exactly once)
         records.parse_fragments(batch, spec).write.mode("overwrite").parquet(
-            f"{target_path.rstrip('/')}/ingest_batch={batch_id}")
+            f"{target}/ingest_batch={run}-{batch_id}")
         stats["batches"] += 1
 
     q = (frags.writeStream.foreachBatch(load_batch).option("checkpointLocation", ckpt)
