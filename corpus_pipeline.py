@@ -40,8 +40,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded) of what is left."""
-    path = public_tokenizers.path(TOKENIZER)
-    return bpe.decode(bpe.encode(docs, path), path)
+    return bpe.encode(docs, public_tokenizers.path(TOKENIZER), decoded=True)
 
 
 STAGES = [

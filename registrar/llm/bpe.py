@@ -158,15 +158,17 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-def encode(docs: DataFrame, path: str) -> DataFrame:
-    """(doc_id, n_tokens, ids) of every row of ``docs`` (doc_id, text, ...).
+def encode(docs: DataFrame, path: str, decoded: bool = False) -> DataFrame:
+    """(doc_id, n_tokens, ids) of every row of ``docs`` (doc_id, text, ...),
+    with ``decoded`` also the text that ``decode`` makes of the ids, in the
+    same worker.
 
     ``ids`` holds little-endian unsigned 32-bit integers. A null text counts
     as empty and gives no ids; a null doc_id and repeated rows stay as they
     are; other columns are ignored; an empty table gives an empty one. Texts
     are processed whole, one at a time, without a shuffle.
     """
-    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
+    fields = _FIELDS if decoded else _FIELDS[:3]
 
     def run(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path)
@@ -174,17 +176,16 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
         def rows():
             for doc, text in texts(stream):
                 ids = c.encode(text)
-                yield (doc, len(ids) // 4, ids), len(ids)
-        return batches(rows(), schema)
+                row = (doc, len(ids) // 4, ids)
+                yield (*row, c.decode(ids)) if decoded else row, 3 * len(ids)
+        return batches(rows(), pa.schema([f for f, _ in fields]))
 
-    return docs.select("doc_id", "text").transform(mapped, run, "doc_id bigint, n_tokens bigint, ids binary")
+    return docs.select("doc_id", "text").transform(mapped, run, ", ".join(d for _, d in fields))
 
 
 def decode(tokens: DataFrame, path: str) -> DataFrame:
     """``tokens`` (doc_id, n_tokens, ids) with the decoded text added; null
     ids give an empty text."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("decoded", pa.string())])
-
     def run(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path)
 
@@ -192,10 +193,11 @@ def decode(tokens: DataFrame, path: str) -> DataFrame:
             for b in stream:
                 for doc, n, ids in zip(b.column("doc_id"), b.column("n_tokens"), b.column("ids")):
                     raw = ids.as_py() or b""
-                    text = c.decode(raw)
-                    yield (doc.as_py(), n.as_py(), raw, text), len(raw) + len(text)
-        return batches(rows(), schema)
+                    yield (doc.as_py(), n.as_py(), raw, c.decode(raw)), 3 * len(raw)
+        return batches(rows(), pa.schema([f for f, _ in _FIELDS]))
+
+    return tokens.select("doc_id", "n_tokens", "ids").transform(mapped, run, ", ".join(d for _, d in _FIELDS))
+
 
-    return tokens.select("doc_id", "n_tokens", "ids").transform(
-        mapped,
-        run, "doc_id bigint, n_tokens bigint, ids binary, decoded string")
+_FIELDS = ((pa.field("doc_id", pa.int64()), "doc_id bigint"), (pa.field("n_tokens", pa.int64()), "n_tokens bigint"),
+           (pa.field("ids", pa.binary()), "ids binary"), (pa.field("decoded", pa.string()), "decoded string"))

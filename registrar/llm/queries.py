@@ -25,8 +25,7 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 
 @query
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path(TOKENIZER)
-    coded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    coded = bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), decoded=True)
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
