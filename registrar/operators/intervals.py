@@ -14,15 +14,15 @@ a user) ever has to be processed whole by one task:
   comes from the calendar and not from the data volume. Results are joined
   back on ``(key, date)``; that join has a unique right side, so AQE's
   skew-join handling can split a hot left partition.
-* Overlap and point-in-interval joins never pair all rows of a key. Intervals
-  are cut into fixed-width date bins and the join key is ``(key, bin)``; every
-  matching pair is emitted in exactly one bin (the bin of the intersection's
-  first day), so there is no dedup step and candidates stay close to output.
-  Open ends are capped at the largest start (resp. point) present, found by
-  a scalar subquery, so an open interval expands to a bounded number of bins.
-  Every start, end and point is clamped to the cap before binning, which
-  keeps containment monotone: results are exact for any cap, a cap that is
-  too small only puts more rows into its last bin.
+* Overlap and point-in-interval joins never pair all rows of a key. Dates
+  fall into bins of ``bin_days`` days, eight bins into one of the next level,
+  and so on. An interval is held by the few bins of all levels that cover it
+  exactly (at most 14 per level, six levels for the whole calendar, so an open
+  end costs about 20 copies whatever the dates are); a date is held by its one
+  bin of every level. Both meet in exactly one bin, so there is no dedup step,
+  and candidates besides the result stand in an interval's outermost bins only.
+* Overlapping intervals are found through the later of the two starts, which
+  lies in the other interval.
 """
 
 from __future__ import annotations
@@ -37,6 +37,12 @@ from ..functions._util import col_of
 # Fixed value: the stand-in for an open end inside comparisons (never output).
 OPEN_END = "9999-12-31"
 DEFAULT_BIN_DAYS = 30
+# Fixed value: unix days of 0001-01-01, where a missing start begins.
+FIRST_DAY = -719162
+#: Bits of a level: eight bins make one of the next.
+LEVEL_BITS = 3
+#: The coarsest level has bins of at least so many days.
+COARSEST_DAYS = 300_000
 
 
 def open_end() -> Column:
@@ -78,64 +84,60 @@ def valid_interval(start, end, allow_open: bool = True) -> Column:
     return ok if allow_open else (ok & e.isNotNull())
 
 
-def _bin(d: Column, bin_days) -> Column:
-    width = bin_days if isinstance(bin_days, Column) else F.lit(bin_days)
-    return F.floor(F.unix_date(d) / width).cast("long")
+def _levels(bin_days: int) -> int:
+    n = 1
+    while bin_days << (LEVEL_BITS * (n - 1)) < COARSEST_DAYS:
+        n += 1
+    return n
 
 
-def auto_bin_days(*sides: tuple[DataFrame, str, str], cap_days: int = 3650) -> Column:
-    """Scalar subquery: a bin width near the median length of the closed
-    intervals of the given sides (1 .. ``cap_days``). Bins as long as a
-    typical interval keep both the copies per interval and the non-matching
-    candidates per bin small."""
-    parts = [df.select((F.datediff(F.col(e), F.col(s)) + 1).alias("n"))
-             .filter(F.col("n").isNotNull() & (F.col("n") > 0)) for df, s, e in sides]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    med = u.agg(F.percentile_approx("n", 0.5).alias("m")).scalar()
-    return F.greatest(F.lit(1), F.least(F.lit(cap_days), F.coalesce(med, F.lit(DEFAULT_BIN_DAYS))))
+def _bin(d: Column, bin_days: int) -> Column:
+    """Bin of the finest level; earlier and later dates than the calendar's
+    bounds count as those."""
+    day = F.greatest(F.unix_date(F.least(d, open_end())) - FIRST_DAY, F.lit(0))
+    return F.when(d.isNotNull(), F.floor(day / bin_days).cast("long"))
 
 
-def _bins(lo: Column, hi: Column, bin_days) -> Column:
-    """Array of bin ids covering [lo, hi]; empty when lo > hi."""
-    a, b = _bin(lo, bin_days), _bin(hi, bin_days)
-    return F.when(a <= b, F.sequence(a, b)).otherwise(F.array().cast("array<bigint>"))
+def _tagged(bins: Column, level: int) -> Column:
+    return F.transform(bins, lambda b: b * 16 + level)
 
 
-def max_date(*cols: tuple[DataFrame, str]) -> Column:
-    """Scalar subquery: the largest of the given date columns (one job, one value).
+def _range(a: Column, b: Column) -> Column:
+    """a .. b - 1; empty when a >= b."""
+    return F.when(a < b, F.sequence(a, b - 1)).otherwise(F.array().cast("array<bigint>"))
 
-    Used as the cap for open ends. Any value not below the true maximum of
-    the starts (resp. points) is correct, it only adds bins; callers whose
-    join inputs come out of other joins pass a cap computed on the raw
-    table column instead, so the upstream joins are not run twice."""
-    parts = [df.select(F.max(F.col(c)).alias("m")) for df, c in cols]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    return u.agg(F.max("m")).scalar()
 
+def _bins_at(d: Column, bin_days: int) -> Column:
+    """The bin of every level that holds the date."""
+    return F.array(*[F.shiftright(_bin(d, bin_days), LEVEL_BITS * k) * 16 + k for k in range(_levels(bin_days))])
 
-def min_date(*cols: tuple[DataFrame, str]) -> Column:
-    """Scalar subquery: the smallest of the given date columns."""
-    parts = [df.select(F.min(F.col(c)).alias("m")) for df, c in cols]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    return u.agg(F.min("m")).scalar()
+
+def _bins_over(lo: Column, hi: Column, bin_days: int) -> Column:
+    """The fewest bins of all levels that cover [lo, hi]; none when lo's bin lies after hi's."""
+    n = _levels(bin_days)
+    a, b = _bin(lo, bin_days), _bin(hi, bin_days) + 1
+    top = LEVEL_BITS * (n - 1)
+    b = F.when(hi >= open_end(), F.shiftleft(F.shiftright(b - 1, top) + 1, top)).otherwise(b)  # to the end of the coarsest bin
+    first = [F.shiftright(a + ((1 << LEVEL_BITS * k) - 1), LEVEL_BITS * k) for k in range(n)]
+    end = [F.shiftright(b, LEVEL_BITS * k) for k in range(n)]
+    parts = []
+    for k in range(n):
+        own = _range(first[k], end[k])
+        if k + 1 < n:  # what no bin of the next level covers
+            up, down = F.shiftleft(first[k + 1], LEVEL_BITS), F.shiftleft(end[k + 1], LEVEL_BITS)
+            own = F.when(first[k + 1] < end[k + 1], F.concat(_range(first[k], up), _range(down, end[k]))).otherwise(own)
+        parts.append(_tagged(own, k))
+    return F.concat(*parts)
 
 
 def overlap_join(left: DataFrame, right: DataFrame, on: Sequence[str],
                  left_interval: tuple[str, str], right_interval: tuple[str, str],
-                 bin_days: int = DEFAULT_BIN_DAYS, cap: Column | None = None) -> DataFrame:
+                 bin_days: int = DEFAULT_BIN_DAYS) -> DataFrame:
     """Pairs with equal keys whose closed intervals intersect. A NULL
     start is unbounded below, a NULL end unbounded above.
 
-    ``bin_days``: the bin width (an int, a Column, or ``"auto"`` for about
-    the median interval length). Callers that know their intervals pass a
-    fitting width: long validity periods (years) want wide bins, short ones
-    narrow bins.
+    ``bin_days`` is the finest bin: long validity periods (years) want wide
+    bins, short ones narrow bins; the result is the same for any width.
 
     Output: every column of both sides (right key columns dropped) plus
     ``overlap_start`` / ``overlap_end`` (the intersection; NULL end = open).
@@ -143,23 +145,25 @@ def overlap_join(left: DataFrame, right: DataFrame, on: Sequence[str],
     """
     ls, le = left_interval
     rs, re_ = right_interval
-    cap = cap if cap is not None else max_date((left, ls), (right, rs))
-    if bin_days == "auto":
-        bin_days = auto_bin_days((left, ls, le), (right, rs, re_))
-    first = F.least(min_date((left, ls), (right, rs), (left, le), (right, re_)), cap)  # NULL starts begin in the first bin
 
     def low(c: str) -> Column:
-        return F.least(F.coalesce(F.col(c), first), cap)
+        return F.coalesce(F.col(c), F.date_from_unix_date(F.lit(FIRST_DAY)))
+
+    def held(start: str, end: str, covers: int) -> Column:
+        """Bins over the interval under the tag ``covers``, bins at its start under the other."""
+        over = F.transform(_bins_over(low(start), end_or_open(end), bin_days), lambda b: b * 2 + covers)
+        at = F.transform(_bins_at(low(start), bin_days), lambda b: b * 2 + (1 - covers))
+        return F.explode(F.concat(over, at))
 
-    lb = left.withColumn("_bin", F.explode(_bins(low(ls), F.least(end_or_open(le), cap), bin_days)))
+    lb = left.withColumn("_bin", held(ls, le, 0))
     rkeys = [f"_rk_{k}" for k in on]
     rb = right.select(*[F.col(k).alias(rk) for k, rk in zip(on, rkeys)],
                       *[F.col(c) for c in right.columns if c not in on])
-    rb = rb.withColumn("_rbin", F.explode(_bins(low(rs), F.least(end_or_open(re_), cap), bin_days)))
+    rb = rb.withColumn("_rbin", held(rs, re_, 1))
     cond = [F.col(k) == F.col(rk) for k, rk in zip(on, rkeys)]
     cond.append(F.col("_bin") == F.col("_rbin"))
     cond.append(intersection_nonempty(F.col(ls), F.col(le), F.col(rs), F.col(re_)))
-    cond.append(_bin(F.greatest(low(ls), low(rs)), bin_days) == F.col("_bin"))
+    cond.append(F.when(F.col("_bin") % 2 == 0, low(rs) >= low(ls)).otherwise(low(ls) > low(rs)))
     joined = lb.join(rb, on=_and_all(cond), how="inner")
     os_, oe = intersection(F.col(ls), F.col(le), F.col(rs), F.col(re_))
     return (joined.drop("_bin", "_rbin", *rkeys)
@@ -170,29 +174,37 @@ def overlap_join(left: DataFrame, right: DataFrame, on: Sequence[str],
 def point_in_interval_join(points: DataFrame, intervals: DataFrame, on: Sequence[str],
                            point_col: str, interval: tuple[str, str],
                            half_open: bool = False, how: str = "inner",
-                           bin_days: int = DEFAULT_BIN_DAYS, cap: Column | None = None) -> DataFrame:
+                           bin_days: int = DEFAULT_BIN_DAYS, probe: DataFrame | None = None) -> DataFrame:
     """Attach every interval (same key) that contains the point.
 
     ``how='left'`` keeps points without a covering interval (interval columns
     NULL). Closed ``[start, end]`` by default, ``[start, end)`` when half_open.
-    With ``on=[]`` this is the keyless validity lookup (e.g. thresholds by
-    date); the bins still spread the work.
+
+    With ``how='left'`` or ``on=[]`` (the keyless validity lookup, e.g.
+    thresholds by date) the distinct (key, date) pairs are looked up and
+    joined back, so ``points`` is read twice; ``probe`` is a cheaper frame
+    that holds the same pairs or more.
     """
     s, e = interval
-    cap = cap if cap is not None else max_date((points, point_col))
-    if bin_days == "auto":
-        bin_days = auto_bin_days((intervals, s, e))
-    last_day = (F.date_sub(F.col(e), 1) if half_open else F.col(e))
-    hi = F.least(F.coalesce(last_day, open_end()), cap)
+    last_day = F.date_sub(F.col(e), 1) if half_open else F.col(e)
     ikeys = [f"_ik_{k}" for k in on]
     ib = intervals.select(*[F.col(k).alias(ik) for k, ik in zip(on, ikeys)],
                           *[F.col(c) for c in intervals.columns if c not in on])
-    ib = ib.withColumn("_ibin", F.explode(_bins(F.least(F.col(s), cap), hi, bin_days)))
-    pb = points.withColumn("_pbin", _bin(F.least(F.col(point_col), cap), bin_days))
-    cond = [F.col(k) == F.col(ik) for k, ik in zip(on, ikeys)]
-    cond.append(F.col("_pbin") == F.col("_ibin"))
-    cond.append(contains(F.col(s), F.col(e), F.col(point_col), half_open))
-    return pb.join(ib, on=_and_all(cond), how=how).drop("_pbin", "_ibin", *ikeys)
+    ib = ib.withColumn("_ibin", F.explode(_bins_over(F.col(s), F.coalesce(last_day, open_end()), bin_days)))
+    inside = [F.col("_pbin") == F.col("_ibin"), contains(F.col(s), F.col(e), F.col("_point"), half_open)]
+    same = [F.col(k) == F.col(ik) for k, ik in zip(on, ikeys)]
+    at = F.explode(_bins_at(F.col("_point"), bin_days))
+    if how == "inner" and on:
+        pb = points.withColumn("_point", F.col(point_col)).withColumn("_pbin", at)
+        return pb.join(ib, on=_and_all(same + inside)).drop("_pbin", "_point", "_ibin", *ikeys)
+    pkeys = [f"_pk_{k}" for k in on]
+    pairs = (points if probe is None else probe).select(
+        *[F.col(k).alias(pk) for k, pk in zip(on, pkeys)], F.col(point_col).alias("_point")).dropna().distinct()
+    found = (pairs.withColumn("_pbin", at)
+             .join(ib, on=_and_all([F.col(pk) == F.col(ik) for pk, ik in zip(pkeys, ikeys)] + inside))
+             .drop("_pbin", "_ibin", *ikeys))
+    back = [F.col(k) == F.col(pk) for k, pk in zip(on, pkeys)] + [F.col(point_col) == F.col("_point")]
+    return points.join(found, on=_and_all(back), how=how).drop("_point", *pkeys)
 
 
 def conflicts(df: DataFrame, keys: Sequence[str], start: str, end: str,

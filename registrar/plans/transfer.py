@@ -235,7 +235,7 @@ def threshold_document(size: Column) -> Column:
 
 def _thresholds_at(df: DataFrame, t: Tables, date_col: str) -> DataFrame:
     """Keyless validity lookup of the fee thresholds (``valid_during @> date``,
-    half-open), as a binned join: no all-pairs product with the dimension."""
+    half-open), by the distinct dates: no all-pairs product with the dimension."""
     ft = get(t, "fee_thresholds", FEE_THRESHOLDS_SCHEMA)
     ft = ft.withColumn("_ft_from", F.col("valid_during.lower")).withColumn("_ft_to", F.col("valid_during.upper"))
     ft = ft.withColumnRenamed("id", "_ft_id").drop("valid_during")
@@ -254,7 +254,8 @@ def voucher_value_decisions(t: Tables) -> dict[str, DataFrame]:
     vv = get(t, "voucher_value", VOUCHER_VALUE_SCHEMA).select(
         F.col("id").alias("_vv_id"), F.col("validity.lower").alias("_vv_from"), F.col("validity.upper").alias("_vv_to"),
         "base_value", "age_under_three_coefficient")
-    v = iv.point_in_interval_join(v, vv, [], "legacy_decision_date", ("_vv_from", "_vv_to"), half_open=True, how="left")
+    v = iv.point_in_interval_join(v, vv, [], "legacy_decision_date", ("_vv_from", "_vv_to"),
+                                  half_open=True, how="left", probe=t["mig_voucher_value_decision"])
     v = v.dropDuplicates(["id", "_ft_id", "_sno_id", "_vv_id"])
     rows = v.select(
         "id", "status", "valid_from", "valid_to", "decision_number", "head_of_family_id", "partner_id", "family_size",

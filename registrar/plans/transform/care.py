@@ -98,7 +98,7 @@ def service_needs(t: Tables) -> dict[str, DataFrame]:
     return {"mig_service_need": clean, "mig_service_need_todo": todo}
 
 
-def applications(t: Tables, date_cap=None) -> dict[str, DataFrame]:
+def applications(t: Tables) -> dict[str, DataFrame]:
     """Applications (+ guardian from the child's family on the sent date)
     and their preferred units; due date repaired from the first preference."""
     a = get(t, "applications").filter(
@@ -110,8 +110,7 @@ def applications(t: Tables, date_cap=None) -> dict[str, DataFrame]:
     links = get(t, "mig_fridge_child").select(F.col("child_id").alias("_cid"), "head_of_family",
                                                 F.col("start_date").alias("_fs"), F.col("end_date").alias("_fe"))
     a = a.withColumn("_cid", F.col("child_id"))
-    a = iv.point_in_interval_join(a, links, ["_cid"], "applicationdate", ("_fs", "_fe"), how="left", bin_days=365,
-                                  cap=date_cap)
+    a = iv.point_in_interval_join(materialize(a), links, ["_cid"], "applicationdate", ("_fs", "_fe"), how="left", bin_days=365)
     a = a.withColumnRenamed("head_of_family", "guardian_id")
     prev = get(t, "idmap", "type string, source_id string, target_id string, updated timestamp")
     prev = prev.filter(F.col("type") == "APPLICATION").select(F.col("source_id").alias("_src"),

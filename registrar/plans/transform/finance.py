@@ -26,16 +26,14 @@ def _main_income(amount: Column) -> Column:
                                  F.lit(dic.DEFAULT_INCOME_PERIOD).alias("coefficient")))
 
 
-def income(t: Tables, date_cap: Column | None = None) -> dict[str, DataFrame]:
+def income(t: Tables) -> dict[str, DataFrame]:
     """Incomes with their income rows as a typed ``data`` map.
 
     Rows attach to an income when their intervals intersect, or through the
     repair branch (a broken row starting on the same day as an open income).
     Duplicate income types collapse to the latest row. When the weighted
     total of the map differs from the declared total, the map is replaced by
-    a single MAIN_INCOME entry of the declared total. ``date_cap`` (any date
-    not before every start) bounds the bins of open intervals; by default it
-    is taken from the two inputs."""
+    a single MAIN_INCOME entry of the declared total."""
     inc = get(t, "income")
     key = ["personid", "maxincome", "incomemissing", "startdate", "enddate", "summa"]
     inc = inc.select(*key).distinct().withColumn("_iid", ident.hash_uuid("INCOME", *key))
@@ -44,7 +42,7 @@ def income(t: Tables, date_cap: Column | None = None) -> dict[str, DataFrame]:
         "incomeperiod", "incometype", F.col("summa").alias("r_summa"), F.col("guid").alias("r_guid"),
         F.lit(1).alias("_r_hit"))
     pairs = repair_branch_join(inc.select("_iid", "personid", "startdate", "enddate"), rows, ["personid"],
-                               ("startdate", "enddate"), ("r_start", "r_end"), cap=date_cap)
+                               ("startdate", "enddate"), ("r_start", "r_end"))
     typ = F.coalesce(codes.map_code("incometype", dic.INCOME_TYPE, key_type="int"), F.lit(dic.UNKNOWN_INCOME_TYPE))
     period = F.coalesce(codes.map_code("incomeperiod", dic.INCOME_PERIOD, key_type="int"),
                         F.lit(dic.UNKNOWN_INCOME_PERIOD))
@@ -106,19 +104,19 @@ def _status_group(status: Column, sent_group: str) -> Column:
             .when(status.isin("SENT", "WAITING_FOR_SENDING", "WAITING_FOR_MANUAL_SENDING"), sent_group))
 
 
-def _family_at(points: DataFrame, t: Tables, ssn_col: str, date_col: str, key: str, cap=None) -> DataFrame:
+def _family_at(points: DataFrame, t: Tables, ssn_col: str, date_col: str, key: str) -> DataFrame:
     """Head of family of a child on a date (child link containing the date),
     and the head's partner on that date. One deterministic pick per ``key``."""
     links = get(t, "mig_fridge_child").select(
         F.col("child_ssn").alias("_ssn"), "head_of_family",
         F.col("start_date").alias("_fs"), F.col("end_date").alias("_fe"))
     p = points.select(key, F.col(ssn_col).alias("_ssn"), F.col(date_col).alias("_d")).filter(F.col("_d").isNotNull())
-    heads = iv.point_in_interval_join(p, links, ["_ssn"], "_d", ("_fs", "_fe"), bin_days=365, cap=cap)
+    heads = iv.point_in_interval_join(p, links, ["_ssn"], "_d", ("_fs", "_fe"), bin_days=365)
     heads = heads.groupBy(key, "_d").agg(F.min("head_of_family").alias("head_of_family_id"))
     part = get(t, "mig_fridge_partner")
     p1 = part.select(F.col("person_id").alias("head_of_family_id"), F.col("partnership_id").alias("_pid"),
                      F.col("indx").alias("_ix"), F.col("start_date").alias("_ps"), F.col("end_date").alias("_pe"))
-    hp = iv.point_in_interval_join(heads, p1, ["head_of_family_id"], "_d", ("_ps", "_pe"), bin_days=365, cap=cap)
+    hp = iv.point_in_interval_join(heads, p1, ["head_of_family_id"], "_d", ("_ps", "_pe"), bin_days=365)
     p2 = part.select(F.col("partnership_id").alias("_pid2"), F.col("indx").alias("_ix2"),
                      F.col("person_id").alias("_partner"))
     hp = hp.join(p2, (hp["_pid"] == p2["_pid2"]) & (hp["_ix"] != p2["_ix2"]))
@@ -126,14 +124,14 @@ def _family_at(points: DataFrame, t: Tables, ssn_col: str, date_col: str, key: s
     return heads.select(key, "head_of_family_id").join(partners, key, "left")
 
 
-def voucher_value_decisions(t: Tables, date_cap=None) -> dict[str, DataFrame]:
+def voucher_value_decisions(t: Tables) -> dict[str, DataFrame]:
     """Voucher value decisions with family, unit and option lookups,
     open ends closed per (child, status group), quarantine rules."""
     d = get(t, "decisions").filter(codes.in_list("decisiontype", dic.VOUCHER_DECISION_TYPES))
     d = with_ids(d, t, "DECISION", "guid", "id")
     status = codes.map_code("decisionstatus", dic.DECISION_STATUS, key_type="int")
     d = d.withColumn("status", status).withColumn("status_group", _status_group(F.col("status"), "APPROVED"))
-    fam = _family_at(d, t, "personid", "decisiondate", "guid", cap=date_cap)
+    fam = _family_at(d, t, "personid", "decisiondate", "guid")
     d = d.join(fam, "guid", "left")
     d = person_lookup(d, get(t, "mig_person"), "personid", {"id": "child_id", "date_of_birth": "child_date_of_birth"})
     d = unit_lookup(d, t, "decisionunitcode", "decisionchildminder", "placement_unit_id")
@@ -185,7 +183,7 @@ def _income_document(income: Column) -> Column:
     return F.when(income.isNull(), F.lit(None).cast("string")).otherwise(doc)
 
 
-def pay_decisions(t: Tables, only: set[str] | None = None, date_cap=None) -> dict[str, DataFrame]:
+def pay_decisions(t: Tables, only: set[str] | None = None) -> dict[str, DataFrame]:
     """Fee decisions (head/partner income documents, family size from
     the free text of a row) and their child rows. ``only={"fee"}`` skips the
     child rows."""
@@ -246,13 +244,13 @@ def pay_decisions(t: Tables, only: set[str] | None = None, date_cap=None) -> dic
                                           F.col("unit_id").alias("placement_unit_id"),
                                           F.col("start_date").alias("_ps"), F.col("end_date").alias("_pe"))
     kids = kids.withColumn("_pc", F.col("child_id"))
-    kids = iv.point_in_interval_join(kids, pl, ["_pc"], "_fd_start", ("_ps", "_pe"), half_open=True, how="left",
-                                     bin_days=90, cap=date_cap)
+    kids = iv.point_in_interval_join(materialize(kids), pl, ["_pc"], "_fd_start", ("_ps", "_pe"), half_open=True, how="left",
+                                     bin_days=90)
     sn = get(t, "mig_service_need").select(F.col("placement_id").alias("_placement_id"),
                                              F.col("option_id").alias("service_need_option_id"),
                                              F.col("start_date").alias("_ss"), F.col("end_date").alias("_se"))
-    kids = iv.point_in_interval_join(kids, sn, ["_placement_id"], "_fd_start", ("_ss", "_se"),
-                                     half_open=True, how="left", bin_days=90, cap=date_cap)
+    kids = iv.point_in_interval_join(materialize(kids), sn, ["_placement_id"], "_fd_start", ("_ss", "_se"),
+                                     half_open=True, how="left", bin_days=90)
     cents = dom.to_cents("fee").cast("int")
     child = kids.select(
         ident.hash_uuid("FEE_DECISION_CHILD", "legacy_guid", "_placement_id", "service_need_option_id").alias("id"),

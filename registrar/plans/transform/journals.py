@@ -37,27 +37,27 @@ def journal_days(t: Tables) -> DataFrame:
                     period_day("period", "day_of_month").alias("date"), "reportcode")
 
 
-def daily_journals(t: Tables, only: set[str] | None = None, date_cap=None) -> dict[str, DataFrame]:
+def daily_journals(t: Tables, only: set[str] | None = None) -> dict[str, DataFrame]:
     """Absences and backup care from the journal rows. ``only``
     ({"absence"} or {"backup_care"}) builds just that branch."""
     days = journal_days(t)
     person = get(t, "mig_person")
     out: dict[str, DataFrame] = {}
     if only is None or "absence" in only:
-        out.update(_absences(t, days, person, date_cap))
+        out.update(_absences(t, days, person))
     if only is None or "backup_care" in only:
         out.update(_backup_care(t, days, person))
     return out
 
 
-def _absences(t: Tables, days: DataFrame, person: DataFrame, date_cap=None) -> dict[str, DataFrame]:
+def _absences(t: Tables, days: DataFrame, person: DataFrame) -> dict[str, DataFrame]:
     a = days.filter(codes.tristate_keep("reportcode", dic.REPORT_CODE_ABSENCE, key_type="int"))
     a = person_lookup(a, person, "personid", {"id": "child_id"})
     pl = get(t, "mig_placement").select(F.col("child_id").alias("_pc"), F.col("type").alias("_ptype"),
                                           F.col("start_date").alias("_ps"), F.col("end_date").alias("_pe"))
-    a = a.withColumn("_pc", F.col("child_id"))
+    a = materialize(a.withColumn("_pc", F.col("child_id")))
     a = iv.point_in_interval_join(a.filter(F.col("date").isNotNull()), pl, ["_pc"], "date", ("_ps", "_pe"),
-                                  how="left", bin_days=90, cap=date_cap).unionByName(
+                                  how="left", bin_days=90).unionByName(
         a.filter(F.col("date").isNull()).withColumn("_ptype", F.lit(None).cast("string"))
          .withColumn("_ps", F.lit(None).cast("date")).withColumn("_pe", F.lit(None).cast("date")))
     a = R.explode_case(a, "_ptype", CARE_TYPES, "care_type", default=[UNKNOWN_CARE_TYPE])

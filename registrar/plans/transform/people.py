@@ -80,7 +80,7 @@ def persons(t: Tables) -> dict[str, DataFrame]:
             "idmap": id_map_update(t, "PERSON", mapped, "guid", "id")}
 
 
-def families(t: Tables, date_cap=None, only: set[str] | None = None) -> dict[str, DataFrame]:
+def families(t: Tables, only: set[str] | None = None) -> dict[str, DataFrame]:
     """Family rows -> child links and partnerships, with quarantine.
 
     Child links: heads ('R') x children ('B') of the same family whose
@@ -90,16 +90,15 @@ def families(t: Tables, date_cap=None, only: set[str] | None = None) -> dict[str
     links; a person in overlapping partnerships with different indices."""
     f = filtered(t, "families")
     person = get(t, "mig_person")
-    cap = date_cap if date_cap is not None else iv.max_date((f, "startdate"))
     out: dict[str, DataFrame] = {}
     if only is None or "child" in only:
-        out.update(_child_links(f, person, cap))
+        out.update(_child_links(f, person))
     if only is None or "partner" in only:
-        out.update(_partnerships(f, person, cap))
+        out.update(_partnerships(f, person))
     return out
 
 
-def _child_links(f: DataFrame, person: DataFrame, cap) -> dict[str, DataFrame]:
+def _child_links(f: DataFrame, person: DataFrame) -> dict[str, DataFrame]:
     pcols = {"id": "person_id", "date_of_birth": "dob"}
     hofs = person_lookup(f.filter(F.col("roleinfamily") == "R"), person, "personid", pcols)
     hofs = hofs.filter(F.col("person_id").isNotNull()).select(
@@ -111,8 +110,7 @@ def _child_links(f: DataFrame, person: DataFrame, cap) -> dict[str, DataFrame]:
         F.col("personid").alias("child_ssn"), F.col("person_id").alias("child_id"),
         F.col("familynbr").alias("family_number"), F.col("startdate").alias("c_start"),
         F.coalesce(F.col("enddate"), F.date_sub(F.add_months(F.col("dob"), 216), 1)).alias("c_end"))
-    links = iv.overlap_join(hofs, kids, ["family_number"], ("h_start", "h_end"), ("c_start", "c_end"), cap=cap,
-                            bin_days=LONG_PERIOD_BIN_DAYS)
+    links = iv.overlap_join(hofs, kids, ["family_number"], ("h_start", "h_end"), ("c_start", "c_end"), bin_days=LONG_PERIOD_BIN_DAYS)
     child = links.select(
         ident.hash_uuid("FRIDGE_CHILD", "family_number", "hof_ssn", "child_ssn", "overlap_start",
                         "overlap_end").alias("id"),
@@ -126,15 +124,14 @@ def _child_links(f: DataFrame, person: DataFrame, cap) -> dict[str, DataFrame]:
     return {"mig_fridge_child": child_clean, "mig_fridge_child_todo": child_todo}
 
 
-def _partnerships(f: DataFrame, person: DataFrame, cap) -> dict[str, DataFrame]:
+def _partnerships(f: DataFrame, person: DataFrame) -> dict[str, DataFrame]:
     heads = f.filter(F.col("roleinfamily") == "R").select(
         F.col("personid").alias("hof_ssn"), F.col("familynbr").alias("family_number"),
         F.col("startdate").alias("h_start"), F.col("enddate").alias("h_end"))
     partners = f.filter(F.col("roleinfamily") == "S").select(
         F.col("personid").alias("partner_ssn"), F.col("familynbr").alias("family_number"),
         F.col("startdate").alias("p_start"), F.col("enddate").alias("p_end"))
-    ps = iv.overlap_join(heads, partners, ["family_number"], ("h_start", "h_end"), ("p_start", "p_end"), cap=cap,
-                         bin_days=LONG_PERIOD_BIN_DAYS)
+    ps = iv.overlap_join(heads, partners, ["family_number"], ("h_start", "h_end"), ("p_start", "p_end"), bin_days=LONG_PERIOD_BIN_DAYS)
     ps = ps.withColumn("partnership_id", ident.hash_uuid("PARTNERSHIP", "family_number", "hof_ssn", "partner_ssn",
                                                          "overlap_start", "overlap_end"))
     members = (ps.select("partnership_id", "family_number", "overlap_start", "overlap_end",

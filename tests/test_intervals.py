@@ -179,19 +179,6 @@ def test_value_set_periods_match_day_expansion(spark, seed):
     assert got == sorted(want)
 
 
-def test_overlap_join_auto_bins(spark):
-    data = _rows(31, n=200)
-    left = spark.createDataFrame([r for r in data if r[4] == 1], SCHEMA).select(
-        F.col("id").alias("lid"), "k", F.col("s").alias("ls"), F.col("e").alias("le"))
-    right = spark.createDataFrame([r for r in data if r[4] == 2], SCHEMA).select(
-        F.col("id").alias("rid"), "k", F.col("s").alias("rs"), F.col("e").alias("re"))
-    auto = sorted((r.lid, r.rid) for r in iv.overlap_join(left, right, ["k"], ("ls", "le"), ("rs", "re"),
-                                                          bin_days="auto").collect())
-    fixed = sorted((r.lid, r.rid) for r in iv.overlap_join(left, right, ["k"], ("ls", "le"), ("rs", "re"),
-                                                           bin_days=1).collect())
-    assert auto == fixed
-
-
 @pytest.mark.parametrize("seed", [41, 42])
 def test_repair_branch_join_matches_definition(spark, seed):
     from registrar.operators.joins import repair_branch_join
@@ -225,19 +212,36 @@ def test_repair_branch_join_matches_definition(spark, seed):
     assert got == sorted(want)
 
 
-def test_joins_exact_for_any_cap(spark):
+def test_joins_exact_for_any_bin_width_and_far_dates(spark):
     data = _rows(51, n=200)
-    left = spark.createDataFrame([r for r in data if r[4] == 1], SCHEMA).select(
-        F.col("id").alias("lid"), "k", F.col("s").alias("ls"), F.col("e").alias("le"))
-    right = spark.createDataFrame([r for r in data if r[4] == 2], SCHEMA).select(
-        F.col("id").alias("rid"), "k", F.col("s").alias("rs"), F.col("e").alias("re"))
-    base = sorted((r.lid, r.rid) for r in iv.overlap_join(left, right, ["k"], ("ls", "le"), ("rs", "re")).collect())
-    low = F.lit(BASE + dt.timedelta(days=20)).cast("date")   # far below the largest start
-    capped = sorted((r.lid, r.rid) for r in iv.overlap_join(left, right, ["k"], ("ls", "le"), ("rs", "re"),
-                                                            cap=low, bin_days=7).collect())
-    assert capped == base
-    pts = spark.createDataFrame([(i, i % 3, BASE + dt.timedelta(days=i)) for i in range(120)], "pid long, k long, d date")
-    ivs = spark.createDataFrame(data, SCHEMA)
-    a = sorted((r.pid, r.id) for r in iv.point_in_interval_join(pts, ivs, ["k"], "d", ("s", "e")).collect())
-    b = sorted((r.pid, r.id) for r in iv.point_in_interval_join(pts, ivs, ["k"], "d", ("s", "e"), cap=low, bin_days=5).collect())
-    assert a == b
+    data += [(900, 0, dt.date(2999, 1, 1), None, 1), (901, 0, None, dt.date(2020, 3, 1), 2), (902, 0, None, None, 1),
+             (903, 0, dt.date(1, 1, 1), dt.date(9999, 12, 31), 2)]
+    lrows, rrows = [r for r in data if r[4] == 1], [r for r in data if r[4] == 2]
+    left = spark.createDataFrame(lrows, SCHEMA).select(F.col("id").alias("lid"), "k", F.col("s").alias("ls"), F.col("e").alias("le"))
+    right = spark.createDataFrame(rrows, SCHEMA).select(F.col("id").alias("rid"), "k", F.col("s").alias("rs"), F.col("e").alias("re"))
+    low = dt.date(1, 1, 1)
+    want = sorted((a[0], b[0]) for a in lrows for b in rrows if a[1] is not None and a[1] == b[1]
+                  and max(a[2] or low, b[2] or low) <= min(a[3] or OPEN, b[3] or OPEN))
+    for width in (1, 7, 365):
+        got = iv.overlap_join(left, right, ["k"], ("ls", "le"), ("rs", "re"), bin_days=width).collect()
+        assert sorted((r.lid, r.rid) for r in got) == want, width
+    points = [(i, i % 3 if i % 7 else None, BASE + dt.timedelta(days=i) if i % 11 else None) for i in range(120)]
+    points += [(500, 0, dt.date(2999, 1, 1)), (501, 0, OPEN), (502, 0, low), (500, 0, dt.date(2999, 1, 1))]
+    pts = spark.createDataFrame(points, "pid long, k long, d date")
+    ivs = spark.createDataFrame(data, SCHEMA).withColumnRenamed("k", "ik")
+    for keyed in (True, False):
+        pairs = [(p[0], r[0]) for p in points for r in data if p[2] and r[2] and r[2] <= p[2] <= (r[3] or OPEN)
+                 and (not keyed or p[1] is not None and p[1] == r[1])]
+        hit = {p for p, _ in pairs}
+        want = sorted(pairs + [(p[0], -1) for p in points if p[0] not in hit])
+        for width in (5, 90):
+            side = ivs.withColumnRenamed("ik", "k") if keyed else ivs
+            got = iv.point_in_interval_join(pts, side, ["k"] if keyed else [], "d", ("s", "e"), how="left", bin_days=width).collect()
+            assert sorted((r.pid, -1 if r.id is None else r.id) for r in got) == want, (keyed, width)
+
+
+def test_copies_of_an_interval_do_not_grow_with_the_dates(spark):
+    rows = [(i, 0, BASE + dt.timedelta(days=i), None, 1) for i in range(1000)] + [(1000, 0, dt.date(2999, 1, 1), None, 1)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    n = df.select(F.explode(iv._bins_over(F.col("s"), iv.open_end(), 30))).count()
+    assert n <= 40 * len(rows)
