@@ -3,7 +3,7 @@ D15 cleanup of unused groups."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ...functions import codes
@@ -14,7 +14,7 @@ from ...operators import identity as ident
 from ...operators import intervals as iv
 from ...operators import quality as q
 from ...sinks.publish import delete_by_keys
-from ._common import (Tables, extent_option, filtered, get, id_map_update, materialize, person_lookup, split,
+from ._common import (Tables, extent_option, filtered, get, id_map, id_map_update, materialize, person_lookup, split,
                       unique_dim, unit_lookup)
 
 SERVICE_NEED_OPTION_SCHEMA = "id string, name_fi string, valid_placement_type string, fee_coefficient decimal(10,4)"
@@ -112,20 +112,23 @@ def applications(t: Tables) -> dict[str, DataFrame]:
     a = a.withColumn("_cid", F.col("child_id"))
     a = iv.point_in_interval_join(materialize(a), links, ["_cid"], "applicationdate", ("_fs", "_fe"), how="left", bin_days=365)
     a = a.withColumnRenamed("head_of_family", "guardian_id")
-    prev = get(t, "idmap", "type string, source_id string, target_id string, updated timestamp")
-    prev = prev.filter(F.col("type") == "APPLICATION").select(F.col("source_id").alias("_src"),
-                                                                F.col("target_id").alias("_mapped_id"))
-    mapped = a.join(prev, a["guid"] == prev["_src"], "left").drop("_src")
+    # an application has one id per guardian; an entry of the bare guid stands for the smallest guardian
+    first = F.min("guardian_id").over(Window.partitionBy("guid", "careid"))
+    a = a.withColumn("_source", F.when(F.col("guid").isNotNull(), F.concat_ws("/", "guid", "guardian_id")))
+    a = a.withColumn("_bare", F.when(F.col("guardian_id").eqNullSafe(first), F.col("guid")))
+    prev = id_map(t).filter(F.col("type") == "APPLICATION").select("source_id", "target_id")
+    mapped = (a.join(prev.toDF("_source", "_mapped_id"), "_source", "left")
+              .join(prev.toDF("_bare", "_mapped_bare"), "_bare", "left"))
     app = mapped.select(
-        F.coalesce(F.col("_mapped_id"), ident.hash_uuid("APPLICATION", "guid", "guardian_id")).alias("id"),
+        "_source", F.coalesce("_mapped_id", "_mapped_bare", ident.hash_uuid("APPLICATION", "guid", "guardian_id")).alias("id"),
         F.col("guid").alias("legacy_guid"), F.col("careid").alias("legacy_id"),
         codes.map_code("applicationtype", dic.APPLICATION_TYPE, key_type="int").alias("type"),
         F.col("applicationdate").alias("sentdate"),
         F.when(F.col("_days").isNotNull(), F.date_add("applicationdate", F.col("_days"))).alias("duedate"),
         "guardian_id", "child_id", "transferapplication",
         codes.map_code("status", dic.APPLICATION_STATUS, key_type="int").alias("status"))
-    idmap = id_map_update(t, "APPLICATION", app.select(F.col("legacy_guid").alias("guid"), "id"), "guid", "id")
-    flagged = q.flag(app, [("GUARDIAN MISSING", F.col("guardian_id").isNull()),
+    idmap = id_map_update(t, "APPLICATION", app, "_source", "id")
+    flagged = q.flag(app.drop("_source"), [("GUARDIAN MISSING", F.col("guardian_id").isNull()),
                            ("CHILD MISSING", F.col("child_id").isNull()),
                            ("TYPE MISSING", F.col("type").isNull())])
     app_clean, app_todo = split(flagged, ["id"], unique=False)
