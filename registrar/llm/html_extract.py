@@ -1,15 +1,20 @@
 """Main text of web pages by equivalence-class template deduction.
 
-A token is a container tag with the path of containers around it. Its
-occurrence vector over the pages of a host is summed into a random linear
-sketch (equal vectors, equal sketches), so vectors are compared without
-gathering a host's pages. Tokens of one vector form an equivalence class. A
-class is valid if each of its tokens occurs once per page that has it, in at
-least SUPPORT of the host's pages, and if all containers around it are valid
-too: valid classes nest into the host's template. The template node that
-holds the article (by its name, else by its share of the text) is the slot
-that is extracted; inside it, boilerplate nodes are left out and all else
-stays. A page without that node is searched in the same way by itself.
+A token is a container tag with the path of containers around it, or a block
+of text (k-th block of that text in that path). Its occurrence vector over the
+pages of a host is summed into a random linear sketch (equal vectors, equal
+sketches), so vectors are compared without gathering a host's pages. Tokens of
+one vector form an equivalence class. A class is valid if it has several
+tokens, each once per page that has it, in at least SUPPORT of the host's
+pages; a container also needs valid containers around it, so valid classes
+nest into the host's template. The template node that holds the article (by
+its name, else by its share of the text) is the slot that is extracted. Inside
+it, the template's own blocks (in valid classes of MIN_PAGES pages) and
+boilerplate nodes are left out, and all else stays. Blocks of a class hold
+less than COPY_SHARE of the text of its pages: more is an article in copies,
+not a template. On a page where a class's blocks come in another order than
+on the host's other pages they stay, and so do the blocks of a page that has
+no others. A page without the slot is searched in the same way by itself.
 """
 
 from __future__ import annotations
@@ -30,8 +35,12 @@ from registrar.llm.url_filter import host
 SUPPORT = 50
 #: Share of a page's text that a template node must hold to be the slot by size, in hundredths.
 TEXT_SHARE = 80
-#: Hosts whose slots may be broadcast; beyond it the same join is shuffled.
-BROADCAST_HOSTS = 200_000
+#: Pages that blocks of text must recur on to be the template's: what two pages have in common may be a quotation.
+MIN_PAGES = 3
+#: Share of its pages' text from which a class of blocks is an article in copies, in hundredths.
+COPY_SHARE = 50
+#: Slots and template blocks, over all hosts, that may be broadcast; beyond it the same join is shuffled.
+BROADCAST_ITEMS = 200_000
 #: Tokens that a task sums before it hands them on.
 TASK_TOKENS = 100_000
 
@@ -135,42 +144,77 @@ def _choose(nodes: dict[str, list[int]]) -> str:
     return max(once, key=lambda p: (_rank(p), nodes[p][1] if _rank(p) else p.count("/"), p), default="")
 
 
-def main_text(page: str | None, slot: str | None) -> str:
-    """Text of a page within its template's slot."""
+def page_blocks(page: str | None, slot: str = "") -> list[tuple[int, str, bool]]:
+    """(token, text, within the slot) of a page's blocks that are not
+    boilerplate, in page order."""
+    found: list[tuple[int, str, bool]] = []
+    seen: dict[str, int] = {}
+    path, parts, inside = [""], [], not slot
+    start = ("", False)  # where the block's text began
+
+    def end() -> None:
+        line = " ".join(html.unescape("".join(parts)).split())
+        parts.clear()
+        if line:
+            name = f"{start[0]}\0{line}"
+            seen[name] = k = seen.get(name, 0) + 1
+            found.append((xxhash.xxh3_64_intdigest(f"{name}\0{k}".encode("utf-8", "surrogatepass")) - (1 << 63), line, start[1]))
+
+    for kind, value, hidden in walk(page or ""):
+        if kind == "text":
+            if not hidden:
+                if not parts:
+                    start = (path[-1], inside)
+                parts.append(value)
+            continue
+        end()
+        if kind == "open":
+            path.append(value)
+            inside = inside or value == slot
+        elif kind == "close":
+            del path[path.index(value):]
+            inside = not slot or slot in path
+    end()
+    return found
+
+
+def main_text(page: str | None, slot: str | None, template: Iterable[dict[str, int]] = ()) -> str:
+    """Text of a page within its template's slot, without the template's own
+    blocks (block, class, place)."""
     page = page or ""
     if slot is None or slot and slot not in (v for k, v, _ in walk(page) if k == "open"):
         slot = _choose(page_tokens(page))
-    blocks, current, inside = [], [], not slot
-    for kind, value, hidden in walk(page):
-        if kind == "open" and value == slot:
-            inside = True
-        elif kind == "close" and slot and slot == value or kind == "close" and slot.startswith(value + "/"):
-            inside = False
-        elif kind == "text" and inside and not hidden:
-            current.append(value)
-        if kind != "text" and current:
-            blocks.append("".join(current))
-            current = []
-    blocks.append("".join(current))
-    lines = (" ".join(html.unescape(b).split()) for b in blocks)
-    return "\n".join(line for line in lines if line)
+    blocks = page_blocks(page, slot)
+    known = {t["block"]: (t["class"], t["place"]) for t in template}
+    order: dict[int, list[int]] = {}
+    for token, _, _ in blocks:
+        if token in known:
+            order.setdefault(known[token][0], []).append(known[token][1])
+    ordered = {c for c, places in order.items() if all(a < b for a, b in zip(places, places[1:]))}
+    within = [(token, line) for token, line, inside in blocks if inside]
+    lines = [line for token, line in within if token not in known or known[token][0] not in ordered]
+    return "\n".join(lines or (line for _, line in within))
 
 
 def templates(pages: DataFrame, key: Column) -> DataFrame:
-    """(host, slot) of every host whose pages share a template."""
-    schema = pa.schema([("host", pa.string()), ("path", pa.string()), ("s1", pa.int64()), ("s2", pa.int64()),
-                        ("pages", pa.int64()), ("opens", pa.int64()), ("chars", pa.int64())])
+    """(host, slot, template) of every host whose pages share a template."""
+    sums = ("s1", "s2", "pages", "opens", "chars", "places", "around")
+    schema = pa.schema([("host", pa.string()), ("path", pa.string()), ("block", pa.int64()), *((c, pa.int64()) for c in sums)])
 
     def run(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
-            held: dict[tuple[str, str], list[int]] = {}
+            held: dict[tuple[str, str | None, int | None], list[int]] = {}
             for b in stream:
                 for name, page in zip(b.column("host"), b.column("html")):
                     name, page = name.as_py(), page.as_py()
                     draw = xxhash.xxh3_64_intdigest(page or "")  # the page's place in the occurrence vectors
-                    for path, (n, chars) in page_tokens(page).items():
-                        t = held.setdefault((name, path), [0, 0, 0, 0, 0])
-                        for k, v in enumerate((n * (draw & 0x7FFFFFFF), n * (draw >> 33), 1, n, chars)):
+                    blocks = page_blocks(page)
+                    around = sum(len(line) for _, line, _ in blocks)
+                    tokens = [(path, None, n, chars, 0) for path, (n, chars) in page_tokens(page).items()]
+                    tokens += [(None, token, 1, len(line), place) for place, (token, line, _) in enumerate(blocks)]
+                    for path, token, n, chars, place in tokens:
+                        t = held.setdefault((name, path, token), [0] * len(sums))
+                        for k, v in enumerate((n * (draw & 0x7FFFFFFF), n * (draw >> 33), 1, n, chars, place, around)):
                             t[k] += v
                     if len(held) > TASK_TOKENS:
                         yield from ((k + tuple(t), 100) for k, t in held.items())
@@ -179,14 +223,22 @@ def templates(pages: DataFrame, key: Column) -> DataFrame:
         return batches(rows(), schema)
 
     parts = pages.select(key.alias("host"), "html").transform(
-        mapped,
-        run, "host string, path string, s1 bigint, s2 bigint, pages bigint, opens bigint, chars bigint")
-    tokens = saved(parts.groupBy("host", "path").agg(*(F.sum(c).alias(c) for c in ("s1", "s2", "pages", "opens", "chars"))), "tokens")
+        mapped, run, "host string, path string, block bigint, " + ", ".join(f"{c} bigint" for c in sums))
+    # a block of fewer than MIN_PAGES pages is no template's, whatever its class
+    tokens = saved(parts.groupBy("host", "path", "block").agg(*(F.sum(c).alias(c) for c in sums))
+                   .where(F.col("block").isNull() | (F.col("pages") >= MIN_PAGES)), "tokens")
     whole = tokens.where("path = ''").select("host", F.col("pages").alias("host_pages"), F.col("chars").alias("host_chars"))
-    # a class's tokens share the vector, so they share the sketch and the test of validity
-    classes = (tokens.groupBy("host", "s1", "s2", "pages", "opens").agg(F.count("*").alias("tokens")).join(whole, "host")
-               .where(F.col("opens") == F.col("pages")).where(F.lit(100) * F.col("pages") >= F.lit(SUPPORT) * F.col("host_pages")))
-    valid = saved(tokens.join(classes, ["host", "s1", "s2", "pages", "opens"]).select("host", "path", "chars", "host_chars"), "valid-tokens")
+    fit = (tokens.where("opens = pages").join(whole, "host")
+           .where(F.lit(100) * F.col("pages") >= F.lit(SUPPORT) * F.col("host_pages")))
+    # a class's tokens share the vector, so they share the sketch and the pages
+    classes = (fit.groupBy("host", "s1", "s2", "pages")
+               .agg(F.count("*").alias("tokens"), F.sum(F.when(F.col("block").isNotNull(), F.col("chars")).otherwise(0)).alias("own"))
+               .where("tokens > 1").drop("tokens"))
+    every = saved(fit.join(classes, ["host", "s1", "s2", "pages"]), "valid-tokens")
+    blocks = (every.where(F.col("block").isNotNull() & (F.lit(100) * F.col("own") < F.lit(COPY_SHARE) * F.col("around")))
+              .select("host", F.struct("block", F.xxhash64("s1", "s2").alias("class"), F.col("places").alias("place")).alias("one"))
+              .groupBy("host").agg(F.collect_list("one").alias("template")))  # no more than two pages' blocks, by SUPPORT
+    valid = every.where("path is not null").select("host", "path", "chars", "host_chars")
     parts_of = F.split("path", "/")
     around = F.transform(F.sequence(F.lit(1), F.size(parts_of)), lambda k: F.array_join(F.slice(parts_of, F.lit(1), k), "/"))
     steps = valid.select("host", "path", "chars", "host_chars", F.explode(around).alias("outer"))
@@ -196,7 +248,8 @@ def templates(pages: DataFrame, key: Column) -> DataFrame:
     rank = (F.when(last.rlike(r"^article(\.|$)"), 3).when(last.rlike(r"^main(\.|$)|\.main(\.|$)"), 2).otherwise(0))
     fits = (rank > 0) | (F.lit(100) * F.col("chars") >= F.lit(TEXT_SHARE) * F.col("host_chars"))
     order = F.struct(rank, F.when(rank > 0, F.col("chars")).otherwise(F.size(parts_of)), "path")
-    return nested.where(fits).groupBy("host").agg(F.max_by("path", order).alias("slot"))
+    slots = nested.where(fits).groupBy("host").agg(F.max_by("path", order).alias("slot"))
+    return slots.join(blocks, "host", "full")
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -212,16 +265,17 @@ def extract(pages: DataFrame) -> DataFrame:
     """
     key = host(F.col("url"))
     slots = saved(templates(pages, key), "templates")
-    known = F.broadcast(slots) if slots.count() <= BROADCAST_HOSTS else slots
+    items = slots.agg(F.sum(F.lit(1) + F.coalesce(F.size("template"), F.lit(0)))).first()[0] or 0
+    known = F.broadcast(slots) if items <= BROADCAST_ITEMS else slots
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
     def run(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for b in stream:
-                for page, url, source, slot in zip(b.column("page_id"), b.column("url"), b.column("html"), b.column("slot")):
-                    text = main_text(source.as_py(), slot.as_py())
+                for page, url, source, slot, template in zip(*(b.column(c) for c in ("page_id", "url", "html", "slot", "template"))):
+                    text = main_text(source.as_py(), slot.as_py(), template.as_py() or ())
                     yield (page.as_py(), url.as_py(), text, len(text)), len(text)
         return batches(rows(), schema)
 
     found = pages.select("page_id", "url", "html", key.alias("host")).join(known, "host", "left")
-    return found.select("page_id", "url", "html", "slot").transform(mapped, run, "page_id bigint, url string, text string, n_chars bigint")
+    return found.select("page_id", "url", "html", "slot", "template").transform(mapped, run, "page_id bigint, url string, text string, n_chars bigint")

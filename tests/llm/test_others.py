@@ -101,6 +101,23 @@ def test_pages(spark):
     assert html_extract.extract(frame.limit(0)).count() == 0
 
 
+def texts_of(spark, rows):
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    return {r.page_id: r.text for r in html_extract.extract(frame).collect()}
+
+
+def test_repeated_blocks_of_a_host_are_its_template(spark):
+    note = "<div class='xq'><p>Sign our petition</p><p>Write to us</p></div>"
+    rows = [(k, f"http://h/{k}", page(f"<article><h1>T{k}</h1><p>story {k} of its own, as long as it takes to be told in full</p>{note}<p>end {k}</p></article>")) for k in range(4)]
+    rows += [(9, "http://h/9", page("<article><p>Write to us</p><p>then</p><p>Sign our petition</p></article>"))]  # elsewhere, so not the template's
+    rows += [(20 + k, f"http://g/{k}", page(f"<article><p>one article</p><p>in copies</p></article><!-- {k} -->")) for k in range(4)]
+    rows += [(30 + k, f"http://two/{k}", page(f"<article><p>own {k}, and a quotation:</p><p>to be</p></article>")) for k in range(2)]
+    want = {k: f"T{k}\nstory {k} of its own, as long as it takes to be told in full\nend {k}" for k in range(4)}
+    want[9] = "Write to us\nthen\nSign our petition"
+    want |= {20 + k: "one article\nin copies" for k in range(4)} | {30 + k: f"own {k}, and a quotation:\nto be" for k in range(2)}
+    assert texts_of(spark, rows) == want
+
+
 def test_pages_of_a_table(spark):
     """Against a plain reading of the tables' one page layout."""
     import html
