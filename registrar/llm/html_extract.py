@@ -14,7 +14,10 @@ boilerplate nodes are left out, and all else stays. Blocks of a class hold
 less than COPY_SHARE of the text of its pages: more is an article in copies,
 not a template. On a page where a class's blocks come in another order than
 on the host's other pages they stay, and so do the blocks of a page that has
-no others. A page without the slot is searched in the same way by itself.
+no others. A page without the slot is searched in the same way by itself, and
+so is each page whose slot is not an article: a layout of few pages keeps its
+article. A path whose class names have digits (post-123) counts under its
+steady form (``*``) too.
 """
 
 from __future__ import annotations
@@ -59,6 +62,7 @@ _BOILERPLATE_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "banner
                       "sharing", "social", "related", "comment", "comments", "replies", "reply", "respond", "login", "search",
                       "widget", "disclaimer", "disqus", "skip", "toolbar", "pagination"}
 _NAMED = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_NUMBERED, _DIGIT = re.compile(r"\.[^/]*\d"), re.compile(r"\d")
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""", re.S)
 
 
@@ -69,8 +73,10 @@ def _node(name: str, attributes: str) -> tuple[str, bool]:
         value = (a or b or c).strip().lower()
         words.update(re.split(r"[\s_-]+", value))
         if kind.lower() == "class" or (kind.lower() == "role" and value == "main"):
-            label += "." + ".".join(value.split())
+            label += "." + ".".join(re.sub(r"[./]", "_", value).split())
     plain = name in ("html", "body", "main", "article")
+    if name in ("html", "body"):
+        label = name  # one a page, and their classes often name the page
     return label, name in _BOILERPLATE_TAGS or not plain and bool(words & _BOILERPLATE_WORDS)
 
 
@@ -119,9 +125,21 @@ def _rank(path: str) -> int:
     return 3 if name == "article" else 2 if name == "main" or "main" in classes.split(".") else 0
 
 
+def _steady(path: str) -> str:
+    """A path with ``*`` for the class names that have digits."""
+    if not _NUMBERED.search(path):
+        return path
+    labels = []
+    for label in path.split("/"):
+        name, *classes = label.split(".")
+        kept = [c for c in classes if not _DIGIT.search(c)]
+        labels.append(".".join([name, *kept, *["*"] * (len(kept) < len(classes))]))
+    return "/".join(labels)
+
+
 def page_tokens(page: str | None) -> dict[str, list[int]]:
-    """Occurrences and visible characters within, by container path that is
-    not boilerplate."""
+    """Occurrences and visible characters within, by container path (and its
+    steady form) that is not boilerplate."""
     found: dict[str, list[int]] = {"": [1, 0]}
     path = [""]
     for kind, value, hidden in walk(page or ""):
@@ -134,14 +152,21 @@ def page_tokens(page: str | None) -> dict[str, list[int]]:
         elif kind == "text" and not hidden:
             for p in dict.fromkeys(path):
                 found[p][1] += len(value)
+    for p, t in list(found.items()):
+        if (steady := _steady(p)) != p:
+            known = found.setdefault(steady, [0, 0])
+            found[steady] = [a + b for a, b in zip(known, t)]
     return found
 
 
-def _choose(nodes: dict[str, list[int]]) -> str:
-    """The article's node among (occurrences, characters) of one page."""
+def _choose(nodes: dict[str, list[int]], slot: str | None) -> str:
+    """The article's node among (occurrences, characters) of one page: its
+    host's slot, if the page has it and no node is surer by its name."""
     whole = max(1, nodes[""][1])
-    once = [p for p, (n, chars) in nodes.items() if n == 1 and (_rank(p) or 100 * chars >= TEXT_SHARE * whole)]
-    return max(once, key=lambda p: (_rank(p), nodes[p][1] if _rank(p) else p.count("/"), p), default="")
+    there = slot is not None and slot in nodes
+    once = [p for p, (n, chars) in nodes.items() if n == 1 and (
+        _rank(p) > _rank(slot) if there else _rank(p) or 100 * chars >= TEXT_SHARE * whole)]
+    return max(once, key=lambda p: (_rank(p), nodes[p][1] if _rank(p) else p.count("/"), p), default=slot if there else "")
 
 
 def page_blocks(page: str | None, slot: str = "") -> list[tuple[int, str, bool]]:
@@ -156,7 +181,7 @@ def page_blocks(page: str | None, slot: str = "") -> list[tuple[int, str, bool]]
         line = " ".join(html.unescape("".join(parts)).split())
         parts.clear()
         if line:
-            name = f"{start[0]}\0{line}"
+            name = f"{_steady(start[0])}\0{line}"
             seen[name] = k = seen.get(name, 0) + 1
             found.append((xxhash.xxh3_64_intdigest(f"{name}\0{k}".encode("utf-8", "surrogatepass")) - (1 << 63), line, start[1]))
 
@@ -170,10 +195,10 @@ def page_blocks(page: str | None, slot: str = "") -> list[tuple[int, str, bool]]
         end()
         if kind == "open":
             path.append(value)
-            inside = inside or value == slot
+            inside = inside or value == slot or _steady(value) == slot
         elif kind == "close":
             del path[path.index(value):]
-            inside = not slot or slot in path
+            inside = not slot or slot in path or slot in map(_steady, path)
     end()
     return found
 
@@ -182,8 +207,7 @@ def main_text(page: str | None, slot: str | None, template: Iterable[dict[str, i
     """Text of a page within its template's slot, without the template's own
     blocks (block, class, place)."""
     page = page or ""
-    if slot is None or slot and slot not in (v for k, v, _ in walk(page) if k == "open"):
-        slot = _choose(page_tokens(page))
+    slot = _choose(page_tokens(page), slot)
     blocks = page_blocks(page, slot)
     known = {t["block"]: (t["class"], t["place"]) for t in template}
     order: dict[int, list[int]] = {}

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from registrar.llm import decontam, html_extract, langid, licenses, sharding, url_filter
 from registrar.llm.queries import RULES, QUERIES
@@ -118,6 +119,24 @@ def test_repeated_blocks_of_a_host_are_its_template(spark):
     assert texts_of(spark, rows) == want
 
 
+def test_articles_of_few_pages_and_of_varying_class(spark):
+    around = "<div class='x'>around {0} the article, and longer than the article: " + "word{0} " * 40 + "</div>"
+    rows = [(k, f"http://h/{k}", page(around.format(k) + f"<article><p>story {k}</p></article>")) for k in range(2)]
+    rows += [(10 + k, f"http://h/{k}", page(f"<div><p>front page {k}</p></div>")) for k in range(5)]
+    rows += [(20 + k, f"http://g/{k}", page(around.format(k) + f"<article class='post-{k}7 post'><p>story {k}</p></article>"
+                                            f"<article class='teaser'><p>next {k}</p></article>")) for k in range(4)]
+    rows += [(30 + k, f"http://m/{k}", f"<html><body class='page-id-{k}'>{around.format(k)}<div class='w-1/2 main col{k}'>text {k}</div></body></html>")
+             for k in range(4)]
+    # per-page class names without digits: no path of the host's, but every page's own
+    rows += [(40 + k, f"http://c/{k}", page(around.format(k) + f"<article class='tag-{'abcd'[k]}'><p>story {k}</p></article>")) for k in range(4)]
+    want = {**{k: f"story {k}" for k in range(2)}, **{10 + k: f"front page {k}" for k in range(5)}, **{20 + k: f"story {k}" for k in range(4)},
+            **{30 + k: f"text {k}" for k in range(4)}, **{40 + k: f"story {k}" for k in range(4)}}
+    assert texts_of(spark, rows) == want
+    slots = {r.host: r.slot for r in html_extract.templates(spark.createDataFrame(rows, "page_id bigint, url string, html string"),
+                                                            html_extract.host(F.col("url"))).collect()}
+    assert slots["m"] == "html/body/div.main.*"
+
+
 def test_pages_of_a_table(spark):
     """Against a plain reading of the tables' one page layout."""
     import html
