@@ -61,36 +61,42 @@ _BOILERPLATE_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "banner
                       "notice", "cookie", "cookies", "consent", "popup", "modal", "newsletter", "subscribe", "signup", "share",
                       "sharing", "social", "related", "comment", "comments", "replies", "reply", "respond", "login", "search",
                       "widget", "disclaimer", "disqus", "skip", "toolbar", "pagination"}
+#: Words that leave a name of boilerplate words what it is: site-footer, related-posts.
+_NEUTRAL_WORDS = {"site", "page", "main", "primary", "secondary", "global", "mobile", "top", "bottom", "list", "box", "bar", "block", "area",
+                  "section", "container", "wrapper", "link", "links", "button", "buttons", "item", "items", "form", "post", "posts", "entry",
+                  "article", "articles"}
 _NAMED = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _NUMBERED, _DIGIT = re.compile(r"\.[^/]*\d"), re.compile(r"\d")
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""", re.S)
 
 
 def _node(name: str, attributes: str) -> tuple[str, bool]:
-    """A container's name in a path, and whether it is boilerplate."""
-    words, label = set(), name
+    """A container's name in a path, and whether it is boilerplate: by its
+    tag, or by a class, id or role that says so as a whole."""
+    named, label = False, name
     for kind, a, b, c in _NAMED.findall(attributes):
         value = (a or b or c).strip().lower()
-        words.update(re.split(r"[\s_-]+", value))
+        for one in value.split():
+            words = set(re.split(r"[_-]+", one)) - {""}
+            named = named or bool(words & _BOILERPLATE_WORDS) and words <= _BOILERPLATE_WORDS | _NEUTRAL_WORDS
         if kind.lower() == "class" or (kind.lower() == "role" and value == "main"):
             label += "." + ".".join(re.sub(r"[./]", "_", value).split())
     plain = name in ("html", "body", "main", "article")
     if name in ("html", "body"):
         label = name  # one a page, and their classes often name the page
-    return label, name in _BOILERPLATE_TAGS or not plain and bool(words & _BOILERPLATE_WORDS)
+    return label, name in _BOILERPLATE_TAGS or not plain and named
 
 
-def walk(page: str) -> Iterator[tuple[str, str, bool]]:
-    """(kind, value, boilerplate) events of a page: ``open`` with the path of
-    a container, ``close`` with the path it leaves, ``text`` (raw),
+def _events(page: str) -> Iterator[tuple[str, str, bool]]:
+    """(kind, value, boilerplate by itself) of a page: ``open`` with the path
+    of a container, ``close`` with the path it leaves, ``text`` (raw),
     ``break`` at block boundaries."""
-    stack: list[tuple[str, str, bool]] = []  # tag, path, within boilerplate
+    stack: list[tuple[str, str]] = []  # tag, path
     at = 0
     while True:
         tag = _TAG.search(page, at)
-        hidden = bool(stack) and stack[-1][2]
         if (tag.start() if tag else len(page)) > at:
-            yield "text", page[at:tag.start() if tag else len(page)], hidden
+            yield "text", page[at:tag.start() if tag else len(page)], False
         if tag is None:
             return
         at = tag.end()
@@ -104,19 +110,19 @@ def walk(page: str) -> Iterator[tuple[str, str, bool]]:
                 at = end.end() if end else len(page)
             continue
         if name in _BLOCKS:
-            yield "break", "", hidden
+            yield "break", "", False
         if name not in _CONTAINERS or name in _VOID:
             continue
         if closing:
             depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
             if depth is not None:
-                yield "close", stack[depth][1], hidden
+                yield "close", stack[depth][1], False
                 del stack[depth:]
         elif not attributes.endswith("/"):
             label, boilerplate = _node(name, attributes)
             path = f"{stack[-1][1]}/{label}" if stack else label
-            stack.append((name, path, hidden or boilerplate))
-            yield "open", path, stack[-1][2]
+            stack.append((name, path))
+            yield "open", path, boilerplate
 
 
 def _rank(path: str) -> int:
@@ -125,6 +131,54 @@ def _rank(path: str) -> int:
     return 3 if name == "article" else 2 if name == "main" or "main" in classes.split(".") else 0
 
 
+def _around_article(events: list[tuple[str, str, bool]]) -> set[int]:
+    """Events that open boilerplate around the article: where no article or
+    main node is outside boilerplate, one within that has more text than all
+    that is outside."""
+    stack: list[tuple[str, bool, int]] = []  # path, boilerplate by itself, event
+    nodes: dict[str, list] = {}  # occurrences, characters, boilerplate around
+    whole = 0
+    for at, (kind, value, own) in enumerate(events):
+        if kind == "open":
+            stack.append((value, own, at))
+            if _rank(value):
+                node = nodes.setdefault(value, [0, 0, []])
+                node[0] += 1
+                node[2] = [k for _, o, k in stack if o]
+        elif kind == "close":
+            while stack.pop()[0] != value:
+                pass
+        elif kind == "text":
+            n = len(value.strip())
+            for path, o, _ in reversed(stack):
+                if path in nodes:
+                    nodes[path][1] += n
+                if o:
+                    break
+            else:
+                whole += n
+    once = [(_rank(p), chars, p, around) for p, (n, chars, around) in nodes.items() if n == 1]
+    if not all(around for *_, around in once):
+        return set()
+    return set(max((x for x in once if x[1] > whole), default=(0, 0, "", []))[3])
+
+
+def walk(page: str) -> list[tuple[str, str, bool]]:
+    """(kind, value, within boilerplate) events of a page; what is around the
+    article is no boilerplate."""
+    events = list(_events(page))
+    article = _around_article(events)
+    found, stack = [], [("", False)]
+    for at, (kind, value, own) in enumerate(events):
+        if kind == "open":
+            stack.append((value, stack[-1][1] or own and at not in article))
+        found.append((kind, value, stack[-1][1]))
+        if kind == "close":
+            while stack.pop()[0] != value:
+                pass
+    return found
+
+
 def _steady(path: str) -> str:
     """A path with ``*`` for the class names that have digits."""
     if not _NUMBERED.search(path):
@@ -137,12 +191,12 @@ def _steady(path: str) -> str:
     return "/".join(labels)
 
 
-def page_tokens(page: str | None) -> dict[str, list[int]]:
+def page_tokens(events: list[tuple[str, str, bool]]) -> dict[str, list[int]]:
     """Occurrences and visible characters within, by container path (and its
-    steady form) that is not boilerplate."""
+    steady form) that is not boilerplate, of a page's events."""
     found: dict[str, list[int]] = {"": [1, 0]}
     path = [""]
-    for kind, value, hidden in walk(page or ""):
+    for kind, value, hidden in events:
         if kind == "open":
             path.append(value)
             if not hidden:
@@ -169,7 +223,7 @@ def _choose(nodes: dict[str, list[int]], slot: str | None) -> str:
     return max(once, key=lambda p: (_rank(p), nodes[p][1] if _rank(p) else p.count("/"), p), default=slot if there else "")
 
 
-def page_blocks(page: str | None, slot: str = "") -> list[tuple[int, str, bool]]:
+def page_blocks(events: list[tuple[str, str, bool]], slot: str = "") -> list[tuple[int, str, bool]]:
     """(token, text, within the slot) of a page's blocks that are not
     boilerplate, in page order."""
     found: list[tuple[int, str, bool]] = []
@@ -185,7 +239,7 @@ def page_blocks(page: str | None, slot: str = "") -> list[tuple[int, str, bool]]
             seen[name] = k = seen.get(name, 0) + 1
             found.append((xxhash.xxh3_64_intdigest(f"{name}\0{k}".encode("utf-8", "surrogatepass")) - (1 << 63), line, start[1]))
 
-    for kind, value, hidden in walk(page or ""):
+    for kind, value, hidden in events:
         if kind == "text":
             if not hidden:
                 if not parts:
@@ -206,9 +260,9 @@ def page_blocks(page: str | None, slot: str = "") -> list[tuple[int, str, bool]]
 def main_text(page: str | None, slot: str | None, template: Iterable[dict[str, int]] = ()) -> str:
     """Text of a page within its template's slot, without the template's own
     blocks (block, class, place)."""
-    page = page or ""
-    slot = _choose(page_tokens(page), slot)
-    blocks = page_blocks(page, slot)
+    events = walk(page or "")
+    slot = _choose(page_tokens(events), slot)
+    blocks = page_blocks(events, slot)
     known = {t["block"]: (t["class"], t["place"]) for t in template}
     order: dict[int, list[int]] = {}
     for token, _, _ in blocks:
@@ -232,9 +286,10 @@ def templates(pages: DataFrame, key: Column) -> DataFrame:
                 for name, page in zip(b.column("host"), b.column("html")):
                     name, page = name.as_py(), page.as_py()
                     draw = xxhash.xxh3_64_intdigest(page or "")  # the page's place in the occurrence vectors
-                    blocks = page_blocks(page)
+                    events = walk(page or "")
+                    blocks = page_blocks(events)
                     around = sum(len(line) for _, line, _ in blocks)
-                    tokens = [(path, None, n, chars, 0) for path, (n, chars) in page_tokens(page).items()]
+                    tokens = [(path, None, n, chars, 0) for path, (n, chars) in page_tokens(events).items()]
                     tokens += [(None, token, 1, len(line), place) for place, (token, line, _) in enumerate(blocks)]
                     for path, token, n, chars, place in tokens:
                         t = held.setdefault((name, path, token), [0] * len(sums))

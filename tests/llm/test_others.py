@@ -137,6 +137,19 @@ def test_articles_of_few_pages_and_of_varying_class(spark):
     assert slots["m"] == "html/body/div.main.*"
 
 
+def test_names_as_a_whole_are_boilerplate(spark):
+    def wrapped(k, attributes, text="<article><p>whole story</p></article>"):
+        return k, f"http://h{k}/1", page(f"<div {attributes}>{text}</div>")
+    rows = [wrapped(1, "class='content has-sidebar'"), wrapped(2, "class='post comments-open'"), wrapped(3, "class='no-header'"),
+            wrapped(4, "class='widget'"), wrapped(5, "id='search'"),
+            (6, "http://h6/1", page("<article><p>one</p><section id='related-work'><p>two</p></section><div class='site-footer'>no</div>"
+                                    "<div class='x related-posts'>no</div></article>")),
+            # a comment's article is not the page's
+            (7, "http://h7/1", page("<div><p>a long story of the page itself</p></div><div class='comments'><article>hi</article></div>"))]
+    want = {k: "whole story" for k in range(1, 6)} | {6: "one\ntwo", 7: "a long story of the page itself"}
+    assert texts_of(spark, rows) == want
+
+
 def test_pages_of_a_table(spark):
     """Against a plain reading of the tables' one page layout."""
     import html
