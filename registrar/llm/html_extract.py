@@ -55,6 +55,14 @@ _CONTAINERS = {"html", "head", "body", "main", "article", "section", "div", "nav
                "dialog", "menu", "select", "button", "fieldset", "object", "center"}
 _BLOCKS = _CONTAINERS | {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "pre", "br", "hr", "caption", "figcaption",
                          "address", "summary", "hgroup", "option", "legend"}
+_HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: Elements that end an open paragraph.
+_END_P = _CONTAINERS - {"html", "head", "body", "thead", "tbody", "tfoot", "tr", "td", "th", "select", "button", "object"} | _HEADINGS | {
+    "p", "li", "dt", "dd", "pre", "hr", "figcaption", "address", "summary", "hgroup"}
+#: Elements that a tag of the name ends, up to the next element of the second set.
+_ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
+         "option": ({"option"}, {"select"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
+         "tr": ({"tr"}, {"table"}), **{t: ({"thead", "tbody", "tfoot", "tr"}, {"table"}) for t in ("thead", "tbody", "tfoot")}}
 _BOILERPLATE_TAGS = {"head", "nav", "header", "footer", "aside", "form", "dialog", "menu", "select", "button", "fieldset", "object"}
 _BOILERPLATE_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "banner", "sponsor", "sponsored", "promo", "promotion",
                       "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "sidebar", "header", "footer",
@@ -71,13 +79,16 @@ _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]
 
 
 def _node(name: str, attributes: str) -> tuple[str, bool]:
-    """A container's name in a path, and whether it is boilerplate: by its
-    tag, or by a class, id or role that says so as a whole."""
+    """An element's name in a path, and whether it is boilerplate: by its
+    tag, or by a class, id or role that says so as a whole. The id of a heading
+    or link is an anchor, and a heading may be called a header."""
     named, label = False, name
     for kind, a, b, c in _NAMED.findall(attributes):
         value = (a or b or c).strip().lower()
         for one in value.split():
             words = set(re.split(r"[_-]+", one)) - {""}
+            if kind.lower() == "id" and (name in _HEADINGS or name == "a") or name in _HEADINGS and "header" in words:
+                continue
             named = named or bool(words & _BOILERPLATE_WORDS) and words <= _BOILERPLATE_WORDS | _NEUTRAL_WORDS
         if kind.lower() == "class" or (kind.lower() == "role" and value == "main"):
             label += "." + ".".join(re.sub(r"[./]", "_", value).split())
@@ -89,9 +100,25 @@ def _node(name: str, attributes: str) -> tuple[str, bool]:
 
 def _events(page: str) -> Iterator[tuple[str, str, bool]]:
     """(kind, value, boilerplate by itself) of a page: ``open`` with the path
-    of a container, ``close`` with the path it leaves, ``text`` (raw),
-    ``break`` at block boundaries."""
-    stack: list[tuple[str, str]] = []  # tag, path
+    of a container or of another element that is boilerplate, ``close`` with
+    the path it leaves, ``text`` (raw), ``break`` at block boundaries."""
+    stack: list[tuple[str, str, bool]] = []  # tag, path, whether it is a node of the path
+
+    def last(names: set[str], until: set[str]) -> int | None:
+        for k in range(len(stack) - 1, -1, -1):
+            if stack[k][0] in names:
+                return k
+            if stack[k][0] in until:
+                return None
+        return None
+
+    def leave(depth: int | None) -> Iterator[tuple[str, str, bool]]:
+        if depth is not None:
+            nodes = [path for _, path, node in stack[depth:] if node]
+            if nodes:
+                yield "close", nodes[0], False
+            del stack[depth:]
+
     at = 0
     while True:
         tag = _TAG.search(page, at)
@@ -111,17 +138,25 @@ def _events(page: str) -> Iterator[tuple[str, str, bool]]:
             continue
         if name in _BLOCKS:
             yield "break", "", False
-        if name not in _CONTAINERS or name in _VOID:
-            continue
         if closing:
-            depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
-            if depth is not None:
-                yield "close", stack[depth][1], False
-                del stack[depth:]
-        elif not attributes.endswith("/"):
-            label, boilerplate = _node(name, attributes)
-            path = f"{stack[-1][1]}/{label}" if stack else label
-            stack.append((name, path))
+            if name in _CONTAINERS:
+                yield from leave(last({name}, set()))
+            elif name not in _VOID:  # ends within its container
+                yield from leave(last(_HEADINGS if name in _HEADINGS else {name}, _CONTAINERS))
+            continue
+        if name in _END_P:
+            yield from leave(last({"p"}, _CONTAINERS))
+        if name in _HEADINGS and stack and stack[-1][0] in _HEADINGS:
+            yield from leave(len(stack) - 1)
+        if name in _ENDS:
+            yield from leave(last(*_ENDS[name]))
+        if name in _VOID or attributes.endswith("/"):
+            continue
+        label, boilerplate = _node(name, attributes)
+        outer, node = stack[-1][1] if stack else "", name in _CONTAINERS or boilerplate
+        path = (f"{outer}/{label}" if outer else label) if node else outer
+        stack.append((name, path, node))
+        if node:
             yield "open", path, boilerplate
 
 
@@ -245,9 +280,9 @@ def page_blocks(events: list[tuple[str, str, bool]], slot: str = "") -> list[tup
                 if not parts:
                     start = (path[-1], inside)
                 parts.append(value)
-            continue
-        end()
-        if kind == "open":
+        elif kind == "break":
+            end()
+        elif kind == "open":
             path.append(value)
             inside = inside or value == slot or _steady(value) == slot
         elif kind == "close":
@@ -339,7 +374,8 @@ def extract(pages: DataFrame) -> DataFrame:
     space, blocks are trimmed and joined by a newline in page order; empty
     blocks go. A null or empty page has an empty text; pages with a null url
     or one without a host form one host. Unclosed tags end where the tag
-    around them ends, cut pages with their last character. Repeated rows stay,
+    around them ends, cut pages with their last character; a paragraph, list item or cell also
+    ends where HTML ends it for the next. Repeated rows stay,
     other columns are ignored, an empty table gives an empty one.
     """
     key = host(F.col("url"))

@@ -150,6 +150,19 @@ def test_names_as_a_whole_are_boilerplate(spark):
     assert texts_of(spark, rows) == want
 
 
+def test_boilerplate_of_every_element(spark):
+    bodies = {
+        1: ("<p class='notice'>no<p>a<p class=ad>no <b>no</b></p>b", "a\nb"),
+        2: ("<p>hello <span class='advert'>no <span>no</span> no</span> world <a class='share' href='x'>no</a><a id='comments'>!</a></p>", "hello world !"),
+        3: ("<ul><li>one<li class='comment'>no<p>no</p><ul><li>no</ul><li>two</ul>", "one\ntwo"),
+        4: ("<h3 class='related'>no</h3><h2 id='search'>S</h2><h2 class='header'>H</h2><p>x", "S\nH\nx"),
+        5: ("<table><tr><td class='ad'>no<td>cell<tr><td>next</table><dl><dt class='ad'>no<dd>d</dl>", "cell\nnext\nd"),
+        6: ("<p>a <span class='ad'>no</p>b <br class='ad'>c</span> d<div>e</p></div>", "a\nb\nc d\ne"),
+    }
+    rows = [(k, f"http://h{k}/1", page(f"<article>{body}</article>")) for k, (body, _) in bodies.items()]
+    assert texts_of(spark, rows) == {k: text for k, (_, text) in bodies.items()}
+
+
 def test_pages_of_a_table(spark):
     """Against a plain reading of the tables' one page layout."""
     import html
