@@ -26,7 +26,7 @@ from registrar.llm.shingles import distinct, mix, windows, word_hashes
 WORDS = 5
 #: Least containment, in hundredths.
 PERCENT = 80
-#: Shingles of the items in one block; blocks are searched one after another, so what is broadcast is bounded.
+#: Shingles of the items in one block; a block's result is written before the next is broadcast, so one is held at a time.
 BLOCK_SHINGLES = 2_000_000
 
 _FILTER_BITS = 20
@@ -97,8 +97,10 @@ class Sketches:
         return found
 
 
-def blocks(items: DataFrame) -> Iterator[Broadcast]:
-    """Broadcast search blocks of a table of items (item_id, text, ...)."""
+def blocks(items: DataFrame) -> Iterator[tuple[Broadcast, bool]]:
+    """Broadcast search blocks of a table of items (item_id, text, ...), and
+    whether it is the last one. The others are destroyed when the next is asked
+    for: what they gave must be written by then."""
     shingles = saved(item_shingles(items), "benchmark-shingles")
     total = shingles.agg(F.sum(F.octet_length("shingles") / 8)).first()[0] or 0
     n = int(-(-total // BLOCK_SHINGLES))
@@ -107,7 +109,11 @@ def blocks(items: DataFrame) -> Iterator[Broadcast]:
         rows = [(r.item_id, r.words, np.frombuffer(bytes(r.shingles), dtype=np.uint64))
                 for r in part.orderBy("item_id", "shingles").toLocalIterator()]
         if rows:
-            yield items.sparkSession.sparkContext.broadcast(Sketches(rows))
+            block = items.sparkSession.sparkContext.broadcast(Sketches(rows))
+            del rows
+            yield block, k == n - 1
+            if k < n - 1:
+                block.destroy()
 
 
 def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -130,16 +136,19 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
                             for doc, text in texts(stream) for item, n, found in index.search(text)), schema)
         return docs.select("doc_id", "text").transform(mapped, run, ddl)
 
-    parts = [searched(b) for b in blocks(items)]
+    parts = [searched(b) if last else saved(searched(b), "contaminated") for b, last in blocks(items)]
     return reduce(DataFrame.unionAll, parts) if parts else docs.sparkSession.createDataFrame([], ddl)
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that contain no item, all columns."""
-    for block in blocks(items):
+    """The rows of ``docs`` that contain no item, all columns. What a block
+    leaves is written for the next one; the last one's is not."""
+    for block, last in blocks(items):
         def run(stream: Iterable[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
             index = block.value
             for b in stream:
                 yield b.filter(pa.array([not index.search(t.as_py()) for t in b.column("text")], type=pa.bool_()))
         docs = docs.transform(mapped, run, docs.schema)
+        if not last:
+            docs = saved(docs, "clean")
     return docs

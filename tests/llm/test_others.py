@@ -231,6 +231,30 @@ def test_decontamination(spark, docs, rows, monkeypatch):
     assert decontam.contaminated(docs, frame.limit(0)).count() == 0 and decontam.contaminated(docs.limit(0), frame).count() == 0
 
 
+def test_one_block_of_items_is_held_at_a_time(spark, docs, monkeypatch):
+    from pyspark import Broadcast, SparkContext
+    held, most, made = [], [], []
+
+    def broadcast(self, value, make=SparkContext.broadcast):
+        made.append(make(self, value))
+        held.append(made[-1])
+        most.append(len(held))
+        return made[-1]
+
+    def destroy(self, *args, end=Broadcast.destroy, **kwargs):
+        held.remove(self)
+        end(self, *args, **kwargs)
+    frame = spark.createDataFrame([(k, " ".join(prose(1, 120)[k:k + 30])) for k in range(0, 60, 10)], "item_id bigint, text string")
+    whole = sorted(map(str, decontam.contaminated(docs, frame).collect())), decontam.clean(docs, frame).count()
+    monkeypatch.setattr(decontam, "BLOCK_SHINGLES", 60)
+    monkeypatch.setattr(SparkContext, "broadcast", broadcast)
+    monkeypatch.setattr(Broadcast, "destroy", destroy)
+    assert sorted(map(str, decontam.contaminated(docs, frame).collect())) == whole[0]
+    assert len(made) > 1 and max(most) == 1
+    held.clear()
+    assert decontam.clean(docs, frame).count() == whole[1] and max(most) == 1
+
+
 def test_licences(docs, rows):
     base = [t for t in licenses.TEMPLATES if t.base]
     want = []
