@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registrar.llm import bpe, decontam, exact_dedup, html_extract, langid, licenses, minhash, sharding, token_io, url_filter
+from registrar.llm import (bpe, conversations, decontam, exact_dedup, html_extract, langid, licenses, minhash, runs, sharding, token_io,
+                           toxicity, url_filter)
 from registrar.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,3 +133,28 @@ FROM found JOIN sizes ON id = item_id WHERE 100 * n_found >= 80 * n
 @query
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (toxicity.held_out(table(spark, sf_dir, t)) for t in ("documents", "labels"))
+    model = toxicity.train(docs.where("not held_out"), labels.where("not held_out"))
+    return toxicity.score(docs, model)
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.detect(runs.damaged(table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period"))))
+    best = found.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), longest.alias("best"), "collapsed",
+                        F.concat_ws("", F.transform(lines, lambda x: F.concat(x, F.lit("\n")))).alias("listed"))
+    return best.select("doc_id", "n_runs", F.col("best.start").alias("start"), (-F.col("best.less")).alias("length"),
+                       F.col("best.period").alias("period"), F.expr("(-1000 * best.less) div best.period").alias("exponent_milli"),
+                       F.sha2("listed", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = table(spark, sf_dir, "conversations")
+    return conversations.repair(told, conversations.damaged(told))
