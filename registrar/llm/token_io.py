@@ -18,7 +18,6 @@ numbers are little-endian. The index makes any id reachable by one seek.
 from __future__ import annotations
 
 import os
-import unicodedata
 import uuid
 from array import array
 from collections.abc import Iterable, Iterator
@@ -26,24 +25,29 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from registrar.llm.bpe import byte_alphabet
-from registrar.llm.common import Remembered, batches, mapped, saved, texts
+from registrar.llm.common import Remembered, batches, mapped, saved
 from registrar.session import scratch_path
 
 BLOCK = 4096
 PERCENTILE = 95
 #: Ids after which a file is closed; a longer document makes a longer file.
 FILE_IDS = 4_000_000
-#: Encoded chunks and words that a worker keeps in each of two generations.
-CHUNKS_KEPT = 150_000
+#: Encoded words, and other chunks, that a worker keeps in each of two generations (about 150 bytes each).
 WORDS_KEPT = 300_000
-#: Marks that a chunk of letters may end in and still be split here.
-PUNCTUATION = frozenset(b"%c" % c for c in b".,;:!?|")
+CHUNKS_KEPT = 50_000
+#: Bytes of texts that are encoded together.
+TEXT_BYTES = 16 << 20
+#: Marks that a chunk of letters may end in and still be a word and a mark.
+MARKS = ".,;:!?|"
+#: Letters that are composed and have one lower case.
+PLAIN_WORD = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
 
 _MAGIC = b"PFOR1\0\0\0"
 _HEAD = np.dtype([("min", "<u4"), ("width", "u1"), ("spare", "u1"), ("exceptions", "<u2")])
@@ -51,11 +55,20 @@ _HEAD = np.dtype([("min", "<u4"), ("width", "u1"), ("spare", "u1"), ("exceptions
 
 # ---- encoding by the tokenizers library ----
 
+def _gathered(flat: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces of ``flat``, which have ``sizes``, in the order ``at``, and where each begins, with the end."""
+    first = np.cumsum(sizes) - sizes
+    n = sizes[at]
+    ends = np.concatenate(([0], np.cumsum(n)))
+    return flat[np.arange(ends[-1]) + np.repeat(first[at] - ends[:-1], n)], ends
+
+
 class _Encoder:
-    """The library's encoder with remembered chunks and words: no word, added
-    token or composed character spans ASCII white space, so chunks between it
-    can be encoded apart; a chunk of letters is one word of the tokenizer,
-    and punctuation after letters is another."""
+    """The library's encoder over Arrow columns. No word, added token or
+    composed character spans ASCII white space, so the chunks between it are
+    encoded apart: a column's distinct chunks, and of those that are letters
+    with or without a mark behind, the distinct words. What a word or another
+    chunk gave is remembered."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
@@ -63,29 +76,68 @@ class _Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.model = self.tokenizer.model
+        self.tokenize = self.tokenizer.model.tokenize
         self.alphabet = dict(enumerate(byte_alphabet()))
+        self.id_bytes = [i.to_bytes(4, "little") for i in range(max(self.tokenizer.get_vocab().values()) + 1)]
         self.words = Remembered(self._word, WORDS_KEPT)
         self.chunks = Remembered(self._chunk, CHUNKS_KEPT)
 
     def _word(self, word: str) -> bytes:
-        """Ids of one lower-case word of Latin letters or of one punctuation mark."""
+        """Ids of one lower-case word of plain letters or of one mark."""
         stand_ins = word if word.isascii() else word.encode("utf-8").decode("latin-1").translate(self.alphabet)
-        return array("I", [t.id for t in self.model.tokenize(stand_ins)]).tobytes()
-
-    def _chunk(self, chunk: bytes) -> bytes:
-        last = chunk[-1:] if chunk[-1:] in PUNCTUATION else b""
-        head = chunk[:-1] if last else chunk
-        if head.isalpha():  # ASCII letters
-            plain = head.lower().decode("ascii")
-        else:
-            plain = unicodedata.normalize("NFC", head.decode("utf-8")).lower()
-            if not plain.isalpha() or max(plain) > "\u024f":  # more than one word, or not Latin
-                return array("I", self.tokenizer.encode(chunk.decode("utf-8"), add_special_tokens=False).ids).tobytes()
-        return self.words[plain] + self.words[last.decode("ascii")] if last else self.words[plain]
+        id_bytes = self.id_bytes
+        return b"".join([id_bytes[t.id] for t in self.tokenize(stand_ins)])
+
+    def _chunk(self, chunk: str) -> bytes:
+        return array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
+
+    def _distinct(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all chunks, one after the other, and their numbers of ids."""
+        marked = pc.is_in(pc.utf8_slice_codeunits(chunks, -1), value_set=pa.array(list(MARKS)))
+        heads = pc.if_else(marked, pc.utf8_slice_codeunits(chunks, 0, -1), chunks)
+        plain = pc.match_substring_regex(heads, PLAIN_WORD)
+        words = pc.utf8_lower(heads.filter(plain)).dictionary_encode()
+        others = chunks.filter(pc.invert(plain)).to_pylist()
+        marks = pc.index_in(pc.utf8_slice_codeunits(chunks.filter(plain), -1), value_set=pa.array(list(MARKS)))
+        pieces = [*map(self.words.__getitem__, words.dictionary.to_pylist()), *map(self.chunks.__getitem__, others),
+                  *(self.words[m] for m in MARKS), b""]
+        nothing, n_words = len(pieces) - 1, len(words.dictionary)
+        is_plain = plain.to_numpy(zero_copy_only=False)
+        at = np.full((len(chunks), 2), nothing)
+        at[is_plain, 0] = words.indices.to_numpy()
+        at[~is_plain, 0] = n_words + np.arange(len(others))
+        at[is_plain, 1] = marks.fill_null(len(MARKS)).to_numpy() + nothing - len(MARKS)  # the piece behind the marks is empty
+        sizes = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)) // 4
+        ids, ends = _gathered(np.frombuffer(b"".join(pieces), dtype="<u4"), sizes, at.ravel())
+        return ids, np.diff(ends[::2])
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and where each text's begin, with the end."""
+        lists = pc.ascii_split_whitespace(texts.fill_null(""))
+        chunks = lists.flatten().dictionary_encode()
+        ids, ends = _gathered(*self._distinct(chunks.dictionary), chunks.indices.to_numpy())
+        return ids, ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
 
     def encode(self, text: str | None) -> bytes:
-        return b"".join(map(self.chunks.__getitem__, text.encode("utf-8").split())) if text else b""
+        return self.encode_column(pa.array([text], pa.string()))[0].tobytes()
+
+    def encode_rows(self, stream: Iterable[pa.RecordBatch]) -> Iterator[tuple[int | None, bytes]]:
+        """(doc_id, ids) of every row; rows of about TEXT_BYTES are encoded together."""
+        def together(held: list[pa.RecordBatch]) -> Iterator[tuple[int | None, bytes]]:
+            docs, texts = (pa.concat_arrays([b.column(c) for b in held]) for c in ("doc_id", "text"))
+            ids, ends = self.encode_column(texts)
+            for k, doc in enumerate(docs.to_pylist()):
+                yield doc, ids[ends[k]:ends[k + 1]].tobytes()
+
+        held, size = [], 0
+        for b in stream:
+            held.append(b)
+            size += b.column("text").nbytes
+            if size >= TEXT_BYTES:
+                yield from together(held)
+                held, size = [], 0
+        if held:
+            yield from together(held)
 
 
 @lru_cache(maxsize=2)
@@ -211,8 +263,7 @@ def write_token_files(docs: DataFrame, path: str, folder: str, end_id: int) -> D
 
         def rows():
             held, size = [], 0
-            for doc, text in texts(stream):
-                ids = encoder.encode(text)
+            for doc, ids in encoder.encode_rows(stream):
                 held.append((doc, ids + end))
                 size += len(ids) // 4 + 1
                 if size >= FILE_IDS:

@@ -35,6 +35,21 @@ def test_codec_equals_the_library(text):
     assert bpe.codec(PATH).decode(ids) == library.decode(library_ids(library, text), skip_special_tokens=False)
 
 
+def test_caches_that_overflow_change_nothing(library, monkeypatch):
+    """Both generations of the chunk and word caches turn over many times."""
+    monkeypatch.setattr(token_io, "CHUNKS_KEPT", 7)
+    monkeypatch.setattr(token_io, "WORDS_KEPT", 5)
+    monkeypatch.setattr(bpe, "CHUNKS_KEPT", 7)
+    monkeypatch.setattr(bpe, "WORDS_KEPT", 5)
+    words = [f"{w}{mark}" for w in "the cat Sat on it's größe don't 12ab a-b naïve".split() for mark in ("", ".", "!!", "|", ",,x", "%%%")]
+    text = " ".join(words * 3 + words[::-1] + ["y" * 100, "y" * 100])
+    want = library_ids(library, text)
+    for encoder in (token_io._Encoder(PATH), bpe.Codec(PATH)):
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == want
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == want
+        assert len(encoder.chunks) <= 7 and len(encoder.words) <= 5 and encoder.words.old
+
+
 def test_merge_skips_stale_entries():
     c = bpe.codec(PATH)
     word = "aaabaaab" * 50
