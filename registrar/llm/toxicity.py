@@ -26,13 +26,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from registrar.llm.common import batches, mapped, saved
+from registrar.llm.common import Remembered, mapped, saved
 
 #: Labelled documents that the classifier is fitted on, at most.
 TRAIN_ROWS = 200_000
@@ -51,8 +52,8 @@ NEAR = 5
 #: Score from which a document is predicted as toxic.
 THRESHOLD = 0.7
 TREES, DEPTH, STEP = 25, 3, 0.3
-#: Terms counted in a task before its sums are handed on, and words remembered.
-TERMS_HELD = 200_000
+#: Bytes of texts that are looked at together, and odd words remembered.
+TEXT_BYTES = 16 << 20
 WORDS_HELD = 100_000
 
 #: Insults that count whatever the labels say.
@@ -67,6 +68,12 @@ FEATURES = ("strongest_hit", "strong_hits", "strong_density", "weak_density", "w
             "near_second_person", "second_person", "shouted_hits", "capitals", "shouted_words", "exclamations",
             "questions", "mark_runs", "obfuscated", "obfuscated_hits", "stretched", "length")
 
+#: Signs that are stripped around a word in bulk, words of plain letters, and letters three times in a row;
+#: all other chunks of text go through ``word_of`` one by one.
+_AROUND = ".,;:!?|\"'()[]{}%$&*#-–…«»„“”"
+_PLAIN = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
+_THRICE = "(?i)" + "|".join(c * 3 for c in "abcdefghijklmnopqrstuvwxyzàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿß")
+
 _OUTSIDE = re.compile(r"^[\W_]+|[\W_]+$")
 _STRETCHED = re.compile(r"([^\W\d_])\1{2,}")
 _MARKS = re.compile(r"[!?.#$%&*]{2,}")
@@ -97,60 +104,111 @@ def terms(word: str) -> list[str]:
     return found + [word[:n] + "*" for n in BEGINNINGS if n < len(word)]
 
 
-class Extractor:
-    """Features of texts under one lexicon. What a chunk counts for is kept in
-    a table of bounded size, so a text is looked up and summed, not parsed."""
+class Words:
+    """Words of Arrow columns of chunks."""
+
+    def __init__(self):
+        self.odd = Remembered(word_of, WORDS_HELD)
+
+    def of(self, chunks: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """(letters, obfuscated, stretched) of ``word_of`` for all chunks."""
+        trimmed = pc.utf8_trim(chunks, characters=_AROUND)
+        plain = pc.and_(pc.match_substring_regex(trimmed, _PLAIN), pc.invert(pc.match_substring_regex(trimmed, _THRICE)))
+        others = [self.odd[c] for c in chunks.filter(pc.invert(plain)).to_pylist()]
+        letters = pc.replace_with_mask(pc.utf8_lower(trimmed), pc.invert(plain), pa.array([w.letters for w in others], pa.string()))
+        flags = np.zeros((2, len(chunks)), dtype=bool)
+        flags[:, ~plain.to_numpy(zero_copy_only=False)] = [[w.obfuscated for w in others], [w.stretched for w in others]]
+        return letters, flags[0], flags[1]
+
+
+def _chunks(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(distinct chunks between ASCII white space, each place's chunk, each
+    text's first place, with the end)."""
+    lists = pc.ascii_split_whitespace(texts.fill_null(""))
+    places = lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py()
+    flat = lists.flatten()
+    empty = pc.equal(flat, "")  # beside white space at a text's ends
+    if (some := pc.sum(empty).as_py()):
+        gone = np.concatenate(([0], np.cumsum(empty.to_numpy(zero_copy_only=False))))
+        places, flat = places - gone[places], flat.filter(pc.invert(empty))
+    chunks = flat.dictionary_encode()
+    return chunks.dictionary, chunks.indices.to_numpy(), places
 
-    #: Columns of the table.
-    COLUMNS = 15
+
+class Extractor:
+    """Features of columns of texts under one lexicon: each distinct chunk is
+    looked up once; what the texts' chunks count for is then summed."""
 
     def __init__(self, lexicon: dict[str, float]):
-        self.lexicon = lexicon
-        self.at: dict[str, int] = {}
-        self.table = np.zeros((WORDS_HELD, self.COLUMNS), dtype=np.float64)
-
-    def _row(self, chunk: str) -> tuple:
-        word = word_of(chunk)
-        weight = max((self.lexicon.get(t, 0.0) for t in terms(word.letters)), default=0.0)
-        strong, upper = weight >= STRONG, sum(map(str.isupper, chunk))
-        shouted = upper > 1 and chunk.upper() == chunk
-        return (weight, strong, 0 < weight < STRONG, word.letters in SEEDS, word.letters in SECOND_PERSON,
-                strong and shouted, upper, sum(map(str.isalpha, chunk)), shouted, chunk.count("!"), chunk.count("?"),
-                bool(_MARKS.search(chunk)), word.obfuscated, strong and word.obfuscated, word.stretched)
-
-    def _blocks(self, chunks: list[str]) -> Iterator[np.ndarray]:
-        """The table's rows of all chunks, some at a time."""
-        for start in range(0, len(chunks), WORDS_HELD // 2):
-            block = chunks[start:start + WORDS_HELD // 2]
-            new = set(block).difference(self.at)
-            if len(self.at) + len(new) > WORDS_HELD:
-                self.at.clear()
-                new = set(block)
-            for chunk in new:
-                k = self.at[chunk] = len(self.at)
-                self.table[k] = self._row(chunk)
-            yield self.table[np.fromiter(map(self.at.__getitem__, block), dtype=np.int64, count=len(block))]
+        self.words = Words()
+        #: by length of the beginning (0: whole words): the terms and their weights
+        self.terms = {}
+        for n in (0, *BEGINNINGS):
+            found = {t.rstrip("*"): w for t, w in lexicon.items() if t.endswith("*") == bool(n) and (not n or len(t) == n + 1)}
+            self.terms[n] = pa.array(list(found), pa.string()), np.array([*found.values(), 0.0])
+
+    def _weights(self, letters: pa.Array) -> np.ndarray:
+        length = pc.utf8_length(letters).to_numpy()
+        best = np.zeros(len(letters))
+        for n, (known, weights) in self.terms.items():
+            at = pc.index_in(pc.utf8_slice_codeunits(letters, 0, n) if n else letters, value_set=known).fill_null(len(known)).to_numpy()
+            fits = length > n if n else (length > 1) & (length <= MOST_LETTERS)
+            best = np.maximum(best, np.where(fits, weights[at], 0.0))
+        return best
+
+    def _counts(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """What each chunk counts for: (rarely more than nothing, 13 columns; letters and capitals, 2 columns)."""
+        letters, obfuscated, stretched = self.words.of(chunks)
+        weight = self._weights(letters)
+        strong = weight >= STRONG
+        upper, alpha = (pc.count_substring_regex(chunks, r).to_numpy() for r in (r"\p{Lu}", r"\p{L}"))
+        shouted = (upper > 1) & pc.equal(pc.utf8_upper(chunks), chunks).to_numpy(zero_copy_only=False)
+        among = [pc.is_in(letters, value_set=pa.array(sorted(x))).to_numpy(zero_copy_only=False) for x in (SEEDS, SECOND_PERSON)]
+        rare = [weight, strong, (weight > 0) & ~strong, *among, strong & shouted, shouted,
+                *(pc.count_substring(chunks, c).to_numpy() for c in "!?"),
+                pc.match_substring_regex(chunks, _MARKS.pattern).to_numpy(zero_copy_only=False), obfuscated, strong & obfuscated, stretched]
+        return np.stack(rare, axis=1).astype(np.float64), np.stack([upper, alpha], axis=1)
+
+    def column(self, texts: pa.Array) -> np.ndarray:
+        """One row of features per text."""
+        chunks, at, places = _chunks(texts)
+        n, out = np.diff(places), np.zeros((len(texts), len(FEATURES)))
+        if not len(chunks):
+            return out
+        rare, common = self._counts(chunks)
+        where = np.flatnonzero(rare.any(axis=1)[at])  # few places; all others add nothing
+        text_of = np.searchsorted(places, where, side="right") - 1
+        found = rare[at[where]]
+        total = np.stack([np.bincount(text_of, weights=c, minlength=len(texts)) for c in found.T], axis=1)
+        strongest = np.zeros(len(texts))
+        np.maximum.at(strongest, text_of, found[:, 0])
+        upper, alpha = (np.diff(np.concatenate(([0], np.cumsum(c[at])))[places]) for c in common.T)
+        hits, second = found[:, 1] > 0, where[found[:, 4] > 0]
+        first, last = np.maximum(where[hits] - NEAR, places[text_of[hits]]), np.minimum(where[hits] + NEAR, places[text_of[hits] + 1] - 1)
+        close = np.searchsorted(second, last, side="right") > np.searchsorted(second, first)
+        near = np.bincount(text_of[hits][close], minlength=len(texts))
+        weight, strong, weak, seeds, you, shouted_hits, shouted, bangs, asks, runs, odd, odd_hits, stretched = total.T
+        words = np.maximum(n, 1)
+        out[:] = np.stack([strongest, np.log1p(strong), 100 * strong / words, 100 * weak / words, weight / words, 100 * seeds / words,
+                           near, you / words, shouted_hits, upper / np.maximum(alpha, 1), shouted / words, bangs / words,
+                           asks / words, runs / words, odd / words, odd_hits, stretched / words, np.log1p(n)], axis=1)
+        return out
 
     def features(self, text: str | None) -> list[float]:
-        chunks = text.split() if text else []
-        n = len(chunks)
-        if not n:
-            return [0.0] * len(FEATURES)
-        total, strongest, hits, second = np.zeros(self.COLUMNS), 0.0, [], []
-        for block in self._blocks(chunks):
-            total += block.sum(axis=0)
-            strongest = max(strongest, float(block[:, 0].max()))
-            hits.append(block[:, 1] > 0)
-            second.append(block[:, 4] > 0)
-        weight, strong, weak, seeds, you, shouted_hits, upper, alpha, shouted, bangs, asks, runs, odd, odd_hits, stretched = total.tolist()
-        near = 0
-        if strong and you:
-            reach = np.concatenate(([0], np.cumsum(np.concatenate(second))))
-            at = np.flatnonzero(np.concatenate(hits))
-            near = int((reach[np.minimum(at + NEAR + 1, n)] > reach[np.maximum(at - NEAR, 0)]).sum())
-        return [strongest, float(np.log1p(strong)), 100 * strong / n, 100 * weak / n, weight / n, 100 * seeds / n,
-                float(near), you / n, shouted_hits, upper / max(alpha, 1), shouted / n, bangs / n,
-                asks / n, runs / n, odd / n, odd_hits, stretched / n, float(np.log1p(n))]
+        return self.column(pa.array([text], pa.string()))[0].tolist()
+
+
+def _together(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Record batches whose texts have about TEXT_BYTES."""
+    held, size = [], 0
+    for b in stream:
+        held.append(b)
+        size += b.column("text").nbytes
+        if size >= TEXT_BYTES:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+    if held and (rows := pa.Table.from_batches(held).combine_chunks()).num_rows:
+        yield rows.to_batches()[0]
 
 
 @dataclass(frozen=True)
@@ -186,21 +244,24 @@ def _counts(rows: DataFrame) -> DataFrame:
     schema = pa.schema([("term", pa.string()), *((n, pa.int64()) for n in names)])
 
     def run(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list[int]] = {}
-
-        def flush():
-            yield from batches((((t, *c), 100) for t, c in held.items()), schema)
-            held.clear()
-
-        for b in stream:
-            for text, label, fold in zip(b.column("text"), b.column("label"), b.column("fold")):
-                at = 2 * fold.as_py() + label.as_py()
-                found = {t for chunk in set((text.as_py() or "").split()) for t in terms(word_of(chunk).letters)}
-                for t in found:
-                    held.setdefault(t, [0] * width)[at] += 1
-                if len(held) >= TERMS_HELD:
-                    yield from flush()
-        yield from flush()
+        words = Words()
+        for b in _together(stream):
+            chunks, at, places = _chunks(b.column("text"))
+            letters, *_ = words.of(chunks)
+            length = pc.utf8_length(letters).to_numpy()
+            text_of = np.repeat(np.arange(b.num_rows), np.diff(places))
+            sort = 2 * b.column("fold").to_numpy().astype(np.int64) + b.column("label").to_numpy()
+            for n in (0, *BEGINNINGS):
+                terms = pc.utf8_slice_codeunits(letters, 0, n).dictionary_encode() if n else letters.dictionary_encode()
+                fits = length > n if n else (length > 1) & (length <= MOST_LETTERS)
+                term_of, known = terms.indices.to_numpy().astype(np.int64), len(terms.dictionary)
+                there = fits[at]
+                once = np.unique(text_of[there] * known + term_of[at[there]])  # each term once per text
+                counts = np.bincount(once % known * width + sort[once // known], minlength=known * width).reshape(-1, width) if known else np.zeros((0, width), int)
+                some = np.flatnonzero(counts.any(axis=1))
+                named = terms.dictionary.take(pa.array(some))
+                named = pc.binary_join_element_wise(named, "*", "") if n else named
+                yield pa.RecordBatch.from_arrays([named, *(pa.array(c) for c in counts[some].T)], schema=schema)
 
     partial = rows.transform(mapped, run, ", ".join(["term string", *(f"{n} bigint" for n in names)]))
     return partial.groupBy("term").agg(*(F.sum(n).alias(n) for n in names))
@@ -222,17 +283,18 @@ def _featured(rows: DataFrame, keep: dict[str, tuple[str, pa.DataType]], lexicon
     """``keep`` columns of ``rows`` and their features under the lexicon of their fold."""
     shared = rows.sparkSession.sparkContext.broadcast(lexicons)
     schema = pa.schema([*((c, t) for c, (_, t) in keep.items()), ("features", pa.list_(pa.float64()))])
-    size = 8 * (len(keep) + len(FEATURES))
 
     def run(stream: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         extractors = [Extractor(x) for x in shared.value]
-
-        def out():
-            for b in stream:
-                folds = b.column(fold).to_pylist() if fold else [0] * b.num_rows
-                for text, k, *kept in zip(b.column("text"), folds, *(b.column(c).to_pylist() for c in keep)):
-                    yield (*kept, extractors[k].features(text.as_py())), size
-        return batches(out(), schema)
+        for b in _together(stream):
+            found = np.zeros((b.num_rows, len(FEATURES)))
+            folds = b.column(fold).to_numpy() if fold else np.zeros(b.num_rows, dtype=int)
+            for k, extractor in enumerate(extractors):
+                mine = np.flatnonzero(folds == k)
+                if len(mine):
+                    found[mine] = extractor.column(b.column("text").take(pa.array(mine)) if len(mine) < b.num_rows else b.column("text"))
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1) * len(FEATURES), pa.int32()), pa.array(found.ravel()))
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), lists], schema=schema)
 
     columns = list(dict.fromkeys(["text", *keep, *([fold] if fold else [])]))
     return (rows.select(*columns).transform(mapped, run, ", ".join([*(f"{c} {t}" for c, (t, _) in keep.items()), "features array<double>"]))

@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -37,13 +38,29 @@ def plain_features(text):
             sum(a and w.obfuscated for a, w in zip(strong, words)), sum(w.stretched for w in words) / n, math.log1p(n)]
 
 
-@pytest.mark.parametrize("held", [24, 100_000])
+@pytest.mark.parametrize("held", [3, 100_000])
 def test_features_equal_plain_loops(monkeypatch, held):
-    monkeypatch.setattr(toxicity, "WORDS_HELD", held)  # blocks of twelve words, and a table that fills up
-    extractor, rnd = toxicity.Extractor(LEXICON), random.Random(3)
+    monkeypatch.setattr(toxicity, "WORDS_HELD", held)  # odd words remembered: few, then all
+    extractor, rnd, texts = toxicity.Extractor(LEXICON), random.Random(3), [None, " \n "]
     for n in [0, 1, 2, 11, 12, 13, 40, 200] * 5:
-        text = " ".join(rnd.choice([*CHUNKS, f"w{rnd.randrange(99)}"]) for _ in range(n))
-        assert extractor.features(text) == pytest.approx(plain_features(text)), text
+        texts.append(" ".join(rnd.choice([*CHUNKS, f"w{rnd.randrange(99)}", "İdiot", "ẞtraße", "Stupiiiid", "«Übel»", "_moron_"]) for _ in range(n)))
+    found = extractor.column(pa.array(texts))
+    for text, row in zip(texts, found.tolist()):
+        assert row == pytest.approx(plain_features(text)), text
+        assert extractor.features(text) == pytest.approx(row)
+    assert extractor.column(pa.array([], pa.string())).shape == (0, len(toxicity.FEATURES))
+
+
+def test_words_in_bulk_equal_words_one_by_one():
+    rnd = random.Random(4)
+    chunks = CHUNKS + ["".join(rnd.choice("aaAbBeEÉéßñ1037@$!.,-_'’*ſıİ漢") for _ in range(rnd.randrange(1, 9))) for _ in range(3000)]
+    letters, obfuscated, stretched = toxicity.Words().of(pa.array(chunks))
+    got = [toxicity.Word(*x) for x in zip(letters.to_pylist(), obfuscated.tolist(), stretched.tolist())]
+    assert got == [toxicity.word_of(c) for c in chunks]
+
+
+def test_features_of_odd_texts():
+    extractor = toxicity.Extractor(LEXICON)
     assert extractor.features(None) == extractor.features(" \n ") == [0.0] * len(toxicity.FEATURES)
 
 
@@ -55,7 +72,7 @@ def test_words():
 
 
 def test_lexicon_equals_plain_counts(spark, monkeypatch):
-    monkeypatch.setattr(toxicity, "TERMS_HELD", 50)
+    monkeypatch.setattr(toxicity, "TEXT_BYTES", 400)
     rnd = random.Random(8)
     rows = [(" ".join(rnd.choice(CHUNKS) for _ in range(rnd.randrange(9))), rnd.randrange(2), rnd.randrange(3)) for _ in range(300)]
     counts = toxicity._counts(spark.createDataFrame(rows, "text string, label int, fold int").repartition(4))
