@@ -4,11 +4,12 @@
         --dims /shared/target-dims --work /shared/work --target /shared/target
     python -m registrar.cli ...            (local runs)
 
-``--dims`` holds parquet folders of target dimensions the jobs read
-(person, service_need_option, fee_thresholds, voucher_value, daycare, child,
-the users table, assistance_*_option, idmap), each named by its table.
-Intermediate and job outputs go to ``--work`` (default: a fresh folder under
-``spark.checkpoint.dir``). Exit code 2 on a structural ingest error.
+``--dims`` holds parquet folders of existing target tables (declared in
+``sources.inputs``), each named by its table. ``--jobs`` runs only the named
+reconciliation and publishing jobs. Intermediate and job outputs go to
+``--work`` (default: a fresh folder under ``spark.checkpoint.dir``). Exit code
+2, with the coded error, on a structural error of a dump, a dimension that
+does not fit its declaration or a missing input; nothing is published then.
 """
 
 from __future__ import annotations
@@ -17,11 +18,6 @@ import argparse
 import json
 import sys
 
-def _dimensions() -> list[str]:
-    from .plans.transfer import USER_TABLE
-    return ["person", "service_need_option", "fee_thresholds", "voucher_value", "daycare", "child", USER_TABLE,
-            "assistance_basis_option", "assistance_action_option", "idmap"]
-
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="registrar")
@@ -30,29 +26,40 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--dims", help="folder with target dimension tables (parquet, one folder per table)")
     ap.add_argument("--work", help="folder for job outputs (default: under spark.checkpoint.dir)")
     ap.add_argument("--import-target", help="load every record file into this one table")
+    ap.add_argument("--jobs", help="comma-separated names of the jobs to run (default: the whole chain)")
     ap.add_argument("--include-off", action="store_true", help="also run the jobs switched off in the chain")
     args = ap.parse_args(argv)
 
     from .plans import transfer
     from .plans.runner import run_chain
+    from .plans.transform import CHAIN
     from .session import build_session
+    from .sources import inputs
     from .sources.errors import IngestError
     from .sources.records import ingest_dir
 
+    wanted = set(args.jobs.split(",")) if args.jobs else None
+
+    def chosen(chain):
+        return [(n, f) for n, f, on in chain if (n in wanted if wanted is not None else on or args.include_off)]
+
+    jobs, publishing = chosen(CHAIN), chosen(transfer.CHAIN)
     spark = build_session()
     try:
+        if wanted is not None and (unknown := wanted - {n for n, *_ in (*CHAIN, *transfer.CHAIN)}):
+            raise inputs.InputError(inputs.UNKNOWN, f"Unknown job '{min(unknown)}'")
         staged = ingest_dir(spark, args.input, target=args.import_target)
-    except IngestError as e:
+        if args.dims:
+            staged.update(inputs.load_dimensions(spark, args.dims))
+        names = [n for n, _ in jobs]
+        inputs.resolve(staged, names)
+        made = {t for n in names for t in inputs.JOB_OUTPUTS[n]}
+        inputs.resolve({*staged, *made}, [n for n, _ in publishing], inputs.PUBLISH_INPUTS, {})
+    except (IngestError, inputs.InputError) as e:
         print(json.dumps({"error": e.code, "message": str(e)}))
         return 2
-    if args.dims:
-        from .sources.records import list_files
-        present = {p.rstrip("/").split("/")[-2] for p in list_files(spark, args.dims)}
-        for name in _dimensions():
-            if name in present:
-                staged[name] = spark.read.parquet(f"{args.dims.rstrip('/')}/{name}")
-    state = run_chain(staged, include_off=args.include_off, out_dir=args.work)
-    report = transfer.publish_all(state, args.target, include_off=args.include_off)
+    state = run_chain(staged, jobs, out_dir=args.work)
+    report = transfer.publish_all(state, args.target, jobs=publishing)
     print(json.dumps({"published": report}))
     return 0
 

@@ -5,7 +5,8 @@ Outputs of each job are added to the table mapping for the next ones (so
 written once to a fresh run folder and read back: later jobs read files
 instead of re-planning all upstream jobs (the composed plan would grow with
 every reuse of a table), and a job that loses executors recomputes only from
-the written tables. ``out_dir`` defaults to a fresh folder under the shared
+the written tables. Before anything is planned, every job's declared inputs
+must be given or come from an earlier job. ``out_dir`` defaults to a fresh folder under the shared
 ``spark.checkpoint.dir``. The first failing
 job stops the chain; outputs already written stay, as in the legacy chain.
 """
@@ -17,6 +18,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
+from ..sources import inputs
 from .transform import CHAIN
 
 Job = Callable[[Mapping[str, DataFrame]], dict[str, DataFrame]]
@@ -26,6 +28,7 @@ def run_chain(tables: Mapping[str, DataFrame], jobs: Sequence[tuple[str, Job]] |
               include_off: bool = False, out_dir: str | None = None) -> dict[str, DataFrame]:
     if jobs is None:
         jobs = [(n, f) for n, f, on in CHAIN if on or include_off]
+    inputs.resolve(tables, [n for n, _ in jobs])
     state: dict[str, DataFrame] = dict(tables)
     run = uuid.uuid4().hex[:12]
     if out_dir is None and state:

@@ -9,7 +9,7 @@ Enum casts of the target become allowed-value checks (``*_violations``).
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +20,7 @@ from ..operators import identity as ident
 from ..operators import intervals as iv
 from ..operators import quality as q
 from ..session import scratch_path
+from ..sources import inputs
 from ..sinks.publish import insert_ignore_rows, update_from
 from .transform._common import Tables, get, spark_of
 
@@ -444,20 +445,22 @@ def _target(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def publish_all(t: Mapping[str, DataFrame], target_dir: str, include_off: bool = False) -> dict[str, dict[str, int]]:
+def publish_all(t: Mapping[str, DataFrame], target_dir: str, include_off: bool = False,
+                jobs: Sequence[tuple[str, Callable]] | None = None) -> dict[str, dict[str, int]]:
     """Run the transfer chain and add every job's new rows to ``target_dir/<table>``.
 
     Rows that a target has already, whether given in ``t`` or published by an
     earlier run, are not inserted again, so publishing twice equals publishing
     once. Later jobs see existing and new rows together (the child register,
     the audit user, daycare groups). Returns per job the rows added (K8)."""
+    if jobs is None:
+        jobs = [(n, f) for n, f, on in CHAIN if on or include_off]
+    inputs.resolve(t, [n for n, _ in jobs], inputs.PUBLISH_INPUTS, {})
     spark = spark_of(t)
     root = target_dir.rstrip("/")
     state = dict(t)
     report: dict[str, dict[str, int]] = {}
-    for name, job, on in CHAIN:
-        if not (on or include_off):
-            continue
+    for name, job in jobs:
         counts = {}
         for table, df in job(state).items():
             checks = table.endswith("_violations")

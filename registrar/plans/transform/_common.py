@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ...operators import identity as ident
+from ...sources import inputs
 from ...sources.exclusion import apply_exclusion
-from ...sources.specs import REGISTRY, exclusion_for
+from ...sources.specs import exclusion_for
 
 Tables = Mapping[str, DataFrame]
 
@@ -23,16 +24,14 @@ def spark_of(t: Tables) -> SparkSession:
 
 
 def get(t: Tables, name: str, schema: str | None = None) -> DataFrame:
-    """A named input; an empty frame of the spec/schema when absent. A present
-    input lacking some declared columns gets them as typed NULLs."""
+    """A named input. A present input lacking some declared columns gets them
+    as typed NULLs. An absent one stops the job, unless it is declared
+    optional (a target table before the first run): then it is empty."""
     if name in t and t[name] is not None:
         return conform(t[name], schema) if schema else t[name]
-    spark = spark_of(t)
-    if schema is None:
-        if name not in REGISTRY:
-            raise KeyError(f"input table '{name}' is missing and has no declared schema")
-        schema = REGISTRY[name].ddl()
-    return spark.createDataFrame([], schema)
+    if not inputs.is_optional(name):
+        raise inputs.InputError(inputs.MISSING, f"Missing input '{name}'")
+    return spark_of(t).createDataFrame([], schema or inputs.schema_of(name))
 
 
 def conform(df: DataFrame, schema: str) -> DataFrame:

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from registrar.plans.runner import run_chain
+from registrar.sources import inputs
 from registrar.sources import records
 
 D = dt.date
@@ -283,6 +284,7 @@ def target(spark, result):
     dims["voucher_value"] = spark.createDataFrame(
         [("vv1", (D(2020, 3, 1), None), 82600, 1.55)],
         "id string, validity struct<lower:date,upper:date>, base_value int, age_under_three_coefficient double")
+    dims.update(inputs.empty(spark, "fee_thresholds", "evaka_unit_manager", "evaka_daycare", "daycare_oid_map"))
     return dims
 
 
@@ -384,9 +386,12 @@ def test_cli_end_to_end(spark, tmp_path):
         f.write(_xml("person", PERSONS))
     with open(base / "codes.xml", "w", encoding="utf-8") as f:
         f.write(_xml("item", CODES))
-    rc = cli.main(["--input", str(base), "--target", str(tmp_path / "target"), "--work", str(tmp_path / "work")])
+    rc = cli.main(["--input", str(base), "--target", str(tmp_path / "target"), "--work", str(tmp_path / "work"), "--jobs", "persons"])
     assert rc == 0
     assert spark.read.parquet(str(tmp_path / "target" / "person")).count() == 6
+    assert cli.main(["--input", str(base), "--target", str(tmp_path / "t3"), "--jobs", "persons,families"]) == 2  # no family rows
+    assert cli.main(["--input", str(base), "--target", str(tmp_path / "t3"), "--jobs", "person"]) == 2  # no such job
+    assert not (tmp_path / "t3").exists()
     bad = tmp_path / "bad"
     bad.mkdir()
     with open(bad / "notatable.xml", "w", encoding="utf-8") as f:
@@ -405,8 +410,8 @@ def test_cli_loads_dimensions(spark, tmp_path):
     from registrar import cli
     base = tmp_path / "in"
     base.mkdir()
-    for table, element, rows in [("persons", "person", PERSONS), ("placements", "placement", PLACEMENTS),
-                                 ("placementextents", "placementextent", EXTENTS)]:
+    for table, element, rows in [("persons", "person", PERSONS), ("placements", "placement", PLACEMENTS), ("codes", "item", CODES),
+                                 ("departments", "department", DEPARTMENTS), ("placementextents", "placementextent", EXTENTS)]:
         with open(base / f"{table}.xml", "w", encoding="utf-8") as f:
             f.write(_xml(element, rows))
     for table in ("unitmap", "childmindermap", "extentmap"):
@@ -416,8 +421,9 @@ def test_cli_loads_dimensions(spark, tmp_path):
     spark.createDataFrame([(OPT_FULL, "full", "DAYCARE", 1.0), (OPT_PART, "part", "DAYCARE_PART_TIME", 0.6)],
                           "id string, name_fi string, valid_placement_type string, fee_coefficient double"
                           ).write.parquet(str(dims / "service_need_option"))
-    rc = cli.main(["--input", str(base), "--dims", str(dims), "--target", str(tmp_path / "target"),
-                   "--work", str(tmp_path / "work")])
-    assert rc == 0
+    args = ["--input", str(base), "--jobs", "persons,departments,placements,service_needs", "--target", str(tmp_path / "target"),
+            "--work", str(tmp_path / "work")]
+    assert cli.main(args) == 2  # placement types need the options
+    assert cli.main([*args, "--dims", str(dims)]) == 0
     types = {r.type for r in spark.read.parquet(str(tmp_path / "target" / "placement")).collect()}
     assert "DAYCARE_PART_TIME" in types
