@@ -36,7 +36,7 @@ def main(argv: list[str] | None = None) -> int:
     from .session import build_session
     from .sources import inputs
     from .sources.errors import IngestError
-    from .sources.records import ingest_dir
+    from .sources.staging import stage_dir
 
     wanted = set(args.jobs.split(",")) if args.jobs else None
 
@@ -48,7 +48,8 @@ def main(argv: list[str] | None = None) -> int:
     try:
         if wanted is not None and (unknown := wanted - {n for n, *_ in (*CHAIN, *transfer.CHAIN)}):
             raise inputs.InputError(inputs.UNKNOWN, f"Unknown job '{min(unknown)}'")
-        staged = ingest_dir(spark, args.input, target=args.import_target)
+        loaded = stage_dir(spark, args.input, target=args.import_target)
+        staged = dict(loaded.tables)
         if args.dims:
             staged.update(inputs.load_dimensions(spark, args.dims))
         names = [n for n, _ in jobs]
@@ -60,7 +61,7 @@ def main(argv: list[str] | None = None) -> int:
         return 2
     state = run_chain(staged, jobs, out_dir=args.work)
     report = transfer.publish_all(state, args.target, jobs=publishing)
-    print(json.dumps({"published": report}))
+    print(json.dumps({"staged": loaded.counts, "published": report}))
     return 0
 
 

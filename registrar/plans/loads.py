@@ -3,15 +3,16 @@ target tables (S8), staging with checks, coded errors."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.domain import PRESCHOOL_FIRST_START, PRESCHOOL_LAST_START
 from ..operators import lookup
 from ..session import scratch_path
-from ..sources import inputs
+from ..sources import errors, inputs, staging
+from ..sources.specs import spec
 from .registry import query, read_table
-from .star import BIRTH_SQL, CUSTOMER_CODES, EXTENT_OPTIONS, ORDER_IV, _staged_placements, ymd
+from .star import BIRTH_SQL, CUSTOMER_CODES, EXTENT_OPTIONS, ORDER_IV, _customer_spec, _staged_placements, ymd
 
 # ------------------------------------------------- S8 existing target tables
 
@@ -132,3 +133,111 @@ def placement_types_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols = ["legacy_placement_nbr", "type", ymd("start_date").alias("start_date"), ymd("end_date").alias("end_date")]
     return (out["mig_placement"].select(*cols, F.lit("OK").alias("outcome"))
             .unionByName(out["mig_placement_todo"].select(*cols, F.col("reason").alias("outcome"))))
+
+
+# ----------------------------------------- S1, S4, K1 staging; S5 coded errors
+
+def _tag(name: str, value) -> Column:
+    return F.concat(F.lit(f"<{name}>"), value, F.lit(f"</{name}>"))
+
+
+def _customer_record(**other) -> Column:
+    """A customer as record text; ``other`` replaces elements by name."""
+    cols = ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    return F.concat(F.lit("<customer>"), *(other.get(c, _tag(c, F.col(c).cast("string"))) for c in cols), F.lit("</customer>"))
+
+
+def _dump(lines: DataFrame, name: str) -> str:
+    path = scratch_path(lines.sparkSession, name)
+    lines.write.text(path)
+    return path
+
+
+@query("staged_ingest", sql="""
+SELECT 'row' AS kind, c_custkey, c_name || CASE WHEN c_custkey % 5 = 0 THEN ' </customer> <x> & y' ELSE '' END AS c_name,
+       CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment
+FROM customer WHERE c_custkey % 7 <> 0
+UNION ALL SELECT 'count', count(*), 'customer', NULL, NULL, NULL FROM customer WHERE c_custkey % 7 <> 0
+""")
+def staged_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dump staged once: records in comments are none, CDATA is text, and the
+    rows counted while writing are the table's."""
+    c = read_table(spark, sf_dir, "customer")
+    cdata = F.concat(F.lit("<![CDATA["), "c_name", F.lit(" </customer> <x> & y]]>"))
+    record = F.when(F.col("c_custkey") % 5 == 0, _customer_record(c_name=_tag("C_Name", cdata))).otherwise(_customer_record())
+    line = (F.when(F.col("c_custkey") % 7 == 0, F.concat(F.lit("<!-- out: "), record, F.lit(" -->")))
+            .when(F.col("c_custkey") % 11 == 0, F.concat(F.lit("<!-- next </customer> -->"), record)).otherwise(record))
+    staged = staging.stage_dir(spark, _dump(c.select(line), "customer-dump"), "customer", {"customer": _customer_spec()})
+    rows = staged.tables["customer"].select(F.lit("row").alias("kind"), "c_custkey", "c_name", F.col("c_nationkey").cast("long").alias("c_nationkey"),
+                                            "c_acctbal", "c_mktsegment")
+    return rows.unionByName(spark.createDataFrame([("count", n, t) for t, n in staged.counts.items()], "kind string, c_custkey long, c_name string"),
+                            allowMissingColumns=True)
+
+
+@query("ingest_errors", sql=f"""
+SELECT 'customer' AS table_name, CASE c_custkey % 40 WHEN 1 THEN '{errors.NON_FLAT_DATA}' WHEN 2 THEN '{errors.NON_MAPPED_COLUMN}'
+       WHEN 3 THEN '{errors.MALFORMED_RECORD}' WHEN 4 THEN '{errors.AMBIGUOUS_TABLE_DATA}' ELSE 'OK' END AS code, c_custkey,
+       CASE c_custkey % 40 WHEN 1 THEN 'b' WHEN 2 THEN 'c_oops' WHEN 4 THEN 'other' END AS detail
+FROM customer
+UNION ALL SELECT 'empty', '{errors.NO_DATA_CONTENT}', NULL, NULL
+UNION ALL SELECT 'nowhere', '{errors.NON_MAPPED_TABLE}', NULL, NULL
+""")
+def ingest_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record of three dumps: a row of the staged table, or an error row with its code."""
+    c = read_table(spark, sf_dir, "customer")
+    k = F.col("c_custkey") % 40
+    line = (F.when(k == 1, _customer_record(c_name=_tag("c_name", _tag("b", F.col("c_name")))))
+            .when(k == 2, _customer_record(c_name=_tag("c_oops", F.col("c_name"))))
+            .when(k == 3, _customer_record(c_name=F.concat(F.lit("<c_name>"), "c_name")))
+            .when(k == 4, F.concat(F.lit("<other>1</other>"), _customer_record())).otherwise(_customer_record()))
+    dump = _dump(c.select(line), "customer-errors")
+    comments = _dump(c.select(F.concat(F.lit("<!-- "), "c_name", F.lit(" -->"))), "customer-comments")
+    known = {"customer": _customer_spec(), "empty": spec("empty", "c_custkey bigint number", element="customer")}
+    parts = [staging.stage_dir(spark, path, table, known, strict=False)
+             for path, table in ((dump, "customer"), (comments, "empty"), (dump, "nowhere"))]
+    out = parts[0].tables["customer"].select(F.lit("customer").alias("table_name"), F.lit("OK").alias("code"), "c_custkey",
+                                             F.lit(None).cast("string").alias("detail"))
+    for p in parts:
+        key = F.nullif(F.regexp_extract("fragment", r"<c_custkey>(\d+)<", 1), F.lit("")).cast("bigint")
+        detail = F.when(F.col("fragment").isNotNull(), F.col("detail"))
+        out = out.unionByName(p.errors.select(F.col("table").alias("table_name"), "code", key.alias("c_custkey"), detail.alias("detail")))
+    return out
+
+
+@query("delimited_ingest", sql="""
+SELECT CAST(s_suppkey AS BIGINT) AS s_suppkey, s_name, CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE s_acctbal END AS s_acctbal FROM supplier
+""")
+def delimited_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pipe files with own headers, a byte-order mark and blanks around
+    values; a third of the rows has another order of columns, a third fewer."""
+    from ..sources.delimited import read_delimited
+    s = read_table(spark, sf_dir, "supplier")
+    blank = {c: F.concat(F.lit(" "), F.col(c).cast("string"), F.lit("  ")) for c in s.columns}
+    headers = {0: {"S_Name": "s_name", "s_suppkey": "s_suppkey"}, 1: {"s_suppkey ": "s_suppkey", " s_name": "s_name", "s_acctbal": "s_acctbal"},
+               2: {"\ufeffs_acctbal": "s_acctbal", "s_name": "s_name", "s_suppkey": "s_suppkey"}}
+    root, files = scratch_path(spark, "supplier-files"), []
+    for k, names in headers.items():
+        part = s.where(F.col("s_suppkey") % 3 == k).select(*(blank[c].alias(n) for n, c in names.items()))
+        part.write.options(header=True, sep="|", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{root}/{k}")
+        files += [f for f in _files(spark, f"{root}/{k}") if f.endswith(".csv")]
+    return read_delimited(spark, files, spec("supplier", "s_suppkey bigint number, s_name text text, s_acctbal double number", kind="delimited"))
+
+
+def _files(spark: SparkSession, path: str) -> list[str]:
+    from ..sources.records import list_files
+    return list_files(spark, path)
+
+
+@query("incremental_ingest", sql="""
+SELECT c_custkey, c_name, c_acctbal FROM customer
+""")
+def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dumps that arrive in two turns; the third run finds nothing new."""
+    from ..streaming.incremental import incremental_ingest as load
+    c, root = read_table(spark, sf_dir, "customer"), scratch_path(spark, "stream")
+    known, folder, target = _customer_spec(), f"{root}/dumps", f"{root}/table"
+    for turn in range(3):
+        if turn < 2:
+            c.where(F.col("c_custkey") % 2 == turn).select(_customer_record()).write.mode("append").text(folder)
+        load(spark, folder, known, "customer", target, f"{root}/checkpoint")
+    return spark.read.parquet(target).select("c_custkey", "c_name", "c_acctbal")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -81,6 +82,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Hand this package's code to the Python workers once per application, as
+    ``--py-files`` does: they need not have the driver's import path."""
+    context, root = spark.sparkContext, os.path.dirname(os.path.abspath(__file__))
+    if context.applicationId in _SHIPPED or not os.path.isdir(root):
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="registrar-archive-"), "registrar-package.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    at = os.path.join(folder, name)
+                    z.write(at, os.path.join("registrar", os.path.relpath(at, root)))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     checkpoint_root(df.sparkSession)

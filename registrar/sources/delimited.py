@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import errors as E
-from .specs import REGISTRY, TableSpec
+from .specs import TableSpec
 
 # Fixed value: the delimiter of the mapping files.
 DELIMITER = "|"
@@ -38,19 +38,3 @@ def _bound(raw: DataFrame, spec: TableSpec) -> DataFrame:
         cols[key] = c
     return raw.select(*[c.expr(F.col(f"`{cols[c.name]}`") if c.name in cols else F.lit(None).cast("string"))
                         .alias(c.name) for c in spec.columns])
-
-
-def read_delimited_dir(spark: SparkSession, path: str, target: str | None = None,
-                       registry: dict[str, TableSpec] | None = None) -> dict[str, DataFrame]:
-    from .records import _is_data_file, _stem, list_files
-    registry = registry or REGISTRY
-    files = [f for f in list_files(spark, path) if _is_data_file(f) and f.lower().endswith(".csv")]
-    groups: dict[str, list[str]] = {}
-    for f in files:
-        groups.setdefault(target or _stem(f), []).append(f)
-    out = {}
-    for table, fs in sorted(groups.items()):
-        if table not in registry:
-            raise E.IngestError(E.NON_MAPPED_TABLE, f"Type definitions for table '{table}' not found")
-        out[table] = read_delimited(spark, fs, registry[table])
-    return out

@@ -3,28 +3,26 @@
 A dump has no root element: ``<person>...</person><person>...</person>``.
 Spark's XML source reads only the first row of such a file, so the files are
 split by the text source with the element's closing tag as record separator
-(``lineSep``); every split is a complete element that ``from_xml`` parses
-into a struct. The text source splits large files across tasks at separator
-boundaries, so one file of any size is read in parallel, with no buffer to
-size (the legacy chunked import, S6, is not needed).
-
-Before parsing, a census of the fragments (one aggregation over the data,
-returning only tag names and counters to the driver) raises the coded
-structural errors: unknown table, unknown column, nested value, no data,
-more than one element type.
+(``lineSep``). ``scanner`` makes the pieces whole records (comments, CDATA) and
+``staging`` parses them with ``from_xml``, checks and writes them. The text
+source splits large files across tasks at separator boundaries, so one file of
+any size is read in parallel, with no buffer to size (the legacy chunked
+import, S6, is not needed).
+
+The census further down checks the fragments of a stream's micro-batch
+(``streaming``): unknown column, nested value, no data, more than one element.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import errors as E
-from .specs import REGISTRY, TableSpec
+from .specs import TableSpec
 
 NAME = r"[A-Za-z_][A-Za-z0-9_.-]*"
 COMMENT = r"(?s)<!--.*?-->"
@@ -33,13 +31,6 @@ FLAT_CHILD = r"<(" + NAME + r")(\s[^>]*)?>[^<]*</\1\s*>"
 EMPTY_CHILD = r"<" + NAME + r"(\s[^>]*)?/>"
 
 
-@dataclass(frozen=True)
-class RecordSource:
-    table: str
-    files: tuple[str, ...]
-    element: str
-
-
 def list_files(spark: SparkSession, path: str) -> list[str]:
     """Regular files directly in ``path`` (sub-folders are not entered), or the
     file ``path`` itself. Names that Spark's readers would skip are listed too."""
@@ -85,30 +76,13 @@ def discover_element(spark: SparkSession, files: Sequence[str]) -> str | None:
     return None
 
 
-def route(spark: SparkSession, path: str, target: str | None = None,
-          registry: dict[str, TableSpec] | None = None) -> list[RecordSource]:
-    """S3: group record files by target table (file stem, or one explicit target)."""
-    registry = registry or REGISTRY
-    files = [f for f in list_files(spark, path) if _is_data_file(f) and not f.lower().endswith(".csv")]
-    groups: dict[str, list[str]] = {}
-    for f in files:
-        groups.setdefault(target or _stem(f), []).append(f)
-    out = []
-    for table, fs in sorted(groups.items()):
-        if table not in registry:
-            raise E.IngestError(E.NON_MAPPED_TABLE, f"Type definitions for table '{table}' not found")
-        spec = registry[table]
-        element = spec.element or discover_element(spark, fs)
-        if element is None:
-            raise E.IngestError(E.NO_DATA_CONTENT, f"No parseable data element detected in '{table}'")
-        out.append(RecordSource(table, tuple(fs), element))
-    return out
-
-
-def fragments(spark: SparkSession, files: Sequence[str], element: str) -> DataFrame:
-    """One row per top-level element: ``fragment`` (the element's XML text) and
-    ``stray`` (any other element markup found between elements)."""
-    return fragments_of(spark.read.option("lineSep", f"</{element}>").text(list(files)), element)
+def grouped(spark: SparkSession, path: str, target: str | None = None) -> list[tuple[str, list[str], str]]:
+    """S3: (table, files, kind) of a folder: files by their stem, or all for one explicit target."""
+    groups: dict[tuple[str, str], list[str]] = {}
+    for f in list_files(spark, path):
+        if _is_data_file(f):
+            groups.setdefault((target or _stem(f), "delimited" if f.lower().endswith(".csv") else "record"), []).append(f)
+    return [(table, files, kind) for (table, kind), files in sorted(groups.items(), key=lambda g: (g[0][1] != "record", g[0][0]))]
 
 
 def fragments_of(raw: DataFrame, element: str) -> DataFrame:
@@ -175,30 +149,23 @@ def parse_fragments(frags: DataFrame, spec: TableSpec) -> DataFrame:
     return rec.select(*[c.expr(F.col(f"r.`{c.name}`")).alias(c.name) for c in spec.columns])
 
 
-def read_records(spark: SparkSession, files: Sequence[str], spec: TableSpec, element: str | None = None,
-                 check: bool = True) -> DataFrame:
+def read_records(spark: SparkSession, files: Sequence[str], spec: TableSpec, element: str | None = None) -> DataFrame:
+    """The typed rows of record files, staged in a new folder; raises on the first coded error."""
+    from . import staging
     element = element or spec.element or discover_element(spark, files)
     if element is None:
         raise E.IngestError(E.NO_DATA_CONTENT, f"No parseable data element detected in '{spec.name}'")
-    frags = fragments(spark, files, element)
-    if check:
-        validate(census(frags, element), spec)
-    return parse_fragments(frags, spec)
+    staged = staging.stage_files(spark, files, spec, element)
+    staging.raise_first(staged, spec.name)
+    return staged.table
 
 
 def ingest_dir(spark: SparkSession, path: str, target: str | None = None,
-               registry: dict[str, TableSpec] | None = None) -> dict[str, DataFrame]:
-    """E1 import: every record file of a folder -> typed staging DataFrames.
-
-    Delimited files (``*.csv``) in the same folder are read with
-    ``sources.delimited``. Raises ``IngestError`` with the legacy codes."""
-    from .delimited import read_delimited_dir
-    registry = registry or REGISTRY
-    out: dict[str, DataFrame] = {}
-    for src in route(spark, path, target, registry):
-        out[src.table] = read_records(spark, src.files, registry[src.table], src.element)
-    out.update(read_delimited_dir(spark, path, target, registry))
-    return out
+               registry: dict[str, TableSpec] | None = None, out_dir: str | None = None) -> dict[str, DataFrame]:
+    """E1 import: every record and delimited file of a folder -> staged, typed
+    tables, each written once. Raises ``IngestError`` with the coded errors."""
+    from . import staging
+    return staging.stage_dir(spark, path, target, registry, out_dir=out_dir).tables
 
 
 def _xml_escape(c):
