@@ -16,13 +16,14 @@ a user) ever has to be processed whole by one task:
   skew-join handling can split a hot left partition.
 * Overlap and point-in-interval joins never pair all rows of a key. Dates
   fall into bins of ``bin_days`` days, eight bins into one of the next level,
-  and so on. An interval is held by the few bins of all levels that cover it
-  exactly (at most 14 per level, six levels for the whole calendar, so an open
-  end costs about 20 copies whatever the dates are); a date is held by its one
-  bin of every level. Both meet in exactly one bin, so there is no dedup step,
-  and candidates besides the result stand in an interval's outermost bins only.
-* Overlapping intervals are found through the later of the two starts, which
-  lies in the other interval.
+  and so on. An interval belongs to the finest level at which it touches one or
+  two bins, and is held by these alone; an open end belongs to the coarsest
+  level, which is one bin. A date, or a shorter interval, probes the coarser
+  levels too, but only those on which the other side has an interval: a
+  one-row aggregate of the narrow date columns tells (a bit per level), so
+  three to five copies of a row are usual whatever the dates are.
+* Two intervals meet on the coarser of their levels, in the bin that holds the
+  later of their starts, once; there is no dedup step.
 """
 
 from __future__ import annotations
@@ -41,8 +42,8 @@ DEFAULT_BIN_DAYS = 30
 FIRST_DAY = -719162
 #: Bits of a level: eight bins make one of the next.
 LEVEL_BITS = 3
-#: The coarsest level has bins of at least so many days.
-COARSEST_DAYS = 300_000
+#: Days from 0001-01-01 to 9999-12-31.
+CALENDAR_DAYS = 3_652_059
 
 
 def open_end() -> Column:
@@ -85,8 +86,9 @@ def valid_interval(start, end, allow_open: bool = True) -> Column:
 
 
 def _levels(bin_days: int) -> int:
+    """Levels until one bin holds the whole calendar."""
     n = 1
-    while bin_days << (LEVEL_BITS * (n - 1)) < COARSEST_DAYS:
+    while bin_days << (LEVEL_BITS * (n - 1)) < CALENDAR_DAYS:
         n += 1
     return n
 
@@ -98,36 +100,83 @@ def _bin(d: Column, bin_days: int) -> Column:
     return F.when(d.isNotNull(), F.floor(day / bin_days).cast("long"))
 
 
-def _tagged(bins: Column, level: int) -> Column:
-    return F.transform(bins, lambda b: b * 16 + level)
+def _coarser(fine: Column, level: int) -> Column:
+    return F.shiftright(fine, LEVEL_BITS * level)
 
 
-def _range(a: Column, b: Column) -> Column:
-    """a .. b - 1; empty when a >= b."""
-    return F.when(a < b, F.sequence(a, b - 1)).otherwise(F.array().cast("array<bigint>"))
+def _level(first: Column, last: Column, bin_days: int) -> Column:
+    """The finest level on which the bins ``first`` .. ``last`` of the finest are
+    one or two; NULL where ``last`` comes before ``first``."""
+    out = F.when(first > last, F.lit(None).cast("int"))
+    top = _levels(bin_days) - 1
+    for k in range(top):
+        out = out.when(_coarser(last, k) - _coarser(first, k) <= 1, k)
+    return out.when(first.isNotNull() & last.isNotNull(), top)
 
 
-def _bins_at(d: Column, bin_days: int) -> Column:
-    """The bin of every level that holds the date."""
-    return F.array(*[F.shiftright(_bin(d, bin_days), LEVEL_BITS * k) * 16 + k for k in range(_levels(bin_days))])
+def _shifted(fine: Column, level: Column) -> Column:
+    return F.call_function("shiftright", fine, (level * LEVEL_BITS).cast("int"))
 
 
-def _bins_over(lo: Column, hi: Column, bin_days: int) -> Column:
-    """The fewest bins of all levels that cover [lo, hi]; none when lo's bin lies after hi's."""
+def _entries(df: DataFrame, out: str, n: int, keep) -> DataFrame:
+    """One row per code (level * 2 + tag) for which ``keep(level, tag)`` holds and
+    bin of that level that holds ``_first`` .. ``_last``: the bin * 32 + the code."""
+    level, code = F.shiftright(F.col("_code"), 1), F.array(*(F.lit(c) for c in range(2 * n)))
+    kept = df.withColumn("_code", F.explode(code)).where(keep(level, F.col("_code").bitwiseAND(F.lit(1)) == 1))
+    both = F.array(_shifted(F.col("_first"), level), _shifted(F.col("_last"), level))
+    return (kept.withColumn("_one", F.explode(F.array_distinct(both))).withColumn(out, F.col("_one") * 32 + F.col("_code"))
+            .drop("_code", "_one", "_last", "_level"))
+
+
+def _occupied(df: DataFrame, first: Column, last: Column, bin_days: int) -> Column:
+    """One bit per level that an interval of ``df`` belongs to, as a scalar subquery."""
+    bit = F.call_function("shiftleft", F.lit(1), _level(first, last, bin_days))
+    return F.coalesce(df.agg(F.bit_or(bit).alias("levels")).scalar(), F.lit(0))
+
+
+def _has(levels: Column, level: Column) -> Column:
+    """Whether the bit of the level is set."""
+    return F.call_function("shiftright", levels, level).bitwiseAND(F.lit(1)) == 1
+
+
+def _has_finer(levels: Column, level: Column) -> Column:
+    """Whether a bit below the level's is set."""
+    return levels.bitwiseAND(F.call_function("shiftleft", F.lit(1), level) - 1) != 0
+
+
+def _low(c: str | Column) -> Column:
+    return F.coalesce(col_of(c), F.date_from_unix_date(F.lit(FIRST_DAY)))
+
+
+def _placed_sides(left: DataFrame, right: DataFrame, left_interval: tuple[str, str], right_interval: tuple[str, str],
+                  bin_days: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with one row per bin in which they may meet the other
+    (``_bin``, ``_rbin``) and their starts' finest bins (``_lat``, ``_rat``)."""
+    ls, le = left_interval
+    rs, re_ = right_interval
     n = _levels(bin_days)
-    a, b = _bin(lo, bin_days), _bin(hi, bin_days) + 1
-    top = LEVEL_BITS * (n - 1)
-    b = F.when(hi >= open_end(), F.shiftleft(F.shiftright(b - 1, top) + 1, top)).otherwise(b)  # to the end of the coarsest bin
-    first = [F.shiftright(a + ((1 << LEVEL_BITS * k) - 1), LEVEL_BITS * k) for k in range(n)]
-    end = [F.shiftright(b, LEVEL_BITS * k) for k in range(n)]
-    parts = []
-    for k in range(n):
-        own = _range(first[k], end[k])
-        if k + 1 < n:  # what no bin of the next level covers
-            up, down = F.shiftleft(first[k + 1], LEVEL_BITS), F.shiftleft(end[k + 1], LEVEL_BITS)
-            own = F.when(first[k + 1] < end[k + 1], F.concat(_range(first[k], up), _range(down, end[k]))).otherwise(own)
-        parts.append(_tagged(own, k))
-    return F.concat(*parts)
+
+    def ends(start: str, end: str) -> tuple[Column, Column]:
+        return _bin(_low(start), bin_days), _bin(end_or_open(end), bin_days)
+
+    def placed(df: DataFrame, start: str, end: str, out: str, at: str, keep) -> DataFrame:
+        first, last = ends(start, end)
+        df = df.withColumn("_first", first).withColumn("_last", last).withColumn("_level", _level(F.col("_first"), F.col("_last"), bin_days))
+        return _entries(df, out, n, keep).withColumnRenamed("_first", at)
+
+    on_left, on_right = _occupied(left, *ends(ls, le), bin_days), _occupied(right, *ends(rs, re_), bin_days)
+    own = F.col("_level")  # NULL, for an interval that ends before it starts, keeps nothing
+
+    # Tag 0 on a level: the left interval belongs to it, the right one to it or a finer one. Tag 1: the right
+    # one belongs to it, the left one to a finer one.
+    def keep_left(level: Column, second: Column) -> Column:
+        here = (own == level) & (_has(on_right, level) | _has_finer(on_right, level))
+        return F.when(second, (own < level) & _has(on_right, level)).otherwise(here)
+
+    def keep_right(level: Column, second: Column) -> Column:
+        return F.when(second, (own == level) & _has_finer(on_left, level)).otherwise((own <= level) & _has(on_left, level))
+
+    return placed(left, ls, le, "_bin", "_lat", keep_left), placed(right, rs, re_, "_rbin", "_rat", keep_right)
 
 
 def overlap_join(left: DataFrame, right: DataFrame, on: Sequence[str],
@@ -145,28 +194,18 @@ def overlap_join(left: DataFrame, right: DataFrame, on: Sequence[str],
     """
     ls, le = left_interval
     rs, re_ = right_interval
-
-    def low(c: str) -> Column:
-        return F.coalesce(F.col(c), F.date_from_unix_date(F.lit(FIRST_DAY)))
-
-    def held(start: str, end: str, covers: int) -> Column:
-        """Bins over the interval under the tag ``covers``, bins at its start under the other."""
-        over = F.transform(_bins_over(low(start), end_or_open(end), bin_days), lambda b: b * 2 + covers)
-        at = F.transform(_bins_at(low(start), bin_days), lambda b: b * 2 + (1 - covers))
-        return F.explode(F.concat(over, at))
-
-    lb = left.withColumn("_bin", held(ls, le, 0))
     rkeys = [f"_rk_{k}" for k in on]
-    rb = right.select(*[F.col(k).alias(rk) for k, rk in zip(on, rkeys)],
-                      *[F.col(c) for c in right.columns if c not in on])
-    rb = rb.withColumn("_rbin", held(rs, re_, 1))
+    renamed = right.select(*[F.col(k).alias(rk) for k, rk in zip(on, rkeys)],
+                           *[F.col(c) for c in right.columns if c not in on])
+    lb, rb = _placed_sides(left, renamed, left_interval, right_interval, bin_days)
+    later = _shifted(F.greatest("_lat", "_rat"), F.shiftright(F.col("_bin"), 1).bitwiseAND(F.lit(15)))
     cond = [F.col(k) == F.col(rk) for k, rk in zip(on, rkeys)]
     cond.append(F.col("_bin") == F.col("_rbin"))
     cond.append(intersection_nonempty(F.col(ls), F.col(le), F.col(rs), F.col(re_)))
-    cond.append(F.when(F.col("_bin") % 2 == 0, low(rs) >= low(ls)).otherwise(low(ls) > low(rs)))
+    cond.append(F.shiftright(F.col("_bin"), 5) == later)
     joined = lb.join(rb, on=_and_all(cond), how="inner")
     os_, oe = intersection(F.col(ls), F.col(le), F.col(rs), F.col(re_))
-    return (joined.drop("_bin", "_rbin", *rkeys)
+    return (joined.drop("_bin", "_rbin", "_lat", "_rat", *rkeys)
             .withColumn("overlap_start", os_)
             .withColumn("overlap_end", oe))
 
@@ -190,108 +229,205 @@ def point_in_interval_join(points: DataFrame, intervals: DataFrame, on: Sequence
     ikeys = [f"_ik_{k}" for k in on]
     ib = intervals.select(*[F.col(k).alias(ik) for k, ik in zip(on, ikeys)],
                           *[F.col(c) for c in intervals.columns if c not in on])
-    ib = ib.withColumn("_ibin", F.explode(_bins_over(F.col(s), F.coalesce(last_day, open_end()), bin_days)))
+    n = _levels(bin_days)
+    first, last = _bin(F.col(s), bin_days), _bin(F.coalesce(last_day, open_end()), bin_days)
+    occupied = _occupied(intervals, first, last, bin_days)
+    ib = ib.withColumn("_first", first).withColumn("_last", last).withColumn("_level", _level(F.col("_first"), F.col("_last"), bin_days))
+    ib = _entries(ib, "_ibin", n, lambda level, second: ~second & (F.col("_level") == level)).drop("_first")
     inside = [F.col("_pbin") == F.col("_ibin"), contains(F.col(s), F.col(e), F.col("_point"), half_open)]
     same = [F.col(k) == F.col(ik) for k, ik in zip(on, ikeys)]
-    at = F.explode(_bins_at(F.col("_point"), bin_days))
+
+    def probing(df: DataFrame) -> DataFrame:
+        day = _bin(F.col("_point"), bin_days)
+        placed = df.withColumn("_first", day).withColumn("_last", day).withColumn("_level", F.lit(0))
+        return _entries(placed, "_pbin", n, lambda level, second: ~second & _has(occupied, level)).drop("_first")
+
     if how == "inner" and on:
-        pb = points.withColumn("_point", F.col(point_col)).withColumn("_pbin", at)
+        pb = probing(points.withColumn("_point", F.col(point_col)))
         return pb.join(ib, on=_and_all(same + inside)).drop("_pbin", "_point", "_ibin", *ikeys)
     pkeys = [f"_pk_{k}" for k in on]
     pairs = (points if probe is None else probe).select(
         *[F.col(k).alias(pk) for k, pk in zip(on, pkeys)], F.col(point_col).alias("_point")).dropna().distinct()
-    found = (pairs.withColumn("_pbin", at)
+    found = (probing(pairs)
              .join(ib, on=_and_all([F.col(pk) == F.col(ik) for pk, ik in zip(pkeys, ikeys)] + inside))
              .drop("_pbin", "_ibin", *ikeys))
     back = [F.col(k) == F.col(pk) for k, pk in zip(on, pkeys)] + [F.col(point_col) == F.col("_point")]
     return points.join(found, on=_and_all(back), how=how).drop("_point", *pkeys)
 
 
+def _summary(rows: DataFrame, keys: Sequence[str], start: str, end: str | None, identity: str, dates: DataFrame) -> DataFrame:
+    """What a row of another identity needs to know about ``rows``, one row per
+    key and date of ``dates``:
+
+    ``_here``, ``_many``  the identity of the largest end that starts here, whether another identity starts here too
+    ``_e1 _i1 _e2``       of the rows that start earlier: the largest end, its identity, the largest end of any other identity
+    ``_na _ni _nb``       the next later start, its identity (NULL: several), the next later start of any other than that
+
+    Rows are first summed to their two largest ends of distinct identities per
+    date, so no window sees more rows of a key than the calendar has days. The
+    running pair is merged date by date: whenever the largest end's identity
+    changes, the largest end so far belongs to another one and becomes the second.
+    """
+    keys = list(keys)
+    end = end or start
+    per = rows.groupBy(*keys, start, identity).agg(F.max(end).alias("_e"))
+    best = Window.partitionBy(*keys, start).orderBy(F.desc("_e"), identity)
+    two = per.withColumn("_r", F.row_number().over(best)).where("_r <= 2")
+    rank = F.col("_r")
+    one = two.groupBy(*keys, start).agg(F.max(F.when(rank == 1, F.col("_e"))).alias("_e1h"), F.max(F.when(rank == 1, F.col(identity))).alias("_here"),
+                                        F.max(F.when(rank == 2, F.col("_e"))).alias("_e2h"))
+    every = (dates.select(*keys, start).unionByName(one, allowMissingColumns=True).groupBy(*keys, start)
+             .agg(*(F.max(c).alias(c) for c in ("_e1h", "_here", "_e2h"))))
+    up = Window.partitionBy(*keys).orderBy(start)
+    upto, before = up.rowsBetween(Window.unboundedPreceding, 0), up.rowsBetween(Window.unboundedPreceding, -1)
+    down = Window.partitionBy(*keys).orderBy(F.desc(start))
+    there, later = down.rowsBetween(Window.unboundedPreceding, 0), down.rowsBetween(Window.unboundedPreceding, -1)
+    present = F.col("_e1h").isNotNull()
+
+    x = every.withColumn("_top", F.max(F.when(present, F.struct(F.col("_e1h").alias("e"), F.col("_here").alias("i")))).over(upto))
+    x = x.withColumn("_prev", F.lag("_top").over(up))
+    x = x.withColumn("_change", F.when(F.col("_prev.i").eqNullSafe(F.col("_top.i")), 0).otherwise(1))
+    x = x.withColumn("_epoch", F.sum("_change").over(upto))
+    in_epoch = Window.partitionBy(*keys, "_epoch").orderBy(start).rowsBetween(Window.unboundedPreceding, 0)
+    other = F.when(F.col("_here") == F.col("_top.i"), F.col("_e2h")).otherwise(F.col("_e1h"))
+    x = x.withColumn("_second", F.greatest(F.first("_prev.e").over(in_epoch), F.max(other).over(in_epoch)))
+    x = (x.withColumn("_e1", F.col("_prev.e")).withColumn("_i1", F.col("_prev.i")).withColumn("_e2", F.lag("_second").over(up)))
+
+    sole = F.when(F.col("_e2h").isNull(), F.col("_here"))
+    x = x.withColumn("_next", F.last(F.when(present, F.struct(F.col(start).alias("d"), sole.alias("i"))), True).over(later))
+    parts = F.when(present & F.col("_next").isNotNull() & ~F.coalesce(sole == F.col("_next.i"), F.lit(False)), F.col("_next.d"))
+    x = x.withColumn("_parts", F.last(parts, True).over(there))
+    x = x.withColumn("_then", F.last(F.when(present, F.struct(F.col("_parts").alias("d"))), True).over(later))
+    return x.select(*keys, start, "_here", F.col("_e2h").isNotNull().alias("_many"), "_e1", "_i1", "_e2",
+                    F.col("_next.d").alias("_na"), F.col("_next.i").alias("_ni"), F.col("_then.d").alias("_nb"))
+
+
+def _next_other(identity: str) -> Column:
+    """The next later start of another identity, of a row joined to its ``_summary``."""
+    return F.when(F.coalesce(F.col("_ni") == F.col(identity), F.lit(False)), F.col("_nb")).otherwise(F.col("_na"))
+
+
 def conflicts(df: DataFrame, keys: Sequence[str], start: str, end: str,
               valid: Column | None = None, role: str | None = None,
-              roles: Sequence | None = None, out: str = "overlapping") -> DataFrame:
+              roles: Sequence | None = None, out: str = "overlapping", identity: str | None = None) -> DataFrame:
     """Flag rows whose interval intersects another row of the same key.
 
-    Rows must be unique by their id (a primary key), as in every caller.
     ``valid`` restricts which rows take part (default: start present and not
-    after a present end); invalid rows are never flagged and never cause a flag.
-    With ``role``/``roles`` a row only conflicts with rows of a *different*
-    role (the partnership rule: index 1 against index 2).
-
-    Exact equivalent of ``EXISTS (same key, other id, both valid, overlap)``:
-    sorted by start, a row overlaps an earlier one iff the running maximum of
-    earlier ends reaches its start, and a later one iff the next later start
-    is not after its end; rows sharing a start always overlap each other.
+    after a present end); invalid rows are never flagged and never cause a
+    flag. A valid row without a start is unbounded below. With
+    ``role``/``roles`` a row only conflicts with rows of a *different* role
+    (the partnership rule: index 1 against index 2), with ``identity`` only
+    with rows of another identity (a decision number may have several rows);
+    a row with a NULL identity conflicts with none. Without it every row is
+    its own identity.
+
+    Exact equivalent of ``EXISTS (same key, other identity, both valid,
+    overlap)``: sorted by start, a row overlaps an earlier one iff the running
+    maximum of earlier ends reaches its start, and a later one iff the next
+    later start is not after its end; rows sharing a start always overlap.
     """
     keys = list(keys)
     if valid is None:
         valid = valid_interval(start, end)
     base = df.withColumn("_valid", F.coalesce(valid, F.lit(False)))
-    for k in keys:
+    for k in (*keys, *([identity] if identity else [])):
         base = base.withColumn("_valid", F.col("_valid") & F.col(k).isNotNull())
-    eff_end = end_or_open(end)
+    base = base.withColumn("_s", _low(start)).withColumn("_end", end_or_open(end))
     v = base.filter(F.col("_valid"))
-    w = Window.partitionBy(*keys).orderBy(F.col(start))
+    if role is not None and not roles:
+        raise ValueError("roles must list the role values")
+    if identity is not None:
+        hit = F.lit(False)
+        flagged = base
+        for k, r in enumerate(roles if role is not None else [None]):
+            against = v if role is None else v.filter(F.col(role) == F.lit(r))
+            seen = _summary(against.select(*keys, "_s", "_end", identity), keys, "_s", "_end", identity, v.select(*keys, "_s").distinct())
+            flagged = flagged.join(seen.select(*keys, "_s", *(F.col(c).alias(f"{c}_{k}") for c in seen.columns if c not in (*keys, "_s"))), [*keys, "_s"], "left")
+            mine = F.col(identity)
+            earlier = F.when(F.col(f"_i1_{k}") == mine, F.col(f"_e2_{k}")).otherwise(F.col(f"_e1_{k}"))
+            following = F.when(F.coalesce(F.col(f"_ni_{k}") == mine, F.lit(False)), F.col(f"_nb_{k}")).otherwise(F.col(f"_na_{k}"))
+            found = (F.coalesce((F.col(f"_here_{k}") != mine) | F.col(f"_many_{k}"), F.lit(False)) | F.coalesce(earlier >= F.col("_s"), F.lit(False))
+                     | F.coalesce(following <= F.col("_end"), F.lit(False)))
+            hit = hit | (found if role is None else ((F.col(role) != F.lit(r)) & found))
+        return flagged.withColumn(out, F.col("_valid") & F.coalesce(hit, F.lit(False))).select(*(c for c in df.columns if c != out), out)
+    w = Window.partitionBy(*keys).orderBy(F.col("_s"))
     before = w.rowsBetween(Window.unboundedPreceding, -1)
-    after = w.rowsBetween(1, Window.unboundedFollowing)
+    later = Window.partitionBy(*keys).orderBy(F.desc("_s")).rowsBetween(Window.unboundedPreceding, -1)
 
     if role is None:
-        summ = (v.groupBy(*keys, start)
-                .agg(F.count(F.lit(1)).alias("_n"), F.max(eff_end).alias("_mx")))
+        summ = (v.groupBy(*keys, "_s")
+                .agg(F.count(F.lit(1)).alias("_n"), F.max("_end").alias("_mx")))
         summ = (summ.withColumn("_prev_mx", F.max("_mx").over(before))
-                .withColumn("_next_s", F.lead(F.col(start)).over(w))
-                .select(*keys, start, "_n", "_prev_mx", "_next_s"))
-        flagged = base.join(summ, on=[*keys, start], how="left")
-        hit = ((F.col("_n") >= 2) | (F.col("_prev_mx") >= F.col(start))
-               | (F.col("_next_s") <= eff_end))
+                .withColumn("_next_s", F.lead(F.col("_s")).over(w))
+                .select(*keys, "_s", "_n", "_prev_mx", "_next_s"))
+        flagged = base.join(summ, on=[*keys, "_s"], how="left")
+        hit = ((F.col("_n") >= 2) | (F.col("_prev_mx") >= F.col("_s"))
+               | (F.col("_next_s") <= F.col("_end")))
     else:
-        if not roles:
-            raise ValueError("roles must list the role values")
         aggs = []
         for i, r in enumerate(roles):
             is_r = F.col(role) == F.lit(r)
             aggs += [F.count(F.when(is_r, 1)).alias(f"_n{i}"),
-                     F.max(F.when(is_r, eff_end)).alias(f"_mx{i}")]
-        summ = v.groupBy(*keys, start).agg(*aggs)
-        sel = [*keys, start]
+                     F.max(F.when(is_r, F.col("_end"))).alias(f"_mx{i}")]
+        summ = v.groupBy(*keys, "_s").agg(*aggs)
+        sel = [*keys, "_s"]
         for i, _ in enumerate(roles):
             summ = (summ.withColumn(f"_prev_mx{i}", F.max(f"_mx{i}").over(before))
-                    .withColumn(f"_next_s{i}", F.min(F.when(F.col(f"_n{i}") > 0, F.col(start))).over(after)))
+                    .withColumn(f"_next_s{i}", F.min(F.when(F.col(f"_n{i}") > 0, F.col("_s"))).over(later)))
             sel += [f"_n{i}", f"_prev_mx{i}", f"_next_s{i}"]
-        flagged = base.join(summ.select(*sel), on=[*keys, start], how="left")
+        flagged = base.join(summ.select(*sel), on=[*keys, "_s"], how="left")
         hit = F.lit(False)
         for i, r in enumerate(roles):
             other = F.col(role) != F.lit(r)
-            hit = hit | (other & ((F.col(f"_n{i}") > 0) | (F.col(f"_prev_mx{i}") >= F.col(start))
-                                  | (F.col(f"_next_s{i}") <= eff_end)))
-    result = flagged.withColumn(out, F.col("_valid") & F.coalesce(hit, F.lit(False)))
-    own = set(df.columns)
-    return result.drop(*[c for c in result.columns if c.startswith("_") and c not in own])
+            hit = hit | (other & ((F.col(f"_n{i}") > 0) | (F.col(f"_prev_mx{i}") >= F.col("_s"))
+                                  | (F.col(f"_next_s{i}") <= F.col("_end"))))
+    return flagged.withColumn(out, F.col("_valid") & F.coalesce(hit, F.lit(False))).select(*(c for c in df.columns if c != out), out)
+
 
+def _with_keys(df: DataFrame, keys: Sequence[str], *more: str) -> DataFrame:
+    """Rows without a NULL in the keys: a NULL key equals nothing."""
+    for k in (*keys, *more):
+        df = df.filter(F.col(k).isNotNull())
+    return df
 
-def next_start(df: DataFrame, keys: Sequence[str], start: str, out: str = "next_start") -> DataFrame:
-    """The smallest strictly later start of the same key (NULL if none)."""
+
+def next_start(df: DataFrame, keys: Sequence[str], start: str, out: str = "next_start", identity: str | None = None) -> DataFrame:
+    """The smallest strictly later start of the same key (NULL if none),
+    with ``identity`` of a row of another identity."""
     keys = list(keys)
-    d = df.select(*keys, start).filter(F.col(start).isNotNull())
-    for k in keys:  # a NULL key equals nothing, so such rows get no next start
-        d = d.filter(F.col(k).isNotNull())
-    d = d.distinct()
-    w = Window.partitionBy(*keys).orderBy(F.col(start))
-    d = d.withColumn(out, F.lead(F.col(start)).over(w))
-    return df.join(d, on=[*keys, start], how="left")
+    if identity is None:
+        d = _with_keys(df.select(*keys, start), keys, start).distinct()
+        w = Window.partitionBy(*keys).orderBy(F.col(start))
+        return df.join(d.withColumn(out, F.lead(F.col(start)).over(w)), on=[*keys, start], how="left")
+    own = _with_keys(df.select(*keys, start, identity), keys, start, identity)
+    seen = _summary(own, keys, start, None, identity, own.select(*keys, start).distinct()).select(*keys, start, "_na", "_ni", "_nb")
+    found = F.when(F.col(identity).isNotNull(), _next_other(identity))
+    return df.join(seen, on=[*keys, start], how="left").select(*df.columns, found.alias(out))
 
 
 def close_open_ends(df: DataFrame, keys: Sequence[str], start: str, end: str,
-                    out: str | None = None) -> DataFrame:
+                    out: str | None = None, identity: str | None = None) -> DataFrame:
     """An open end becomes (next strictly later start of the same key) - 1 day.
 
-    Rows without a later start keep their NULL end. ``out`` writes the result
-    to a new column instead of replacing ``end``.
+    Rows without a later start keep their NULL end. With ``identity`` (a
+    decision number) only starts of other identities close, and all rows of an
+    identity with an open end get one end, the day before the next start of
+    another after the earliest open row; rows without an identity stay.
+    ``out`` writes the result to a new column instead of replacing ``end``.
     """
     target = out or end
-    n = next_start(df, keys, start, out="_ns")
-    return (n.withColumn(target, F.when(F.col(end).isNull(), F.date_sub(F.col("_ns"), 1)).otherwise(F.col(end)))
-            .drop("_ns"))
+    if identity is None:
+        n = next_start(df, keys, start, out="_ns")
+        return (n.withColumn(target, F.when(F.col(end).isNull(), F.date_sub(F.col("_ns"), 1)).otherwise(F.col(end)))
+                .drop("_ns"))
+    keys = list(keys)
+    own = _with_keys(df.select(*keys, start, end, identity), keys, start, identity)
+    first = own.filter(F.col(end).isNull()).groupBy(*keys, identity).agg(F.min(start).alias(start))
+    seen = _summary(own.select(*keys, start, identity), keys, start, None, identity, own.select(*keys, start).distinct())
+    closed = (first.join(seen.select(*keys, start, "_na", "_ni", "_nb"), [*keys, start])
+              .select(*keys, identity, F.date_sub(_next_other(identity), 1).alias("_closed")).where("_closed is not null"))
+    return (df.join(closed, [*keys, identity], "left").withColumn("_closed", F.coalesce("_closed", end))
+            .select(*(c for c in df.columns if c != target), F.col("_closed").alias(target)))
 
 
 def expand_days(df: DataFrame, start: str, end: str, out: str = "day") -> DataFrame:

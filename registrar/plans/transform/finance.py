@@ -17,7 +17,6 @@ from ...operators.joins import repair_branch_join
 from ._common import (Tables, extent_option, filtered, get, id_map_update, materialize, person_lookup, split,
                       unit_lookup, with_ids)
 
-EARLIEST = "0001-01-01"
 
 
 def _main_income(amount: Column) -> Column:
@@ -149,11 +148,10 @@ def voucher_value_decisions(t: Tables) -> dict[str, DataFrame]:
         F.col("factor").cast("decimal(4,2)").alias("capacity_factor"))
     idmap = id_map_update(t, "DECISION", rows.select(F.col("legacy_guid").alias("guid"), "id"), "guid", "id")
     has_group = rows.filter(F.col("status_group").isNotNull())
-    closed = iv.close_open_ends(has_group, ["legacy_ssn", "status_group"], "valid_from", "valid_to")
+    closed = iv.close_open_ends(has_group, ["legacy_ssn", "status_group"], "valid_from", "valid_to", identity="decision_number")
     rows = closed.unionByName(rows.filter(F.col("status_group").isNull()))
-    rows = rows.withColumn("_vf", F.coalesce("valid_from", F.lit(EARLIEST).cast("date")))
     valid = (F.col("valid_from") <= F.col("valid_to")) | F.col("valid_from").isNull() | F.col("valid_to").isNull()
-    rows = iv.conflicts(materialize(rows), ["legacy_ssn", "status_group"], "_vf", "valid_to", valid=valid).drop("_vf")
+    rows = iv.conflicts(materialize(rows), ["legacy_ssn", "status_group"], "valid_from", "valid_to", valid=valid, identity="decision_number")
     flagged = q.flag(rows, [
         ("STATUS MISSING", F.col("status").isNull()),
         ("HEAD OF FAMILY MISSING", F.col("head_of_family_id").isNull()),
@@ -221,7 +219,8 @@ def pay_decisions(t: Tables, only: set[str] | None = None) -> dict[str, DataFram
         _income_document(F.col("_pr.income")).alias("partner_income"), "family_size",
         F.col("decisionnumber").cast("long").alias("decision_number"))
     idmap = id_map_update(t, "PAY_DECISION", fee.select(F.col("legacy_guid").alias("guid"), "id"), "guid", "id")
-    fee = iv.conflicts(materialize(fee), ["legacy_ssn", "status_group"], "start_date", "end_date")
+    fee = iv.conflicts(materialize(fee), ["legacy_ssn", "status_group"], "start_date", "end_date",
+                       valid=(F.col("end_date") >= F.col("start_date")) | F.col("end_date").isNull())
     flagged = q.flag(fee, [("STATUS MISSING", F.col("status").isNull()),
                            ("START AFTER END", F.col("start_date") > F.col("end_date")),
                            ("OVERLAPPING FEE DECISION", F.col("overlapping")),

@@ -142,7 +142,8 @@ def _partnerships(f: DataFrame, person: DataFrame) -> dict[str, DataFrame]:
     partner = members.select("partnership_id", "person_id", "legacy_ssn", "indx", "family_number",
                              F.col("overlap_start").alias("start_date"),
                              F.col("overlap_end").alias("end_date")).distinct()
-    partner = iv.conflicts(materialize(partner), ["person_id"], "start_date", "end_date", role="indx", roles=[1, 2])
+    partner = iv.conflicts(materialize(partner), ["person_id"], "start_date", "end_date", role="indx", roles=[1, 2],
+                           identity="partnership_id", valid=(F.col("end_date") >= F.col("start_date")) | F.col("end_date").isNull())
     partner_flag = q.flag(partner, [("OVERLAPPING", F.col("overlapping")),
                                     ("START AFTER END", F.col("start_date") > F.col("end_date"))]).drop("overlapping")
     partner_clean, partner_todo = split(partner_flag, ["partnership_id", "indx"])

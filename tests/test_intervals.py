@@ -240,8 +240,89 @@ def test_joins_exact_for_any_bin_width_and_far_dates(spark):
             assert sorted((r.pid, -1 if r.id is None else r.id) for r in got) == want, (keyed, width)
 
 
-def test_copies_of_an_interval_do_not_grow_with_the_dates(spark):
-    rows = [(i, 0, BASE + dt.timedelta(days=i), None, 1) for i in range(1000)] + [(1000, 0, dt.date(2999, 1, 1), None, 1)]
-    df = spark.createDataFrame(rows, SCHEMA)
-    n = df.select(F.explode(iv._bins_over(F.col("s"), iv.open_end(), 30))).count()
-    assert n <= 40 * len(rows)
+def test_copies_do_not_grow_with_the_dates(spark):
+    for far in (BASE, dt.date(2999, 1, 1)):
+        rows = [(i, 0, BASE + dt.timedelta(days=i), None, 1) for i in range(1000)] + [(1000, 0, far, far, 1)]
+        df = spark.createDataFrame(rows, SCHEMA)
+        left, right = iv._placed_sides(df, df, ("s", "e"), ("s", "e"), 30)
+        assert left.count() <= 1000 + 3 and right.count() <= 2 * 1000 + 5  # open ends: one bin each, twice on the right
+
+
+@pytest.mark.parametrize("bin_days", [7, 30, 365])
+def test_few_copies_on_the_test_tables(spark, bin_days):
+    from registrar.plans.star import order_intervals
+    o = order_intervals(spark, "/root/testdata/sf0.01").select("o_custkey", "start_date", "end_date")
+    left, right = iv._placed_sides(o, o, ("start_date", "end_date"), ("start_date", "end_date"), bin_days)
+    assert left.count() <= 5 * o.count() and right.count() <= 6 * o.count()
+
+
+def test_occupied_levels(spark):
+    df = spark.createDataFrame([(0, 0, BASE, BASE, 1), (1, 0, BASE, None, 1), (2, 0, BASE, BASE - dt.timedelta(days=3), 1)], SCHEMA)
+    first, last = iv._bin(F.col("s"), 30), iv._bin(iv.end_or_open("e"), 30)
+    mask = df.select(iv._occupied(df, first, last, 30).alias("m")).first().m
+    assert mask == 1 | 1 << (iv._levels(30) - 1)  # the inverted interval belongs to the first level or none
+
+
+ID_SCHEMA = "id long, k long, s date, e date, role int, nbr long"
+
+
+def identified(seed: int, n: int = 260):
+    rnd = random.Random(seed)
+    out = []
+    for i in range(n):
+        s = None if rnd.random() < 0.06 else BASE + dt.timedelta(days=rnd.randrange(60))
+        e = None if rnd.random() < 0.15 else (s or BASE) + dt.timedelta(days=rnd.choice([-2, 0, 1, 3, 8, 30]))
+        out.append((i, rnd.randrange(14), s, e, rnd.choice([1, 2]), None if rnd.random() < 0.05 else rnd.randrange(4)))
+    return out
+
+
+def lies(a, b):
+    """Overlap of two valid intervals with open sides."""
+    low, high = dt.date(1, 1, 1), dt.date(9999, 12, 31)
+    return (a[2] or low) <= (b[3] or high) and (b[2] or low) <= (a[3] or high)
+
+
+@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("role", [None, "role"])
+def test_conflicts_of_other_identities(spark, seed, role):
+    rows = identified(seed)
+    df = spark.createDataFrame(rows, ID_SCHEMA).repartition(4)
+
+    def valid(r):  # like the legacy rule: an end that is open, or not before a known start
+        return r[3] is None or (r[2] is not None and r[3] >= r[2])
+
+    got = {r.id: r.overlapping for r in iv.conflicts(
+        df, ["k"], "s", "e", valid=(F.col("e") >= F.col("s")) | F.col("e").isNull(), identity="nbr",
+        **({"role": "role", "roles": [1, 2]} if role else {})).collect()}
+    want = {a[0]: any(a[1] == b[1] and None not in (a[5], b[5]) and a[5] != b[5] and valid(a) and valid(b) and lies(a, b)
+                      and (role is None or a[4] != b[4]) for b in rows) for a in rows}
+    assert got == want and 20 < sum(want.values()) < 250
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_conflicts_without_starts(spark, seed):
+    rows = identified(seed)
+    df = spark.createDataFrame(rows, ID_SCHEMA)
+    got = {r.id: r.overlapping for r in iv.conflicts(df, ["k"], "s", "e", valid=F.col("e").isNull() | (F.col("s") <= F.col("e"))).collect()}
+
+    def valid(r):
+        return r[3] is None or (r[2] is not None and r[2] <= r[3])
+    assert got == {a[0]: any(a[0] != b[0] and a[1] == b[1] and valid(a) and valid(b) and lies(a, b) for b in rows) for a in rows}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_next_start_and_closing_by_identity(spark, seed):
+    rows = identified(seed)
+    df = spark.createDataFrame(rows, ID_SCHEMA).repartition(3)
+
+    def nxt(a, s):
+        return min((b[2] for b in rows if b[1] == a[1] and None not in (a[5], b[5], s, b[2]) and b[5] != a[5] and b[2] > s), default=None)
+
+    got = {r.id: r.next_start for r in iv.next_start(df, ["k"], "s", identity="nbr").collect()}
+    assert got == {a[0]: nxt(a, a[2]) for a in rows}
+    closed = {r.id: r.e for r in iv.close_open_ends(df, ["k"], "s", "e", identity="nbr").collect()}
+    want = {}
+    for a in rows:
+        ends = [n - dt.timedelta(days=1) for b in rows if b[1] == a[1] and a[5] is not None and b[5] == a[5] and b[3] is None and (n := nxt(b, b[2]))]
+        want[a[0]] = min(ends) if ends else a[3]
+    assert closed == want
