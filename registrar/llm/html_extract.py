@@ -230,17 +230,28 @@ def page_tokens(events: list[tuple[str, str, bool]]) -> dict[str, list[int]]:
     """Occurrences and visible characters within, by container path (and its
     steady form) that is not boilerplate, of a page's events."""
     found: dict[str, list[int]] = {"": [1, 0]}
-    path = [""]
+    path: list[list] = [["", 0]]  # open paths, with the characters read directly or in closed elements within
+
+    def leave() -> None:
+        value, chars = path.pop()
+        path[-1][1] += chars
+        if chars:
+            found[value][1] += chars
+
     for kind, value, hidden in events:
         if kind == "open":
-            path.append(value)
+            path.append([value, 0])
             if not hidden:
                 found.setdefault(value, [0, 0])[0] += 1
         elif kind == "close":
-            del path[path.index(value):]
+            while path[-1][0] != value:
+                leave()
+            leave()
         elif kind == "text" and not hidden:
-            for p in dict.fromkeys(path):
-                found[p][1] += len(value)
+            path[-1][1] += len(value)
+    while len(path) > 1:
+        leave()
+    found[""][1] = path[0][1]
     for p, t in list(found.items()):
         if (steady := _steady(p)) != p:
             known = found.setdefault(steady, [0, 0])
@@ -263,8 +274,9 @@ def page_blocks(events: list[tuple[str, str, bool]], slot: str = "") -> list[tup
     boilerplate, in page order."""
     found: list[tuple[int, str, bool]] = []
     seen: dict[str, int] = {}
-    path, parts, inside = [""], [], not slot
-    start = ("", False)  # where the block's text began
+    path: list[tuple[str, bool]] = [("", not slot)]  # open paths, and whether they are the slot or within it
+    parts: list[str] = []
+    start = path[0]  # where the block's text began
 
     def end() -> None:
         line = " ".join(html.unescape("".join(parts)).split())
@@ -278,16 +290,15 @@ def page_blocks(events: list[tuple[str, str, bool]], slot: str = "") -> list[tup
         if kind == "text":
             if not hidden:
                 if not parts:
-                    start = (path[-1], inside)
+                    start = path[-1]
                 parts.append(value)
         elif kind == "break":
             end()
         elif kind == "open":
-            path.append(value)
-            inside = inside or value == slot or _steady(value) == slot
+            path.append((value, path[-1][1] or value == slot or _steady(value) == slot))
         elif kind == "close":
-            del path[path.index(value):]
-            inside = not slot or slot in path or slot in map(_steady, path)
+            while path.pop()[0] != value:
+                pass
     end()
     return found
 

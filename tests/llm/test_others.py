@@ -163,6 +163,21 @@ def test_boilerplate_of_every_element(spark):
     assert texts_of(spark, rows) == {k: text for k, (_, text) in bodies.items()}
 
 
+def test_deep_pages():
+    """Nesting costs no more than the paths' own length."""
+    import time
+    took = {}
+    for depth in (1000, 4000):
+        page = "<html><body>" + "<div>" * depth + "<article><p>deep text</p></article>" + "</div>" * depth + "</body></html>"
+        start = time.process_time()
+        slot = "html/body/" + "div/" * depth + "article"
+        assert html_extract.main_text(page, slot) == "deep text"
+        events = html_extract.walk(page)
+        assert html_extract.page_tokens(events)[slot] == [1, 9] and len(html_extract.page_blocks(events)) == 1
+        took[depth] = time.process_time() - start
+    assert took[4000] < 5
+
+
 def test_pages_of_a_table(spark):
     """Against a plain reading of the tables' one page layout."""
     import html
