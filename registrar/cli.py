@@ -34,6 +34,7 @@ def main(argv: list[str] | None = None) -> int:
     from .plans.runner import run_chain
     from .plans.transform import CHAIN
     from .session import build_session
+    from .sinks.publish import Manifest
     from .sources import inputs
     from .sources.errors import IngestError
     from .sources.staging import stage_dir
@@ -52,6 +53,8 @@ def main(argv: list[str] | None = None) -> int:
         staged = dict(loaded.tables)
         if args.dims:
             staged.update(inputs.load_dimensions(spark, args.dims))
+        if "idmap" not in staged and (before := Manifest(spark, args.target).read("idmap")) is not None:
+            staged["idmap"] = before.select("type", "source_id", "target_id", "updated")  # the ids of earlier runs
         names = [n for n, _ in jobs]
         inputs.resolve(staged, names)
         made = {t for n in names for t in inputs.JOB_OUTPUTS[n]}

@@ -1,7 +1,7 @@
 """Transfer jobs (X1-X17): reconciled tables -> rows for the target tables.
 
 Each job returns the rows to publish per target table as lazy DataFrames;
-``publish_all`` appends them (K3) in chain order. Conflict rules of the
+``publish_all`` publishes them (K3) in chain order, all or nothing. Conflict rules of the
 target (``ON CONFLICT DO NOTHING``) are applied here as insert-ignore
 against the target's current rows (K4), so publishing twice adds nothing.
 Enum casts of the target become allowed-value checks (``*_violations``).
@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,9 +18,8 @@ from ..functions.documents import json_of
 from ..operators import identity as ident
 from ..operators import intervals as iv
 from ..operators import quality as q
-from ..session import scratch_path
 from ..sources import inputs
-from ..sinks.publish import insert_ignore_rows, update_from
+from ..sinks.publish import Manifest, insert_ignore_rows, update_from
 from .transform._common import Tables, get, spark_of
 
 # Fixed values of the target system.
@@ -438,47 +436,42 @@ def _not_present(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     return incoming.join(have, [F.col(c).eqNullSafe(F.col(f"_have_{c}")) for c in keys], "left_anti")
 
 
-def _target(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:  # no such table yet
-        return None
+#: Buckets of the published id map; a run rewrites those in which an id is new or changed.
+IDMAP_BUCKETS = 64
 
 
 def publish_all(t: Mapping[str, DataFrame], target_dir: str, include_off: bool = False,
                 jobs: Sequence[tuple[str, Callable]] | None = None) -> dict[str, dict[str, int]]:
-    """Run the transfer chain and add every job's new rows to ``target_dir/<table>``.
+    """Run the transfer chain and publish every job's new rows under ``target_dir``.
 
     Rows that a target has already, whether given in ``t`` or published by an
     earlier run, are not inserted again, so publishing twice equals publishing
     once. Later jobs see existing and new rows together (the child register,
-    the audit user, daycare groups). Returns per job the rows added (K8)."""
+    the audit user, daycare groups). The id map is published too, for the next
+    run. Nothing is visible (``publish.published``) until all jobs have run;
+    then all tables change at once. Returns per job the rows added (K8)."""
     if jobs is None:
         jobs = [(n, f) for n, f, on in CHAIN if on or include_off]
     inputs.resolve(t, [n for n, _ in jobs], inputs.PUBLISH_INPUTS, {})
-    spark = spark_of(t)
-    root = target_dir.rstrip("/")
+    manifest = Manifest(spark_of(t), target_dir)
     state = dict(t)
     report: dict[str, dict[str, int]] = {}
     for name, job in jobs:
         counts = {}
         for table, df in job(state).items():
-            checks = table.endswith("_violations")
-            path = f"{root}/_checks/{table}" if checks else f"{root}/{table}"
+            target = f"_checks/{table}" if table.endswith("_violations") else table
             update = (name, table) == ("unit_external_ids", "daycare")
-            published = _target(spark, path)
-            given = t.get(table)
+            before, given = manifest.read(target), t.get(table)
             if not update:
-                for existing in (published, given):
+                for existing in (before, given):
                     if existing is not None and existing.columns:
                         df = _not_present(existing, df)
-            staged = scratch_path(spark, f"publish-{table}")  # computed once; an update reads the table it replaces
-            df.write.parquet(staged)
-            df = spark.read.schema(df.schema).parquet(staged)
-            df.write.mode("overwrite" if update else "append").parquet(path)
-            counts[table] = df.count()
-            state[table] = spark.read.parquet(path)
+            counts[table] = manifest.add(df, target, name, replace=update)
+            state[table] = manifest.read(target)
             if given is not None and not update:
                 state[table] = state[table].unionByName(_not_present(state[table], given), allowMissingColumns=True)
         report[name] = counts
+    if "idmap" in t:
+        manifest.replace_buckets(t["idmap"].select("type", "source_id", "target_id", "updated"), "idmap", ["type", "source_id"], IDMAP_BUCKETS)
+    manifest.commit()
     return report

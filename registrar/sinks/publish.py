@@ -1,23 +1,114 @@
 """Publishing to tables.
 
-Tables are parquet folders (or catalog tables). Rebuilds write to a fresh
-run folder and return its path, so a failed job never leaves a half-written
-table behind (``write_then_switch``). All set logic is DataFrame logic; the
+Published tables are versions: every write makes a new folder
+``<table>/version=<run>``, and a manifest names the folders that make up each
+table. All tables of a run change together, by one file that appears under the
+next number (``Manifest.commit``): a run that fails before leaves the target
+as it was, and of two runs at once only one can commit. Rebuilds write to a
+fresh run folder and return its path. All set logic is DataFrame logic; the
 functions that compute rows (``insert_ignore_rows``, ``upsert_changed``,
 ``update_from``, ``delete_by_keys``) are lazy and side-effect free.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedupe import keep_first
 
 
+class PublishConflict(RuntimeError):
+    """Another run has published since this one began."""
+
+
+class Manifest:
+    """The folders of every published table under ``root``."""
+
+    FOLDER = "_manifests"
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root, self.run = spark, root.rstrip("/"), uuid.uuid4().hex[:12]
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self._store = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
+        numbers = [0]
+        if self._store.exists(self._path(f"{self.root}/{self.FOLDER}")):
+            names = [f.getPath().getName() for f in self._store.listStatus(self._path(f"{self.root}/{self.FOLDER}"))]
+            numbers += [int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit()]
+        self.number = max(numbers)
+        self.tables: dict[str, list[str]] = json.loads(self._text(self.number)) if self.number else {}
+
+    def _file(self, number: int) -> str:
+        return f"{self.root}/{self.FOLDER}/{number:09d}.json"
+
+    def _text(self, number: int) -> str:
+        return self.spark.read.text(self._file(number), wholetext=True).first().value
+
+    def read(self, table: str) -> DataFrame | None:
+        """The table as this manifest has it; None if it was never published."""
+        folders = self.tables.get(table)
+        if not folders:
+            return None
+        parts = [self.spark.read.parquet(f"{self.root}/{f}") for f in folders]
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p, allowMissingColumns=True)
+        return out
+
+    def add(self, df: DataFrame, table: str, label: str, replace: bool = False) -> int:
+        """Write rows as a new version folder of the table; returns their number.
+        Nobody sees them before ``commit``."""
+        folder, seen = f"{table}/version={self.run}-{label}", Observation(f"publish {table}")
+        df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").parquet(f"{self.root}/{folder}")
+        self.tables[table] = [folder] if replace else [*self.tables.get(table, []), folder]
+        return int(seen.get["n"])
+
+    def replace_buckets(self, df: DataFrame, table: str, key: Sequence[str], buckets: int) -> list[int]:
+        """Publish a whole new state of a keyed table, writing only the buckets
+        in which a row is new, changed or gone; returns those."""
+        bucket = F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int").alias("bucket")
+        new = df.withColumn("bucket", bucket)
+        old = self.read(table)
+        if old is None:
+            touched = [r.bucket for r in new.select("bucket").distinct().collect()]  # at most ``buckets`` rows
+        else:
+            old = old.select(*df.columns).withColumn("bucket", bucket)
+            changed = new.exceptAll(old.select(*new.columns)).select("bucket").union(old.select(*new.columns).exceptAll(new).select("bucket"))
+            touched = [r.bucket for r in changed.distinct().collect()]
+        kept = [f for f in self.tables.get(table, []) if int(f.rsplit("=", 1)[1]) not in touched]
+        folder = f"{table}/version={self.run}"
+        if touched:
+            new.where(F.col("bucket").isin(touched)).repartition("bucket").write.partitionBy("bucket").parquet(f"{self.root}/{folder}")
+        have = {r.bucket for r in new.where(F.col("bucket").isin(touched)).select("bucket").distinct().collect()} if touched else set()
+        self.tables[table] = sorted(kept + [f"{folder}/bucket={b}" for b in have])
+        return sorted(touched)
+
+    def commit(self) -> int:
+        """Make all added versions the target's tables, at once."""
+        into = self._path(self._file(self.number + 1))
+        draft = self._path(f"{self.root}/{self.FOLDER}/_draft-{self.run}")
+        out = self._store.create(draft, False)
+        out.write(bytearray(json.dumps(self.tables, indent=1, sort_keys=True).encode()))
+        out.close()
+        if self._store.exists(into) or not self._store.rename(draft, into):
+            self._store.delete(draft, False)
+            raise PublishConflict(f"{self.root}: another run has published manifest {self.number + 1}")
+        self.number += 1
+        return self.number
+
+
+def published(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """A published table as of the latest manifest."""
+    found = Manifest(spark, root).read(table)
+    if found is None:
+        raise KeyError(f"'{table}' is not published in {root}")
+    return found
+
+
 def append(df: DataFrame, path: str) -> None:
     """K1/K3: append rows."""
     df.write.mode("append").parquet(path)

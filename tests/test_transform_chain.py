@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from registrar.plans.runner import run_chain
+from registrar.sinks.publish import published
 from registrar.sources import inputs
 from registrar.sources import records
 
@@ -332,7 +333,7 @@ def test_publish_all_is_idempotent_for_conflicting_tables(spark, target, tmp_pat
     first = X.publish_all(target, str(tmp_path / "target"))
     assert first["persons"]["person"] == 6 and first["placements"]["placement"] == 3
     assert first["departments"]["daycare_caretaker"] == 1
-    again = X.persons({**target, "person": spark.read.parquet(str(tmp_path / "target" / "person"))})
+    again = X.persons({**target, "person": published(spark, str(tmp_path / "target"), "person")})
     assert again["person"].count() == 0
 
 
@@ -388,7 +389,7 @@ def test_cli_end_to_end(spark, tmp_path):
         f.write(_xml("item", CODES))
     rc = cli.main(["--input", str(base), "--target", str(tmp_path / "target"), "--work", str(tmp_path / "work"), "--jobs", "persons"])
     assert rc == 0
-    assert spark.read.parquet(str(tmp_path / "target" / "person")).count() == 6
+    assert published(spark, str(tmp_path / "target"), "person").count() == 6
     assert cli.main(["--input", str(base), "--target", str(tmp_path / "t3"), "--jobs", "persons,families"]) == 2  # no family rows
     assert cli.main(["--input", str(base), "--target", str(tmp_path / "t3"), "--jobs", "person"]) == 2  # no such job
     assert not (tmp_path / "t3").exists()
@@ -425,5 +426,5 @@ def test_cli_loads_dimensions(spark, tmp_path):
             "--work", str(tmp_path / "work")]
     assert cli.main(args) == 2  # placement types need the options
     assert cli.main([*args, "--dims", str(dims)]) == 0
-    types = {r.type for r in spark.read.parquet(str(tmp_path / "target" / "placement")).collect()}
+    types = {r.type for r in published(spark, str(tmp_path / "target"), "placement").collect()}
     assert "DAYCARE_PART_TIME" in types
