@@ -5,6 +5,7 @@ import datetime as dt
 from registrar.functions import dictionaries as dic
 from registrar.plans.transform._common import conform
 from registrar.plans.transform.care import applications
+from registrar.sources import inputs
 from registrar.sources.specs import REGISTRY
 
 DAY = dt.date(2020, 3, 1)
@@ -24,7 +25,7 @@ def test_application_ids_are_stable_for_two_guardians(spark):
             "child_id string, head_of_family string, start_date date, end_date date"),
     }
     def ids(idmap):
-        out = applications({**staged, "idmap": idmap})
+        out = applications({**inputs.empty(spark, "codes", "applicationrows", "extentmap", "unitmap", "childmindermap"), **staged, "idmap": idmap})
         return ({(r.legacy_guid, r.guardian_id): r.id for r in out["mig_application"].collect()}, out["idmap"])
 
     bare = spark.createDataFrame([("APPLICATION", "g-1", "old-id", dt.datetime(2020, 1, 1))],
