@@ -184,11 +184,16 @@ def _prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
     length = F.col("n") - F.floor((F.lit(percent) * F.col("n") + F.lit(99)) / F.lit(100)) + F.lit(1)
     prefix = (ordered.select("node", "n", "root", F.posexplode(F.slice("order", F.lit(1), length.cast("int"))).alias("place", "entry"))
               .where("entry.df > 1").select("node", "n", "root", F.col("entry.shingle").alias("shingle"), (F.col("n") - F.col("place")).alias("left")))
-    x = prefix.select("shingle", *(F.col(c).alias(f"x_{c}") for c in ("node", "n", "root", "left")))
-    y = prefix.select("shingle", *(F.col(c).alias(f"y_{c}") for c in ("node", "n", "root", "left")))
+    prefix = saved(prefix, "prefixes")
+    roots = (prefix.groupBy("shingle", "root").agg(F.count("*").alias("c")).groupBy("shingle")
+             .agg(F.max(F.struct("c", "root")).alias("most"), F.count("*").alias("roots")).where("roots > 1").select("shingle", "most.root"))
+    mixed = prefix.join(roots.withColumnRenamed("root", "most"), "shingle")
+    x = mixed.where("root <> most").select("shingle", *(F.col(c).alias(f"x_{c}") for c in ("node", "n", "root", "left")))
+    y = mixed.select("shingle", "most", *(F.col(c).alias(f"y_{c}") for c in ("node", "n", "root", "left")))
     enough = F.lit(100 + percent) * F.least("x_left", "y_left") >= F.lit(percent) * (F.col("x_n") + F.col("y_n"))
-    return (x.join(y, "shingle").where("x_node < y_node and x_root <> y_root").where(enough)
-            .select(F.col("x_node").alias("a"), F.col("y_node").alias("b")).distinct())
+    once = (F.col("y_root") == F.col("most")) | (F.col("x_node") < F.col("y_node"))  # both outside the most frequent root: one way round
+    return (x.join(y, "shingle").where("x_root <> y_root").where(once & enough)
+            .select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct())
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:

@@ -143,3 +143,32 @@ def test_components_of_a_chain_and_a_star(spark):
     found = {r.node: r.root for r in graph.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     want = {k: 0 for k in range(41)} | {100 + k: 100 for k in range(30)} | {299: 299, 300: 299}
     assert found == want
+
+
+def test_prefix_pairs_of_a_large_cluster(spark):
+    """Near copies of one root are not paired with each other; foreign sets are found."""
+    import time
+    took = {}
+    for n in (4000, 16000):
+        base = list(range(60))
+        rows = [(k, 60, 1, base[:59] + [1000 + k]) for k in range(n)]
+        rows += [(n + 1, 60, 2, base[:58] + [7, 10**6, 10**6 + 1]), (n + 2, 60, 3, [10**7 + i for i in range(50)] + base[:10])]
+        frame = spark.createDataFrame([(a, len(set(s)), r, sorted(set(s))) for a, _, r, s in rows], "node long, n int, root long, shingles array<long>")
+        start = time.perf_counter()
+        found = minhash._prefix_pairs(frame.repartition(8), 80).collect()
+        took[n] = time.perf_counter() - start
+        near = [(r.a, r.b) for r in found if r.b == n + 1]
+        assert len(near) == n and all(r.b > n - 1 for r in found)
+    assert took[16000] < 8 * max(took[4000], 2)
+
+
+def test_prefix_pairs_hold_every_pair(spark):
+    """Against all pairs of different roots that reach the threshold."""
+    rnd = random.Random(6)
+    pool = [[rnd.randrange(300) for _ in range(rnd.randrange(5, 40))] for _ in range(12)]
+    sets = [sorted({x if rnd.random() > 0.06 else rnd.randrange(300) for x in rnd.choice(pool)}) for _ in range(150)]
+    rows = [(k, len(s), rnd.randrange(9), s) for k, s in enumerate(sets)]
+    found = {(r.a, r.b) for r in minhash._prefix_pairs(spark.createDataFrame(rows, "node long, n int, root long, shingles array<long>"), 80).collect()}
+    want = {(a, b) for a, _, ra, s in rows for b, _, rb, t in rows
+            if a < b and ra != rb and 100 * len(set(s) & set(t)) >= 80 * len(set(s) | set(t))}
+    assert want <= found and all(rows[a][2] != rows[b][2] and a < b for a, b in found) and len(want) > 100
