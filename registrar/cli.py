@@ -9,7 +9,9 @@
 reconciliation and publishing jobs. Intermediate and job outputs go to
 ``--work`` (default: a fresh folder under ``spark.checkpoint.dir``). Exit code
 2, with the coded error, on a structural error of a dump, a dimension that
-does not fit its declaration or a missing input; nothing is published then.
+does not fit its declaration, a missing input or, with ``--strict``, a broken
+constraint; nothing is published then. Without ``--strict`` broken constraints
+are reported as rows of the ``*_violations`` tables.
 """
 
 from __future__ import annotations
@@ -28,8 +30,10 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--import-target", help="load every record file into this one table")
     ap.add_argument("--jobs", help="comma-separated names of the jobs to run (default: the whole chain)")
     ap.add_argument("--include-off", action="store_true", help="also run the jobs switched off in the chain")
+    ap.add_argument("--strict", action="store_true", help="stop at the first table that breaks a constraint")
     args = ap.parse_args(argv)
 
+    from .operators.constraints import ConstraintError
     from .plans import transfer
     from .plans.runner import run_chain
     from .plans.transform import CHAIN
@@ -62,8 +66,12 @@ def main(argv: list[str] | None = None) -> int:
     except (IngestError, inputs.InputError) as e:
         print(json.dumps({"error": e.code, "message": str(e)}))
         return 2
-    state = run_chain(staged, jobs, out_dir=args.work)
-    report = transfer.publish_all(state, args.target, jobs=publishing)
+    try:
+        state = run_chain(staged, jobs, out_dir=args.work, strict=args.strict)
+        report = transfer.publish_all(state, args.target, jobs=publishing, strict=args.strict)
+    except ConstraintError as e:
+        print(json.dumps({"error": e.code, "message": str(e), "violations": e.counts}))
+        return 2
     print(json.dumps({"staged": loaded.counts, "published": report}))
     return 0
 

@@ -1,4 +1,4 @@
-"""Quarantine routing (Q1) and constraint checks (Q2).
+"""Quarantine routing (Q1); the constraints (Q2) are in ``constraints``.
 
 Q1: all rules are evaluated on the complete table in one pass; an entity may
 collect several reasons. ``clean`` keeps rows without a reason, ``todo`` has
@@ -37,59 +37,3 @@ def quarantine(df: DataFrame, rules: Sequence[tuple[str, Column]], reason_col: s
 def remove_keys(df: DataFrame, todo_rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Delete every row whose key appears among the quarantined ones (K7)."""
     return df.join(todo_rows.select(*keys).distinct(), on=list(keys), how="left_anti")
-
-
-# ---------------------------------------------------------------- Q2 checks
-
-def _viol(df: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
-    return df.select(F.lit(name).alias("constraint_name"),
-                     F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]).alias("key_text"))
-
-
-def not_null(df: DataFrame, cols: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    out = None
-    for c in cols:
-        v = _viol(df.filter(F.col(c).isNull()), f"not_null:{c}", keys)
-        out = v if out is None else out.unionByName(v)
-    return out
-
-
-def unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Key tuples that occur more than once (NULL-containing keys never clash)."""
-    nn = df
-    for k in keys:
-        nn = nn.filter(F.col(k).isNotNull())
-    dup = nn.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
-    return _viol(dup, "unique:" + ",".join(keys), keys)
-
-
-def foreign_key(df: DataFrame, cols: Sequence[str], ref: DataFrame, ref_cols: Sequence[str],
-                keys: Sequence[str]) -> DataFrame:
-    r = ref.select(*[F.col(c).alias(f"_ref_{i}") for i, c in enumerate(ref_cols)]).distinct()
-    cond = None
-    for i, c in enumerate(cols):
-        e = df[c] == r[f"_ref_{i}"]
-        cond = e if cond is None else cond & e
-    missing = df
-    for c in cols:
-        missing = missing.filter(F.col(c).isNotNull())
-    missing = missing.join(r, cond, "left_anti")
-    return _viol(missing, "foreign_key:" + ",".join(cols), keys)
-
-
-def row_check(df: DataFrame, name: str, cond: Column, keys: Sequence[str]) -> DataFrame:
-    """CHECK constraint: NULL passes, false fails (SQL semantics)."""
-    return _viol(df.filter(~F.coalesce(cond, F.lit(True))), f"check:{name}", keys)
-
-
-def value_list(df: DataFrame, col: str, allowed: Sequence, keys: Sequence[str]) -> DataFrame:
-    return row_check(df, f"values:{col}", F.col(col).isin(*allowed), keys)
-
-
-def consistent(df: DataFrame, keys: Sequence[str], cols: Sequence[str], name: str) -> DataFrame:
-    """Rows of a group must agree on ``cols`` (e.g. both members of a
-    partnership share start and end): groups with more than one distinct
-    value tuple (NULL counted as a value) are violations."""
-    tup = F.struct(*[F.col(c) for c in cols])
-    bad = df.groupBy(*keys).agg(F.count_distinct(F.to_json(tup)).alias("_n")).filter(F.col("_n") > 1)
-    return _viol(bad, f"consistent:{name}", keys)

@@ -15,9 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.documents import json_of
+from ..operators import constraints as con
 from ..operators import identity as ident
 from ..operators import intervals as iv
-from ..operators import quality as q
 from ..sources import inputs
 from ..sinks.publish import Manifest, insert_ignore_rows, update_from
 from .transform._common import Tables, get, spark_of
@@ -169,9 +169,8 @@ def daycares(t: Tables) -> dict[str, DataFrame]:
         F.array().cast("array<string>").alias("enabled_pilot_features"),
         F.lit(False).alias("upload_children_to_varda"))
     bad_type = F.exists(F.coalesce("type", F.array().cast("array<string>")), lambda x: ~x.isin(*CARE_TYPES))
-    viol = (q.row_check(rows, "type", ~bad_type, ["id"])
-            .unionByName(q.value_list(rows, "provider_type", PROVIDER_TYPES, ["id"]))
-            .unionByName(q.value_list(rows, "language", UNIT_LANGUAGES, ["id"])))
+    viol = con.violations(rows, ["id"], [con.check("type", ~bad_type), con.values("provider_type", PROVIDER_TYPES),
+                                         con.values("language", UNIT_LANGUAGES)])
     return {"daycare": rows, "daycare_violations": viol}
 
 
@@ -441,7 +440,7 @@ IDMAP_BUCKETS = 64
 
 
 def publish_all(t: Mapping[str, DataFrame], target_dir: str, include_off: bool = False,
-                jobs: Sequence[tuple[str, Callable]] | None = None) -> dict[str, dict[str, int]]:
+                jobs: Sequence[tuple[str, Callable]] | None = None, strict: bool = False) -> dict[str, dict[str, int]]:
     """Run the transfer chain and publish every job's new rows under ``target_dir``.
 
     Rows that a target has already, whether given in ``t`` or published by an
@@ -449,7 +448,9 @@ def publish_all(t: Mapping[str, DataFrame], target_dir: str, include_off: bool =
     once. Later jobs see existing and new rows together (the child register,
     the audit user, daycare groups). The id map is published too, for the next
     run. Nothing is visible (``publish.published``) until all jobs have run;
-    then all tables change at once. Returns per job the rows added (K8)."""
+    then all tables change at once. A ``*_violations`` table holds what the run
+    found; ``strict`` stops with ``ConstraintError`` if that is anything, and
+    the target stays as it was. Returns per job the rows added (K8)."""
     if jobs is None:
         jobs = [(n, f) for n, f, on in CHAIN if on or include_off]
     inputs.resolve(t, [n for n, _ in jobs], inputs.PUBLISH_INPUTS, {})
@@ -459,8 +460,9 @@ def publish_all(t: Mapping[str, DataFrame], target_dir: str, include_off: bool =
     for name, job in jobs:
         counts = {}
         for table, df in job(state).items():
-            target = f"_checks/{table}" if table.endswith("_violations") else table
-            update = (name, table) == ("unit_external_ids", "daycare")
+            checked = table.endswith("_violations")
+            target = f"_checks/{table}" if checked else table
+            update = checked or (name, table) == ("unit_external_ids", "daycare")
             before, given = manifest.read(target), t.get(table)
             if not update:
                 for existing in (before, given):
@@ -468,6 +470,8 @@ def publish_all(t: Mapping[str, DataFrame], target_dir: str, include_off: bool =
                         df = _not_present(existing, df)
             counts[table] = manifest.add(df, target, name, replace=update)
             state[table] = manifest.read(target)
+            if strict and checked:
+                con.require_none(table, counts[table], state[table])
             if given is not None and not update:
                 state[table] = state[table].unionByName(_not_present(state[table], given), allowMissingColumns=True)
         report[name] = counts

@@ -10,6 +10,7 @@ from ...functions import codes
 from ...functions import dictionaries as dic
 from ...functions import domain as dom
 from ...operators import dedupe
+from ...operators import constraints as con
 from ...operators import identity as ident
 from ...operators import intervals as iv
 from ...operators import quality as q
@@ -31,7 +32,10 @@ def departments(t: Tables) -> dict[str, DataFrame]:
     flagged = q.flag(g, [("START AFTER END", F.col("start_date") > F.col("end_date")),
                          ("NAME MISSING", F.col("name").isNull())])
     clean, todo = split(flagged, ["id"])
-    return {"mig_daycare_group": clean, "mig_daycare_group_todo": todo}
+    violations = con.violations(clean, ["id"], [
+        *con.not_null("daycare_id", "legacy_id", "name", "start_date"),
+        con.check("start_before_end", F.col("start_date") <= F.col("end_date"))])
+    return {"mig_daycare_group": clean, "mig_daycare_group_todo": todo, "mig_daycare_group_violations": violations}
 
 
 def placements(t: Tables) -> dict[str, DataFrame]:
@@ -71,7 +75,9 @@ def placements(t: Tables) -> dict[str, DataFrame]:
         ("INVALID IDENTITY CODE", F.col("_was_open") & ~preschool & ~dom.birth_code_sign_valid("legacy_ssn")),
     ]).drop("overlapping", "_was_open")
     clean, todo = split(flagged, ["id"])
-    violations = q.unique(clean, ["legacy_placement_nbr"])  # Q2: one placement per legacy number
+    violations = con.violations(clean, ["id"], [
+        con.Unique(("legacy_placement_nbr",)), *con.not_null("legacy_placement_nbr", "legacy_ssn", "type", "start_date"),
+        con.ForeignKey(("child_id",), get(t, "mig_person"), ("id",))])
     return {"mig_placement": clean, "mig_placement_todo": todo, "mig_placement_violations": violations}
 
 
@@ -152,7 +158,7 @@ def applications(t: Tables) -> dict[str, DataFrame]:
                           F.greatest(F.date_add("sentdate", 120), F.col("_pref"))).otherwise(F.col("duedate"))
     ).drop("_aid", "_pref")
     # Q2: allowed application types of the target
-    violations = q.value_list(app_clean, "type", ["CLUB", "DAYCARE", "PRESCHOOL"], ["id"])
+    violations = con.violations(app_clean, ["id"], [con.values("type", ["CLUB", "DAYCARE", "PRESCHOOL"])])
     return {"mig_application": app_clean, "mig_application_todo": app_todo, "mig_application_violations": violations,
             "mig_application_form": form_clean, "mig_application_form_todo": form_todo, "idmap": idmap}
 

@@ -10,6 +10,7 @@ from ...functions import dictionaries as dic
 from ...functions import domain as dom
 from ...functions.documents import json_of
 from ...operators import aggregate as agg
+from ...operators import constraints as con
 from ...operators import identity as ident
 from ...operators import intervals as iv
 from ...operators import quality as q
@@ -68,11 +69,15 @@ def income(t: Tables) -> dict[str, DataFrame]:
     out = j.select(F.col("_iid").alias("id"), "person_id", F.col("personid").alias("person_ssn"), "data",
                    dom.income_effect("maxincome", "incomemissing").alias("effect"),
                    F.col("startdate").alias("valid_from"), F.col("enddate").alias("valid_to"), "income_total")
-    # Q2: no two incomes of a person may overlap (the legacy exclusion constraint)
+    # no two incomes of a person may overlap (the legacy exclusion constraint)
     checked = iv.conflicts(materialize(out), ["person_id"], "valid_from", "valid_to")
     flagged = q.flag(checked, [("OVERLAPPING INCOME", F.col("overlapping"))]).drop("overlapping")
     clean, todo = split(flagged, ["id"])
-    return {"mig_income": clean, "mig_income_todo": todo}
+    violations = con.violations(clean, ["id"], [
+        *con.not_null("person_id", "person_ssn", "data", "valid_from", "effect"),
+        con.ForeignKey(("person_id",), get(t, "mig_person"), ("id",)),
+        con.NoOverlap("income", ("person_id",), "valid_from", "valid_to")])
+    return {"mig_income": clean, "mig_income_todo": todo, "mig_income_violations": violations}
 
 
 def fee_deviations(t: Tables) -> dict[str, DataFrame]:
@@ -95,7 +100,8 @@ def fee_deviations(t: Tables) -> dict[str, DataFrame]:
     flagged = q.flag(out, [("TYPE MISSING", F.col("type").isNull()),
                            ("PERSON MISSING", F.col("person_id").isNull())])
     clean, todo = split(flagged, ["id"])
-    return {"mig_fee_alteration": clean, "mig_fee_alteration_todo": todo}
+    violations = con.violations(clean, ["id"], con.not_null("person_id", "type", "amount", "is_absolute", "valid_from", "notes"))
+    return {"mig_fee_alteration": clean, "mig_fee_alteration_todo": todo, "mig_fee_alteration_violations": violations}
 
 
 def _status_group(status: Column, sent_group: str) -> Column:
@@ -162,7 +168,7 @@ def voucher_value_decisions(t: Tables) -> dict[str, DataFrame]:
         ("INVALID FAMILY SIZE", F.col("family_size") <= 1),
         ("OVERLAPPING DECISION", F.col("overlapping"))]).drop("overlapping")
     clean, todo = split(flagged, ["id"])
-    violations = q.row_check(clean, "head_is_not_partner", F.col("head_of_family_id") != F.col("partner_id"), ["id"])
+    violations = con.violations(clean, ["id"], [con.check("head_is_not_partner", F.col("head_of_family_id") != F.col("partner_id"))])
     return {"mig_voucher_value_decision": clean, "mig_voucher_value_decision_todo": todo,
             "mig_voucher_value_decision_violations": violations, "idmap": idmap}
 
@@ -227,7 +233,10 @@ def pay_decisions(t: Tables, only: set[str] | None = None) -> dict[str, DataFram
                            ("PERSON MISSING", F.col("head_of_family_id").isNull()),
                            ("FAMILY SIZE MISSING", F.col("family_size").isNull())]).drop("overlapping")
     fee_clean, fee_todo = split(flagged, ["id"])
-    fee_viol = q.row_check(fee_clean, "head_is_not_partner", F.col("head_of_family_id") != F.col("partner_id"), ["id"])
+    fee_viol = con.violations(fee_clean, ["id"], [
+        con.Unique(("legacy_guid",)), *con.not_null("legacy_ssn", "decision_type", "decision_number", "start_date"),
+        con.check("head_is_not_partner", F.col("head_of_family_id") != F.col("partner_id")),
+        con.ForeignKey(("head_of_family_id",), person, ("id",)), con.ForeignKey(("partner_id",), person, ("id",))])
     if only is not None and "child" not in only:
         return {"mig_fee_decision": fee_clean, "mig_fee_decision_todo": fee_todo,
                 "mig_fee_decision_violations": fee_viol, "idmap": idmap}

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ...functions import domain as dom
+from ...operators import constraints as con
 from ...operators import identity as ident
 from ...operators import intervals as iv
 from ...operators import quality as q
@@ -73,9 +74,9 @@ def persons(t: Tables) -> dict[str, DataFrame]:
     person = from_target.unionByName(inserted.select(*from_target.columns))
     mapped = p.select("guid").join(person.select(F.col("legacy_guid").alias("guid"), "id"), "guid")
     # Q2: constraints of the target table as explicit checks
-    violations = (q.unique(person, ["social_security_number"])
-                  .unionByName(q.unique(person, ["id"]))
-                  .unionByName(q.value_list(person, "source_system", [SOURCE_LEGACY, SOURCE_TARGET], ["id"])))
+    violations = con.violations(person, ["id"], [
+        con.Unique(("id",)), con.Unique(("social_security_number",)), *con.not_null("id"),
+        con.values("source_system", [SOURCE_LEGACY, SOURCE_TARGET])])
     return {"mig_person": person, "mig_person_todo": todo, "mig_person_violations": violations,
             "idmap": id_map_update(t, "PERSON", mapped, "guid", "id")}
 
@@ -147,7 +148,10 @@ def _partnerships(f: DataFrame, person: DataFrame) -> dict[str, DataFrame]:
     partner_flag = q.flag(partner, [("OVERLAPPING", F.col("overlapping")),
                                     ("START AFTER END", F.col("start_date") > F.col("end_date"))]).drop("overlapping")
     partner_clean, partner_todo = split(partner_flag, ["partnership_id", "indx"])
-    # Q2: both members of a partnership share its dates (a constraint of the target)
-    violations = q.consistent(partner_clean, ["partnership_id"], ["start_date", "end_date"], "partnership_dates")
+    # Q2: both members of a partnership share its dates, and are two persons
+    violations = con.violations(partner_clean, ["partnership_id", "indx"], [
+        con.Unique(("partnership_id", "indx")), con.Unique(("partnership_id", "person_id")),
+        *con.not_null("person_id", "legacy_ssn", "start_date"),
+        con.Agree("partnership_dates", ("partnership_id",), ("start_date", "end_date"))])
     return {"mig_fridge_partner": partner_clean, "mig_fridge_partner_todo": partner_todo,
             "mig_fridge_partner_violations": violations}

@@ -94,7 +94,7 @@ def test_read_back_reset_and_analyze(spark, tmp_path):
 
 
 def test_consistency_check(spark):
-    from registrar.operators import quality as q
+    from registrar.operators import constraints as con
     df = spark.createDataFrame([("p1", 1, "a"), ("p1", 2, "a"), ("p2", 1, "a"), ("p2", 2, "b"), ("p3", 1, None),
                                 ("p3", 2, None)], "k string, i int, d string")
-    assert [r.key_text for r in q.consistent(df, ["k"], ["d"], "d").collect()] == ["p2"]
+    assert [r.key_text for r in con.violations(df, ["k", "i"], [con.Agree("d", ("k",), ("d",))]).collect()] == ["p2"]
