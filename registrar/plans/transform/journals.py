@@ -23,6 +23,9 @@ CARE_TYPES = {
     "TEMPORARY_DAYCARE": ["DAYCARE"], "TEMPORARY_DAYCARE_PART_DAY": ["DAYCARE"],
 }
 UNKNOWN_CARE_TYPE = "UNKNOWN"
+#: A list of journal ids holds the ids of one range of this many numbers, so
+#: no list grows with the rows that name no known child.
+JOURNAL_CHUNK = 1024
 
 
 def journal_days(t: Tables) -> DataFrame:
@@ -38,7 +41,11 @@ def journal_days(t: Tables) -> DataFrame:
 
 
 def daily_journals(t: Tables, only: set[str] | None = None) -> dict[str, DataFrame]:
-    """Absences and backup care from the journal rows. ``only``
+    """Absences and backup care from the journal rows. The journals of an
+    absence (A5) are rows of ``mig_absence_journal``: (absence_id, chunk, ids),
+    ascending; chunk ``n`` has the ids from ``n * JOURNAL_CHUNK``. Absences of
+    known children carry the whole list too, which the journals of one child
+    and day bound; those of unknown children have NULL there. ``only``
     ({"absence"} or {"backup_care"}) builds just that branch."""
     days = journal_days(t)
     person = get(t, "mig_person")
@@ -62,17 +69,24 @@ def _absences(t: Tables, days: DataFrame, person: DataFrame) -> dict[str, DataFr
          .withColumn("_ps", F.lit(None).cast("date")).withColumn("_pe", F.lit(None).cast("date")))
     a = R.explode_case(a, "_ptype", CARE_TYPES, "care_type", default=[UNKNOWN_CARE_TYPE])
     a = a.withColumn("absence_type", codes.map_code("reportcode", dic.REPORT_CODE_ABSENCE, key_type="int"))
-    g = a.groupBy("child_id", "date", "care_type").agg(
-        F.array_sort(F.collect_set("dailyjournalid")).alias("legacy_dailyjournalids"),
-        F.min_by("absence_type", F.struct("dailyjournalid", "reportcode")).alias("absence_type"))
-    ab = g.select(ident.hash_uuid("ABSENCE", "child_id", "date", "care_type").alias("id"),
-                  "legacy_dailyjournalids", "child_id", "date", "care_type", "absence_type")
+    chunk = F.floor(F.col("dailyjournalid") / JOURNAL_CHUNK).alias("chunk")
+    lists = materialize(a.groupBy("child_id", "date", "care_type", chunk).agg(
+        F.array_sort(F.collect_set("dailyjournalid")).alias("journal_ids"),
+        F.min(F.struct("dailyjournalid", "reportcode", "absence_type")).alias("_first")))
+    absence_id = ident.hash_uuid("ABSENCE", "child_id", "date", "care_type")
+    links = lists.where(F.col("chunk").isNotNull()).select(absence_id.alias("absence_id"), "chunk", "journal_ids")
+    known = F.when(F.col("child_id").isNotNull(), F.struct("chunk", "journal_ids"))
+    ab = lists.groupBy("child_id", "date", "care_type").agg(
+        F.collect_list(known).alias("_lists"), F.min("_first").alias("_first")).select(
+        absence_id.alias("id"),
+        F.when(F.col("child_id").isNotNull(), F.flatten(F.transform(F.array_sort("_lists"), lambda x: x["journal_ids"])))
+        .alias("legacy_dailyjournalids"), "child_id", "date", "care_type", F.col("_first.absence_type").alias("absence_type"))
     aflag = q.flag(ab, [("CHILD MISSING", F.col("child_id").isNull()),
                         ("PLACEMENT MISSING", F.col("care_type") == UNKNOWN_CARE_TYPE),
                         ("TYPE MISSING", F.col("absence_type").isNull()),
                         ("INVALID DATE", F.col("date").isNull())])
     ab_clean, ab_todo = split(aflag, ["id"], unique=False)
-    return {"mig_absence": ab_clean, "mig_absence_todo": ab_todo}
+    return {"mig_absence": ab_clean, "mig_absence_todo": ab_todo, "mig_absence_journal": links}
 
 
 def _backup_care(t: Tables, days: DataFrame, person: DataFrame) -> dict[str, DataFrame]:

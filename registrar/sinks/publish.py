@@ -1,4 +1,4 @@
-"""Publishing to tables.
+"""Publishing to tables (K1-K8; K9 and K10 are in ``catalog``).
 
 Published tables are versions: every write makes a new folder
 ``<table>/version=<run>``, and a manifest names the folders that make up each
@@ -193,28 +193,6 @@ def delete_by_keys(df: DataFrame, key_rows: DataFrame, keys: Sequence[str],
     return df.join(k, on=list(keys), how="left_anti")
 
 
-def reset_tables(spark: SparkSession, tables: Mapping[str, tuple[str, str]]) -> dict[str, str]:
-    """K9: overwrite each table with an empty frame of its schema, in the given
-    (dependency) order. ``tables`` maps name -> (path, DDL schema)."""
-    done = {}
-    for name, (path, schema) in tables.items():
-        spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
-        done[name] = path
-    return done
-
-
-def analyze(spark: SparkSession, tables: Sequence[str]) -> dict[str, str]:
-    """Refresh optimizer statistics per catalog table; per-table result or error."""
-    out = {}
-    for t in tables:
-        try:
-            spark.sql(f"ANALYZE TABLE {t} COMPUTE STATISTICS FOR ALL COLUMNS")
-            out[t] = "ok"
-        except Exception as e:  # report per table, continue with the rest
-            out[t] = f"error: {type(e).__name__}"
-    return out
-
-
 def read_back(df: DataFrame, order_by: Sequence[str] | None = None, return_all: bool = True,
               table: str = "result") -> DataFrame:
     """K8 / O1: the published rows ordered by the entity keys, or the one-row count."""

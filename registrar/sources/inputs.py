@@ -107,7 +107,7 @@ JOB_OUTPUTS: dict[str, tuple[str, ...]] = {
     "fee_deviations": ("mig_fee_alteration",), "applications": ("mig_application", "mig_application_form", "idmap"),
     "voucher_value_decisions": ("mig_voucher_value_decision", "idmap"),
     "pay_decisions": ("mig_fee_decision", "mig_fee_decision_child", "idmap"),
-    "daily_journals": ("mig_absence", "mig_backup_care"), "timestamps": ("mig_child_attendance",),
+    "daily_journals": ("mig_absence", "mig_absence_journal", "mig_backup_care"), "timestamps": ("mig_child_attendance",),
     "cleanup": ("mig_daycare_group",),
 }
 
