@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -111,6 +113,14 @@ def extent_option(df: DataFrame, t: Tables, code_col: str, days_col: str, out: s
     return j.drop("_em_k", "_em_days")
 
 
+def together(spark: SparkSession, *branches: Callable[[], dict[str, DataFrame]]) -> dict[str, DataFrame]:
+    """Independent branches of a job at the same time: each writes its
+    intermediates, and one's few last tasks leave room for the other's."""
+    with ThreadPoolExecutor(len(branches)) as pool:
+        made = [f.result() for f in [pool.submit(inheritable_thread_target(spark)(b)) for b in branches]]
+    return {name: df for out in made for name, df in out.items()}
+
+
 def materialize(df: DataFrame, name: str = "intermediate") -> DataFrame:
     """Write an intermediate that several consumers read as a parquet table in
     a fresh folder under the shared ``spark.checkpoint.dir`` and read it back:

@@ -12,7 +12,7 @@ from ...operators import identity as ident
 from ...operators import intervals as iv
 from ...operators import quality as q
 from ...operators import rows as R
-from ._common import Tables, get, materialize, person_lookup, split, unique_dim, unit_lookup
+from ._common import Tables, get, materialize, person_lookup, spark_of, split, together, unique_dim, unit_lookup
 
 # Care types per placement type (absences are recorded per care type).
 CARE_TYPES = {
@@ -40,21 +40,15 @@ def journal_days(t: Tables) -> DataFrame:
                     period_day("period", "day_of_month").alias("date"), "reportcode")
 
 
-def daily_journals(t: Tables, only: set[str] | None = None) -> dict[str, DataFrame]:
+def daily_journals(t: Tables) -> dict[str, DataFrame]:
     """Absences and backup care from the journal rows. The journals of an
     absence (A5) are rows of ``mig_absence_journal``: (absence_id, chunk, ids),
     ascending; chunk ``n`` has the ids from ``n * JOURNAL_CHUNK``. Absences of
     known children carry the whole list too, which the journals of one child
-    and day bound; those of unknown children have NULL there. ``only``
-    ({"absence"} or {"backup_care"}) builds just that branch."""
+    and day bound; those of unknown children have NULL there."""
     days = journal_days(t)
     person = get(t, "mig_person")
-    out: dict[str, DataFrame] = {}
-    if only is None or "absence" in only:
-        out.update(_absences(t, days, person))
-    if only is None or "backup_care" in only:
-        out.update(_backup_care(t, days, person))
-    return out
+    return together(spark_of(t), lambda: _absences(t, days, person), lambda: _backup_care(t, days, person))
 
 
 def _absences(t: Tables, days: DataFrame, person: DataFrame) -> dict[str, DataFrame]:

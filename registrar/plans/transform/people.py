@@ -11,7 +11,7 @@ from ...operators import identity as ident
 from ...operators import intervals as iv
 from ...operators import quality as q
 from ...sinks.publish import insert_ignore_rows
-from ._common import Tables, filtered, get, id_map_update, materialize, person_lookup, split, with_ids
+from ._common import Tables, filtered, get, id_map_update, materialize, person_lookup, spark_of, split, together, with_ids
 
 # Fixed values of the target schema: the source-system marker of a person
 # row (a CHECK constraint of the target) and the guid prefix given to
@@ -81,7 +81,7 @@ def persons(t: Tables) -> dict[str, DataFrame]:
             "idmap": id_map_update(t, "PERSON", mapped, "guid", "id")}
 
 
-def families(t: Tables, only: set[str] | None = None) -> dict[str, DataFrame]:
+def families(t: Tables) -> dict[str, DataFrame]:
     """Family rows -> child links and partnerships, with quarantine.
 
     Child links: heads ('R') x children ('B') of the same family whose
@@ -91,12 +91,7 @@ def families(t: Tables, only: set[str] | None = None) -> dict[str, DataFrame]:
     links; a person in overlapping partnerships with different indices."""
     f = filtered(t, "families")
     person = get(t, "mig_person")
-    out: dict[str, DataFrame] = {}
-    if only is None or "child" in only:
-        out.update(_child_links(f, person))
-    if only is None or "partner" in only:
-        out.update(_partnerships(f, person))
-    return out
+    return together(spark_of(t), lambda: _child_links(f, person), lambda: _partnerships(f, person))
 
 
 def _child_links(f: DataFrame, person: DataFrame) -> dict[str, DataFrame]:
