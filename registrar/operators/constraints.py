@@ -67,7 +67,8 @@ class Unique:
 
 @dataclass(frozen=True)
 class Agree:
-    """Rows that share ``by`` have the same ``cols`` (NULL is a value)."""
+    """Rows that share ``by`` have the same ``cols`` (NULL is a value). The
+    values are compared by a 64-bit hash, which aggregates without a sort."""
 
     label: str
     by: tuple[str, ...]
@@ -165,7 +166,7 @@ def violations(df: DataFrame, keys: Sequence[str], constraints: Sequence[Constra
             parts += [(F.lit(None) if start is None else start).cast("date").alias("s"),
                       (F.lit(None) if end is None else end).cast("date").alias("e")]
         if agreement:
-            parts.append((F.lit(None) if value is None else value).cast("string").alias("v"))
+            parts.append((F.lit(None) if value is None else F.xxhash64(value)).cast("long").alias("v"))
         return F.struct(*parts)
 
     entries = []
