@@ -15,6 +15,7 @@ carried into it. No split is ever read whole, and no file by one task.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
@@ -28,6 +29,8 @@ TEXT, COMMENT, CDATA = "text", "comment", "cdata"
 _OPEN = {COMMENT: "<!--", CDATA: "<![CDATA["}
 _CLOSE = {COMMENT: "-->", CDATA: "]]>"}
 MARKERS = (*_OPEN.values(), *_CLOSE.values())
+_KIND = {mark: state for state, mark in _OPEN.items()}
+_OPENING = re.compile("|".join(map(re.escape, _KIND)))
 
 
 def _escaped(text: str) -> str:
@@ -36,31 +39,43 @@ def _escaped(text: str) -> str:
 
 class Scanner:
     """State of one scan. ``feed`` takes the next piece and gives the text of a
-    whole record, or None while a comment or CDATA section goes on."""
+    whole record, or None while a comment or CDATA section goes on.
+
+    A piece is walked by position, and what is carried stays in parts until it
+    is needed, so the time is linear in the text: a dump without a closing tag
+    is one piece per file, and a section may go on over all pieces of a split."""
 
     def __init__(self, closing: str, state: str = TEXT, carry: str = ""):
-        self.closing, self.state, self.carry = closing, state, carry
+        self.closing, self.state, self.held = closing, state, [carry] if carry else []
         self.emitted = False
 
+    @property
+    def carry(self) -> str:
+        if len(self.held) > 1:
+            self.held = ["".join(self.held)]
+        return self.held[0] if self.held else ""
+
+    def keep(self, text: str) -> None:
+        if text:
+            self.held.append(text)
+
     def feed(self, piece: str) -> str | None:
-        out = [self.carry]
+        at = 0
         while True:
             if self.state == TEXT:
-                at, kind = min(((k, s) for s, mark in _OPEN.items() if (k := piece.find(mark)) >= 0), default=(-1, TEXT))
-                if at < 0:
-                    out.append(piece)
-                    self.carry, self.emitted = "", True
-                    return "".join(out)
-                out.append(piece[:at])
-                piece, self.state = piece[at + len(_OPEN[kind]):], kind
-            end = piece.find(_CLOSE[self.state])
-            inside = piece if end < 0 else piece[:end]
+                opening = _OPENING.search(piece, at)
+                if opening is None:
+                    self.keep(piece[at:])
+                    text, self.held, self.emitted = self.carry, [], True
+                    return text
+                self.keep(piece[at:opening.start()])
+                at, self.state = opening.end(), _KIND[opening.group()]
+            end = piece.find(_CLOSE[self.state], at)
             if self.state == CDATA:
-                out.append(_escaped(inside if end >= 0 else inside + self.closing))
+                self.keep(_escaped(piece[at:end] if end >= 0 else piece[at:] + self.closing))
             if end < 0:
-                self.carry = "".join(out)
                 return None
-            piece, self.state = piece[end + 3:], TEXT
+            at, self.state = end + len(_CLOSE[self.state]), TEXT
 
 
 class SplitScan:
@@ -77,7 +92,7 @@ class SplitScan:
         for s, other in self.others.items():
             if s not in self.same:
                 other.feed(piece)
-                if other.state == self.main.state == TEXT and not other.carry and not self.main.carry:
+                if other.state == self.main.state == TEXT and not other.held and not self.main.held:
                     self.same.add(s)  # from here on both do the same
         return out
 
@@ -86,9 +101,9 @@ class SplitScan:
         self.main.emitted = True
         for s, other in self.others.items():
             if s not in self.same and other.state == CDATA:
-                other.carry += _escaped(text + other.closing)
+                other.keep(_escaped(text + other.closing))
             elif s not in self.same and other.state == TEXT:
-                other.carry, other.emitted = "", True
+                other.held, other.emitted = [], True
                 self.same.add(s)
 
     def transition(self) -> list[tuple[str, str, str, bool]]:
@@ -136,7 +151,7 @@ def scan(raw: DataFrame, element: str) -> DataFrame:
                 values = b.column("value")
                 marked = any(pc.any(pc.match_substring(values, m)).as_py() for m in MARKERS)
                 if not marked and split.main.state == TEXT:
-                    if not split.main.carry:
+                    if not split.main.held:
                         split.feed_plain(closing.join(values.to_pylist()) if any(
                             s not in split.same and o.state == CDATA for s, o in split.others.items()) else "")
                         yield _records(b.column("file"), b.column("start"), values)

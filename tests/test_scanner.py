@@ -90,3 +90,24 @@ def test_files_in_small_splits(spark, tmp_path, size):
         want = whole(text)
         assert got == sorted(want if want[-1] else want[:-1]), name
     assert not any("never" in r.value for r in rows)
+
+
+def test_one_piece_of_many_comments_takes_linear_time():
+    """A file without a closing tag is one piece; walking it must not copy the rest per comment."""
+    import time
+    piece = "".join(f"<!-- c{k} -->\n" for k in range(120_000)) + "<a>1</a>"
+    t0 = time.perf_counter()
+    split = scanner.SplitScan("</r>")
+    assert split.feed(piece) == "\n" * 120_000 + "<a>1</a>"
+    assert split.transition()[0][1:] == (scanner.TEXT, "", True)
+    assert time.perf_counter() - t0 < 20
+
+
+def test_a_section_over_many_pieces_is_carried_in_parts():
+    """The carried text must not be copied once per piece."""
+    import time
+    open_section, n, text = scanner.Scanner("</r>", scanner.CDATA), 20_000, "x" * 2_000
+    t0 = time.perf_counter()
+    assert all(open_section.feed(text) is None for _ in range(n))
+    assert open_section.feed("y]]>z") == (text + "&lt;/r&gt;") * n + "yz"
+    assert open_section.carry == "" and time.perf_counter() - t0 < 8
