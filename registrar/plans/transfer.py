@@ -325,8 +325,6 @@ def applications(t: Tables) -> dict[str, DataFrame]:
     person = get(t, "mig_person")
     c = person.select(*[F.col(x).alias(f"c_{x}") for x in person.columns])
     g = person.select(*[F.col(x).alias(f"g_{x}") for x in person.columns])
-    j = (ea.join(prefs, ea["id"] == prefs["application_id"]).join(c, ea["child_id"] == c["c_id"])
-         .join(g, ea["guardian_id"] == g["g_id"]))
     child = F.struct(F.col("c_first_name").alias("firstName"), F.col("c_last_name").alias("lastName"),
                      F.coalesce("c_social_security_number", F.lit("")).alias("socialSecurityNumber"),
                      F.col("c_date_of_birth").alias("dateOfBirth"), _address("c_", False).alias("address"),
@@ -341,6 +339,15 @@ def applications(t: Tables) -> dict[str, DataFrame]:
                         F.col("g_email").alias("email"), F.lit(None).cast("boolean").alias("hasCorrectingAddress"),
                         _address("", True).alias("correctingAddress"),
                         F.lit(None).cast("date").alias("guardianMovingDate"), F.lit(False).alias("restricted"))
+    # persons are joined once per pair of child and guardian, and the lists of units, which are
+    # already dealt by application, come last: so neither is shuffled for the other's joins
+    family = (ea.select(F.col("child_id").alias("_c"), F.col("guardian_id").alias("_g")).distinct()
+              .join(c, F.col("_c") == F.col("c_id")).join(g, F.col("_g") == F.col("g_id"))
+              .select("_c", "_g", child.alias("child"), guardian.alias("guardian")))
+    j = (ea.select("id", "child_id", "guardian_id", "type")
+         .join(family, (F.col("child_id") == F.col("_c")) & (F.col("guardian_id") == F.col("_g")))
+         .join(prefs, F.col("id") == F.col("application_id")))
+    child, guardian = F.col("child"), F.col("guardian")
     apply = F.struct(F.col("unit_ids").alias("preferredUnits"), F.lit(False).alias("siblingBasis"),
                      F.lit("").alias("siblingName"), F.lit("").alias("siblingSsn"))
     empty = F.array().cast("array<string>")
