@@ -29,6 +29,25 @@ def object_aggregate(df: DataFrame, group: Sequence[str], code: str, value: Colu
         F.map_from_entries(F.collect_list(F.struct(F.col(code), F.col("_v")))).alias(out))
 
 
+#: Rows of a key that may meet in one task before they are summed.
+HOT_ROWS = 1 << 18
+
+
+def dealt_max(df: DataFrame, by: Sequence[str], keys: Sequence[str], value: Sequence[str], out: str,
+              hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The largest struct of ``value`` per ``keys``, dealt by ``by`` (some of the
+    keys, none NULL), so that the next step by these shuffles no more: a
+    grouping by ``keys`` alone would write all rows to disk twice. Rows of a
+    ``by`` that has more than ``hot_rows`` are summed where they are read first;
+    there are few such, and where there is none nothing is done for them."""
+    df = df.select(*keys, *value)
+    many = F.broadcast(df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(*by))
+    largest = F.max(F.struct(*value)).alias(out)
+    hot = df.join(many, list(by), "left_semi").groupBy(*keys).agg(largest).select(*keys, f"{out}.*")
+    others = df.join(many, list(by), "left_anti").select(*df.columns)
+    return others.unionByName(hot).repartition(*by).groupBy(*keys).agg(largest)
+
+
 def weighted_total(map_col, signs: Mapping[str, int], coefficients: Mapping[str, float],
                    amount_field: str = "amount", coefficient_field: str = "coefficient") -> Column:
     """Sum over entries of sign(code) * amount * coefficient(period),

@@ -1,14 +1,17 @@
 """What a job shuffles, pairs and writes must follow its rows, not the repeats in them."""
 
 import datetime as dt
+import random
 import re
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
+from registrar.operators import aggregate as agg
 from registrar.operators import constraints as con
 from registrar.operators import intervals as iv
+from registrar.operators import joins
 from registrar.plans import transfer
 from registrar.plans.transform import _common, finance
 from registrar.sources import inputs
@@ -74,6 +77,70 @@ def test_incomes_are_paired_by_interval_and_type(spark, monkeypatch):
     assert amounts == {n * 100 for n in range(40)}  # no declared total is the 4,900 of the latest row
 
 
+def test_incomes_with_different_dates_are_not_paired_with_every_row(spark, monkeypatch):
+    made, plans, joined = [], [], finance.repair_branch_join
+
+    def seen(*given):
+        found = joined(*given)
+        made.append(found.count())
+        plans.append(found._jdf.queryExecution().executedPlan().toString())
+        return found
+    monkeypatch.setattr(finance, "repair_branch_join", seen)
+    days = [DAY + dt.timedelta(days=n) for n in range(60)]
+    inc = spark.createDataFrame([("c", d, None, False, False, Decimal(n), None) for n, d in enumerate(days[:40])],
+                                "personid string, startdate date, enddate date, maxincome boolean, incomemissing boolean, summa decimal(18,4), guid string")
+    rows = spark.createDataFrame([("c", d, None, 83, 85 + n % 2, Decimal(n), f"g{n:02d}") for n, d in enumerate(days)],
+                                 "personid string, startdate date, enddate date, incomeperiod int, incometype int, summa decimal(18,4), guid string")
+    person = spark.createDataFrame([("p", "c")], "id string, legacy_ssn string")
+    out = finance.income({"income": inc, "incomerows": rows, "mig_person": person})
+    assert out["mig_income_todo"].count() == 40  # all are open
+    assert made == [80]  # forty incomes with two types, not 2,400 pairs
+    assert "Exchange" not in plans[0][:plans[0].index("Union")]  # rows are dealt by person once and grouped and sorted there
+
+
+def test_rows_of_a_hot_key_are_summed_before_they_are_dealt(spark, shuffled):
+    rows = spark.range(4000, numPartitions=8).select(F.when(F.col("id") < 3600, "hot").otherwise(F.concat(F.lit("p"), F.col("id") % 90)).alias("k"),
+                                                     (F.col("id") % 7).alias("d"), F.col("id").alias("v"), F.when(F.col("id") % 3 > 0, "g").alias("g"))
+    want = sorted(map(repr, rows.groupBy("k", "d").agg(F.max(F.struct("g", "v")).alias("x")).collect()))
+    for hot_rows in (100, 10000):  # with hot keys, and without
+        found = agg.dealt_max(rows, ["k"], ["k", "d"], ["g", "v"], "x", hot_rows)
+        assert found.columns == ["k", "d", "x"] and sorted(map(repr, found.collect())) == want
+        assert found.select("k", F.spark_partition_id().alias("p")).distinct().count() == 91
+        dealt = found._jdf.queryExecution().executedPlan().toString()
+        assert "LeftAnti" in dealt and "LeftSemi" in dealt
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3, 4])
+def test_latest_row_per_type_is_the_one_of_all_pairs(spark, seed):
+    rnd = random.Random(seed)
+    near = [None, dt.date(1, 1, 1), dt.date(1970, 1, 1), dt.date(9999, 12, 31)]
+
+    def day(missing):
+        return rnd.choice(near) if rnd.random() < missing else DAY + dt.timedelta(days=rnd.choice([rnd.randrange(40), rnd.randrange(2000)]))
+
+    def end(start):
+        if start is None or rnd.random() < 0.3:
+            return day(0.6)
+        return min(max(start.toordinal() + rnd.choice([0, 1, -2, 3, 9, 70, 900, 40000]), 1), dt.date.max.toordinal())
+
+    def span():
+        s = day(0.1)
+        e = end(s)
+        return s, dt.date.fromordinal(e) if isinstance(e, int) else e
+    keys = ["a", "b", "c", None]
+    left = spark.createDataFrame(list({(rnd.choice(keys), *span()) for _ in range(250)}), "k string, ls date, le date")
+    rows = [(rnd.choice(keys[1:]), *span(), rnd.choice(["x", "y", "z", None]), rnd.choice([None, "g1", "g2", "g3"]), n % 7) for n in range(250)]
+    rows += [("b", s, e, t, g, v) for k, s, e, t, g, v in rows if v == 3]
+    right = (spark.createDataFrame(rows, "k string, rs date, re date, t string, g string, v int")
+             .groupBy("k", "rs", "re", "t").agg(F.max(F.struct("rs", "g", "v")).alias("last")))
+    sides = (left, right, ["k"], ("ls", "le"), ("rs", "re"))
+    pairs = joins.repair_branch_join(*sides)
+    want = pairs.groupBy("k", "ls", "le", "t").agg(F.max("last").alias("last"))
+    found = joins.repair_branch_join(*sides, "t", "last")
+    assert found.columns == ["k", "ls", "le", "t", "last"] and found.count() == want.count() > 200
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, want.collect()))
+
+
 def test_a_unique_key_shares_the_entries_of_its_agreement(spark):
     df = spark.createDataFrame([(1, 1, "a"), (1, 1, "b"), (2, 1, "a"), (2, 1, "a"), (3, 1, "a"), (None, 1, "a"), (None, 1, "b")], "x int, y int, v string")
     rules = [con.Unique(("x", "y")), con.Agree("v", ("x", "y"), ("v",)), con.Unique(("x",)), con.Agree("late", ("x",), ("y",)),
